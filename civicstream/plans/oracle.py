@@ -246,3 +246,22 @@ ORACLE = {
     "json_roundtrip": f"""SELECT ward_id AS key, meter_id, kwh_reading, voltage, power_factor,
         strftime(event_time, {ISO}) AS timestamp, event_time FROM ({SQL_FEEDS['smart_meters']})""",
 }
+
+
+def _incidents_no_src() -> str:
+    cols = ("incident_type, severity, detected_at_event_time, sensor_id, zone, aqi, "
+            "junction_id, consecutive_cycles_over_threshold, avg_wait_sec, route_id, "
+            "bus_id_1, bus_id_2, distance_m, continuous_proximity_sec")
+    wm = " , ".join(f"(SELECT max(epoch_us(event_time) // 1000) FROM {valid(f)})"
+                    for f in ("air_quality", "traffic_signals", "bus_gps"))
+    return (f"SELECT {cols} FROM ({_incidents_sql()}) "
+            f"WHERE detected_at_event_time <= least({wm}) - 30000")
+
+
+ORACLE.update({
+    "stream_ward_energy": f"""SELECT * FROM ({ORACLE['ward_energy']})
+        WHERE window_end <= (SELECT max(event_time) FROM {valid('smart_meters')}) - INTERVAL 45 MINUTE""",
+    "stream_health_advisories": ORACLE["health_advisories"],
+    "stream_dedup": ORACLE["dedup"],
+    "stream_incidents": _incidents_no_src(),
+})

@@ -72,21 +72,25 @@ def validation_job(env: DataFrame, feed: str, out_root: str, checkpoint: str,
 # ------------------------------------------------------------------ AGG-1 + SNK-6/7
 
 def ward_energy_stream(meters: DataFrame, delay: str = WARD_WATERMARK,
-                       width: str = WARD_WINDOW) -> DataFrame:
+                       width: str = WARD_WINDOW, decimals: int | None = None,
+                       pf_decimals: int | None = None) -> DataFrame:
     """Watermarked 15-minute tumbling aggregate (append: each window once, when closed)."""
     m = meters.withColumn("event_time", F.col("event_time").cast("timestamp"))
-    return ward_energy(m.withWatermark("event_time", delay), width=width)
+    return ward_energy(m.withWatermark("event_time", delay), width=width, decimals=decimals,
+                       pf_decimals=pf_decimals)
 
 
 def ward_energy_job(meters: DataFrame, archive_path: str, out_root: str, checkpoint: str,
                     partitions: int | None = None, trigger: dict | None = None,
                     name: str | None = None, delay: str = WARD_WATERMARK,
-                    width: str = WARD_WINDOW) -> StreamingQuery:
+                    width: str = WARD_WINDOW, decimals: int | None = None,
+                    pf_decimals: int | None = None) -> StreamingQuery:
     """SNK-7: one aggregation and one state store feeding two sinks. Each micro-batch of
     closed windows is persisted once and written to the keyed topic and to the
-    ``ward_id``/``date`` archive; both writes are keyed by batch id, so a replayed
-    batch overwrites its own output instead of duplicating it."""
-    summary = ward_energy_stream(meters, delay, width)
+    ``ward_id``/``date`` archive; both writes are keyed by batch id (the archive's
+    lowest partition level, below ward and date, overwritten dynamically), so a
+    replayed batch overwrites its own output instead of duplicating it."""
+    summary = ward_energy_stream(meters, delay, width, decimals, pf_decimals)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
@@ -95,7 +99,7 @@ def ward_energy_job(meters: DataFrame, archive_path: str, out_root: str, checkpo
                         partitions=partitions, batch_id=batch_id)
             (with_date(batch).withColumn("batch", F.lit(batch_id))
                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                .partitionBy("batch", "ward_id", "date").parquet(archive_path))
+                .partitionBy("ward_id", "date", "batch").parquet(archive_path))
         finally:
             batch.unpersist()
 
@@ -109,11 +113,11 @@ ADVISORY_SQL = """
     SELECT a.zone, z.zone_name, z.population, z.num_schools,
            a.window_start, a.window_end, a.rolling_avg_aqi
     FROM (SELECT zone, w.start AS window_start, w.end AS window_end,
-                 AVG(aqi) AS rolling_avg_aqi
+                 {avg} AS rolling_avg_aqi
           FROM (SELECT zone, aqi, window(event_time, '{width}', '{slide}') AS w
                 FROM {readings})
           GROUP BY zone, w
-          HAVING AVG(aqi) > {threshold}) a
+          HAVING {avg} > {threshold}) a
     JOIN {profile} z ON a.zone = z.zone
 """
 
@@ -122,7 +126,8 @@ def health_advisory_stream(spark: SparkSession, air: DataFrame, profile: DataFra
                            delay: str = ADVISORY_WATERMARK, width: str = ADVISORY_WINDOW,
                            slide: str = ADVISORY_SLIDE, threshold: float = UNHEALTHY_AQI,
                            readings_view: str = "air_quality_stream",
-                           profile_view: str = "zone_profile") -> DataFrame:
+                           profile_view: str = "zone_profile",
+                           decimals: int | None = None) -> DataFrame:
     """The advisory as streaming SQL over temp views: the window is written once, the
     zone average is aggregated before the join (the static profile is small and joins
     the aggregated rows), ``HAVING`` keeps unhealthy windows. Update mode re-emits a
@@ -132,8 +137,10 @@ def health_advisory_stream(spark: SparkSession, air: DataFrame, profile: DataFra
            .withWatermark("event_time", delay)
     a.createOrReplaceTempView(readings_view)
     profile.createOrReplaceTempView(profile_view)
+    avg = ("AVG(aqi)" if decimals is None else
+           f"CAST(SUM(CAST(aqi AS DECIMAL(18,{decimals}))) AS DOUBLE) / COUNT(aqi)")
     return spark.sql(ADVISORY_SQL.format(width=width, slide=slide, threshold=threshold,
-                                         readings=readings_view, profile=profile_view))
+                                         readings=readings_view, profile=profile_view, avg=avg))
 
 
 def health_advisory_job(spark: SparkSession, air: DataFrame, profile: DataFrame, out_root: str,
