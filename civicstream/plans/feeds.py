@@ -23,7 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("int")
+    return F.col("_k")
+
+
+def _with_k(e: DataFrame) -> DataFrame:
+    """Extract ``k`` once; the feed maps refer to the column."""
+    return e.withColumn("_k", F.get_json_object("props", "$.k").cast("int"))
 
 
 def _d(x: float) -> Column:
@@ -36,7 +41,7 @@ def _common(e: DataFrame) -> list[Column]:
 
 def bus_gps(e: DataFrame) -> DataFrame:
     k, v = _k(), F.col("value")
-    return e.select(
+    return _with_k(e).select(
         F.concat(F.lit("B"), F.col("user_id").cast("string")).alias("bus_id"),
         F.concat(F.lit("R"), (F.col("user_id") / 5).cast("long").cast("string")).alias("route_id"),
         F.when(k == 97, F.lit(None).cast("double")).when(k == 98, _d(91.0))
@@ -49,7 +54,7 @@ def bus_gps(e: DataFrame) -> DataFrame:
 
 def air_quality(e: DataFrame) -> DataFrame:
     k, v = _k(), F.col("value")
-    return e.select(
+    return _with_k(e).select(
         F.concat(F.lit("S"), F.col("user_id").cast("string")).alias("sensor_id"),
         F.col("event_type").alias("zone"),
         (v - _d(0.5)).alias("pm25"),
@@ -61,7 +66,7 @@ def air_quality(e: DataFrame) -> DataFrame:
 
 def traffic_signals(e: DataFrame) -> DataFrame:
     k, v = _k(), F.col("value")
-    return e.select(
+    return _with_k(e).select(
         F.concat(F.lit("J"), F.col("user_id").cast("string")).alias("junction_id"),
         F.col("event_type").alias("zone"),
         (k * 3).cast("double").alias("vehicle_count"),
@@ -73,7 +78,7 @@ def traffic_signals(e: DataFrame) -> DataFrame:
 
 def smart_meters(e: DataFrame) -> DataFrame:
     k, v = _k(), F.col("value")
-    return e.select(
+    return _with_k(e).select(
         F.concat(F.lit("M"), F.col("user_id").cast("string")).alias("meter_id"),
         F.col("event_type").alias("ward_id"),
         (v - _d(1.0)).alias("kwh_reading"),
