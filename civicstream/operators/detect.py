@@ -32,17 +32,21 @@ def _order() -> list[Column]:
 
 def cooldown_alerts(df: DataFrame, key: str, time_col: str, value_col: str, tie_col: str,
                     threshold: float = AQI_HAZARDOUS, cooldown_ms: int = AQI_COOLDOWN_MS,
-                    chunk_ms: int = DAY_MS) -> DataFrame:
+                    chunk_ms: int = DAY_MS, max_fold: int = 4096) -> DataFrame:
     """DET-1: rows with ``value > threshold`` that raise an alert when the previous
     *emitted* alert of the key is absent or at least ``cooldown_ms`` older (a greedy
     chain: suppressed rows do not move the clock).
 
     1. a candidate whose gap to the previous candidate is >= cooldown always fires and
        starts a segment (chunked prefix scans give the gap and the segment number);
-    2. inside a segment consecutive gaps are < cooldown, so the next firing after a
-       firing at t is the first candidate at or after t + cooldown and lies within one
-       cooldown of it: a bucketed as-of lookup;
-    3. firings are the nodes reachable from segment starts along those pointers.
+       segments are independent of each other;
+    2. a segment of at most ``max_fold`` candidates is folded in order inside one
+       bounded array (``aggregate`` over the sorted candidates);
+    3. larger segments (a key alerting without pause) are never gathered: inside a
+       segment consecutive gaps are < cooldown, so the next firing after a firing at t
+       is the first candidate at or after t + cooldown and lies within one cooldown of
+       it (a bucketed as-of lookup); firings are the nodes reachable from the segment
+       start along those pointers (pointer doubling).
     Returns the firing rows with ``detected_at_event_time`` (epoch ms).
     """
     cand = _ordered(df.where(F.col(value_col) > F.lit(threshold)), time_col, tie_col, chunk_ms)
@@ -52,19 +56,47 @@ def cooldown_alerts(df: DataFrame, key: str, time_col: str, value_col: str, tie_
                            | (F.col("_t") - F.col("_prev_t") >= F.lit(cooldown_ms)))
     cand = prefix_scan(cand, [key], _order(), "_chunk",
                        [("_seg", "sum", F.col("_start").cast("long"))])
-    cand = cand.withColumn("_node", F.struct(F.col(key).alias("k"), F.col("_t").alias("t"),
-                                             F.col("_tie").alias("tie")))
-    cand = cand.checkpoint(eager=True)
-    probes = cand.select(key, "_seg", (F.col("_t") + cooldown_ms).alias("p_time"),
-                         F.col("_node").alias("p_id"))
-    targets = cand.select(key, "_seg", F.col("_t").alias("t_time"),
-                          F.col("_tie").alias("t_tie"), F.col("_node").alias("t_id"))
-    nxt = first_at_or_after(probes, targets, [key, "_seg"], cooldown_ms)
-    edges = nxt.select(F.col("p_id").alias("id"), F.col("t_id").alias("nxt"))
-    fired = reachable(edges, cand.where("_start").select(F.col("_node").alias("id")))
-    out = cand.join(fired.withColumnRenamed("id", "_node"), "_node", "left_semi")
-    return out.withColumn("detected_at_event_time", F.col("_t")).drop(
-        "_t", "_tie", "_chunk", "_prev_t", "_start", "_seg", "_node")
+    sizes = cand.groupBy(key, "_seg").agg(F.count(F.lit(1)).alias("_n"))
+    sized = cand.join(sizes.withColumnRenamed(key, "_sk").withColumnRenamed("_seg", "_ss"),
+                      cand[key].eqNullSafe(F.col("_sk")) & (cand["_seg"] == F.col("_ss")))
+    # materialized once: read by the existence check and by both paths below
+    sized = sized.drop("_sk", "_ss").checkpoint(eager=True)
+    cols = [c for c in cand.columns]
+    drop = ["_t", "_tie", "_chunk", "_prev_t", "_start", "_seg"]
+
+    # 2. bounded segments: one sorted array of at most max_fold rows per segment.
+    small = sized.where(F.col("_n") <= max_fold)
+    packed = small.groupBy(key, "_seg").agg(F.array_sort(F.collect_list(
+        F.struct(F.col("_t").alias("t"), F.col("_tie").alias("tie")))).alias("_xs"))
+    none = F.filter(F.col("_xs"), lambda x: F.lit(False))
+    fired_ties = packed.select(key, F.explode(F.aggregate(
+        "_xs", F.struct(F.lit(None).cast("long").alias("last"), none.alias("out")),
+        lambda acc, x: F.when(acc["last"].isNull() | (x["t"] - acc["last"] >= cooldown_ms),
+                              F.struct(x["t"].alias("last"),
+                                       F.concat(acc["out"], F.array(x)).alias("out")))
+                        .otherwise(acc),
+        lambda acc: acc["out"])).alias("_f"))
+    fired_small = fired_ties.select(F.col(key).alias("_fk"), F.col("_f.t").alias("_ft"),
+                                    F.col("_f.tie").alias("_ftie"))
+    out = small.join(fired_small, small[key].eqNullSafe(F.col("_fk"))
+                     & (small["_t"] == F.col("_ft")) & (small["_tie"] == F.col("_ftie")),
+                     "left_semi").select(*cols)
+
+    # 3. unbounded segments, only if there are any.
+    if not sized.where(F.col("_n") > max_fold).isEmpty():
+        big = sized.where(F.col("_n") > max_fold).select(*cols).withColumn(
+            "_node", F.struct(F.col(key).alias("k"), F.col("_t").alias("t"),
+                              F.col("_tie").alias("tie")))
+        probes = big.select(key, "_seg", (F.col("_t") + cooldown_ms).alias("p_time"),
+                            F.col("_node").alias("p_id"))
+        targets = big.select(key, "_seg", F.col("_t").alias("t_time"),
+                             F.col("_tie").alias("t_tie"), F.col("_node").alias("t_id"))
+        nxt = first_at_or_after(probes, targets, [key, "_seg"], cooldown_ms)
+        edges = nxt.select(F.col("p_id").alias("id"), F.col("t_id").alias("nxt"))
+        fired = reachable(edges, big.where("_start").select(F.col("_node").alias("id")))
+        big_out = big.join(fired.withColumnRenamed("id", "_node"), "_node", "left_semi")
+        out = out.unionByName(big_out.select(*cols))
+    return out.withColumn("detected_at_event_time", F.col("_t")).drop(*drop)
 
 
 def streak_alerts(df: DataFrame, key: str, time_col: str, value_col: str, tie_col: str,
@@ -77,6 +109,7 @@ def streak_alerts(df: DataFrame, key: str, time_col: str, value_col: str, tie_co
     come from two chunked prefix scans; the alert row has ``pos - reset == cycles``.
     """
     r = _ordered(df.where(F.col(value_col).isNotNull()), time_col, tie_col, chunk_ms)
+    r = r.checkpoint(eager=True)  # read by both scans: materialize once
     breach = F.col(value_col) > F.lit(threshold)
     r = prefix_scan(r, [key], _order(), "_chunk", [("_pos", "sum", F.lit(1).cast("long"))])
     r = prefix_scan(r, [key], _order(), "_chunk",
@@ -164,6 +197,7 @@ def proximity_alerts(df: DataFrame, route: str, bus: str, time_col: str, lat: st
               .withColumn("_pair_b", F.greatest("_bus", "_partner"))
               .withColumn("_chunk", F.floor(F.col("_t") / chunk_ms).cast("long"))
               .withColumn("_close", F.col("_dist") <= distance_m))
+    obs = obs.checkpoint(eager=True)  # read four times below: materialize once
 
     # 3. streaks of close observations per pair: a far observation starts a new one.
     pk = ["_route", "_pair_a", "_pair_b"]

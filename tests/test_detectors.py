@@ -115,8 +115,9 @@ def test_bunching_needs_same_route(spark):
     assert bunch(spark, fixes).count() == 0
 
 
-@pytest.mark.parametrize("seed,chunk_ms", [(1, 86_400_000), (2, 420_000), (3, 61_000)])
-def test_cooldown_matches_model(spark, seed, chunk_ms):
+@pytest.mark.parametrize("seed,chunk_ms,max_fold", [(1, 86_400_000, 4096), (2, 420_000, 4096),
+                                                    (3, 61_000, 3), (9, 420_000, 1)])
+def test_cooldown_matches_model(spark, seed, chunk_ms, max_fold):
     rnd = random.Random(seed)
     rows = []
     for i in range(1500):
@@ -125,7 +126,8 @@ def test_cooldown_matches_model(spark, seed, chunk_ms):
         v = rnd.choice([None, rnd.uniform(250, 350), 301.0])
         rows.append((k, t, i, v))
     df = frame(spark, rows, "sensor_id string, t long, tie long, aqi double")
-    got = detect.cooldown_alerts(df, "sensor_id", "event_time", "aqi", "tie", chunk_ms=chunk_ms)
+    got = detect.cooldown_alerts(df, "sensor_id", "event_time", "aqi", "tie", chunk_ms=chunk_ms,
+                                 max_fold=max_fold)
     assert {(r.sensor_id, r.tie) for r in got.collect()} == model_cooldown(rows, 300.0, 120_000)
 
 
