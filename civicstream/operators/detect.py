@@ -21,9 +21,9 @@ DAY_MS = 86_400_000
 
 
 def _ordered(df: DataFrame, time_col: str, tie_col: str, chunk_ms: int) -> DataFrame:
-    return (df.withColumn("_t", epoch_ms(time_col))
-              .withColumn("_tie", F.col(tie_col).cast("long"))
-              .withColumn("_chunk", F.floor(F.col("_t") / chunk_ms).cast("long")))
+    t = epoch_ms(time_col)
+    return df.select("*", t.alias("_t"), F.col(tie_col).cast("long").alias("_tie"),
+                     F.floor(t / chunk_ms).cast("long").alias("_chunk"))
 
 
 def _order() -> list[Column]:
@@ -156,11 +156,15 @@ def proximity_alerts(df: DataFrame, route: str, bus: str, time_col: str, lat: st
     probe = fx.select("_route", "_bus", "_t", "_tie", "_lat", "_lon", "_tb",
                       *[c.alias(f"_k{i}") for i, c in enumerate(cells)],
                       *[f.alias(f"_f{i}") for i, f in enumerate(frac)])
-    probe = probe.withColumn("_tb", F.explode(F.array(F.col("_tb"), F.col("_tb") - 1)))
-    for i in range(3):
-        k, f = F.col(f"_k{i}"), F.col(f"_f{i}")
-        probe = probe.withColumn(f"_c{i}", F.explode(F.array(
-            k, F.when(f < 0.5, k - 1).otherwise(k + 1))))
+    # all 16 (time bucket, cell) combinations in one generator
+    near = [F.when(F.col(f"_f{i}") < 0.5, F.col(f"_k{i}") - 1).otherwise(F.col(f"_k{i}") + 1)
+            for i in range(3)]
+    combos = F.array(*[F.struct((F.col("_tb") - dt).alias("tb"),
+                                *[(near[i] if (m >> i) & 1 else F.col(f"_k{i}")).alias(f"c{i}")
+                                  for i in range(3)])
+                       for dt in (0, 1) for m in range(8)])
+    probe = probe.select("_route", "_bus", "_t", "_tie", "_lat", "_lon",
+                         F.inline(combos).alias("_tb", "_c0", "_c1", "_c2"))
     before = ((F.col("_ot") < F.col("_t"))
               | ((F.col("_ot") == F.col("_t")) & (F.col("_otie") < F.col("_tie"))))
     close = probe.join(other, on=["_route", "_tb", "_c0", "_c1", "_c2"]).where(
@@ -192,11 +196,11 @@ def proximity_alerts(df: DataFrame, route: str, bus: str, time_col: str, lat: st
     obs = seen.groupBy("_route", "_bus", "_partner", "_t", "_tie", "_lat", "_lon",
                        "_ts_src").agg(
         F.max_by(F.struct("_plat", "_plon"), F.struct("_pt", "_ptie")).alias("_p"))
-    obs = (obs.withColumn("_dist", haversine_m("_lat", "_lon", "_p._plat", "_p._plon"))
-              .withColumn("_pair_a", F.least("_bus", "_partner"))
-              .withColumn("_pair_b", F.greatest("_bus", "_partner"))
-              .withColumn("_chunk", F.floor(F.col("_t") / chunk_ms).cast("long"))
-              .withColumn("_close", F.col("_dist") <= distance_m))
+    dist = haversine_m("_lat", "_lon", "_p._plat", "_p._plon")
+    obs = obs.select("*", dist.alias("_dist"), F.least("_bus", "_partner").alias("_pair_a"),
+                     F.greatest("_bus", "_partner").alias("_pair_b"),
+                     F.floor(F.col("_t") / chunk_ms).cast("long").alias("_chunk"),
+                     (dist <= distance_m).alias("_close"))
     obs = obs.checkpoint(eager=True)  # read four times below: materialize once
 
     # 3. streaks of close observations per pair: a far observation starts a new one.

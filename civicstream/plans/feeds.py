@@ -22,69 +22,73 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _k() -> Column:
-    return F.col("_k")
+K = "CAST(get_json_object(props, '$.k') AS INT)"
+COMMON = ["event_id AS record_id", "ts AS event_time"]
+
+# Column maps (Spark SQL), one list per feed; ``_k`` is extracted once per row.
+SPARK_FEEDS = {
+    "bus_gps": [
+        "concat('B', CAST(user_id AS STRING)) AS bus_id",
+        "concat('R', CAST(user_id DIV 5 AS STRING)) AS route_id",
+        "CASE WHEN _k = 97 THEN CAST(NULL AS DOUBLE) WHEN _k = 98 THEN 91.0D "
+        "ELSE 19.0D + value / 50000.0D END AS lat",
+        "72.8D AS lon",
+        "value / 4.0D AS speed_kmh",
+        "CAST(_k + 2 AS DOUBLE) AS occupancy_pct",
+    ],
+    "air_quality": [
+        "concat('S', CAST(user_id AS STRING)) AS sensor_id",
+        "event_type AS zone",
+        "value - 0.5D AS pm25",
+        "value * 1.5D AS pm10",
+        "_k / 2.0D AS no2",
+        "CASE WHEN _k < 5 THEN CAST(NULL AS DOUBLE) ELSE value END AS aqi",
+    ],
+    "traffic_signals": [
+        "concat('J', CAST(user_id AS STRING)) AS junction_id",
+        "event_type AS zone",
+        "CAST(_k * 3 AS DOUBLE) AS vehicle_count",
+        "value * 1.25D AS avg_wait_sec",
+        "CASE WHEN _k < 40 THEN 'GREEN' WHEN _k < 80 THEN 'RED' WHEN _k < 98 THEN 'AMBER' "
+        "ELSE 'FLASHING' END AS signal_phase",
+    ],
+    "smart_meters": [
+        "concat('M', CAST(user_id AS STRING)) AS meter_id",
+        "event_type AS ward_id",
+        "value - 1.0D AS kwh_reading",
+        "181.0D + 0.8D * _k AS voltage",
+        "0.75D + value / 1000.0D AS power_factor",
+    ],
+}
 
 
-def _with_k(e: DataFrame) -> DataFrame:
-    """Extract ``k`` once; the feed maps refer to the column."""
-    return e.withColumn("_k", F.get_json_object("props", "$.k").cast("int"))
+def _derive(e: DataFrame, name: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    return e.selectExpr("*", f"{K} AS _k").selectExpr(*SPARK_FEEDS[name], *COMMON, *extra)
 
 
-def _d(x: float) -> Column:
-    return F.lit(float(x))
+# Message key of a GPS fix: absent for a few records (k < 3), where consumers fall back
+# to the payload's route id.
+GPS_KEY = "CASE WHEN _k < 3 THEN CAST(NULL AS STRING) ELSE concat('R', CAST(user_id DIV 5 AS STRING)) END AS key"
 
 
-def _common(e: DataFrame) -> list[Column]:
-    return [F.col("event_id").alias("record_id"), F.col("ts").alias("event_time")]
+def bus_gps_keyed(e: DataFrame) -> DataFrame:
+    return _derive(e, "bus_gps", (GPS_KEY,))
 
 
 def bus_gps(e: DataFrame) -> DataFrame:
-    k, v = _k(), F.col("value")
-    return _with_k(e).select(
-        F.concat(F.lit("B"), F.col("user_id").cast("string")).alias("bus_id"),
-        F.concat(F.lit("R"), (F.col("user_id") / 5).cast("long").cast("string")).alias("route_id"),
-        F.when(k == 97, F.lit(None).cast("double")).when(k == 98, _d(91.0))
-         .otherwise(_d(19.0) + v / _d(50000.0)).alias("lat"),
-        _d(72.8).alias("lon"),
-        (v / _d(4.0)).alias("speed_kmh"),
-        (k + 2).cast("double").alias("occupancy_pct"),
-        *_common(e))
+    return _derive(e, "bus_gps")
 
 
 def air_quality(e: DataFrame) -> DataFrame:
-    k, v = _k(), F.col("value")
-    return _with_k(e).select(
-        F.concat(F.lit("S"), F.col("user_id").cast("string")).alias("sensor_id"),
-        F.col("event_type").alias("zone"),
-        (v - _d(0.5)).alias("pm25"),
-        (v * _d(1.5)).alias("pm10"),
-        (k / _d(2.0)).alias("no2"),
-        F.when(k < 5, F.lit(None).cast("double")).otherwise(v).alias("aqi"),
-        *_common(e))
+    return _derive(e, "air_quality")
 
 
 def traffic_signals(e: DataFrame) -> DataFrame:
-    k, v = _k(), F.col("value")
-    return _with_k(e).select(
-        F.concat(F.lit("J"), F.col("user_id").cast("string")).alias("junction_id"),
-        F.col("event_type").alias("zone"),
-        (k * 3).cast("double").alias("vehicle_count"),
-        (v * _d(1.25)).alias("avg_wait_sec"),
-        F.when(k < 40, "GREEN").when(k < 80, "RED").when(k < 98, "AMBER")
-         .otherwise("FLASHING").alias("signal_phase"),
-        *_common(e))
+    return _derive(e, "traffic_signals")
 
 
 def smart_meters(e: DataFrame) -> DataFrame:
-    k, v = _k(), F.col("value")
-    return _with_k(e).select(
-        F.concat(F.lit("M"), F.col("user_id").cast("string")).alias("meter_id"),
-        F.col("event_type").alias("ward_id"),
-        (v - _d(1.0)).alias("kwh_reading"),
-        (_d(181.0) + _d(0.8) * k).alias("voltage"),
-        (_d(0.75) + v / _d(1000.0)).alias("power_factor"),
-        *_common(e))
+    return _derive(e, "smart_meters")
 
 
 FEEDS = {"bus_gps": bus_gps, "air_quality": air_quality,

@@ -100,16 +100,11 @@ def health_advisories(spark, sf_dir):
 
 
 def _gps_with_key(spark, sf_dir):
-    """Valid GPS fixes with a message key; the key is absent for a few records (k < 3),
-    where the payload route id is used instead (PRJ-6)."""
+    """Valid GPS fixes with their message key (absent for a few records, where the
+    payload route id is used instead, PRJ-6)."""
     e = feeds.table(spark, sf_dir, "events")
-    gps = validate.valid_rows(validate.with_error_reason(feeds.bus_gps(e), "bus_gps"), "bus_gps")
-    k = F.get_json_object(e["props"], "$.k").cast("int")
-    keys = e.select(F.col("event_id").alias("record_id"),
-                    F.when(k < 3, F.lit(None).cast("string")).otherwise(
-                        F.concat(F.lit("R"), (F.col("user_id") / 5).cast("long").cast("string"))
-                    ).alias("key"))
-    gps = gps.join(keys, "record_id")
+    gps = validate.valid_rows(validate.with_error_reason(feeds.bus_gps_keyed(e), "bus_gps"),
+                              "bus_gps")
     return enrich.route_key(gps).withColumn("timestamp", F.date_format("event_time", ISO))
 
 
