@@ -258,7 +258,25 @@ def _incidents_no_src() -> str:
             f"WHERE detected_at_event_time <= least({wm}) - 30000")
 
 
+_TRAFFIC_ENV = f"""(SELECT * FROM {envelopes()} WHERE topic = 'city.traffic_signals')"""
+
 ORACLE.update({
+    "lag_series": f"""WITH env AS {_TRAFFIC_ENV},
+        span AS (SELECT min(timestamp) AS lo, max(timestamp) AS hi FROM env),
+        s AS (SELECT r.k AS sample,
+                     lo + to_microseconds(CAST(((epoch_us(hi) - epoch_us(lo)) / 5) * r.k AS BIGINT)) AS sample_time
+              FROM span, range(6) r(k)),
+        p AS (SELECT sample, sample_time, 'high_priority' AS "group", sample_time AS read_until FROM s
+              UNION ALL
+              SELECT sample, sample_time, 'standard_priority', sample_time - INTERVAL 1 DAY FROM s)
+        SELECT sample, "group", (SELECT count(*) FROM env WHERE timestamp > p.read_until
+                                 AND timestamp <= p.sample_time) AS lag FROM p""",
+    "consumer_counts": f"""WITH env AS {_TRAFFIC_ENV},
+        cut AS (SELECT max(timestamp) - INTERVAL 1 DAY AS c FROM env)
+        SELECT 'high_priority' AS consumer, count(*) AS processed FROM env
+        UNION ALL
+        SELECT 'standard_priority-' || CAST(CAST(partition // 2 AS INTEGER) + 1 AS VARCHAR), count(*)
+        FROM env, cut WHERE timestamp <= c GROUP BY 1""",
     "stream_ward_energy": f"""SELECT * FROM ({ORACLE['ward_energy']})
         WHERE window_end <= (SELECT max(event_time) FROM {valid('smart_meters')}) - INTERVAL 45 MINUTE""",
     "stream_health_advisories": ORACLE["health_advisories"],

@@ -189,6 +189,42 @@ def consumer_lag(spark, sf_dir):
     return ops.unread_records(env, fast.unionByName(slow))
 
 
+def _traffic_env(spark, sf_dir) -> DataFrame:
+    return feeds.envelope(feeds.traffic_signals(feeds.table(spark, sf_dir, "events")),
+                          "traffic_signals")
+
+
+def lag_series(spark, sf_dir):
+    """OPS-3: lag of both groups at six samples spread over the topic's time span;
+    the fast group has read up to each sample, the slow one a day less."""
+    env = _traffic_env(spark, sf_dir)
+    span = env.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi"))
+    step = (F.unix_micros(F.col("hi").cast("timestamp")) -
+            F.unix_micros(F.col("lo").cast("timestamp"))) / 5
+    samples = span.select(F.explode(F.sequence(F.lit(0), F.lit(5))).alias("sample"), "lo", step.alias("st"))
+    samples = samples.select("sample", (F.col("lo") + F.make_dt_interval(
+        secs=(F.col("st") * F.col("sample") / F.lit(1_000_000)).cast("decimal(18,6)")))
+        .alias("sample_time"))
+    progress = samples.select("sample", "sample_time", F.lit("high_priority").alias("group"),
+                              F.col("sample_time").alias("read_until")).unionByName(
+        samples.select("sample", "sample_time", F.lit("standard_priority").alias("group"),
+                       (F.col("sample_time") - F.expr("INTERVAL 1 DAY")).alias("read_until")))
+    return ops.lag_series(env, progress)
+
+
+def consumer_counts(spark, sf_dir):
+    """AGG-7: records processed per consumer. The standard group runs three consumers
+    owning two partitions each and has read up to a day before the newest record;
+    the high-priority group's single consumer has read everything."""
+    env = _traffic_env(spark, sf_dir)
+    cut = env.agg((F.max("timestamp") - F.expr("INTERVAL 1 DAY")).alias("c"))
+    slow = env.join(F.broadcast(cut), env["timestamp"] <= F.col("c")).select(
+        F.concat(F.lit("standard_priority-"), (F.col("partition") / 2).cast("int") + 1)
+        .alias("consumer"))
+    fast = env.select(F.lit("high_priority").alias("consumer"))
+    return ops.per_label_counts(fast.unionByName(slow))
+
+
 def dedup(spark, sf_dir):
     """STR-6: every air reading delivered twice (at-least-once replay), then deduped on
     sensor and event time; returns what survives."""
@@ -234,6 +270,8 @@ QUERIES = {
     "latest_per_topic": latest_per_topic,
     "retention": retention,
     "consumer_lag": consumer_lag,
+    "lag_series": lag_series,
+    "consumer_counts": consumer_counts,
     "dedup": dedup,
     "json_roundtrip": json_roundtrip,
 }
