@@ -44,6 +44,17 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def ensure_rocksdb_state(spark: SparkSession) -> None:
+    """``transformWithState`` needs the RocksDB state store; the provider is fixed for a
+    checkpoint's life, so it is set before a stateful query first starts."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(key, None) != ROCKSDB_PROVIDER:
+        spark.conf.set(key, ROCKSDB_PROVIDER)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from civicstream.functions.jsoncols import parse_value
 from civicstream.operators import validate
-from civicstream.operators.enrich import enrich_eta, route_key
+from civicstream.operators.enrich import enrich_eta, route_key, sized_broadcast
 from civicstream.operators.incidents import union_incidents
 from civicstream.operators.windows import ward_energy
 from civicstream.schemas import (ADVISORY_SLIDE, ADVISORY_WATERMARK, ADVISORY_WINDOW,
@@ -159,8 +159,8 @@ def enrichment_job(gps: DataFrame, routes: DataFrame, out_root: str, checkpoint:
     joined / unmatched / missing-key counters ride along as an ``observe`` metric."""
     g = route_key(gps)
     g = g.withColumn("timestamp", F.col("timestamp").cast("string"))
-    lk = routes.select(F.col("route_id").alias("_rk"))
-    counted = g.join(F.broadcast(lk), g["route_key"] == lk["_rk"], "left").observe(
+    lk = sized_broadcast(routes.select(F.col("route_id").alias("_rk")))
+    counted = g.join(lk, g["route_key"] == lk["_rk"], "left").observe(
         "enrichment", F.count_if(F.col("_rk").isNotNull()).alias("joined"),
         F.count_if(F.col("_rk").isNull()).alias("unmatched"),
         F.count_if(F.col("key").isNull()).alias("missing_key")).drop("_rk")

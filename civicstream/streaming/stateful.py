@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from civicstream.functions.timecols import epoch_ms
+from civicstream.session import ensure_rocksdb_state
 from civicstream.schemas import (AQI_COOLDOWN_MS, AQI_HAZARDOUS, AQI_INCIDENT,
                                  BUNCHING_DISTANCE_M, BUNCHING_DURATION_MS, BUNCHING_FRESH_MS,
                                  BUNCHING_INCIDENT, DETECTOR_WATERMARK, EARTH_RADIUS_M,
@@ -205,6 +206,7 @@ class BunchingProcessor(_Replay):
 
 
 def _prepare(df: DataFrame, time_col: str, tie_col: str, delay: str) -> DataFrame:
+    ensure_rocksdb_state(df.sparkSession)
     ts = F.col(time_col).cast("timestamp")
     return (df.withColumn("_wm_time", ts).withWatermark("_wm_time", delay)
               .withColumn("_t", epoch_ms(ts)).withColumn("_tie", F.col(tie_col).cast("long"))
