@@ -32,8 +32,14 @@ def rows_where(df: DataFrame, cond: Column) -> DataFrame:
     return df.select(F.inline(F.when(cond, F.array(F.struct(*[F.col(c) for c in df.columns])))))
 
 
-def valid_rows(tagged: DataFrame, feed: str) -> DataFrame:
-    """Valid records with integer fields cast back to INT (they were parsed as DOUBLE)."""
+def valid_rows(tagged: DataFrame, feed: str, keep: list[str] | None = None) -> DataFrame:
+    """Valid records with integer fields cast back to INT (they were parsed as DOUBLE).
+
+    ``keep`` names the columns the caller uses; they are selected before the split so
+    column pruning still reaches the scan (the generator packs every column it sees).
+    """
+    if keep is not None:
+        tagged = tagged.select(*keep, "error_reason")
     out = rows_where(tagged, F.col("error_reason").isNull()).drop("error_reason")
     for c in INT_FIELDS.get(feed, []):
         if c in out.columns:

@@ -31,8 +31,8 @@ def _tagged(spark, sf_dir, name) -> DataFrame:
     return validate.with_error_reason(feeds.feed(spark, sf_dir, name), name)
 
 
-def _valid(spark, sf_dir, name) -> DataFrame:
-    return validate.valid_rows(_tagged(spark, sf_dir, name), name)
+def _valid(spark, sf_dir, name, keep: list[str] | None = None) -> DataFrame:
+    return validate.valid_rows(_tagged(spark, sf_dir, name), name, keep)
 
 
 def _validate_q(name):
@@ -74,7 +74,9 @@ def rule_hits(spark, sf_dir):
 
 
 def ward_energy(spark, sf_dir):
-    return windows.ward_energy(_valid(spark, sf_dir, "smart_meters"), decimals=2,
+    m = _valid(spark, sf_dir, "smart_meters",
+               ["ward_id", "event_time", "kwh_reading", "power_factor", "voltage"])
+    return windows.ward_energy(m, decimals=2,
                                pf_decimals=6)
 
 
@@ -93,7 +95,7 @@ def zone_profile(air: DataFrame) -> DataFrame:
 
 
 def health_advisories(spark, sf_dir):
-    air = _valid(spark, sf_dir, "air_quality")
+    air = _valid(spark, sf_dir, "air_quality", ["zone", "sensor_id", "event_time", "aqi"])
     return windows.health_advisories(air, zone_profile(air), width=ADVISORY_WIDTH,
                                      slide=ADVISORY_SLIDE, threshold=ADVISORY_THRESHOLD,
                                      decimals=2)
@@ -123,7 +125,7 @@ def eta_counts(spark, sf_dir):
 
 
 def aqi_alerts(spark, sf_dir):
-    air = _valid(spark, sf_dir, "air_quality")
+    air = _valid(spark, sf_dir, "air_quality", ["sensor_id", "zone", "aqi", "record_id", "event_time"])
     a = detect.cooldown_alerts(air, "sensor_id", "event_time", "aqi", "record_id",
                                threshold=AQI_THRESHOLD, cooldown_ms=AQI_COOLDOWN_MS)
     return a.select("sensor_id", "zone", "aqi", "record_id", "event_time",
@@ -131,15 +133,19 @@ def aqi_alerts(spark, sf_dir):
 
 
 def gridlock_alerts(spark, sf_dir):
-    tr = _valid(spark, sf_dir, "traffic_signals")
+    tr = _valid(spark, sf_dir, "traffic_signals",
+                ["junction_id", "zone", "avg_wait_sec", "record_id", "event_time"])
     a = detect.streak_alerts(tr, "junction_id", "event_time", "avg_wait_sec", "record_id",
                              threshold=WAIT_THRESHOLD, cycles=WAIT_CYCLES)
     return a.select("junction_id", "zone", "avg_wait_sec", "consecutive_cycles_over_threshold",
                     "record_id", "event_time", "detected_at_event_time")
 
 
+GPS_KEEP = ["route_id", "bus_id", "lat", "lon", "record_id", "event_time"]
+
+
 def bunching_alerts(spark, sf_dir):
-    gps = _valid(spark, sf_dir, "bus_gps")
+    gps = _valid(spark, sf_dir, "bus_gps", GPS_KEEP)
     a = detect.proximity_alerts(gps, "route_id", "bus_id", "event_time", "lat", "lon",
                                 "record_id", distance_m=BUNCH_DISTANCE_M,
                                 duration_ms=BUNCH_DURATION_MS, fresh_ms=BUNCH_FRESH_MS)
@@ -152,7 +158,7 @@ def incident_table(spark, sf_dir):
     iso = lambda df, c="event_time": df.withColumn("timestamp", F.date_format(c, ISO))
     a = incidents.aqi_incidents(iso(aqi_alerts(spark, sf_dir)))
     g = incidents.gridlock_incidents(iso(gridlock_alerts(spark, sf_dir)))
-    gps = _valid(spark, sf_dir, "bus_gps")
+    gps = _valid(spark, sf_dir, "bus_gps", GPS_KEEP)
     b = detect.proximity_alerts(gps, "route_id", "bus_id", "event_time", "lat", "lon",
                                 "record_id", distance_m=BUNCH_DISTANCE_M,
                                 duration_ms=BUNCH_DURATION_MS, fresh_ms=BUNCH_FRESH_MS)
