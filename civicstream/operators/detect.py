@@ -132,10 +132,10 @@ def proximity_alerts(df: DataFrame, route: str, bus: str, time_col: str, lat: st
     it has run ``duration_ms`` one alert is raised (reporter = bus_id_1). Far: the clock
     is cleared.
 
-    No pair enumeration per route: candidate pairs come from a space-time grid join
-    (cells of 2*distance on the unit sphere, buckets of ``fresh_ms``); only pairs that
-    were ever close get their full observation sequence (as-of join on time buckets),
-    limited to the span between their first and last close contact.
+    No pair enumeration per route: candidate pairs come from a space-time grid join over
+    per-(bus, bucket, cell) summaries (cells of 2*distance on the unit sphere, buckets
+    of 2*fresh); only candidate pairs get their observation sequence (as-of join on
+    time buckets), limited to the span in which they met.
     """
     fx = _ordered(df.where(F.col(bus).isNotNull() & F.col(lat).isNotNull()
                            & F.col(lon).isNotNull()), time_col, tie_col, chunk_ms)
@@ -145,35 +145,42 @@ def proximity_alerts(df: DataFrame, route: str, bus: str, time_col: str, lat: st
     fx = fx.withColumn("_tb", F.floor(F.col("_t") / fresh_ms).cast("long"))
     cells, frac = unit_sphere_cells("_lat", "_lon", 2 * distance_m)
 
-    # 1. candidate pairs: any fix within distance and freshness of an earlier fix of
-    #    another bus of the same route (a superset of pairs with a close observation).
-    #    Grid cells are 2*distance wide, so a point's neighbours within distance lie in
-    #    its own cell or the adjacent cell on its nearer side: 2 per axis, 2 time buckets.
-    other = fx.select("_route", F.col("_bus").alias("_obus"), F.col("_t").alias("_ot"),
-                      F.col("_tie").alias("_otie"), F.col("_lat").alias("_olat"),
-                      F.col("_lon").alias("_olon"), "_tb",
-                      *[c.alias(f"_c{i}") for i, c in enumerate(cells)])
-    probe = fx.select("_route", "_bus", "_t", "_tie", "_lat", "_lon", "_tb",
-                      *[c.alias(f"_k{i}") for i, c in enumerate(cells)],
-                      *[f.alias(f"_f{i}") for i, f in enumerate(frac)])
-    # all 16 (time bucket, cell) combinations in one generator
-    near = [F.when(F.col(f"_f{i}") < 0.5, F.col(f"_k{i}") - 1).otherwise(F.col(f"_k{i}") + 1)
-            for i in range(3)]
-    combos = F.array(*[F.struct((F.col("_tb") - dt).alias("tb"),
-                                *[(near[i] if (m >> i) & 1 else F.col(f"_k{i}")).alias(f"c{i}")
-                                  for i in range(3)])
-                       for dt in (0, 1) for m in range(8)])
-    probe = probe.select("_route", "_bus", "_t", "_tie", "_lat", "_lon",
-                         F.inline(combos).alias("_tb", "_c0", "_c1", "_c2"))
-    before = ((F.col("_ot") < F.col("_t"))
-              | ((F.col("_ot") == F.col("_t")) & (F.col("_otie") < F.col("_tie"))))
-    close = probe.join(other, on=["_route", "_tb", "_c0", "_c1", "_c2"]).where(
-        (F.col("_obus") != F.col("_bus")) & before
-        & (F.col("_t") - F.col("_ot") <= fresh_ms)
-        & (haversine_m("_lat", "_lon", "_olat", "_olon") <= distance_m))
+    # 1. candidate pairs: buses of a route that were in neighbouring cells within the
+    #    freshness limit (a superset of pairs with a close observation). Fixes are first
+    #    reduced to one row per (bus, time bucket, cell) with their time range, so a
+    #    crowded cell (a terminal) joins buses with buses, not fixes with fixes.
+    #    Grid cells are 2*distance wide on the unit sphere: a point's neighbours within
+    #    distance lie in its own cell or the adjacent cell on its nearer side (2 per
+    #    axis). Time buckets are 2*fresh wide: a fix in the second half of its bucket
+    #    only needs its own bucket, one in the first half also the previous one.
+    gw = 2 * fresh_ms
+    cell_cols = [c.alias(f"_c{i}") for i, c in enumerate(cells)]
+    near_cols = [F.when(f < 0.5, c - 1).otherwise(c + 1).alias(f"_n{i}")
+                 for i, (c, f) in enumerate(zip(cells, frac))]
+    fxc = fx.select("_route", "_bus", "_t", F.floor(F.col("_t") / gw).cast("long").alias("_gb"),
+                    ((F.col("_t") - F.floor(F.col("_t") / gw) * gw) < fresh_ms).alias("_early"),
+                    *cell_cols, *near_cols)
+    other = fxc.groupBy("_route", F.col("_bus").alias("_obus"), "_gb", "_c0", "_c1", "_c2") \
+               .agg(F.min("_t").alias("_omin"), F.max("_t").alias("_omax"))
+    pg = fxc.groupBy("_route", "_bus", "_gb", "_early", "_c0", "_c1", "_c2",
+                     "_n0", "_n1", "_n2").agg(F.min("_t").alias("_pmin"),
+                                              F.max("_t").alias("_pmax"))
+    def cells_at(dt: int):
+        return [F.struct((F.col("_gb") - dt).alias("gb"),
+                         *[F.col(f"_n{i}" if (m >> i) & 1 else f"_c{i}").alias(f"c{i}")
+                           for i in range(3)]) for m in range(8)]
+    combos = F.when(F.col("_early"), F.array(*cells_at(0), *cells_at(1))) \
+              .otherwise(F.array(*cells_at(0)))
+    probe = pg.select("_route", "_bus", "_pmin", "_pmax",
+                      F.inline(combos).alias("_gb", "_c0", "_c1", "_c2"))
+    # necessary for a close observation at reporter time t with partner fix time u:
+    # omin <= u <= t <= pmax and omax >= u >= t - fresh >= pmin - fresh
+    close = probe.join(other, on=["_route", "_gb", "_c0", "_c1", "_c2"]).where(
+        (F.col("_obus") != F.col("_bus")) & (F.col("_omin") <= F.col("_pmax"))
+        & (F.col("_omax") >= F.col("_pmin") - fresh_ms))
     pairs = close.groupBy("_route", F.least("_bus", "_obus").alias("_a"),
                           F.greatest("_bus", "_obus").alias("_b")).agg(
-        F.min("_t").alias("_from"), F.max("_t").alias("_to"))
+        F.min("_pmin").alias("_from"), F.max("_pmax").alias("_to"))
 
     # 2. observations of those pairs: each fix of either bus, inside the pair's span of
     #    close contact, against the latest earlier fresh fix of the partner (as-of join

@@ -177,3 +177,20 @@ def test_incident_union_shape(spark):
     rows = u.collect()
     assert sorted(r.incident_type for r in rows) == ["AQI_EMERGENCY", "TRAFFIC_GRIDLOCK"]
     assert len(u.columns) == 15
+
+
+def test_bunching_crowded_terminal_matches_model(spark):
+    """A hot cell: 30 buses of one route idle at a terminal, reporting every 3 s."""
+    rnd = random.Random(21)
+    rows, i = [], 0
+    for s in range(0, 900, 3):
+        for b in rnd.sample(range(30), 10):
+            rows.append(("R1", f"B{b:02d}", T0 + s * 1000 + b, i,
+                         LAT + 0.0002 * (b % 5), LON + 0.0002 * (b // 10)))
+            i += 1
+    df = frame(spark, rows, "route_id string, bus_id string, t long, tie long, lat double, lon double")
+    got = detect.proximity_alerts(df, "route_id", "bus_id", "event_time", "lat", "lon", "tie")
+    want = model_bunching(rows, 200.0, 300_000, 180_000)
+    assert len(want) > 100
+    assert {(r.route_id, r.bus_id_1, r.bus_id_2, r.tie, r.continuous_proximity_sec)
+            for r in got.collect()} == want
