@@ -9,10 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicstream.functions.geo import haversine_m, unit_sphere_cells
+from civicstream.functions.geo import haversine_m, pair_key, unit_sphere_cells
 from civicstream.functions.timecols import epoch_ms
-from civicstream.operators.scan import (first_at_or_after, null_safe_on, prefix_scan,
-                                        reachable)
+from civicstream.operators.scan import first_at_or_after, prefix_scan, reachable
 from civicstream.schemas import (AQI_COOLDOWN_MS, AQI_HAZARDOUS, BUNCHING_DISTANCE_M,
                                  BUNCHING_DURATION_MS, BUNCHING_FRESH_MS, GRIDLOCK_CYCLES,
                                  GRIDLOCK_WAIT_SEC)
@@ -165,12 +164,12 @@ def proximity_alerts(df: DataFrame, route: str, bus: str, time_col: str, lat: st
     pg = fxc.groupBy("_route", "_bus", "_gb", "_early", "_c0", "_c1", "_c2",
                      "_n0", "_n1", "_n2").agg(F.min("_t").alias("_pmin"),
                                               F.max("_t").alias("_pmax"))
-    def cells_at(dt: int):
-        return [F.struct((F.col("_gb") - dt).alias("gb"),
-                         *[F.col(f"_n{i}" if (m >> i) & 1 else f"_c{i}").alias(f"c{i}")
-                           for i in range(3)]) for m in range(8)]
-    combos = F.when(F.col("_early"), F.array(*cells_at(0), *cells_at(1))) \
-              .otherwise(F.array(*cells_at(0)))
+    def cells_at(dt: int) -> list[str]:
+        return [f"named_struct('gb', _gb - {dt}, " + ", ".join(
+            f"'c{i}', {'_n' if (m >> i) & 1 else '_c'}{i}" for i in range(3)) + ")"
+            for m in range(8)]
+    combos = F.expr(f"CASE WHEN _early THEN array({', '.join(cells_at(0) + cells_at(1))}) "
+                    f"ELSE array({', '.join(cells_at(0))}) END")
     probe = pg.select("_route", "_bus", "_pmin", "_pmax",
                       F.inline(combos).alias("_gb", "_c0", "_c1", "_c2"))
     # necessary for a close observation at reporter time t with partner fix time u:
@@ -204,14 +203,13 @@ def proximity_alerts(df: DataFrame, route: str, bus: str, time_col: str, lat: st
                        "_ts_src").agg(
         F.max_by(F.struct("_plat", "_plon"), F.struct("_pt", "_ptie")).alias("_p"))
     dist = haversine_m("_lat", "_lon", "_p._plat", "_p._plon")
-    obs = obs.select("*", dist.alias("_dist"), F.least("_bus", "_partner").alias("_pair_a"),
-                     F.greatest("_bus", "_partner").alias("_pair_b"),
+    obs = obs.select("*", dist.alias("_dist"), pair_key("_bus", "_partner").alias("_pair"),
                      F.floor(F.col("_t") / chunk_ms).cast("long").alias("_chunk"),
                      (dist <= distance_m).alias("_close"))
     obs = obs.checkpoint(eager=True)  # read four times below: materialize once
 
     # 3. streaks of close observations per pair: a far observation starts a new one.
-    pk = ["_route", "_pair_a", "_pair_b"]
+    pk = ["_route", "_pair"]
     obs = prefix_scan(obs, pk, _order(), "_chunk",
                       [("_streak", "sum", (~F.col("_close")).cast("long"))])
     first = obs.where("_close").groupBy(*pk, "_streak").agg(F.min("_t").alias("_first"))

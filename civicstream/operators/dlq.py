@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from civicstream.functions.jsoncols import default_label
 from civicstream.schemas import DLQ_REPORT_WINDOW, REASONS, topic_name
 
 # Rule descriptions (ours) for the catalog, in evaluation order per feed.
@@ -41,7 +42,7 @@ def by_reason(dlq: DataFrame) -> DataFrame:
 
     The percent window runs over the aggregated rows (one per reason), never over data.
     """
-    counts = dlq.groupBy(F.coalesce("error_reason", F.lit("UNKNOWN")).alias("error_reason")) \
+    counts = dlq.groupBy(default_label("error_reason").alias("error_reason")) \
                 .agg(F.count(F.lit(1)).alias("cnt"))
     total = F.sum("cnt").over(Window.partitionBy())
     return counts.select("error_reason", "cnt",
@@ -51,8 +52,8 @@ def by_reason(dlq: DataFrame) -> DataFrame:
 
 def by_topic(dlq: DataFrame) -> DataFrame:
     """AGG-4: count per (source topic, reason), largest first within a topic."""
-    return (dlq.groupBy(F.coalesce("source_topic", F.lit("UNKNOWN")).alias("source_topic"),
-                        F.coalesce("error_reason", F.lit("UNKNOWN")).alias("error_reason"))
+    return (dlq.groupBy(default_label("source_topic").alias("source_topic"),
+                        default_label("error_reason").alias("error_reason"))
                .agg(F.count(F.lit(1)).alias("cnt"))
                .orderBy("source_topic", F.desc("cnt"), "error_reason"))
 
@@ -61,8 +62,8 @@ def by_window(dlq: DataFrame, time_col: str = "timestamp",
               width: str = DLQ_REPORT_WINDOW) -> DataFrame:
     """AGG-5: counts per report window (deterministic event-time window) and reason."""
     return (dlq.groupBy(F.window(time_col, width).alias("w"),
-                        F.coalesce("source_topic", F.lit("UNKNOWN")).alias("source_topic"),
-                        F.coalesce("error_reason", F.lit("UNKNOWN")).alias("error_reason"))
+                        default_label("source_topic").alias("source_topic"),
+                        default_label("error_reason").alias("error_reason"))
                .agg(F.count(F.lit(1)).alias("cnt"))
                .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                        "source_topic", "error_reason", "cnt"))

@@ -24,10 +24,6 @@ from pyspark.sql import functions as F
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
-def null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
-
-
 def prefix_scan(df: DataFrame, keys: list[str], order: list[Column], chunk: str,
                 specs: list[tuple[str, str, Column]], exclusive: bool = False) -> DataFrame:
     """Add running aggregates per key in ``order``.

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from civicstream.functions.jsoncols import default_key
 from civicstream.functions.rules import feed_error_reason
 from civicstream.schemas import INT_FIELDS, KEY_FIELD, MALFORMED_JSON, topic_name
 
@@ -63,8 +64,7 @@ def dlq_records(tagged: DataFrame, feed: str, raw_col: str | None = "value",
         cols = record_cols or [c for c in bad.columns
                                if c not in ("error_reason", "_malformed", "event_time")]
         original = F.to_json(F.struct(*[F.col(c) for c in cols]))
-    key = F.coalesce(F.col(key_field).cast("string"), F.lit("unknown")) \
-        if key_field in bad.columns else F.lit("unknown")
+    key = default_key(key_field) if key_field in bad.columns else F.lit("unknown")
     extra = [c for c in ("event_time", "record_id") if c in bad.columns]
     return bad.select(
         key.alias("key"),
@@ -90,7 +90,3 @@ def split_counts(tagged: DataFrame, feed: str) -> DataFrame:
         F.count_if(F.col("error_reason").isNull()).alias("sent"),
         F.count_if(F.col("error_reason").isNotNull()).alias("routed_to_dlq"),
     ).select(F.lit(topic_name(feed)).alias("source_topic"), "sent", "routed_to_dlq")
-
-
-def reason_is_null(c: str = "error_reason") -> Column:
-    return F.col(c).isNull()

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from civicstream.operators import detect, dlq, enrich, incidents, ops, validate, windows
 from civicstream.plans import feeds
-from civicstream.schemas import topic_name
+
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 HOUR_MS = 3_600_000

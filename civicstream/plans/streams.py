@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicstream.functions.jsoncols import to_value
 from civicstream.plans import feeds
 from civicstream.plans import queries as Q
 from civicstream.schemas import ENVELOPE, RAW_SCHEMAS, topic_name

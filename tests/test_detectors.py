@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from civicstream.operators import detect
-from civicstream.operators.incidents import (aqi_incidents, bunching_incidents,
-                                             gridlock_incidents, union_incidents)
+from civicstream.operators.incidents import (aqi_incidents, gridlock_incidents,
+                                             union_incidents)
 from helpers import model_bunching, model_cooldown, model_streak
 
 T0 = 1_782_885_600_000  # 2026-07-01T06:00:00Z in ms
