@@ -11,18 +11,36 @@ from pyspark.sql import functions as F
 
 from civicstream.functions.geo import haversine_m, pair_key, unit_sphere_cells
 from civicstream.functions.timecols import epoch_ms
-from civicstream.operators.scan import first_at_or_after, prefix_scan, reachable
+from civicstream.operators.scan import (balanced_chunks, first_at_or_after, prefix_scan,
+                                        reachable)
 from civicstream.schemas import (AQI_COOLDOWN_MS, AQI_HAZARDOUS, BUNCHING_DISTANCE_M,
                                  BUNCHING_DURATION_MS, BUNCHING_FRESH_MS, GRIDLOCK_CYCLES,
                                  GRIDLOCK_WAIT_SEC)
 
 DAY_MS = 86_400_000
+CHUNK_ROWS = 1_000_000  # rows per scan chunk: bounds every window task, hot keys included
 
 
-def _ordered(df: DataFrame, time_col: str, tie_col: str, chunk_ms: int) -> DataFrame:
+def _ordered(df: DataFrame, time_col: str, tie_col: str, chunk_ms: int | None) -> DataFrame:
+    """Order columns ``_t`` (epoch ms), ``_tie`` and a time chunk ``_chunk``."""
     t = epoch_ms(time_col)
     return df.select("*", t.alias("_t"), F.col(tie_col).cast("long").alias("_tie"),
-                     F.floor(t / chunk_ms).cast("long").alias("_chunk"))
+                     F.floor(t / (chunk_ms or DAY_MS)).cast("long").alias("_chunk"))
+
+
+def _bounded(df: DataFrame, keys: list[str], chunk_ms: int | None,
+             chunk_rows: int) -> DataFrame:
+    """Materialize ``df`` (read several times by the scans) and make sure no scan chunk
+    holds more than ``chunk_rows`` rows: the largest (key, day) is checked on the
+    materialized rows (one number to the driver); only if it is too big are the rows
+    re-cut into row-balanced chunks, so a dense key is spread over many tasks."""
+    df = df.checkpoint(eager=True)
+    if chunk_ms is not None:
+        return df
+    biggest = df.groupBy(*keys, "_chunk").count().agg(F.max("count")).first()[0]
+    if biggest is None or biggest <= chunk_rows:
+        return df
+    return balanced_chunks(df.drop("_chunk"), keys, "_t", chunk_rows).checkpoint(eager=True)
 
 
 def _order() -> list[Column]:
@@ -31,7 +49,8 @@ def _order() -> list[Column]:
 
 def cooldown_alerts(df: DataFrame, key: str, time_col: str, value_col: str, tie_col: str,
                     threshold: float = AQI_HAZARDOUS, cooldown_ms: int = AQI_COOLDOWN_MS,
-                    chunk_ms: int = DAY_MS, max_fold: int = 4096) -> DataFrame:
+                    chunk_ms: int | None = None, max_fold: int = 4096,
+                    chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """DET-1: rows with ``value > threshold`` that raise an alert when the previous
     *emitted* alert of the key is absent or at least ``cooldown_ms`` older (a greedy
     chain: suppressed rows do not move the clock).
@@ -49,6 +68,7 @@ def cooldown_alerts(df: DataFrame, key: str, time_col: str, value_col: str, tie_
     Returns the firing rows with ``detected_at_event_time`` (epoch ms).
     """
     cand = _ordered(df.where(F.col(value_col) > F.lit(threshold)), time_col, tie_col, chunk_ms)
+    cand = _bounded(cand, [key], chunk_ms, chunk_rows)
     cand = prefix_scan(cand, [key], _order(), "_chunk",
                        [("_prev_t", "max", F.col("_t"))], exclusive=True)
     cand = cand.withColumn("_start", F.col("_prev_t").isNull()
@@ -100,7 +120,7 @@ def cooldown_alerts(df: DataFrame, key: str, time_col: str, value_col: str, tie_
 
 def streak_alerts(df: DataFrame, key: str, time_col: str, value_col: str, tie_col: str,
                   threshold: float = GRIDLOCK_WAIT_SEC, cycles: int = GRIDLOCK_CYCLES,
-                  chunk_ms: int = DAY_MS) -> DataFrame:
+                  chunk_ms: int | None = None, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """DET-2: alert on exactly the ``cycles``-th consecutive row with
     ``value > threshold`` per key; a row at or below resets, a null value is skipped.
 
@@ -108,7 +128,7 @@ def streak_alerts(df: DataFrame, key: str, time_col: str, value_col: str, tie_co
     come from two chunked prefix scans; the alert row has ``pos - reset == cycles``.
     """
     r = _ordered(df.where(F.col(value_col).isNotNull()), time_col, tie_col, chunk_ms)
-    r = r.checkpoint(eager=True)  # read by both scans: materialize once
+    r = _bounded(r, [key], chunk_ms, chunk_rows)  # read by both scans
     breach = F.col(value_col) > F.lit(threshold)
     r = prefix_scan(r, [key], _order(), "_chunk", [("_pos", "sum", F.lit(1).cast("long"))])
     r = prefix_scan(r, [key], _order(), "_chunk",
@@ -122,7 +142,8 @@ def streak_alerts(df: DataFrame, key: str, time_col: str, value_col: str, tie_co
 def proximity_alerts(df: DataFrame, route: str, bus: str, time_col: str, lat: str, lon: str,
                      tie_col: str, distance_m: float = BUNCHING_DISTANCE_M,
                      duration_ms: int = BUNCHING_DURATION_MS,
-                     fresh_ms: int = BUNCHING_FRESH_MS, chunk_ms: int = DAY_MS) -> DataFrame:
+                     fresh_ms: int = BUNCHING_FRESH_MS, chunk_ms: int | None = None,
+                     chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """DET-3 (+ JOIN-4): two vehicles of one route staying within ``distance_m``.
 
     Each fix of bus b is compared with the latest earlier fix of every other bus o of
@@ -137,7 +158,7 @@ def proximity_alerts(df: DataFrame, route: str, bus: str, time_col: str, lat: st
     time buckets), limited to the span in which they met.
     """
     fx = _ordered(df.where(F.col(bus).isNotNull() & F.col(lat).isNotNull()
-                           & F.col(lon).isNotNull()), time_col, tie_col, chunk_ms)
+                           & F.col(lon).isNotNull()), time_col, tie_col, None)
     fx = fx.select(F.col(route).alias("_route"), F.col(bus).alias("_bus"), "_t", "_tie",
                    F.col(lat).alias("_lat"), F.col(lon).alias("_lon"),
                    F.col(time_col).alias("_ts_src"))
@@ -204,9 +225,9 @@ def proximity_alerts(df: DataFrame, route: str, bus: str, time_col: str, lat: st
         F.max_by(F.struct("_plat", "_plon"), F.struct("_pt", "_ptie")).alias("_p"))
     dist = haversine_m("_lat", "_lon", "_p._plat", "_p._plon")
     obs = obs.select("*", dist.alias("_dist"), pair_key("_bus", "_partner").alias("_pair"),
-                     F.floor(F.col("_t") / chunk_ms).cast("long").alias("_chunk"),
                      (dist <= distance_m).alias("_close"))
-    obs = obs.checkpoint(eager=True)  # read four times below: materialize once
+    obs = obs.withColumn("_chunk", F.floor(F.col("_t") / (chunk_ms or DAY_MS)).cast("long"))
+    obs = _bounded(obs, ["_route", "_pair"], chunk_ms, chunk_rows)  # read four times below
 
     # 3. streaks of close observations per pair: a far observation starts a new one.
     pk = ["_route", "_pair"]

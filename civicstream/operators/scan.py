@@ -4,9 +4,11 @@ A key (sensor, junction, bus pair) may hold a large share of all rows, so no ope
 here puts a whole key into one task or one array:
 
 * ``prefix_scan`` computes running sums / maxima per key in event order. Rows are split
-  by (key, time chunk); each chunk is scanned locally by a window function, the chunk
+  by (key, chunk); each chunk is scanned locally by a window function, the chunk
   totals (one row per key and chunk) are scanned per key, and the carried-in value is
   joined back on (key, chunk). Work per task is bounded by the chunk, not the key.
+* ``balanced_chunks`` cuts each key's timeline into chunks of about N rows, so a hot
+  key is spread over many tasks however dense it is.
 * ``first_at_or_after`` is an as-of lookup "first target at or after probe time" when the
   answer is known to lie within ``horizon`` of the probe; it equi-joins on time buckets.
 * ``reachable`` marks every node reachable from start nodes along ``next`` pointers by
@@ -24,6 +26,29 @@ from pyspark.sql import functions as F
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
+def balanced_chunks(df: DataFrame, keys: list[str], time_ms: str, target_rows: int,
+                    fine_ms: int = 60_000) -> DataFrame:
+    """Add ``_chunk``: a key's fine time buckets (``fine_ms``) grouped in time order
+    into chunks of about ``target_rows`` rows (a bucket is never split).
+
+    Rows are counted per (key, bucket) with a partial aggregate; the running count per
+    key runs over that small table (one row per key and bucket, bounded by the time
+    span, not by the data); chunk = rows before the bucket // target_rows. The result is
+    joined back on (key, bucket), a fine-grained key that does not skew. Chunk numbers
+    never decrease in time, as ``prefix_scan`` needs.
+    """
+    d = df.withColumn("_fine", F.floor(F.col(time_ms) / fine_ms).cast("long"))
+    counts = d.groupBy(*keys, "_fine").agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy(*keys).orderBy("_fine").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = counts.select(*[F.col(k).alias(f"_bk_{k}") for k in keys],
+                           F.col("_fine").alias("_bk_fine"),
+                           F.floor(F.coalesce(F.sum("_c").over(w), F.lit(0)) / target_rows)
+                           .cast("long").alias("_chunk"))
+    cond = reduce(lambda a, b: a & b, [d[k].eqNullSafe(chunks[f"_bk_{k}"]) for k in keys]
+                  + [d["_fine"] == chunks["_bk_fine"]])
+    return d.join(chunks, cond).drop("_fine", "_bk_fine", *[f"_bk_{k}" for k in keys])
+
+
 def prefix_scan(df: DataFrame, keys: list[str], order: list[Column], chunk: str,
                 specs: list[tuple[str, str, Column]], exclusive: bool = False) -> DataFrame:
     """Add running aggregates per key in ``order``.

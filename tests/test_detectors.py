@@ -115,9 +115,10 @@ def test_bunching_needs_same_route(spark):
     assert bunch(spark, fixes).count() == 0
 
 
-@pytest.mark.parametrize("seed,chunk_ms,max_fold", [(1, 86_400_000, 4096), (2, 420_000, 4096),
-                                                    (3, 61_000, 3), (9, 420_000, 1)])
-def test_cooldown_matches_model(spark, seed, chunk_ms, max_fold):
+@pytest.mark.parametrize("seed,chunk_ms,max_fold,chunk_rows", [
+    (1, 86_400_000, 4096, None), (2, 420_000, 4096, None), (3, 61_000, 3, None),
+    (9, 420_000, 1, None), (10, None, 4096, 7), (11, None, 2, 5)])
+def test_cooldown_matches_model(spark, seed, chunk_ms, max_fold, chunk_rows):
     rnd = random.Random(seed)
     rows = []
     for i in range(1500):
@@ -127,12 +128,13 @@ def test_cooldown_matches_model(spark, seed, chunk_ms, max_fold):
         rows.append((k, t, i, v))
     df = frame(spark, rows, "sensor_id string, t long, tie long, aqi double")
     got = detect.cooldown_alerts(df, "sensor_id", "event_time", "aqi", "tie", chunk_ms=chunk_ms,
-                                 max_fold=max_fold)
+                                 max_fold=max_fold, chunk_rows=chunk_rows or 1_000_000)
     assert {(r.sensor_id, r.tie) for r in got.collect()} == model_cooldown(rows, 300.0, 120_000)
 
 
-@pytest.mark.parametrize("seed,chunk_ms", [(4, 86_400_000), (5, 300_000), (6, 45_000)])
-def test_streak_matches_model(spark, seed, chunk_ms):
+@pytest.mark.parametrize("seed,chunk_ms,chunk_rows", [(4, 86_400_000, None), (5, 300_000, None),
+                                                (6, 45_000, None), (12, None, 9)])
+def test_streak_matches_model(spark, seed, chunk_ms, chunk_rows):
     rnd = random.Random(seed)
     rows = []
     for i in range(2000):
@@ -142,12 +144,13 @@ def test_streak_matches_model(spark, seed, chunk_ms):
         rows.append((k, t, i, v))
     df = frame(spark, rows, "junction_id string, t long, tie long, avg_wait_sec double")
     got = detect.streak_alerts(df, "junction_id", "event_time", "avg_wait_sec", "tie",
-                               chunk_ms=chunk_ms)
+                               chunk_ms=chunk_ms, chunk_rows=chunk_rows or 1_000_000)
     assert {(r.junction_id, r.tie) for r in got.collect()} == model_streak(rows, 180.0, 3)
 
 
-@pytest.mark.parametrize("seed,chunk_ms", [(7, 86_400_000), (8, 600_000)])
-def test_bunching_matches_model(spark, seed, chunk_ms):
+@pytest.mark.parametrize("seed,chunk_ms,chunk_rows", [(7, 86_400_000, None), (8, 600_000, None),
+                                                (13, None, 6)])
+def test_bunching_matches_model(spark, seed, chunk_ms, chunk_rows):
     rnd = random.Random(seed)
     rows = []
     for i in range(1200):
@@ -159,7 +162,7 @@ def test_bunching_matches_model(spark, seed, chunk_ms):
         rows.append((route, bus, t, i, lat, lon))
     df = frame(spark, rows, "route_id string, bus_id string, t long, tie long, lat double, lon double")
     got = detect.proximity_alerts(df, "route_id", "bus_id", "event_time", "lat", "lon", "tie",
-                                  chunk_ms=chunk_ms)
+                                  chunk_ms=chunk_ms, chunk_rows=chunk_rows or 1_000_000)
     want = model_bunching(rows, 200.0, 300_000, 180_000)
     assert {(r.route_id, r.bus_id_1, r.bus_id_2, r.tie, r.continuous_proximity_sec)
             for r in got.collect()} == want
