@@ -79,19 +79,19 @@ def unread_records(env: DataFrame, committed: DataFrame) -> DataFrame:
         F.count_if(F.col("offset") >= F.col("committed")).cast("long").alias("lag"))
 
 
-def lag_series(env: DataFrame, groups_progress: DataFrame) -> DataFrame:
+def lag_series(env: DataFrame, progress: list[tuple]) -> DataFrame:
     """OPS-3: lag of each group at each sample.
 
-    ``groups_progress``: sample, group, read_until (timestamp the group had read up to
-    at that sample). Lag at a sample = records written by then and not yet read: rows
-    with read_until < timestamp <= sample_time. Samples are few (a parameter, not data),
-    so the progress table is broadcast and rows are counted with a partial aggregate.
+    ``progress``: (sample, group, sample_time, read_until) rows — the samples are a
+    parameter, not data. Lag at a sample = records written by then and not yet read
+    (read_until < timestamp <= sample_time). One pass over the records with one
+    conditional count per progress row (partial aggregation), unpivoted with ``stack``.
     """
-    p = F.broadcast(groups_progress)
-    j = env.join(p, (env["timestamp"] > p["read_until"]) & (env["timestamp"] <= p["sample_time"]))
-    counted = j.groupBy("sample", "group").agg(F.count(F.lit(1)).alias("lag"))
-    return groups_progress.join(counted, ["sample", "group"], "left").select(
-        "sample", "group", F.coalesce("lag", F.lit(0)).cast("long").alias("lag"))
+    counts = [F.count_if((F.col("timestamp") > F.lit(ru)) & (F.col("timestamp") <= F.lit(st)))
+              .alias(f"_lag{i}") for i, (_, _, st, ru) in enumerate(progress)]
+    wide = env.agg(*counts)
+    pairs = ", ".join(f"{int(smp)}, '{grp}', _lag{i}" for i, (smp, grp, _, _) in enumerate(progress))
+    return wide.selectExpr(f"stack({len(progress)}, {pairs}) AS (sample, `group`, lag)")
 
 
 def per_label_counts(df: DataFrame, label: str = "consumer") -> DataFrame:

@@ -8,6 +8,7 @@ telemetry defaults live in ``schemas`` and are exercised by the fixture tests.
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -186,15 +187,20 @@ def retention(spark, sf_dir):
 def consumer_lag(spark, sf_dir):
     """OPS-2 on the traffic topic: one group has read everything, one is a day behind.
     Lag = records at or past each group's committed offset, summed over partitions."""
-    env = feeds.envelope(feeds.traffic_signals(feeds.table(spark, sf_dir, "events")),
-                         "traffic_signals")
-    cut = env.agg((F.max("timestamp") - F.expr("INTERVAL 1 DAY")).alias("c"))
+    env = _traffic_env(spark, sf_dir)
+    cut = _day_before_newest(env)
     fast = ops.committed_through(env, "high_priority")
-    slow = ops.committed_through(env.join(F.broadcast(cut), env["timestamp"] <= F.col("c")),
-                                 "standard_priority")
+    slow = ops.committed_through(env.where(F.col("timestamp") <= F.lit(cut)), "standard_priority")
     return ops.unread_records(env, fast.unionByName(slow))
 
 
+def _day_before_newest(env: DataFrame):
+    """The slow group's read position: one scalar, used as a literal filter (pushed
+    into the scan) rather than a join against a one-row table."""
+    newest = env.agg(F.max("timestamp")).first()[0]
+    return newest - dt.timedelta(days=1)
+
+
 def _traffic_env(spark, sf_dir) -> DataFrame:
     return feeds.envelope(feeds.traffic_signals(feeds.table(spark, sf_dir, "events")),
                           "traffic_signals")
@@ -204,17 +210,13 @@ def lag_series(spark, sf_dir):
     """OPS-3: lag of both groups at six samples spread over the topic's time span;
     the fast group has read up to each sample, the slow one a day less."""
     env = _traffic_env(spark, sf_dir)
-    span = env.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi"))
-    step = (F.unix_micros(F.col("hi").cast("timestamp")) -
-            F.unix_micros(F.col("lo").cast("timestamp"))) / 5
-    samples = span.select(F.explode(F.sequence(F.lit(0), F.lit(5))).alias("sample"), "lo", step.alias("st"))
-    samples = samples.select("sample", (F.col("lo") + F.make_dt_interval(
-        secs=(F.col("st") * F.col("sample") / F.lit(1_000_000)).cast("decimal(18,6)")))
-        .alias("sample_time"))
-    progress = samples.select("sample", "sample_time", F.lit("high_priority").alias("group"),
-                              F.col("sample_time").alias("read_until")).unionByName(
-        samples.select("sample", "sample_time", F.lit("standard_priority").alias("group"),
-                       (F.col("sample_time") - F.expr("INTERVAL 1 DAY")).alias("read_until")))
+    lo, hi = env.agg(F.min("timestamp"), F.max("timestamp")).first()
+    span_us = (hi - lo) // dt.timedelta(microseconds=1)
+    progress = []
+    for k in range(6):
+        st = lo + dt.timedelta(microseconds=span_us * k // 5)
+        progress += [(k, "high_priority", st, st),
+                     (k, "standard_priority", st, st - dt.timedelta(days=1))]
     return ops.lag_series(env, progress)
 
 
@@ -223,8 +225,7 @@ def consumer_counts(spark, sf_dir):
     owning two partitions each and has read up to a day before the newest record;
     the high-priority group's single consumer has read everything."""
     env = _traffic_env(spark, sf_dir)
-    cut = env.agg((F.max("timestamp") - F.expr("INTERVAL 1 DAY")).alias("c"))
-    slow = env.join(F.broadcast(cut), env["timestamp"] <= F.col("c")).select(
+    slow = env.where(F.col("timestamp") <= F.lit(_day_before_newest(env))).select(
         F.concat(F.lit("standard_priority-"), (F.col("partition") / 2).cast("int") + 1)
         .alias("consumer"))
     fast = env.select(F.lit("high_priority").alias("consumer"))

@@ -139,3 +139,13 @@ def test_archive_partition_pruning(spark, tmp_dir):
     plan = r._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "W02" in plan
     assert [x.total_kwh_consumed for x in r.collect()] == [2.0]
+
+
+def test_lag_series_counts_unread_between_positions(spark):
+    rows = [("k", "v", "t", 0, i, T + dt.timedelta(hours=i)) for i in range(10)]
+    env = spark.createDataFrame(rows, "key string, value string, topic string, partition int, "
+                                      "offset long, timestamp timestamp")
+    s1 = T + dt.timedelta(hours=5)
+    progress = [(1, "fast", s1, s1), (1, "slow", s1, T + dt.timedelta(hours=2))]
+    got = {(r.sample, r.group): r.lag for r in ops.lag_series(env, progress).collect()}
+    assert got == {(1, "fast"): 0, (1, "slow"): 3}
