@@ -215,3 +215,45 @@ def test_stateful_restart_from_checkpoint(spark, tmp_dir):
     once = {r.detected_at_event_time for r in spark.read.parquet(f"{tmp_dir}/once").collect()}
     assert 0 < first < len(both)
     assert both == once
+
+
+def test_enrichment_job_stream_static(spark, tmp_dir):
+    fix = dict(bus_id="B1", route_id="R001", lat=19.0, lon=72.8, speed_kmh=20.0,
+               occupancy_pct=40, timestamp=iso(0))
+    recs = [fix, {**fix, "bus_id": "B2", "route_id": "R999"}]
+    root = put_messages(spark, tmp_dir + "/in", "bus_gps", [recs], "route_id")
+    # a message without key: the payload route is used
+    extra = spark.createDataFrame([(None, json.dumps({**fix, "bus_id": "B3"}), topic_name("bus_gps"),
+                                    0, 99, None)], ENVELOPE)
+    extra.write.mode("append").parquet(f"{root}/{topic_name('bus_gps')}")
+    env = read_topic(spark, topic_name("bus_gps"), root=root, streaming=True)
+    gps = jobs.parsed_feed(env, "bus_gps").where("error_reason IS NULL")
+    routes = spark.createDataFrame([("R001", "Line 1", "East Depot", "2026-07-01T06:17:43Z")],
+                                   "route_id string, route_name string, terminal string, "
+                                   "scheduled_arrival_time string")
+    q = jobs.enrichment_job(gps, routes, tmp_dir + "/topics", tmp_dir + "/ck",
+                            trigger={"availableNow": True})
+    q.awaitTermination()
+    out = spark.read.parquet(f"{tmp_dir}/topics/{topic_name('bus_eta_enriched')}")
+    got = sorted(json.loads(v)["bus_id"] for (v,) in out.select("value").collect())
+    assert got == ["B1", "B3"]
+    assert {k for (k,) in out.select("key").collect()} == {"R001"}
+    m = [p["observedMetrics"]["enrichment"] for p in q.recentProgress
+         if "enrichment" in p.get("observedMetrics", {})]
+    assert (m[0]["joined"], m[0]["unmatched"], m[0]["missing_key"]) == (2, 1, 1)
+
+
+def test_incident_sink_unkeyed(spark, tmp_dir):
+    recs = [dict(sensor_id="S1", zone="Z01", pm25=1.0, pm10=1.0, no2=1.0, aqi=350.0,
+                 timestamp=iso(s)) for s in (0, 60, 130, 400)]
+    root = put_messages(spark, tmp_dir + "/in", "air_quality", [recs], "sensor_id")
+    env = read_topic(spark, topic_name("air_quality"), root=root, streaming=True)
+    air = jobs.parsed_feed(env, "air_quality").where("error_reason IS NULL")
+    q = jobs.incidents_job(jobs.incidents_stream(air=air), tmp_dir + "/topics", tmp_dir + "/ck",
+                           trigger={"availableNow": True})
+    q.awaitTermination()
+    out = spark.read.parquet(f"{tmp_dir}/topics/{topic_name('incidents')}").collect()
+    # 400 s is newer than the final watermark and stays buffered; 0 and 130 s fire
+    assert sorted(json.loads(r.value)["source_timestamp"] for r in out) == [iso(0), iso(130)]
+    assert all(r.key is None for r in out)
+    assert all("junction_id" not in json.loads(r.value) for r in out)
