@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from civicstream.functions.geo import haversine_m, pair_key, unit_sphere_cells
 from civicstream.functions.timecols import epoch_ms
-from civicstream.operators.scan import (balanced_chunks, first_at_or_after, prefix_scan,
-                                        reachable)
+from civicstream.operators.scan import (balanced_chunks, first_at_or_after, last_before,
+                                        prefix_scan, reachable)
 from civicstream.schemas import (AQI_COOLDOWN_MS, AQI_HAZARDOUS, BUNCHING_DISTANCE_M,
                                  BUNCHING_DURATION_MS, BUNCHING_FRESH_MS, GRIDLOCK_CYCLES,
                                  GRIDLOCK_WAIT_SEC)
@@ -143,7 +143,7 @@ def proximity_alerts(df: DataFrame, route: str, bus: str, time_col: str, lat: st
                      tie_col: str, distance_m: float = BUNCHING_DISTANCE_M,
                      duration_ms: int = BUNCHING_DURATION_MS,
                      fresh_ms: int = BUNCHING_FRESH_MS, chunk_ms: int | None = None,
-                     chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+                     chunk_rows: int = CHUNK_ROWS, max_fanout: int = 64) -> DataFrame:
     """DET-3 (+ JOIN-4): two vehicles of one route staying within ``distance_m``.
 
     Each fix of bus b is compared with the latest earlier fix of every other bus o of
@@ -162,7 +162,6 @@ def proximity_alerts(df: DataFrame, route: str, bus: str, time_col: str, lat: st
     fx = fx.select(F.col(route).alias("_route"), F.col(bus).alias("_bus"), "_t", "_tie",
                    F.col(lat).alias("_lat"), F.col(lon).alias("_lon"),
                    F.col(time_col).alias("_ts_src"))
-    fx = fx.withColumn("_tb", F.floor(F.col("_t") / fresh_ms).cast("long"))
     cells, frac = unit_sphere_cells("_lat", "_lon", 2 * distance_m)
 
     # 1. candidate pairs: buses of a route that were in neighbouring cells within the
@@ -202,27 +201,49 @@ def proximity_alerts(df: DataFrame, route: str, bus: str, time_col: str, lat: st
                           F.greatest("_bus", "_obus").alias("_b")).agg(
         F.min("_pmin").alias("_from"), F.max("_pmax").alias("_to"))
 
-    # 2. observations of those pairs: each fix of either bus, inside the pair's span of
-    #    close contact, against the latest earlier fresh fix of the partner (as-of join
-    #    on time buckets of ``fresh_ms``: the partner fix is in this or the previous one).
+    # 2. observations of those pairs: each fix of either bus, inside the span in which
+    #    the pair met, against the latest earlier fix of the partner if it is fresh.
     both = pairs.select("_route", F.col("_a").alias("_bus"), F.col("_b").alias("_partner"),
                         "_from", "_to").unionByName(
         pairs.select("_route", F.col("_b").alias("_bus"), F.col("_a").alias("_partner"),
                      "_from", "_to"))
     rep = fx.join(both, ["_route", "_bus"]).where(
         F.col("_t").between(F.col("_from"), F.col("_to")))
-    rep = rep.withColumn("_obs_tb", F.explode(F.array(F.col("_tb"), F.col("_tb") - 1)))
-    partner_fix = fx.select("_route", F.col("_bus").alias("_partner"),
-                            F.col("_tb").alias("_obs_tb"), F.col("_t").alias("_pt"),
-                            F.col("_tie").alias("_ptie"), F.col("_lat").alias("_plat"),
-                            F.col("_lon").alias("_plon"))
-    seen = rep.join(partner_fix, ["_route", "_partner", "_obs_tb"]).where(
-        ((F.col("_pt") < F.col("_t"))
-         | ((F.col("_pt") == F.col("_t")) & (F.col("_ptie") < F.col("_tie"))))
-        & (F.col("_t") - F.col("_pt") <= fresh_ms))
-    obs = seen.groupBy("_route", "_bus", "_partner", "_t", "_tie", "_lat", "_lon",
-                       "_ts_src").agg(
-        F.max_by(F.struct("_plat", "_plon"), F.struct("_pt", "_ptie")).alias("_p"))
+    # Strategy from data: if no bus has more than ``max_fanout`` fixes in a freshness
+    # bucket, an equi-join on (partner, bucket) fans each fix out to at most
+    # 2 x max_fanout partner fixes and is cheapest; denser feeds (GPS every few seconds)
+    # use the sorted as-of lookup, which is linear.
+    peak = fx.groupBy("_route", "_bus", F.floor(F.col("_t") / fresh_ms)).count() \
+             .agg(F.max("count")).first()[0] or 0
+    if peak <= max_fanout:
+        tb = F.floor(F.col("_t") / fresh_ms).cast("long")
+        rep_b = rep.withColumn("_obs_tb", F.explode(F.array(tb, tb - 1)))
+        partner_fix = fx.select("_route", F.col("_bus").alias("_partner"),
+                                tb.alias("_obs_tb"), F.col("_t").alias("_pt"),
+                                F.col("_tie").alias("_ptie"), F.col("_lat").alias("_plat"),
+                                F.col("_lon").alias("_plon"))
+        seen = rep_b.join(partner_fix, ["_route", "_partner", "_obs_tb"]).where(
+            ((F.col("_pt") < F.col("_t"))
+             | ((F.col("_pt") == F.col("_t")) & (F.col("_ptie") < F.col("_tie"))))
+            & (F.col("_t") - F.col("_pt") <= fresh_ms))
+        obs = seen.groupBy("_route", "_bus", "_partner", "_t", "_tie", "_lat", "_lon",
+                           "_ts_src").agg(
+            F.max_by(F.struct("_plat", "_plon"), F.struct("_pt", "_ptie")).alias("_p"))
+    else:
+        probes = rep.select("_route", "_bus", "_partner", F.col("_t").alias("p_time"),
+                            F.col("_tie").alias("p_tie"), "_lat", "_lon", "_ts_src")
+        partner_fix = fx.select("_route", F.col("_bus").alias("_partner"), "_t", "_tie",
+                                "_lat", "_lon").join(
+            both.select("_route", "_bus", "_partner", "_from", "_to"), ["_route", "_partner"]) \
+            .where(F.col("_t").between(F.col("_from") - fresh_ms, F.col("_to")))
+        targets = partner_fix.select("_route", "_bus", "_partner", F.col("_t").alias("t_time"),
+                                     F.col("_tie").alias("t_tie"),
+                                     F.struct(F.col("_lat").alias("_plat"),
+                                              F.col("_lon").alias("_plon")).alias("t_val"))
+        seen = last_before(probes, targets, ["_route", "_bus", "_partner"], fresh_ms)
+        obs = seen.select("_route", "_bus", "_partner", F.col("p_time").alias("_t"),
+                          F.col("p_tie").alias("_tie"), "_lat", "_lon", "_ts_src",
+                          F.col("t_val").alias("_p"))
     dist = haversine_m("_lat", "_lon", "_p._plat", "_p._plon")
     obs = obs.select("*", dist.alias("_dist"), pair_key("_bus", "_partner").alias("_pair"),
                      (dist <= distance_m).alias("_close"))

@@ -11,6 +11,8 @@ here puts a whole key into one task or one array:
   key is spread over many tasks however dense it is.
 * ``first_at_or_after`` is an as-of lookup "first target at or after probe time" when the
   answer is known to lie within ``horizon`` of the probe; it equi-joins on time buckets.
+* ``last_before`` is the backward as-of lookup (latest target before each probe within a
+  horizon), by a sorted window per time bucket instead of a fan-out join.
 * ``reachable`` marks every node reachable from start nodes along ``next`` pointers by
   pointer doubling: O(log L) joins on unique node ids (no skew), lineage cut by
   ``checkpoint()`` in the shared checkpoint folder.
@@ -117,6 +119,39 @@ def first_at_or_after(probes: DataFrame, targets: DataFrame, keys: list[str],
     return probes.join(ans, "p_id", "left")
 
 
+def last_before(probes: DataFrame, targets: DataFrame, keys: list[str],
+                horizon: int) -> DataFrame:
+    """As-of lookup backwards: for each probe (keys, ``p_time``, ``p_tie``, other
+    columns) the target (keys, ``t_time``, ``t_tie``, ``t_val``) with the largest
+    (t_time, t_tie) below the probe's, provided t_time >= p_time - horizon. Adds
+    ``t_val`` and ``t_time`` (null when there is none).
+
+    Targets are copied into their time bucket (width ``horizon``) and the next one; a
+    probe looks only in its own bucket, where a sorted window carries the latest target
+    forward. Linear in probes + 2 x targets: no probe x target fan-out.
+    """
+    b = F.floor(F.col("t_time") / horizon).cast("long")
+    val_type = targets.schema["t_val"].dataType
+    extra = [c for c in probes.columns if c not in keys + ["p_time", "p_tie"]]
+    tgt = targets.select(*keys, F.col("t_time").alias("_time"), F.col("t_tie").alias("_tie"),
+                         F.struct(F.col("t_time").alias("t"), F.col("t_val").alias("v"))
+                         .alias("_tv"), F.lit(0).alias("_is_probe"),
+                         *[F.lit(None).cast(probes.schema[c].dataType).alias(c) for c in extra],
+                         F.explode(F.array(b, b + 1)).alias("_bucket"))
+    prb = probes.select(*keys, F.col("p_time").alias("_time"), F.col("p_tie").alias("_tie"),
+                        F.lit(None).cast(tgt.schema["_tv"].dataType).alias("_tv"),
+                        F.lit(1).alias("_is_probe"), *extra,
+                        F.floor(F.col("p_time") / horizon).cast("long").alias("_bucket"))
+    w = Window.partitionBy(*keys, "_bucket").orderBy("_time", "_tie", "_is_probe") \
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    u = tgt.unionByName(prb).withColumn("_last", F.last("_tv", ignorenulls=True).over(w))
+    hit = u.where((F.col("_is_probe") == 1)
+                  & (F.col("_last.t") >= F.col("_time") - horizon))
+    return hit.select(*keys, F.col("_time").alias("p_time"), F.col("_tie").alias("p_tie"),
+                      *extra, F.col("_last.v").cast(val_type).alias("t_val"),
+                      F.col("_last.t").alias("t_time"))
+
+
 def _checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 

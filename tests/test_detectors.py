@@ -148,9 +148,9 @@ def test_streak_matches_model(spark, seed, chunk_ms, chunk_rows):
     assert {(r.junction_id, r.tie) for r in got.collect()} == model_streak(rows, 180.0, 3)
 
 
-@pytest.mark.parametrize("seed,chunk_ms,chunk_rows", [(7, 86_400_000, None), (8, 600_000, None),
-                                                (13, None, 6)])
-def test_bunching_matches_model(spark, seed, chunk_ms, chunk_rows):
+@pytest.mark.parametrize("seed,chunk_ms,chunk_rows,max_fanout", [
+    (7, 86_400_000, None, 64), (8, 600_000, None, 64), (13, None, 6, 64), (14, None, None, 1)])
+def test_bunching_matches_model(spark, seed, chunk_ms, chunk_rows, max_fanout):
     rnd = random.Random(seed)
     rows = []
     for i in range(1200):
@@ -162,7 +162,8 @@ def test_bunching_matches_model(spark, seed, chunk_ms, chunk_rows):
         rows.append((route, bus, t, i, lat, lon))
     df = frame(spark, rows, "route_id string, bus_id string, t long, tie long, lat double, lon double")
     got = detect.proximity_alerts(df, "route_id", "bus_id", "event_time", "lat", "lon", "tie",
-                                  chunk_ms=chunk_ms, chunk_rows=chunk_rows or 1_000_000)
+                                  chunk_ms=chunk_ms, chunk_rows=chunk_rows or 1_000_000,
+                                  max_fanout=max_fanout)
     want = model_bunching(rows, 200.0, 300_000, 180_000)
     assert {(r.route_id, r.bus_id_1, r.bus_id_2, r.tie, r.continuous_proximity_sec)
             for r in got.collect()} == want
@@ -182,7 +183,8 @@ def test_incident_union_shape(spark):
     assert len(u.columns) == 15
 
 
-def test_bunching_crowded_terminal_matches_model(spark):
+@pytest.mark.parametrize("max_fanout", [64, 1])
+def test_bunching_crowded_terminal_matches_model(spark, max_fanout):
     """A hot cell: 30 buses of one route idle at a terminal, reporting every 3 s."""
     rnd = random.Random(21)
     rows, i = [], 0
@@ -192,7 +194,8 @@ def test_bunching_crowded_terminal_matches_model(spark):
                          LAT + 0.0002 * (b % 5), LON + 0.0002 * (b // 10)))
             i += 1
     df = frame(spark, rows, "route_id string, bus_id string, t long, tie long, lat double, lon double")
-    got = detect.proximity_alerts(df, "route_id", "bus_id", "event_time", "lat", "lon", "tie")
+    got = detect.proximity_alerts(df, "route_id", "bus_id", "event_time", "lat", "lon", "tie",
+                                  max_fanout=max_fanout)
     want = model_bunching(rows, 200.0, 300_000, 180_000)
     assert len(want) > 100
     assert {(r.route_id, r.bus_id_1, r.bus_id_2, r.tie, r.continuous_proximity_sec)
