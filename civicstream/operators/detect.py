@@ -162,6 +162,7 @@ def proximity_alerts(df: DataFrame, route: str, bus: str, time_col: str, lat: st
     fx = fx.select(F.col(route).alias("_route"), F.col(bus).alias("_bus"), "_t", "_tie",
                    F.col(lat).alias("_lat"), F.col(lon).alias("_lon"),
                    F.col(time_col).alias("_ts_src"))
+    fx = fx.checkpoint(eager=True)  # narrow fixes, read by four branches below
     cells, frac = unit_sphere_cells("_lat", "_lon", 2 * distance_m)
 
     # 1. candidate pairs: buses of a route that were in neighbouring cells within the
