@@ -90,7 +90,8 @@ def lag_series(env: DataFrame, progress: list[tuple]) -> DataFrame:
     counts = [F.count_if((F.col("timestamp") > F.lit(ru)) & (F.col("timestamp") <= F.lit(st)))
               .alias(f"_lag{i}") for i, (_, _, st, ru) in enumerate(progress)]
     wide = env.agg(*counts)
-    pairs = ", ".join(f"{int(smp)}, '{grp}', _lag{i}" for i, (smp, grp, _, _) in enumerate(progress))
+    pairs = ", ".join(f"CAST({int(smp)} AS BIGINT), '{grp}', _lag{i}"
+                      for i, (smp, grp, _, _) in enumerate(progress))
     return wide.selectExpr(f"stack({len(progress)}, {pairs}) AS (sample, `group`, lag)")
 
 

@@ -175,7 +175,8 @@ def _envelopes(spark, sf_dir) -> DataFrame:
 
 def latest_per_topic(spark, sf_dir):
     return ops.latest_per_topic(_envelopes(spark, sf_dir)).select(
-        "topic", "rank", "key", "partition", "offset", "timestamp")
+        "topic", F.col("rank").cast("long").alias("rank"), "key", "partition", "offset",
+        "timestamp")
 
 
 def retention(spark, sf_dir):
