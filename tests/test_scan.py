@@ -48,3 +48,33 @@ def test_sized_broadcast_only_under_bound(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" in p1
     assert "BroadcastHashJoin" not in p2
+
+
+def test_as_of_lookups_match_brute_force(spark):
+    import random
+    from civicstream.operators.scan import first_at_or_after, last_before
+    rnd = random.Random(3)
+    tg = sorted({(rnd.choice("ab"), rnd.randrange(0, 5000), i) for i in range(300)})
+    pr = [(rnd.choice("ab"), rnd.randrange(0, 5000), 10_000 + j) for j in range(200)]
+    h = 400
+    targets = spark.createDataFrame(tg, "k string, t_time long, t_tie long").withColumn(
+        "t_id", F.col("t_tie")).withColumn("t_val", F.col("t_tie"))
+    probes = spark.createDataFrame(pr, "k string, p_time long, p_id long")
+    fwd = {r.p_id: r.t_id for r in first_at_or_after(probes, targets, ["k"], h).collect()}
+    for k, p, pid in pr:
+        cands = [(t, tie) for kk, t, tie in tg if kk == k and p <= t < p + h]
+        assert fwd[pid] == (min(cands)[1] if cands else None)
+    back_in = probes.withColumn("p_tie", F.col("p_id"))
+    back = {r.p_id: r.t_val for r in last_before(back_in, targets, ["k"], h).collect()}
+    for k, p, pid in pr:
+        cands = [(t, tie) for kk, t, tie in tg if kk == k and (t, tie) < (p, pid) and t >= p - h]
+        assert back.get(pid) == (max(cands)[1] if cands else None)
+
+
+def test_reachable_marks_chain_from_starts(spark):
+    from civicstream.operators.scan import reachable
+    nxt = {i: i + 3 for i in range(0, 60)}  # chains 0->3->6.., 1->4->.., 2->5->..
+    edges = spark.createDataFrame([(a, b) for a, b in nxt.items()], "id long, nxt long")
+    starts = spark.createDataFrame([(0,), (4,)], "id long")
+    got = {r.id for r in reachable(edges, starts).collect()}
+    assert got == set(range(0, 63, 3)) | set(range(4, 63, 3))
