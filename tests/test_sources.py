@@ -71,3 +71,13 @@ def test_independent_readers(spark, tmp_dir):
     assert len([p for p in qf.recentProgress if p["numInputRows"]]) == 1
     lag = jobs.progress_lag(qs)
     assert lag["name"] == "standard_priority"
+
+
+def test_keyed_write_is_idempotent_per_batch(spark, tmp_dir):
+    df = spark.createDataFrame([(f"W{i % 2}", i) for i in range(10)], "ward_id string, n int")
+    for _ in range(2):  # a retried micro-batch writes batch 7 again
+        write_keyed(df, "ward_id", "t", root=tmp_dir, partitions=2, batch_id=7)
+    write_keyed(df.limit(3), "ward_id", "t", root=tmp_dir, partitions=2, batch_id=8)
+    out = spark.read.parquet(f"{tmp_dir}/t")
+    assert out.where("batch = 7").count() == 10
+    assert out.count() == 13
