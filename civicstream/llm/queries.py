@@ -5,10 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from civicstream.llm import bpe, common
+from civicstream.llm import bpe, common, tokenfile
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     common.prepare(spark)
@@ -19,6 +21,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(documents(spark, sf_dir), RANKS)
 
 
-QUERIES = {"op1_bpe": op1_bpe}
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.digest(documents(spark, sf_dir), TOKENIZER, end_id=2)
+
+
+QUERIES = {"op1_bpe": op1_bpe, "op8_token_files": op8_token_files}
 
 ORACLE: dict[str, str] = {}
