@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from civicstream.llm import bpe, common, tokenfile
+from civicstream.llm import bpe, common, decontam, oracle, tokenfile
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -21,10 +21,14 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(documents(spark, sf_dir), RANKS)
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.digest(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.digest(documents(spark, sf_dir), TOKENIZER, end_id=2)
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op8_token_files": op8_token_files}
+QUERIES = {"op1_bpe": op1_bpe, "op3_decontamination": op3_decontamination, "op8_token_files": op8_token_files}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op3_decontamination": oracle.DECONTAMINATION}
