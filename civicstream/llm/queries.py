@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from civicstream.llm import bpe, common, decontam, oracle, tokenfile
+from civicstream.llm import bpe, common, decontam, oracle, setsketch, tokenfile
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -29,6 +29,11 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.digest(documents(spark, sf_dir), TOKENIZER, end_id=2)
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op3_decontamination": op3_decontamination, "op8_token_files": op8_token_files}
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(documents(spark, sf_dir))
+
+
+QUERIES = {"op1_bpe": op1_bpe, "op3_decontamination": op3_decontamination, "op8_token_files": op8_token_files,
+           "op10_near_dedup": op10_near_dedup}
 
 ORACLE: dict[str, str] = {"op3_decontamination": oracle.DECONTAMINATION}
