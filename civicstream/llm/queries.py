@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from civicstream.llm import bpe, common, decontam, oracle, setsketch, tokenfile
+from civicstream.llm import bpe, common, decontam, oracle, setsketch, suffix, tokenfile
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -25,6 +25,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.digest(documents(spark, sf_dir))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.digest(documents(spark, sf_dir), TOKENIZER, end_id=2)
 
@@ -33,7 +37,8 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(documents(spark, sf_dir))
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op3_decontamination": op3_decontamination, "op8_token_files": op8_token_files,
+QUERIES = {"op1_bpe": op1_bpe, "op3_decontamination": op3_decontamination, "op6_suffix_dedup": op6_suffix_dedup,
+           "op8_token_files": op8_token_files,
            "op10_near_dedup": op10_near_dedup}
 
 ORACLE: dict[str, str] = {"op3_decontamination": oracle.DECONTAMINATION}
