@@ -40,18 +40,18 @@ def read(uri: str) -> bytes:
         return f.read()
 
 
-def mapped(uri: str, dtype, count: int) -> np.ndarray:
-    """Memory-mapped array. A file of a remote store is first copied to this machine's scratch
-    space, once for all workers."""
-    if not count:
-        return np.empty(0, dtype)
+def mapped(uri: str, count: int) -> np.ndarray:
+    """Memory-mapped array of ``count`` unsigned integers, as wide as the file's size tells. A
+    file of a remote store is first copied to this machine's scratch space, once for all
+    workers."""
     system, path = resolve(uri)
     if not isinstance(system, fs.LocalFileSystem):
         near = os.path.join(tempfile.gettempdir(), hashlib.sha256(uri.encode()).hexdigest())
         if not os.path.exists(near):
-            with system.open_input_stream(path) as f, open(mine := attempt_name(near), "wb") as out:
+            mine = attempt_name(near)
+            with system.open_input_stream(path) as f, open(mine, "wb") as out:
                 while chunk := f.read(8 << 20):
                     out.write(chunk)
             os.replace(mine, near)
         path = near
-    return np.memmap(path, dtype, "r", shape=(count,))
+    return np.memmap(path, f"<u{os.path.getsize(path) // count}", "r", shape=(count,))

@@ -33,13 +33,13 @@ PACKED = "shard int, keys binary, counts binary"
 
 
 def packed(keys: np.ndarray, counts: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
-    """Rows (shard, ascending keys, their counts) of distinct ascending keys."""
+    """Rows (shard, its keys, their counts) of distinct ascending keys."""
     edges = np.searchsorted(shard_of(keys, bits), np.arange((1 << bits) + 1))
     rows = np.flatnonzero(np.diff(edges))
     if len(rows):
         yield pa.RecordBatch.from_arrays(
             [pa.array(rows.astype(np.int32)),
-             pa.array([keys[edges[r]:edges[r + 1]].tobytes() for r in rows], pa.binary()),
+             pa.array([_steps(keys[edges[r]:edges[r + 1]]) for r in rows], pa.binary()),
              pa.array([_small(counts[edges[r]:edges[r + 1]]) for r in rows], pa.binary())],
             ["shard", "keys", "counts"])
 
@@ -50,6 +50,23 @@ def _small(counts: np.ndarray) -> bytes:
     return bytes([width]) + counts.astype(f"<u{width}").tobytes()
 
 
+def _steps(keys: np.ndarray) -> bytes:
+    """Ascending keys as the first one and the differences, these in as many bytes as they need."""
+    steps = np.diff(keys).astype("<u8")
+    width = max(1, (int(steps.max(initial=0)).bit_length() + 7) // 8)
+    low = steps.view(np.uint8).reshape(-1, 8)[:, :width]
+    return bytes([width]) + keys[:1].astype("<u8").tobytes() + low.tobytes()
+
+
+def _keys(data: bytes) -> np.ndarray:
+    width = data[0]
+    low = np.frombuffer(data, np.uint8, offset=9).reshape(-1, width)
+    steps = np.zeros((len(low) + 1, 8), np.uint8)
+    steps[0] = np.frombuffer(data, np.uint8, 8, 1)
+    steps[1:, :width] = low
+    return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64)
+
+
 def _counts(data: bytes) -> np.ndarray:
     return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
 
@@ -93,7 +110,7 @@ def merged(rows: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys and total counts of packed rows of one shard."""
     if not rows:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    return counted(np.concatenate([np.frombuffer(k, "<u8") for k, _ in rows]),
+    return counted(np.concatenate([_keys(k) for k, _ in rows]),
                    np.concatenate([_counts(c) for _, c in rows]))
 
 
@@ -115,7 +132,7 @@ def shards(packed_rows: DataFrame, make: Callable[[int, np.ndarray, np.ndarray],
                 size += len(keys)
                 if size > 8 * 4 * FLUSH_KEYS:     # many small rows of common keys: add them up
                     k, c = merged(held)
-                    held, size = [(k.tobytes(), _small(c))], 0
+                    held, size = [(_steps(k), _small(c))], 0
         if held:
             yield from make(current, *merged(held))
 
@@ -124,9 +141,10 @@ def shards(packed_rows: DataFrame, make: Callable[[int, np.ndarray, np.ndarray],
 
 
 class Store:
-    """The files of a store: by shard, the file name without extension and the number of keys."""
+    """The files of a store: by shard, the file name without extension and the number of keys.
+    Values are unsigned integers in as many bytes as the shard needs."""
 
-    def __init__(self, folder: str, bits: int, names: dict[int, tuple[str, int]], values: dict[str, str]):
+    def __init__(self, folder: str, bits: int, names: dict[int, tuple[str, int]], values: tuple[str, ...] = ()):
         self.folder, self.bits, self.names, self.values = folder, bits, names, values
         self.maps: dict[tuple[int, str], np.ndarray] = {}
 
@@ -136,33 +154,39 @@ class Store:
     def __len__(self) -> int:
         return sum(n for _, n in self.names.values())
 
-    def get(self, keys: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-        """For ascending keys: which are there, and their values (0 where not)."""
-        there = np.full(len(keys), False)
-        out = {name: np.zeros(len(keys), kind) for name, kind in self.values.items()}
+    def get(self, keys: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        """For ascending keys: the place of each in its shard (-1 where it is missing), and the
+        values (0 where it is)."""
+        place = np.full(len(keys), -1)
+        out = [np.zeros(len(keys), np.int64) for _ in self.values]
         edges = np.searchsorted(shard_of(keys, self.bits), np.arange((1 << self.bits) + 1))
         for s in np.flatnonzero(np.diff(edges)).tolist():
             if s not in self.names:
                 continue
-            stored = self._array(s, "keys", "<u8")
+            stored = self.column(s, "keys")
             part = slice(edges[s], edges[s + 1])
             i = np.minimum(np.searchsorted(stored, keys[part]), len(stored) - 1)
             hit = stored[i] == keys[part]
-            there[part] = hit
-            for name, kind in self.values.items():
-                out[name][part][hit] = self._array(s, name, kind)[i[hit]]
-        return there, out
+            place[part] = np.where(hit, i, -1)
+            for to, name in zip(out, self.values):
+                to[part] = np.where(hit, self.column(s, name)[i], 0)
+        return place, out
 
     def has(self, keys: np.ndarray) -> np.ndarray:
         """Which of the keys (in any order) are there."""
         distinct, inverse = np.unique(keys, return_inverse=True)
-        return self.get(distinct)[0][inverse]
+        return (self.get(distinct)[0] >= 0)[inverse]
+
+    def look_up(self, keys: np.ndarray) -> list[np.ndarray]:
+        """Values of keys in any order."""
+        distinct, inverse = np.unique(keys, return_inverse=True)
+        return [v[inverse] for v in self.get(distinct)[1]]
 
-    def _array(self, shard: int, column: str, kind: str) -> np.ndarray:
-        if (shard, column) not in self.maps:
-            name, n = self.names[shard]
-            self.maps[shard, column] = files.mapped(f"{self.folder}/{name}.{column}", kind, n)
-        return self.maps[shard, column]
+    def column(self, shard: int, name: str) -> np.ndarray:
+        if (shard, name) not in self.maps:
+            file, n = self.names[shard]
+            self.maps[shard, name] = files.mapped(f"{self.folder}/{file}.{name}", n)
+        return self.maps[shard, name]
 
 
 LISTED = "shard int, file string, n long"
@@ -173,15 +197,15 @@ def save(folder: str, shard: int, keys: np.ndarray, **values: np.ndarray) -> pa.
     name = files.attempt_name(f"{shard:06d}")
     files.write(f"{folder}/{name}.keys", keys.astype("<u8").tobytes())
     for column, v in values.items():
-        files.write(f"{folder}/{name}.{column}", v.tobytes())
+        files.write(f"{folder}/{name}.{column}", _small(v)[1:])
     return pa.RecordBatch.from_arrays(
         [pa.array([shard], pa.int32()), pa.array([name]), pa.array([len(keys)], pa.int64())], ["shard", "file", "n"])
 
 
-def opened(spark: SparkSession, folder: str, listed: DataFrame, values: dict[str, str] | None = None) -> Store:
+def opened(spark: SparkSession, folder: str, listed: DataFrame, values: tuple[str, ...] = ()) -> Store:
     """The store that the listed rows (``LISTED``, at most one per shard) make up."""
     rows = listed.select("shard", "file", "n").collect()
-    return Store(folder, shard_bits(spark), {r.shard: (r.file, r.n) for r in rows if r.n}, values or {})
+    return Store(folder, shard_bits(spark), {r.shard: (r.file, r.n) for r in rows if r.n}, values)
 
 
 def build(keys: DataFrame, column: str, name: str) -> Store:

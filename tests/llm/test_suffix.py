@@ -3,9 +3,10 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
-from civicstream.llm import queries, suffix
+from civicstream.llm import hashstore, queries, suffix
 from tests.llm import edge_cases
 
 
@@ -66,3 +67,16 @@ def test_query(spark):
     folder = "/root/testdata/sf0.001"
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     assert edge_cases.result(queries.QUERIES["op6_suffix_dedup"](spark, folder)) == brute(docs)
+
+
+def test_packed_keys_come_back():
+    rng = np.random.Generator(np.random.PCG64(2))
+    for n in (1, 2, 1000):
+        keys = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        assert (hashstore._keys(hashstore._steps(keys)) == keys).all()
+    keys = np.array([0, 1, 2**64 - 1], np.uint64)
+    assert (hashstore._keys(hashstore._steps(keys)) == keys).all()
+    rows = [r for b in hashstore.packed(keys, np.array([1, 300, 2**40]), 4) for r in b.to_pylist()]
+    assert [r["shard"] for r in rows] == [0, 15]
+    k, c = hashstore.merged([(r["keys"], r["counts"]) for r in rows for _ in range(2)])
+    assert (k == keys).all() and c.tolist() == [2, 600, 2**41]
