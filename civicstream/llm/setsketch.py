@@ -10,10 +10,9 @@ by maximum and agree in two sets about as often as the sets are similar.
    others is compared with the rest (a star, never all pairs of a bucket).
 3. Pairs whose registers make the threshold implausible (likelihood over the register
    comparisons, given the set sizes) go; the others are verified on their full sets.
-4. Members that are still apart from each other in a bucket are compared again, with further
-   centres, and at last each with every member of another component, until no bucket holds an
-   uncompared pair of different components. Only pairs that are linked already, directly or
-   through others, are never compared.
+4. Members of a bucket outside of its largest component so far are compared with all members of
+   other components, block by block on their registers; the plausible pairs are verified too.
+   Only pairs that are connected already, directly or through others, are never compared.
 
 A pair of similarity 0.8 misses all 21 bands of 3 registers with a probability of 3e-7.
 
@@ -41,10 +40,10 @@ REGISTERS = BANDS * ROWS
 #: Parameters of the registers: base, rate of the exponential variables, largest register.
 B, RATE, TOP = 1.001, 20.0, 2**16 - 1
 #: Log-likelihood that a pair may fall short of the best similarity and still be verified; a true
-#: link falls short by more with a probability of about 1e-6.
-SLACK = 12.0
-#: Rounds of stars before members that are still apart are compared one by one.
-STARS = 6
+#: link falls short by more with a probability of about 3e-5.
+SLACK = 8.0
+#: Members of a bucket whose registers are compared with those of another block at once.
+BLOCK = 256
 
 _rng = np.random.Generator(np.random.PCG64(11))
 _XOR = _rng.integers(0, 2**63, REGISTERS, dtype=np.uint64)
@@ -165,16 +164,8 @@ def plausible(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, th
     return enough >= best - SLACK
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes that are links."""
-    def estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = batch.num_rows
-            regs = [np.frombuffer(common.text_buffer(batch.column(c))[0].tobytes(), np.uint16).reshape(n, REGISTERS)
-                    for c in ("ra", "rb")]
-            na, nb = (batch.column(c).to_numpy().astype(float) for c in ("na", "nb"))
-            yield batch.select(["a", "b"]).filter(pa.array(plausible(*regs, na, nb, percent / 100)))
-
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes that are links, by their full sets."""
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sa, sb = ([np.frombuffer(x, np.uint64) for x in batch.column(c).to_pylist()] for c in ("sa", "sb"))
@@ -184,13 +175,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: in
                 linked.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
-    sketch = classes.select("cid", "n", "_regs")
-    left = sketch.toDF("a", "na", "ra")
-    right = sketch.toDF("b", "nb", "rb")
-    likely = (pairs.join(left, "a").join(right, "b")
-              .where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b", "na", "nb", "ra", "rb")
-              .mapInArrow(estimate, "a long, b long"))
-    return (likely.join(sets.toDF("b", "sb"), "b").join(sets.toDF("a", "sa"), "a").select("a", "b", "sa", "sb")
+    return (pairs.join(sets.toDF("b", "sb"), "b").join(sets.toDF("a", "sa"), "a").select("a", "b", "sa", "sb")
             .mapInArrow(verify, "a long, b long"))
 
 
@@ -221,46 +206,86 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     width = 2 * ROWS
-    bands = classes.select("cid", F.explode(F.expr(
+    bands = classes.select("cid", F.posexplode(F.expr(
         f"transform(sequence(0, {BANDS - 1}), i -> xxhash64(i, substring(_regs, i * {width} + 1, {width})))"
-    )).alias("bucket"))
+    )).alias("band", "bucket"))
     shared = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = common.stored(bands.join(shared, "bucket"), "members")
     score = members.groupBy("cid").agg(F.sum("size").alias("score"))
-    members = common.stored(members.join(score, "cid").select("bucket", "cid", "score"), "members")
     wanted = hashstore.build(classes.join(score, "cid", "left_semi"), "_k", "wanted")
     sets = common.stored(
         _sets(docs, wanted, ["_id"], "_t", size).join(classes.select("cid", "_k"), "_k")
         .select("cid", "_set").dropDuplicates(["cid"]), "sets")
 
-    none = spark.createDataFrame([], "a long, b long")
-    links, tested, used = none, none, spark.createDataFrame([], "bucket long, cid long")
-    apart = members.withColumn("root", F.col("cid"))
-    for turn in range(STARS + 1):
-        left = apart.select("bucket", "cid", "root")
-        if turn < STARS:
-            centre = (apart.join(used, ["bucket", "cid"], "left_anti")
-                      .groupBy("bucket").agg(F.max(F.struct("score", -F.col("cid"), "root")).alias("c"))
-                      .select("bucket", (-F.col("c.col2")).alias("other"), F.col("c.root").alias("other_root")))
-            used = common.stored(used.union(centre.select("bucket", F.col("other").alias("cid"))), "used")
-        else:
-            # whoever is not in the first component of the bucket, with all in other components
-            main = apart.groupBy("bucket").agg(F.min("root").alias("main"))
-            centre = (apart.join(main, "bucket").where("root != main")
-                      .select("bucket", F.col("cid").alias("other"), F.col("root").alias("other_root")))
-        pairs = (left.join(centre, "bucket").where("root != other_root")
-                 .select(F.least("cid", "other").alias("a"), F.greatest("cid", "other").alias("b")).distinct()
-                 .join(tested, ["a", "b"], "left_anti"))
-        pairs = common.stored(pairs, "pairs")
-        tested = tested.union(pairs)
-        links = common.stored(links.union(_verified(pairs, classes, sets, percent)), "links")
-        if turn == STARS:
-            break
-        roots = components(links)
-        apart = members.join(roots, members.cid == roots.node, "left").select(
-            "bucket", "cid", "score", F.coalesce("root", "cid").alias("root"))
-        mixed = apart.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
-        apart = common.stored(apart.join(mixed.select("bucket"), "bucket", "left_semi"), "apart")
-        if apart.isEmpty():
-            break
-    return links
+    # the member of a bucket that shares most buckets with others against the rest
+    scored = members.select("bucket", "cid").join(score, "cid")
+    centre = (scored.groupBy("bucket").agg(F.max(F.struct("score", -F.col("cid"))).alias("c"))
+              .select("bucket", (-F.col("c.col2")).alias("centre")))
+    pairs = (members.select("bucket", "cid").join(centre, "bucket").where("cid != centre")
+             .select(F.least("cid", "centre").alias("a"), F.greatest("cid", "centre").alias("b")).distinct())
+    sketch = classes.select("cid", "n", "_regs")
+    likely = (pairs.join(sketch.toDF("a", "na", "ra"), "a").join(sketch.toDF("b", "nb", "rb"), "b")
+              .where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
+              .select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_likely(percent), "a long, b long"))
+    links = common.stored(_verified(likely, sets, percent), "links")
+
+    # members of a bucket outside of its largest component against all that are not in their own
+    roots = components(links)
+    apart = common.stored(members.join(roots, members.cid == roots.node, "left").select(
+        "bucket", "band", "size", "cid", F.coalesce("root", "cid").alias("root")), "apart")
+    largest = (apart.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("k"))
+               .groupBy("bucket").agg(F.max(F.struct("k", "root")).alias("m"), F.count(F.lit(1)).alias("roots"))
+               .where("roots > 1").select("bucket", F.col("m.root").alias("main")))
+    mixed = (apart.join(largest, "bucket").join(sketch, "cid")
+             .withColumn("block", F.expr(f"pmod(xxhash64(cid), cast(ceil(size / {BLOCK}) as long))")))
+    blocks = common.stored(mixed.groupBy("bucket", "band", "main", "block").agg(
+        F.collect_list(F.struct("cid", "root", "n", "_regs")).alias("all"),
+        F.expr("collect_list(struct(cid, root, n, _regs)) filter (where root != main)").alias("odd")), "blocks")
+    compared = (blocks.where("size(odd) > 0").select("bucket", "band", "main", "odd")
+                .join(blocks.select("bucket", "all"), "bucket")
+                .select("band", "main", "odd", "all").mapInArrow(_compare(percent), "a long, b long"))
+    return links.union(_verified(compared.distinct(), sets, percent))
+
+
+def _likely(percent: int):
+    """Pairs with their sizes and registers -> the pairs that may be links."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            regs = [_matrix(batch.column(c)) for c in ("ra", "rb")]
+            na, nb = (batch.column(c).to_numpy().astype(float) for c in ("na", "nb"))
+            yield batch.select(["a", "b"]).filter(pa.array(plausible(*regs, na, nb, percent / 100)))
+    return run
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(common.text_buffer(column)[0].tobytes(), np.uint16).reshape(len(column), REGISTERS)
+
+
+def _compare(percent: int):
+    """Two blocks of a bucket -> the pairs of different components that may be links. A pair comes
+    from the first band that it shares, and once if both members are outside of the largest
+    component."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                band, main = batch.column("band")[i].as_py(), batch.column("main")[i].as_py()
+                odd, other = batch.column("odd")[i].values, batch.column("all")[i].values
+                ids, roots, sizes = ([x.field(c).to_numpy() for x in (odd, other)] for c in ("cid", "root", "n"))
+                regs = [_matrix(x.field("_regs")) for x in (odd, other)]
+                for k in range(len(ids[0])):
+                    same = regs[1] == regs[0][k]
+                    first = same.reshape(-1, BANDS, ROWS).all(2).argmax(1)
+                    small, large = np.minimum(sizes[1], sizes[0][k]), np.maximum(sizes[1], sizes[0][k])
+                    pick = np.flatnonzero((roots[1] != roots[0][k]) & (first == band)
+                                          & (100 * small >= percent * large)
+                                          & ((roots[1] == main) | (ids[1] > ids[0][k])))
+                    if len(pick):
+                        n = len(pick)
+                        pick = pick[plausible(np.broadcast_to(regs[0][k], (n, REGISTERS)), regs[1][pick],
+                                              np.full(n, float(sizes[0][k])), sizes[1][pick].astype(float),
+                                              percent / 100)]
+                    if len(pick):
+                        x = np.full(len(pick), ids[0][k])
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.minimum(x, ids[1][pick])), pa.array(np.maximum(x, ids[1][pick]))], ["a", "b"])
+    return run
