@@ -33,3 +33,47 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BI
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+QUALITY = r"""
+WITH doc AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+         [l for l in string_split(coalesce(text, ''), chr(10)) if regexp_matches(l, '[^\x20\x09-\x0D]')] AS ls
+  FROM documents),
+place AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS p FROM doc WHERE len(ws) >= 8),
+win AS (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, array_to_string(ws[p:p + 7], ' ')) AS k FROM place),
+rep AS (SELECT doc_id, count(DISTINCT q) AS n FROM (
+          SELECT doc_id, unnest(range(p, p + 8)) AS q FROM win WHERE k > 1) GROUP BY doc_id),
+m AS (
+  SELECT doc_id, lang, source, CAST(len(ws) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words, CAST(len(ls) AS BIGINT) AS n_lines
+  FROM doc LEFT JOIN rep USING (doc_id)),
+f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m),
+v AS (
+  SELECT doc_id, lang, source, base_failed, unnest([
+    {'s': 1, 'least': 10, 'v': 1000 * n_symbols // greatest(word_chars, 1)},
+    {'s': 2, 'least': 60, 'v': 1000 * n_dup_lines // greatest(n_lines, 1)},
+    {'s': 3, 'least': 40, 'v': 1000 * n_repeat_words // greatest(n_words, 1)},
+    {'s': 4, 'least': 60, 'v': 100 * word_chars // greatest(n_words, 1)}], recursive := true) FROM f),
+b AS (
+  SELECT lang, source, s, least, sh, v >> sh AS m, count(*) AS n
+  FROM (SELECT *, CAST(greatest(0, length(bin(v)) - 5) AS BIGINT) AS sh FROM v WHERE NOT base_failed)
+  GROUP BY ALL),
+c AS (
+  SELECT lang, source, s, least, m << sh AS low,
+         sum(n) OVER (PARTITION BY lang, source, s ORDER BY sh, m) AS upto,
+         sum(n) OVER (PARTITION BY lang, source, s) AS total FROM b),
+q AS (
+  SELECT lang, source, s, any_value(least) AS least, min(low) FILTER (4 * upto >= total) AS q25,
+         min(low) FILTER (4 * upto >= 3 * total) AS q75 FROM c GROUP BY ALL),
+bad AS (
+  SELECT DISTINCT doc_id FROM v JOIN q ON v.s = q.s AND v.lang IS NOT DISTINCT FROM q.lang
+    AND v.source IS NOT DISTINCT FROM q.source
+  WHERE v.v NOT BETWEEN q25 - 6 * greatest(q75 - q25, q.least) AND q75 + 6 * greatest(q75 - q25, q.least))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND bad.doc_id IS NULL AS kept
+FROM f LEFT JOIN bad USING (doc_id)
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from civicstream.llm import bpe, common, decontam, knlm, oracle, setsketch, suffix, tokenfile
+from civicstream.llm import bpe, common, decontam, knlm, oracle, quality, setsketch, suffix, tokenfile
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -21,6 +21,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(documents(spark, sf_dir), RANKS)
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digest(documents(spark, sf_dir))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -41,8 +45,8 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(documents(spark, sf_dir))
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op3_decontamination": op3_decontamination, "op5_kneser_ney": op5_kneser_ney, "op6_suffix_dedup": op6_suffix_dedup,
+QUERIES = {"op1_bpe": op1_bpe, "op2_quality": op2_quality, "op3_decontamination": op3_decontamination, "op5_kneser_ney": op5_kneser_ney, "op6_suffix_dedup": op6_suffix_dedup,
            "op8_token_files": op8_token_files,
            "op10_near_dedup": op10_near_dedup}
 
-ORACLE: dict[str, str] = {"op3_decontamination": oracle.DECONTAMINATION}
+ORACLE: dict[str, str] = {"op2_quality": oracle.QUALITY, "op3_decontamination": oracle.DECONTAMINATION}
