@@ -77,3 +77,27 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND bad.doc_id IS NULL AS kept
 FROM f LEFT JOIN bad USING (doc_id)
 """
+
+LINE_DEDUP = r"""
+WITH line AS (
+  SELECT doc_id, generate_subscripts(ls, 1) AS p, unnest(ls) AS l
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
+seq AS (
+  SELECT doc_id, p, l, row_number() OVER (PARTITION BY doc_id ORDER BY p) AS j
+  FROM line WHERE regexp_matches(l, '[^\x20\x09-\x0D]')),
+run AS (
+  SELECT doc_id, j, l, lead(l, 1) OVER w AS l2, lead(l, 2) OVER w AS l3
+  FROM seq WINDOW w AS (PARTITION BY doc_id ORDER BY j)),
+ranked AS (
+  SELECT doc_id, j, row_number() OVER (PARTITION BY l, l2, l3 ORDER BY doc_id, j) AS k
+  FROM run WHERE l3 IS NOT NULL),
+gone AS (SELECT DISTINCT doc_id, unnest([j, j + 1, j + 2]) AS j FROM ranked WHERE k > 1),
+out AS (SELECT doc_id, p FROM gone JOIN seq USING (doc_id, j)),
+rest AS (
+  SELECT doc_id, string_agg(l, chr(10) ORDER BY p) AS t FROM line ANTI JOIN out USING (doc_id, p) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS n FROM seq GROUP BY doc_id),
+r AS (SELECT doc_id, count(*) AS r FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_lines, CAST(coalesce(r, 0) AS BIGINT) AS n_removed,
+       NOT (coalesce(r, 0) > 0 AND r = n) AS kept, sha256(coalesce(t, '')) AS text_sha256
+FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN r USING (doc_id) LEFT JOIN rest USING (doc_id)
+"""

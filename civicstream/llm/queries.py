@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from civicstream.llm import bpe, common, decontam, knlm, oracle, quality, setsketch, suffix, tokenfile
+from civicstream.llm import bpe, common, decontam, knlm, linededup, oracle, quality, setsketch, suffix, tokenfile
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -41,12 +41,17 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.digest(documents(spark, sf_dir), TOKENIZER, end_id=2)
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.digest(documents(spark, sf_dir))
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(documents(spark, sf_dir))
 
 
 QUERIES = {"op1_bpe": op1_bpe, "op2_quality": op2_quality, "op3_decontamination": op3_decontamination, "op5_kneser_ney": op5_kneser_ney, "op6_suffix_dedup": op6_suffix_dedup,
            "op8_token_files": op8_token_files,
-           "op10_near_dedup": op10_near_dedup}
+           "op9_line_dedup": op9_line_dedup, "op10_near_dedup": op10_near_dedup}
 
-ORACLE: dict[str, str] = {"op2_quality": oracle.QUALITY, "op3_decontamination": oracle.DECONTAMINATION}
+ORACLE: dict[str, str] = {"op2_quality": oracle.QUALITY, "op9_line_dedup": oracle.LINE_DEDUP,
+                          "op3_decontamination": oracle.DECONTAMINATION}
