@@ -14,7 +14,7 @@ from civicstream.session import ensure_checkpoint_dir
 
 #: Text bytes handled at once by the array code in a task; its scratch arrays take up to
 #: about 60 bytes for each. A longer document is handled alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 #: Rows of an Arrow batch between the JVM and Python (whole texts, so far below the default).
 ARROW_ROWS = "512"

@@ -87,14 +87,15 @@ class Counter:
 
     def flush(self) -> Iterator[pa.RecordBatch]:
         if self.size:
-            yield from packed(*counted(np.concatenate(self.held)), self.bits)
-        self.held, self.size = [], 0
+            keys = np.concatenate(self.held)
+            self.held, self.size = [], 0
+            yield from packed(*counted(keys), self.bits)
 
 
 def counted(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct ascending keys and their total counts."""
+    """Distinct ascending keys and their total counts. Keys without counts are sorted in place."""
     if counts is None:
-        keys = np.sort(keys)
+        keys.sort()
     else:
         order = np.argsort(keys, kind="stable")
         keys, counts = keys[order], counts[order]

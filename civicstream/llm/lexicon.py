@@ -14,10 +14,10 @@ import pyarrow as pa
 from civicstream.llm import common, textscan
 
 #: Bytes of text whose new pieces are encoded together.
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 16 << 20
 
 #: A task forgets its pieces when it has this many; only speed depends on it.
-MAX_PIECES = 1_000_000
+MAX_PIECES = 500_000
 
 #: Pieces as bytes -> (ids of all pieces one after another, number of ids of each).
 Encode = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
