@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from civicstream.llm import bpe, common, decontam, knlm, linededup, oracle, quality, setsketch, suffix, tokenfile
+from civicstream.llm import bpe, common, decontam, knlm, linededup, oracle, quality, setsketch, suffix, tokenfile, toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -29,6 +29,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knlm.digest(documents(spark, sf_dir))
 
@@ -49,7 +53,8 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(documents(spark, sf_dir))
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op2_quality": op2_quality, "op3_decontamination": op3_decontamination, "op5_kneser_ney": op5_kneser_ney, "op6_suffix_dedup": op6_suffix_dedup,
+QUERIES = {"op1_bpe": op1_bpe, "op2_quality": op2_quality, "op3_decontamination": op3_decontamination, "op4_toxicity": op4_toxicity,
+           "op5_kneser_ney": op5_kneser_ney, "op6_suffix_dedup": op6_suffix_dedup,
            "op8_token_files": op8_token_files,
            "op9_line_dedup": op9_line_dedup, "op10_near_dedup": op10_near_dedup}
 
