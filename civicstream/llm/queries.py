@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from civicstream.llm import bpe, common, decontam, knlm, linededup, oracle, quality, setsketch, suffix, tokenfile, toxicity
+from civicstream.llm import bpe, common, decontam, knlm, langid, linededup, oracle, quality, setsketch, suffix, tokenfile, toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -41,6 +41,10 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.digest(documents(spark, sf_dir))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.digest(documents(spark, sf_dir))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.digest(documents(spark, sf_dir), TOKENIZER, end_id=2)
 
@@ -55,7 +59,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"op1_bpe": op1_bpe, "op2_quality": op2_quality, "op3_decontamination": op3_decontamination, "op4_toxicity": op4_toxicity,
            "op5_kneser_ney": op5_kneser_ney, "op6_suffix_dedup": op6_suffix_dedup,
-           "op8_token_files": op8_token_files,
+           "op7_language": op7_language, "op8_token_files": op8_token_files,
            "op9_line_dedup": op9_line_dedup, "op10_near_dedup": op10_near_dedup}
 
 ORACLE: dict[str, str] = {"op2_quality": oracle.QUALITY, "op9_line_dedup": oracle.LINE_DEDUP,
