@@ -179,13 +179,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .mapInArrow(verify, "a long, b long"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
-                    percent: int = 80) -> DataFrame:
-    """``id_col``, n_shingles, component_id, kept (whether the document's id is the component's)
-    of every document. ``id_col`` must be an integer."""
-    spark = common.prepare(docs.sparkSession)
-    common.require(docs, id_col, text_col)
-    docs = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"))
+def _grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """_k, _id, n_shingles, root (of the component, null without shingles), component_id of every
+    row of ``docs`` (_id, _t)."""
+    common.prepare(docs.sparkSession)
     signed = common.stored(sketches(docs, ["_id"], "_t", size), "sketches")
     classes = common.stored(
         signed.where("_h1 is not null").groupBy("_h1", "_h2")
@@ -196,11 +193,40 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rooted = classes.join(roots, classes.cid == roots.node, "left").select(
         "_h1", "_h2", "least_id", F.coalesce("root", "cid").alias("root"))
     component = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = rooted.join(component, "root").select("_h1", "_h2", "component_id")
-    out = signed.join(named, ["_h1", "_h2"], "left").select(
-        F.col("_id").alias(id_col), "n_shingles",
+    named = rooted.join(component, "root").select("_h1", "_h2", "root", "component_id")
+    return signed.join(named, ["_h1", "_h2"], "left").select(
+        "_k", "_id", "n_shingles", "root",
         F.when(F.col("_h1").isNull(), F.col("_id")).otherwise(F.col("component_id")).alias("component_id"))
-    return out.withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
+                    percent: int = 80) -> DataFrame:
+    """``id_col``, n_shingles, component_id, kept (whether the document's id is the component's)
+    of every document. ``id_col`` must be an integer."""
+    common.require(docs, id_col, text_col)
+    out = _grouped(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")), size, percent)
+    return out.select(F.col("_id").alias(id_col), "n_shingles", "component_id",
+                      F.col("_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
+                 percent: int = 80) -> DataFrame:
+    """One row of each component, that of the smallest document id (of several rows with that id,
+    the one of the smallest hash), with all its columns; rows without shingles stay."""
+    common.require(docs, id_col, text_col)
+    rows = common.stored(_grouped(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")), size, percent)
+                         .where("root is not null").select("_k", "_id", "root"), "grouped")
+    first = rows.groupBy("root").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_k")).alias("m"))
+    judged = rows.join(first, "root").groupBy("_k").agg(
+        F.max(F.col("_k") == F.col("m._k")).alias("first"), F.count(F.lit(1)).alias("times"))
+    judged = common.stored(judged.where("not first or times > 1"), "judged")
+    keyed = docs.withColumn("_k", F.xxhash64(id_col, text_col))
+    kept = keyed.join(judged.where("not first").select("_k"), "_k", "left_anti")
+    repeated = judged.where("first").select("_k")
+    if not repeated.isEmpty():
+        kept = (kept.join(repeated, "_k", "left_anti")
+                .unionByName(kept.join(repeated, "_k", "left_semi").dropDuplicates(["_k"])))
+    return kept.select(*docs.columns)
 
 
 def _links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
