@@ -11,7 +11,9 @@ by maximum and agree in two sets about as often as the sets are similar.
 3. Pairs whose registers make the threshold implausible (likelihood over the register
    comparisons, given the set sizes) go; the others are verified on their full sets.
 4. Members of a bucket outside of its largest component so far are compared with all members of
-   other components, block by block on their registers; the plausible pairs are verified too.
+   other components, block by block: first by how many shingles each shares with anyone at all
+   (an exact bound that clears most copies with many changes of their own), then on their
+   registers; the plausible pairs are verified too.
    Only pairs that are connected already, directly or through others, are never compared.
 
 A pair of similarity 0.8 misses all 21 bands of 3 registers with a probability of 3e-7.
@@ -262,17 +264,46 @@ def _links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> Data
     largest = (apart.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("k"))
                .groupBy("bucket").agg(F.max(F.struct("k", "root")).alias("m"), F.count(F.lit(1)).alias("roots"))
                .where("roots > 1").select("bucket", F.col("m.root").alias("main")))
-    mixed = (apart.join(largest, "bucket").join(sketch, "cid")
+    mixed = (apart.join(largest, "bucket").join(sketch, "cid").join(_shared(sets), "cid")
              .withColumn("block", F.expr(f"pmod(xxhash64(cid), cast(ceil(size / {BLOCK}) as long))")))
     blocks = common.stored(mixed.groupBy("bucket", "band", "main", "block").agg(
-        F.collect_list(F.struct("cid", "root", "n", "_regs")).alias("all"),
-        F.expr("collect_list(struct(cid, root, n, _regs)) filter (where root != main)").alias("odd")), "blocks")
+        F.collect_list(F.struct("cid", "root", "n", "shared", "_regs")).alias("all"),
+        F.expr("collect_list(struct(cid, root, n, shared, _regs)) filter (where root != main)").alias("odd")), "blocks")
     compared = (blocks.where("size(odd) > 0").select("bucket", "band", "main", "odd")
                 .join(blocks.select("bucket", "all"), "bucket")
                 .select("band", "main", "odd", "all").mapInArrow(_compare(percent), "a long, b long"))
     return links.union(_verified(compared.distinct(), sets, percent))
 
 
+def _shared(sets: DataFrame) -> DataFrame:
+    """cid, shared: how many shingles of a set occur in another of the sets."""
+    spark = sets.sparkSession
+    bits, folder = hashstore.shard_bits(spark), common.shared_folder(spark, "shingles")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = hashstore.Counter(bits)
+        for batch in batches:
+            yield from counter.add(np.frombuffer(common.text_buffer(batch.column(0))[0].tobytes(), np.uint64))
+        yield from counter.flush()
+
+    def keep(shard: int, k: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        yield hashstore.save(folder, shard, k[counts > 1])
+
+    listed = common.stored(hashstore.shards(sets.select("_set").mapInArrow(count, hashstore.PACKED), keep,
+                                            hashstore.LISTED), "shingles")
+    several = hashstore.opened(spark, folder, listed)
+
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in common.slices(batch, "_set"):
+                buf, offsets = common.text_buffer(rows.column("_set"))
+                hit = np.concatenate([[0], np.cumsum(several.has(np.frombuffer(buf.tobytes(), np.uint64)))])
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("cid"), pa.array(np.diff(hit[offsets // 8]))], ["cid", "shared"])
+
+    return common.stored(sets.mapInArrow(shared, "cid long, shared long"), "shared")
+
+
 def _likely(percent: int):
     """Pairs with their sizes and registers -> the pairs that may be links."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,15 +327,17 @@ def _compare(percent: int):
             for i in range(batch.num_rows):
                 band, main = batch.column("band")[i].as_py(), batch.column("main")[i].as_py()
                 odd, other = batch.column("odd")[i].values, batch.column("all")[i].values
-                ids, roots, sizes = ([x.field(c).to_numpy() for x in (odd, other)] for c in ("cid", "root", "n"))
+                ids, roots, sizes, shared = ([x.field(c).to_numpy() for x in (odd, other)]
+                                             for c in ("cid", "root", "n", "shared"))
                 regs = [_matrix(x.field("_regs")) for x in (odd, other)]
                 for k in range(len(ids[0])):
-                    same = regs[1] == regs[0][k]
-                    first = same.reshape(-1, BANDS, ROWS).all(2).argmax(1)
-                    small, large = np.minimum(sizes[1], sizes[0][k]), np.maximum(sizes[1], sizes[0][k])
-                    pick = np.flatnonzero((roots[1] != roots[0][k]) & (first == band)
-                                          & (100 * small >= percent * large)
+                    # both sets cannot have more in common than what either shares with anyone
+                    most = np.minimum(shared[1], shared[0][k])
+                    pick = np.flatnonzero((roots[1] != roots[0][k])
+                                          & (100 * most >= percent * (sizes[1] + sizes[0][k] - most))
                                           & ((roots[1] == main) | (ids[1] > ids[0][k])))
+                    same = regs[1][pick] == regs[0][k]
+                    pick = pick[same.reshape(-1, BANDS, ROWS).all(2).argmax(1) == band]
                     if len(pick):
                         n = len(pick)
                         pick = pick[plausible(np.broadcast_to(regs[0][k], (n, REGISTERS)), regs[1][pick],
