@@ -12,8 +12,8 @@ by maximum and agree in two sets about as often as the sets are similar.
    comparisons, given the set sizes) go; the others are verified on their full sets.
 4. Members of a bucket outside of its largest component so far are compared with all members of
    other components, block by block: first by how many shingles each shares with anyone at all
-   (an exact bound that clears most copies with many changes of their own), then on their
-   registers; the plausible pairs are verified too.
+   (an exact bound that clears most copies with many changes of their own), then on a finer
+   sketch; the plausible pairs are verified too.
    Only pairs that are connected already, directly or through others, are never compared.
 
 A pair of similarity 0.8 misses all 21 bands of 3 registers with a probability of 3e-7.
@@ -47,9 +47,13 @@ SLACK = 8.0
 #: Members of a bucket whose registers are compared with those of another block at once.
 BLOCK = 256
 
+#: Further registers, of one byte each, of the documents that share a bucket with others.
+FINE = 256
+
 _rng = np.random.Generator(np.random.PCG64(11))
 _XOR = _rng.integers(0, 2**63, REGISTERS, dtype=np.uint64)
 _ODD = _rng.integers(0, 2**63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_FINE = _rng.integers(0, 2**63, FINE, dtype=np.uint64)
 
 
 def shingle_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -264,19 +268,21 @@ def _links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> Data
     largest = (apart.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("k"))
                .groupBy("bucket").agg(F.max(F.struct("k", "root")).alias("m"), F.count(F.lit(1)).alias("roots"))
                .where("roots > 1").select("bucket", F.col("m.root").alias("main")))
-    mixed = (apart.join(largest, "bucket").join(sketch, "cid").join(_shared(sets), "cid")
+    mixed = (apart.join(largest, "bucket").join(sketch, "cid").join(_finer(sets), "cid")
              .withColumn("block", F.expr(f"pmod(xxhash64(cid), cast(ceil(size / {BLOCK}) as long))")))
     blocks = common.stored(mixed.groupBy("bucket", "band", "main", "block").agg(
-        F.collect_list(F.struct("cid", "root", "n", "shared", "_regs")).alias("all"),
-        F.expr("collect_list(struct(cid, root, n, shared, _regs)) filter (where root != main)").alias("odd")), "blocks")
+        F.collect_list(F.struct("cid", "root", "n", "shared", "_regs", "fine")).alias("all"),
+        F.expr("collect_list(struct(cid, root, n, shared, _regs, fine)) filter (where root != main)").alias("odd")),
+        "blocks")
     compared = (blocks.where("size(odd) > 0").select("bucket", "band", "main", "odd")
                 .join(blocks.select("bucket", "all"), "bucket")
                 .select("band", "main", "odd", "all").mapInArrow(_compare(percent), "a long, b long"))
     return links.union(_verified(compared.distinct(), sets, percent))
 
 
-def _shared(sets: DataFrame) -> DataFrame:
-    """cid, shared: how many shingles of a set occur in another of the sets."""
+def _finer(sets: DataFrame) -> DataFrame:
+    """cid, shared (how many shingles of a set occur in another of the sets), fine (one byte of
+    each of FINE further registers)."""
     spark = sets.sparkSession
     bits, folder = hashstore.shard_bits(spark), common.shared_folder(spark, "shingles")
 
@@ -297,11 +303,15 @@ def _shared(sets: DataFrame) -> DataFrame:
         for batch in batches:
             for rows in common.slices(batch, "_set"):
                 buf, offsets = common.text_buffer(rows.column("_set"))
-                hit = np.concatenate([[0], np.cumsum(several.has(np.frombuffer(buf.tobytes(), np.uint64)))])
+                shingles, start = np.frombuffer(buf.tobytes(), np.uint64), offsets // 8
+                hit = np.concatenate([[0], np.cumsum(several.has(shingles))])
+                fine = np.stack([textscan.mix(np.minimum.reduceat(textscan.mix(shingles ^ x), start[:-1]))
+                                 for x in _FINE], 1).astype(np.uint8)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("cid"), pa.array(np.diff(hit[offsets // 8]))], ["cid", "shared"])
+                    [rows.column("cid"), pa.array(np.diff(hit[start])),
+                     common.binary_column(fine, np.arange(len(fine) + 1) * FINE)], ["cid", "shared", "fine"])
 
-    return common.stored(sets.mapInArrow(shared, "cid long, shared long"), "shared")
+    return common.stored(sets.mapInArrow(shared, "cid long, shared long, fine binary"), "finer")
 
 
 def _likely(percent: int):
@@ -322,6 +332,11 @@ def _compare(percent: int):
     """Two blocks of a bucket -> the pairs of different components that may be links. A pair comes
     from the first band that it shares, and once if both members are outside of the largest
     component."""
+    # registers that agree, by chance too, in a pair at the threshold, less than which about one
+    # in 10^5 such pairs has
+    share = percent / 100 + (1 - percent / 100) / 256
+    fewest = FINE * share - 4.2 * (FINE * share * (1 - share)) ** 0.5
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
@@ -329,22 +344,23 @@ def _compare(percent: int):
                 odd, other = batch.column("odd")[i].values, batch.column("all")[i].values
                 ids, roots, sizes, shared = ([x.field(c).to_numpy() for x in (odd, other)]
                                              for c in ("cid", "root", "n", "shared"))
-                regs = [_matrix(x.field("_regs")) for x in (odd, other)]
+                regs = [_matrix(x.field("_regs")).reshape(-1, BANDS, ROWS) for x in (odd, other)]
+                fine = [common.text_buffer(x.field("fine"))[0].reshape(-1, FINE) for x in (odd, other)]
+                a, b = [], []
                 for k in range(len(ids[0])):
                     # both sets cannot have more in common than what either shares with anyone
                     most = np.minimum(shared[1], shared[0][k])
                     pick = np.flatnonzero((roots[1] != roots[0][k])
                                           & (100 * most >= percent * (sizes[1] + sizes[0][k] - most))
                                           & ((roots[1] == main) | (ids[1] > ids[0][k])))
-                    same = regs[1][pick] == regs[0][k]
-                    pick = pick[same.reshape(-1, BANDS, ROWS).all(2).argmax(1) == band]
                     if len(pick):
-                        n = len(pick)
-                        pick = pick[plausible(np.broadcast_to(regs[0][k], (n, REGISTERS)), regs[1][pick],
-                                              np.full(n, float(sizes[0][k])), sizes[1][pick].astype(float),
-                                              percent / 100)]
+                        pick = pick[(fine[1][pick] == fine[0][k]).sum(1) >= fewest]
                     if len(pick):
-                        x = np.full(len(pick), ids[0][k])
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.minimum(x, ids[1][pick])), pa.array(np.maximum(x, ids[1][pick]))], ["a", "b"])
+                        pick = pick[(regs[1][pick] == regs[0][k]).all(2).argmax(1) == band]
+                        a.append(np.full(len(pick), ids[0][k]))
+                        b.append(ids[1][pick])
+                if a:
+                    a, b = np.concatenate(a), np.concatenate(b)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
     return run
