@@ -1,7 +1,9 @@
 """DET-1..3 in batch: the three keyed detectors as distributed DataFrame jobs.
 
-Order is (event time, tie-breaker); the tie-breaker must make the order total within a
-key (an offset or record id). No key is gathered into one task: see ``scan``.
+Order is (event time, tie-breaker, row number): the tie-breaker (an offset or record id) may be
+null or repeated; a null one comes first, and the row number, fixed by a checkpoint, decides
+between rows that are otherwise equal. Rows without an event time take no part. No key is
+gathered into one task: see ``scan``.
 """
 
 from __future__ import annotations
@@ -18,14 +20,18 @@ from civicstream.schemas import (AQI_COOLDOWN_MS, AQI_HAZARDOUS, BUNCHING_DISTAN
                                  GRIDLOCK_WAIT_SEC)
 
 DAY_MS = 86_400_000
+NO_TIE = -(2**63)  # a null tie-breaker comes before all others
 CHUNK_ROWS = 1_000_000  # rows per scan chunk: bounds every window task, hot keys included
 
 
 def _ordered(df: DataFrame, time_col: str, tie_col: str, chunk_ms: int | None) -> DataFrame:
-    """Order columns ``_t`` (epoch ms), ``_tie`` and a time chunk ``_chunk``."""
+    """Order columns ``_t`` (epoch ms), ``_tie``, ``_rid`` and a time chunk ``_chunk`` of the
+    rows that have an event time. ``_rid`` is fixed once the rows are checkpointed."""
     t = epoch_ms(time_col)
-    return df.select("*", t.alias("_t"), F.col(tie_col).cast("long").alias("_tie"),
-                     F.floor(t / (chunk_ms or DAY_MS)).cast("long").alias("_chunk"))
+    tie = F.coalesce(F.col(tie_col).cast("long"), F.lit(NO_TIE))
+    return df.where(t.isNotNull()).select(
+        "*", t.alias("_t"), tie.alias("_tie"), F.monotonically_increasing_id().alias("_rid"),
+        F.floor(t / (chunk_ms or DAY_MS)).cast("long").alias("_chunk"))
 
 
 def _bounded(df: DataFrame, keys: list[str], chunk_ms: int | None,
@@ -44,7 +50,7 @@ def _bounded(df: DataFrame, keys: list[str], chunk_ms: int | None,
 
 
 def _order() -> list[Column]:
-    return [F.col("_t"), F.col("_tie")]
+    return [F.col("_t"), F.col("_tie"), F.col("_rid")]
 
 
 def cooldown_alerts(df: DataFrame, key: str, time_col: str, value_col: str, tie_col: str,
@@ -81,12 +87,12 @@ def cooldown_alerts(df: DataFrame, key: str, time_col: str, value_col: str, tie_
     # materialized once: read by the existence check and by both paths below
     sized = sized.drop("_sk", "_ss").checkpoint(eager=True)
     cols = [c for c in cand.columns]
-    drop = ["_t", "_tie", "_chunk", "_prev_t", "_start", "_seg"]
+    drop = ["_t", "_tie", "_rid", "_chunk", "_prev_t", "_start", "_seg"]
 
     # 2. bounded segments: one sorted array of at most max_fold rows per segment.
     small = sized.where(F.col("_n") <= max_fold)
     packed = small.groupBy(key, "_seg").agg(F.array_sort(F.collect_list(
-        F.struct(F.col("_t").alias("t"), F.col("_tie").alias("tie")))).alias("_xs"))
+        F.struct(F.col("_t").alias("t"), F.col("_tie").alias("tie"), F.col("_rid").alias("rid")))).alias("_xs"))
     none = F.filter(F.col("_xs"), lambda x: F.lit(False))
     fired_ties = packed.select(key, F.explode(F.aggregate(
         "_xs", F.struct(F.lit(None).cast("long").alias("last"), none.alias("out")),
@@ -95,17 +101,14 @@ def cooldown_alerts(df: DataFrame, key: str, time_col: str, value_col: str, tie_
                                        F.concat(acc["out"], F.array(x)).alias("out")))
                         .otherwise(acc),
         lambda acc: acc["out"])).alias("_f"))
-    fired_small = fired_ties.select(F.col(key).alias("_fk"), F.col("_f.t").alias("_ft"),
-                                    F.col("_f.tie").alias("_ftie"))
-    out = small.join(fired_small, small[key].eqNullSafe(F.col("_fk"))
-                     & (small["_t"] == F.col("_ft")) & (small["_tie"] == F.col("_ftie")),
-                     "left_semi").select(*cols)
+    fired_small = fired_ties.select(F.col("_f.rid").alias("_rid"))
+    out = small.join(fired_small, "_rid", "left_semi").select(*cols)
 
     # 3. unbounded segments, only if there are any.
     if not sized.where(F.col("_n") > max_fold).isEmpty():
         big = sized.where(F.col("_n") > max_fold).select(*cols).withColumn(
             "_node", F.struct(F.col(key).alias("k"), F.col("_t").alias("t"),
-                              F.col("_tie").alias("tie")))
+                              F.col("_tie").alias("tie"), F.col("_rid").alias("rid")))
         probes = big.select(key, "_seg", (F.col("_t") + cooldown_ms).alias("p_time"),
                             F.col("_node").alias("p_id"))
         targets = big.select(key, "_seg", F.col("_t").alias("t_time"),
@@ -122,7 +125,8 @@ def streak_alerts(df: DataFrame, key: str, time_col: str, value_col: str, tie_co
                   threshold: float = GRIDLOCK_WAIT_SEC, cycles: int = GRIDLOCK_CYCLES,
                   chunk_ms: int | None = None, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """DET-2: alert on exactly the ``cycles``-th consecutive row with
-    ``value > threshold`` per key; a row at or below resets, a null value is skipped.
+    ``value > threshold`` per key; a row at or below resets, a null value is skipped, and so
+    is a row without an event time.
 
     Position of each row (running count) and position of the last reset (running max)
     come from two chunked prefix scans; the alert row has ``pos - reset == cycles``.
@@ -136,7 +140,7 @@ def streak_alerts(df: DataFrame, key: str, time_col: str, value_col: str, tie_co
     out = r.where(breach & (F.col("_pos") - F.coalesce(F.col("_reset"), F.lit(0)) == cycles))
     return (out.withColumn("consecutive_cycles_over_threshold", F.lit(cycles))
                .withColumn("detected_at_event_time", F.col("_t"))
-               .drop("_t", "_tie", "_chunk", "_pos", "_reset"))
+               .drop("_t", "_tie", "_rid", "_chunk", "_pos", "_reset"))
 
 
 def proximity_alerts(df: DataFrame, route: str, bus: str, time_col: str, lat: str, lon: str,
@@ -159,7 +163,7 @@ def proximity_alerts(df: DataFrame, route: str, bus: str, time_col: str, lat: st
     """
     fx = _ordered(df.where(F.col(bus).isNotNull() & F.col(lat).isNotNull()
                            & F.col(lon).isNotNull()), time_col, tie_col, None)
-    fx = fx.select(F.col(route).alias("_route"), F.col(bus).alias("_bus"), "_t", "_tie",
+    fx = fx.select(F.col(route).alias("_route"), F.col(bus).alias("_bus"), "_t", "_tie", "_rid",
                    F.col(lat).alias("_lat"), F.col(lon).alias("_lon"),
                    F.col(time_col).alias("_ts_src"))
     fx = fx.checkpoint(eager=True)  # narrow fixes, read by four branches below
@@ -221,29 +225,30 @@ def proximity_alerts(df: DataFrame, route: str, bus: str, time_col: str, lat: st
         rep_b = rep.withColumn("_obs_tb", F.explode(F.array(tb, tb - 1)))
         partner_fix = fx.select("_route", F.col("_bus").alias("_partner"),
                                 tb.alias("_obs_tb"), F.col("_t").alias("_pt"),
-                                F.col("_tie").alias("_ptie"), F.col("_lat").alias("_plat"),
+                                F.struct("_tie", "_rid").alias("_ptie"), F.col("_lat").alias("_plat"),
                                 F.col("_lon").alias("_plon"))
         seen = rep_b.join(partner_fix, ["_route", "_partner", "_obs_tb"]).where(
             ((F.col("_pt") < F.col("_t"))
-             | ((F.col("_pt") == F.col("_t")) & (F.col("_ptie") < F.col("_tie"))))
+             | ((F.col("_pt") == F.col("_t")) & (F.col("_ptie") < F.struct("_tie", "_rid"))))
             & (F.col("_t") - F.col("_pt") <= fresh_ms))
-        obs = seen.groupBy("_route", "_bus", "_partner", "_t", "_tie", "_lat", "_lon",
+        obs = seen.groupBy("_route", "_bus", "_partner", "_t", "_tie", "_rid", "_lat", "_lon",
                            "_ts_src").agg(
             F.max_by(F.struct("_plat", "_plon"), F.struct("_pt", "_ptie")).alias("_p"))
     else:
         probes = rep.select("_route", "_bus", "_partner", F.col("_t").alias("p_time"),
-                            F.col("_tie").alias("p_tie"), "_lat", "_lon", "_ts_src")
-        partner_fix = fx.select("_route", F.col("_bus").alias("_partner"), "_t", "_tie",
+                            F.struct("_tie", "_rid").alias("p_tie"), "_lat", "_lon", "_ts_src")
+        partner_fix = fx.select("_route", F.col("_bus").alias("_partner"), "_t", "_tie", "_rid",
                                 "_lat", "_lon").join(
             both.select("_route", "_bus", "_partner", "_from", "_to"), ["_route", "_partner"]) \
             .where(F.col("_t").between(F.col("_from") - fresh_ms, F.col("_to")))
         targets = partner_fix.select("_route", "_bus", "_partner", F.col("_t").alias("t_time"),
-                                     F.col("_tie").alias("t_tie"),
+                                     F.struct("_tie", "_rid").alias("t_tie"),
                                      F.struct(F.col("_lat").alias("_plat"),
                                               F.col("_lon").alias("_plon")).alias("t_val"))
         seen = last_before(probes, targets, ["_route", "_bus", "_partner"], fresh_ms)
         obs = seen.select("_route", "_bus", "_partner", F.col("p_time").alias("_t"),
-                          F.col("p_tie").alias("_tie"), "_lat", "_lon", "_ts_src",
+                          F.col("p_tie._tie").alias("_tie"), F.col("p_tie._rid").alias("_rid"), "_lat", "_lon",
+                          "_ts_src",
                           F.col("t_val").alias("_p"))
     dist = haversine_m("_lat", "_lon", "_p._plat", "_p._plon")
     obs = obs.select("*", dist.alias("_dist"), pair_key("_bus", "_partner").alias("_pair"),
@@ -260,7 +265,7 @@ def proximity_alerts(df: DataFrame, route: str, bus: str, time_col: str, lat: st
         F.col("_t") - F.col("_first") >= duration_ms)
     alert = cand.groupBy(*pk, "_streak").agg(F.min_by(
         F.struct("_bus", "_partner", "_dist", "_t", "_tie", "_first", "_ts_src"),
-        F.struct("_t", "_tie")).alias("a"))
+        F.struct("_t", "_tie", "_rid")).alias("a"))
     return alert.select(
         F.col("_route").alias("route_id"),
         F.col("a._bus").alias("bus_id_1"),
@@ -269,6 +274,6 @@ def proximity_alerts(df: DataFrame, route: str, bus: str, time_col: str, lat: st
         F.floor((F.col("a._t") - F.col("a._first")) / 1000).cast("long")
          .alias("continuous_proximity_sec"),
         F.col("a._ts_src").alias("source_time"),
-        F.col("a._tie").alias("tie"),
+        F.nullif(F.col("a._tie"), F.lit(NO_TIE)).alias("tie"),
         F.col("a._t").alias("detected_at_event_time"),
     )

@@ -9,7 +9,7 @@ from civicstream.functions.jsoncols import default_label
 from civicstream.schemas import DLQ_REPORT_WINDOW, REASONS, topic_name
 
 # Rule descriptions (ours) for the catalog, in evaluation order per feed.
-_DESCRIPTIONS = {
+RULE_DESCRIPTIONS = {
     "NULL_COORDINATES": "latitude or longitude missing",
     "IMPOSSIBLE_GPS_COORDINATES": "latitude outside [-90, 90] or longitude outside [-180, 180]",
     "SPEED_OUT_OF_RANGE": "speed missing or outside [0, 120] km/h",
@@ -31,7 +31,7 @@ _DESCRIPTIONS = {
 
 def rule_catalog(spark: SparkSession) -> DataFrame:
     """All (topic, rule order, reason, description) rows; 19 rules over four feeds."""
-    rows = [(topic_name(feed), i + 1, r, _DESCRIPTIONS[r])
+    rows = [(topic_name(feed), i + 1, r, RULE_DESCRIPTIONS[r])
             for feed, reasons in REASONS.items() for i, r in enumerate(reasons)]
     return spark.createDataFrame(
         rows, "source_topic string, rule_order int, error_reason string, description string")

@@ -87,11 +87,12 @@ def health_advisories(readings: DataFrame, profile: DataFrame, key: str = "zone"
     ``threshold``, joined (inner) with the zone profile — unknown zones vanish.
 
     Aggregates first and joins after (eager aggregation): equal to join-then-group as
-    long as the profile key is unique, which ``unique_lookup`` enforces upstream.
+    long as the profile key is unique, which ``unique_lookup`` enforces for tables read from
+    files; repeated profile rows are dropped here.
     """
     roll = rolling_average(readings, key, time_col, value, width, slide, decimals, streaming)
     roll = roll.where(F.col("rolling_avg") > F.lit(threshold))
     attrs = [c for c in profile.columns if c != key]
-    return roll.join(profile, key, "inner").select(
+    return roll.join(profile.distinct(), key, "inner").select(
         key, *attrs, "window_start", "window_end",
         F.col("rolling_avg").alias("rolling_avg_aqi"))

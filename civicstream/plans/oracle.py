@@ -69,9 +69,11 @@ def envelopes() -> str:
 
 
 def _catalog_values() -> str:
+    from civicstream.operators.dlq import RULE_DESCRIPTIONS
     from civicstream.schemas import REASONS
-    rows = [f"('city.{f}', {i + 1}, '{r}')" for f, rs in REASONS.items() for i, r in enumerate(rs)]
-    return "(VALUES " + ", ".join(rows) + ") AS c(source_topic, rule_order, error_reason)"
+    rows = [f"('city.{f}', {i + 1}, '{r}', '{RULE_DESCRIPTIONS[r]}')"
+            for f, rs in REASONS.items() for i, r in enumerate(rs)]
+    return "(VALUES " + ", ".join(rows) + ") AS c(source_topic, rule_order, error_reason, description)"
 
 
 HAV = ("2 * 6371000.0 * asin(sqrt(least(1.0, pow(sin(radians({la2} - {la1}) / 2), 2) "
@@ -188,7 +190,7 @@ ORACLE = {
     "dlq_windows": f"""SELECT time_bucket(INTERVAL 5 MINUTE, event_time) AS window_start,
         time_bucket(INTERVAL 5 MINUTE, event_time) + INTERVAL 5 MINUTE AS window_end,
         source_topic, error_reason, count(*) AS cnt FROM {all_dlq()} GROUP BY ALL""",
-    "rule_hits": f"""SELECT c.source_topic, c.rule_order, c.error_reason,
+    "rule_hits": f"""SELECT c.source_topic, c.rule_order, c.error_reason, c.description,
         CAST(coalesce(h.hits, 0) AS BIGINT) AS hits FROM {_catalog_values()}
         LEFT JOIN (SELECT source_topic, error_reason, count(*) AS hits FROM {all_dlq()}
                    GROUP BY ALL) h USING (source_topic, error_reason)""",

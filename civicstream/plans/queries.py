@@ -71,7 +71,7 @@ def dlq_windows(spark, sf_dir):
 
 
 def rule_hits(spark, sf_dir):
-    return dlq.catalog_hits(dlq.rule_catalog(spark), _all_dlq(spark, sf_dir)).drop("description")
+    return dlq.catalog_hits(dlq.rule_catalog(spark), _all_dlq(spark, sf_dir))
 
 
 def ward_energy(spark, sf_dir):

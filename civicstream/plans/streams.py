@@ -1,13 +1,16 @@
 """Registered streaming queries over the driver tables.
 
-Spark derives the feed messages from ``events`` (JSON values in the message envelope),
-writes them as files into the shared checkpoint folder, runs the streaming job with an
-``availableNow`` trigger into its sink, and returns the sink's rows as a DataFrame.
+Spark derives the feed messages from ``events`` (JSON values in the message envelope) and
+writes them as files into the shared checkpoint folder, one slice of event time after another;
+after each the streaming job runs with an ``availableNow`` trigger into its sink, going on from
+its checkpoint. The sink's rows are returned as a DataFrame.
 Each call uses fresh folders, so the result depends only on the tables.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,11 +23,12 @@ from civicstream.streaming import jobs
 
 ISO_S = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 ONCE = {"availableNow": True}
+SLICES = 3
 
 
-def _messages(spark: SparkSession, sf_dir: str, feed: str, copies: int = 1) -> str:
-    """Write the feed as envelope files (JSON value with an ISO ``timestamp``); returns
-    the root folder. Offsets are the record ids; ``copies`` > 1 replays every record."""
+def _messages(spark: SparkSession, sf_dir: str, feed: str, copies: int = 1) -> DataFrame:
+    """The feed as envelope rows (JSON value with an ISO ``timestamp``). Offsets are the record
+    ids; ``copies`` > 1 replays every record."""
     f = feeds.feed(spark, sf_dir, feed)
     payload = f.withColumn("timestamp", F.date_format("event_time", ISO_S))
     cols = RAW_SCHEMAS[feed].fieldNames()
@@ -38,9 +42,30 @@ def _messages(spark: SparkSession, sf_dir: str, feed: str, copies: int = 1) -> s
                           F.col("event_time").cast("timestamp").alias("timestamp"))
     if copies > 1:
         msgs = msgs.unionByName(msgs)
-    root = unique_scratch_path(spark, f"msgs-{feed}")
-    msgs.select(*ENVELOPE.fieldNames()).write.parquet(f"{root}/{topic_name(feed)}")
-    return root
+    return msgs.select(*ENVELOPE.fieldNames())
+
+
+class _Delivery:
+    """Delivers messages into topic folders in ``SLICES`` slices of event time, and runs a query
+    over all that has arrived after each: several micro-batches, in event order as a topic would
+    have it, with a restart from the checkpoint between them."""
+
+    def __init__(self, spark: SparkSession, messages: dict[str, DataFrame]):
+        self.messages = messages
+        self.root = unique_scratch_path(spark, "topics")
+        times = [m.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")) for m in messages.values()]
+        lo, hi = reduce(DataFrame.unionByName, times).agg(F.min("lo"), F.max("hi")).first()
+        self.edges = [lo + (hi - lo) * i / SLICES for i in range(1, SLICES)] if lo is not None else []
+        for feed, m in messages.items():  # an empty folder, so that the stream can be declared
+            m.limit(0).write.parquet(f"{self.root}/{topic_name(feed)}")
+
+    def run(self, start) -> None:
+        for i in range(SLICES):
+            for feed, m in self.messages.items():
+                slice_no = sum((F.coalesce(F.col("timestamp") >= F.lit(e), F.lit(False)).cast("int")
+                                for e in self.edges), F.lit(0))
+                m.where(slice_no == i).write.mode("append").parquet(f"{self.root}/{topic_name(feed)}")
+            start().awaitTermination()
 
 
 def _stream_valid(spark, root: str, feed: str) -> DataFrame:
@@ -51,12 +76,11 @@ def _stream_valid(spark, root: str, feed: str) -> DataFrame:
 
 def stream_ward_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG-1 append + SNK-6/7: closed 15-minute windows, read back from the archive."""
-    root = _messages(spark, sf_dir, "smart_meters")
-    meters = _stream_valid(spark, root, "smart_meters")
+    feed = _Delivery(spark, {"smart_meters": _messages(spark, sf_dir, "smart_meters")})
+    meters = _stream_valid(spark, feed.root, "smart_meters")
     out = unique_scratch_path(spark, "ward-out")
-    q = jobs.ward_energy_job(meters, f"{out}/archive", f"{out}/topics", f"{out}/ckpt",
-                             trigger=ONCE, decimals=2, pf_decimals=6)
-    q.awaitTermination()
+    feed.run(lambda: jobs.ward_energy_job(meters, f"{out}/archive", f"{out}/topics", f"{out}/ckpt",
+                                          trigger=ONCE, decimals=2, pf_decimals=6))
     arc = spark.read.parquet(f"{out}/archive")
     return arc.select("ward_id",
                       F.col("window_start").cast("timestamp_ntz").alias("window_start"),
@@ -66,15 +90,15 @@ def stream_ward_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_health_advisories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG-2 + JOIN-3 as streaming SQL in update mode; the keyed changelog is read back
-    and the latest value per (zone, window) kept (a consumer's upsert)."""
-    root = _messages(spark, sf_dir, "air_quality")
-    air = _stream_valid(spark, root, "air_quality")
+    and the latest value per (zone, window) kept (a consumer's upsert); a window that fell back
+    to the threshold or below is emitted too, and taken back."""
+    feed = _Delivery(spark, {"air_quality": _messages(spark, sf_dir, "air_quality")})
+    air = _stream_valid(spark, feed.root, "air_quality")
     profile = Q.zone_profile(Q._valid(spark, sf_dir, "air_quality"))
     out = unique_scratch_path(spark, "advisory-out")
-    q = jobs.health_advisory_job(spark, air, profile, f"{out}/topics", f"{out}/ckpt",
-                                 trigger=ONCE, width=Q.ADVISORY_WIDTH, slide=Q.ADVISORY_SLIDE,
-                                 threshold=Q.ADVISORY_THRESHOLD, decimals=2)
-    q.awaitTermination()
+    feed.run(lambda: jobs.health_advisory_job(
+        spark, air, profile, f"{out}/topics", f"{out}/ckpt", trigger=ONCE, width=Q.ADVISORY_WIDTH,
+        slide=Q.ADVISORY_SLIDE, threshold=Q.ADVISORY_THRESHOLD, decimals=2, retract=True))
     log = spark.read.parquet(f"{out}/topics/{topic_name('health_advisories')}")
     schema = ("zone string, zone_name string, population int, num_schools int, "
               "window_start timestamp, window_end timestamp, rolling_avg_aqi double")
@@ -82,6 +106,7 @@ def stream_health_advisories(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = rows.groupBy("zone", "window_start").agg(
         F.max_by(F.struct(*[c for c in rows.columns if c not in ("batch",)]),
                  F.col("batch")).alias("x")).select("x.*")
+    latest = latest.where(F.col("rolling_avg_aqi") > Q.ADVISORY_THRESHOLD)  # others were retracted
     return latest.select("zone", "zone_name", "population", "num_schools",
                          F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                          F.col("window_end").cast("timestamp_ntz").alias("window_end"),
@@ -90,15 +115,14 @@ def stream_health_advisories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR-6: every air message delivered twice; deduplicated within the watermark."""
-    root = _messages(spark, sf_dir, "air_quality", copies=2)
-    env = read_topic(spark, topic_name("air_quality"), root=root, streaming=True)
+    feed = _Delivery(spark, {"air_quality": _messages(spark, sf_dir, "air_quality", copies=2)})
+    env = read_topic(spark, topic_name("air_quality"), root=feed.root, streaming=True)
     parsed = jobs.parsed_feed(env, "air_quality", keep_raw=False)
     d = jobs.dedup_stream(parsed, ["sensor_id", "event_time"])
     out = unique_scratch_path(spark, "dedup-out")
-    q = (d.select("sensor_id", "event_time", F.col("offset").alias("record_id"))
-          .writeStream.format("parquet").option("path", f"{out}/rows")
-          .option("checkpointLocation", f"{out}/ckpt").trigger(availableNow=True).start())
-    q.awaitTermination()
+    rows = d.select("sensor_id", "event_time", F.col("offset").alias("record_id"))
+    feed.run(lambda: rows.writeStream.format("parquet").option("path", f"{out}/rows")
+             .option("checkpointLocation", f"{out}/ckpt").trigger(availableNow=True).start())
     r = spark.read.parquet(f"{out}/rows")
     return r.select("sensor_id", F.col("event_time").cast("timestamp_ntz").alias("event_time"),
                     "record_id")
@@ -108,9 +132,9 @@ def stream_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DET-1..4 streaming: three stateful detectors over three message streams, one
     incident sink. Rows newer than the final watermark are still buffered when the
     stream stops, so the result is the batch incidents up to that watermark."""
-    air = _stream_valid(spark, _messages(spark, sf_dir, "air_quality"), "air_quality")
-    tr = _stream_valid(spark, _messages(spark, sf_dir, "traffic_signals"), "traffic_signals")
-    gps = _stream_valid(spark, _messages(spark, sf_dir, "bus_gps"), "bus_gps")
+    names = ("air_quality", "traffic_signals", "bus_gps")
+    feed = _Delivery(spark, {n: _messages(spark, sf_dir, n) for n in names})
+    air, tr, gps = (_stream_valid(spark, feed.root, n) for n in names)
     params = {"aqi": {"threshold": Q.AQI_THRESHOLD, "cooldown_ms": Q.AQI_COOLDOWN_MS},
               "gridlock": {"threshold": Q.WAIT_THRESHOLD, "cycles": Q.WAIT_CYCLES},
               "bunching": {"distance_m": Q.BUNCH_DISTANCE_M, "duration_ms": Q.BUNCH_DURATION_MS,
@@ -118,9 +142,8 @@ def stream_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     inc = jobs.incidents_stream(air, tr, gps, tie_col="offset",
                                 params=params)
     out = unique_scratch_path(spark, "incidents-out")
-    q = (inc.writeStream.format("parquet").option("path", f"{out}/rows")
-            .option("checkpointLocation", f"{out}/ckpt").trigger(availableNow=True).start())
-    q.awaitTermination()
+    feed.run(lambda: inc.writeStream.format("parquet").option("path", f"{out}/rows")
+             .option("checkpointLocation", f"{out}/ckpt").trigger(availableNow=True).start())
     return spark.read.parquet(f"{out}/rows").drop("source_timestamp")
 
 

@@ -58,7 +58,8 @@ def ensure_rocksdb_state(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) is a private folder created.
+    Only in local mode, where all tasks share the driver's disk, is a private folder created
+    when the setting is absent.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -66,6 +67,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
+    if not configured and not sc.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not configured:
         configured = tempfile.mkdtemp(prefix="civicstream-ckpt-")
     sc.setCheckpointDir(configured)

@@ -2,11 +2,15 @@
 
 Same key -> same partition -> per-key order. With Kafka the producer's partitioner does
 this; for envelope files the rows are hash-partitioned by key and sorted by key and
-event time inside each file.
+event time inside each file; their offsets ascend in that order, and from one batch to the next.
+Every writing query has its own folder, so equal batch numbers of two queries (or of a query with
+a new checkpoint) never overwrite each other.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,26 +40,36 @@ def keyed_messages(df: DataFrame, key_col: str | None, topic: str,
     return out
 
 
-def _file_frame(msgs: DataFrame, partitions: int | None) -> DataFrame:
-    """Hash-partition by key and sort by (key, _order) inside each file."""
-    out = msgs.withColumn("offset", F.lit(None).cast("long")) \
-              .withColumn("timestamp", F.current_timestamp())
+def _file_frame(msgs: DataFrame, partitions: int | None, first_offset: int = 0) -> DataFrame:
+    """Place rows by their partition label, sort by (key, _order) inside each file, and number
+    them in that order after all of earlier batches."""
+    out = msgs.withColumn("timestamp", F.current_timestamp())
     if partitions:
-        out = out.repartition(partitions, "key")
+        out = out.repartitionById(partitions, "partition")
     order = ["key"] + (["_order"] if "_order" in msgs.columns else [])
     out = out.sortWithinPartitions(*order)
+    # consecutive within a task; without labels the task is told apart by its high bits
+    place = F.monotonically_increasing_id()
+    if partitions:
+        place = place - F.shiftleft(F.spark_partition_id().cast("long"), 33)
+    out = out.withColumn("offset", place + F.lit(first_offset))
     return out.select("key", "value", "topic", "partition", "offset", "timestamp")
 
 
+def writer_id(name: str) -> str:
+    """Folder name for the output of the query with this checkpoint (or other unique name)."""
+    return hashlib.sha256(name.encode()).hexdigest()[:16]
+
+
 def write_keyed(df: DataFrame, key_col: str | None, topic: str, root: str | None = None,
                 bootstrap: str | None = None, partitions: int | None = None,
                 order_col: str | None = None, cols: list[str] | None = None,
-                batch_id: int | None = None) -> None:
+                batch_id: int | None = None, writer: str = "batch") -> None:
     """Batch write of keyed JSON messages.
 
     Kafka: ``key``/``value`` rows with the delivery options. Files: envelope Parquet
-    under ``root/topic``; with ``batch_id`` each micro-batch goes to its own folder in
-    overwrite mode, so a retried batch replaces its own output (idempotent).
+    under ``root/topic``; with ``batch_id`` each micro-batch of a ``writer`` goes to its own
+    folder in overwrite mode, so a retried batch replaces its own output (idempotent).
     """
     cols = cols or df.columns
     msgs = keyed_messages(df, key_col, topic, partitions, cols, order_col=order_col)
@@ -66,10 +80,10 @@ def write_keyed(df: DataFrame, key_col: str | None, topic: str, root: str | None
             w = w.option(k, v)
         w.save()
         return
-    frame = _file_frame(msgs, partitions)
+    frame = _file_frame(msgs, partitions, (batch_id or 0) << 44)
     path = topic_path(root, topic)
     if batch_id is not None:
-        frame.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        frame.write.mode("overwrite").parquet(f"{path}/writer={writer_id(writer)}/batch={batch_id}")
     else:
         frame.write.mode("append").parquet(path)
 
@@ -77,12 +91,13 @@ def write_keyed(df: DataFrame, key_col: str | None, topic: str, root: str | None
 def stream_keyed(df: DataFrame, key_col: str | None, topic: str, checkpoint: str,
                  root: str | None = None, bootstrap: str | None = None,
                  output_mode: str = "append", partitions: int | None = None,
-                 trigger: dict | None = None, query_name: str | None = None):
+                 trigger: dict | None = None, query_name: str | None = None,
+                 order_col: str | None = None):
     """Streaming keyed sink with its own checkpoint (SNK-9).
 
-    Kafka supports append and update directly. For files, append uses the Parquet file
-    sink; update (a changelog of revised rows) goes through ``foreachBatch`` with one
-    idempotent folder per batch id.
+    Kafka supports append and update directly. Files (in append mode, or update mode: a
+    changelog of revised rows) go through ``foreachBatch`` with one idempotent folder per
+    checkpoint and batch id.
     """
     cols = df.columns
     if bootstrap:
@@ -92,16 +107,10 @@ def stream_keyed(df: DataFrame, key_col: str | None, topic: str, checkpoint: str
                  .outputMode(output_mode))
         for k, v in KAFKA_DELIVERY.items():
             w = w.option(k, v)
-    elif output_mode == "append":
-        msgs = keyed_messages(df, key_col, topic, partitions, cols)
-        frame = msgs.withColumn("offset", F.lit(None).cast("long")) \
-                    .withColumn("timestamp", F.current_timestamp())
-        w = (frame.writeStream.format("parquet").option("path", topic_path(root, topic))
-                  .option("checkpointLocation", checkpoint).outputMode("append"))
     else:
         def each(batch: DataFrame, batch_id: int) -> None:
             write_keyed(batch, key_col, topic, root=root, partitions=partitions,
-                        cols=cols, batch_id=batch_id)
+                        cols=cols, batch_id=batch_id, writer=checkpoint, order_col=order_col)
         w = (df.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
                .outputMode(output_mode))
     if query_name:

@@ -10,9 +10,13 @@ from civicstream.schemas import KEY_FIELD, TOPICS, topic_name
 
 def read_jsonl(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
     """Batch scan: a ``value`` column holding each line. ``limit`` keeps the first n
-    lines (the source's optional row limit)."""
+    lines by (file, position) (the source's optional row limit)."""
     df = spark.read.text(path)
-    return df.limit(limit) if limit else df
+    if not limit:
+        return df
+    place = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()]
+    return (df.select("value", *(c.alias(f"_p{i}") for i, c in enumerate(place)))
+              .orderBy("_p0", "_p1", "_p2").limit(limit).select("value"))
 
 
 def stream_jsonl(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -27,12 +31,13 @@ def stream_jsonl(spark: SparkSession, path: str, max_files_per_trigger: int | No
 def as_envelope(lines: DataFrame, feed: str) -> DataFrame:
     """Give raw lines the message envelope: key from the feed's key field (PRJ-8
     default ``unknown``), topic, partition from the key hash, event time as timestamp.
-    Offsets do not exist for files and stay null."""
+    Offsets ascend with the position in the input, with gaps between its splits; a stream of
+    files has none (null)."""
     parts = {t: p for t, p, _, _ in TOPICS}[feed]
     key = F.get_json_object("value", f"$.{KEY_FIELD[feed]}")
     return lines.select(
         F.coalesce(key, F.lit("unknown")).alias("key"), F.col("value"),
         F.lit(topic_name(feed)).alias("topic"),
         F.pmod(F.xxhash64(key), F.lit(parts)).cast("int").alias("partition"),
-        F.lit(None).cast("long").alias("offset"),
+        (F.lit(None).cast("long") if lines.isStreaming else F.monotonically_increasing_id()).alias("offset"),
         F.get_json_object("value", "$.timestamp").try_cast("timestamp").alias("timestamp"))

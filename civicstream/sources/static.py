@@ -22,8 +22,9 @@ def read_route_schedule(spark: SparkSession, path: str) -> DataFrame:
 
 def read_zone_profile(spark: SparkSession, path: str, view: str | None = "zone_profile") -> DataFrame:
     """Zone profile with a fixed schema (instead of inference), optionally registered
-    as a temp view for SQL."""
-    df = spark.read.schema(ZONE_PROFILE).option("header", "true").csv(path)
+    as a temp view for SQL; for a duplicated zone the later line wins."""
+    raw = spark.read.schema(ZONE_PROFILE).option("header", "true").csv(path)
+    df = unique_lookup(raw.withColumn("_line", F.monotonically_increasing_id()), "zone", "_line")
     if view:
         df.createOrReplaceTempView(view)
     return df

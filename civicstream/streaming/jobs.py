@@ -40,7 +40,7 @@ def parsed_feed(env: DataFrame, feed: str, keep_raw: bool = True) -> DataFrame:
 
 def validation_job(env: DataFrame, feed: str, out_root: str, checkpoint: str,
                    partitions: int | None = None, trigger: dict | None = None,
-                   name: str | None = None) -> StreamingQuery:
+                   name: str | None = None, bootstrap: str | None = None) -> StreamingQuery:
     """Route every record: valid -> the feed's topic (keyed), invalid -> the DLQ with
     its raw text and reason. Nothing is dropped. Counters (sent / routed_to_dlq) are
     streamed as an ``observe`` metric on each micro-batch's progress."""
@@ -56,13 +56,14 @@ def validation_job(env: DataFrame, feed: str, out_root: str, checkpoint: str,
         batch = batch.persist()
         try:
             good = validate.valid_rows(batch, feed).select(*fields, "event_time")
-            write_keyed(good.drop("event_time"), key_field, topic_name(feed), root=out_root,
-                        partitions=partitions, batch_id=batch_id)
+            write_keyed(good, key_field, topic_name(feed), root=out_root, bootstrap=bootstrap,
+                        partitions=partitions, cols=fields, batch_id=batch_id, writer=checkpoint,
+                        order_col="event_time")
             bad = validate.dlq_records(batch, feed, raw_col="value")
             write_keyed(bad.select("source_topic", "original_record", "error_reason", "key"),
-                        "key", topic_name("dlq"), root=out_root, partitions=partitions,
-                        cols=["source_topic", "original_record", "error_reason"],
-                        batch_id=batch_id)
+                        "key", topic_name("dlq"), root=out_root, bootstrap=bootstrap,
+                        partitions=partitions, cols=["source_topic", "original_record", "error_reason"],
+                        batch_id=batch_id, writer=checkpoint)
         finally:
             batch.unpersist()
 
@@ -84,7 +85,7 @@ def ward_energy_job(meters: DataFrame, archive_path: str, out_root: str, checkpo
                     partitions: int | None = None, trigger: dict | None = None,
                     name: str | None = None, delay: str = WARD_WATERMARK,
                     width: str = WARD_WINDOW, decimals: int | None = None,
-                    pf_decimals: int | None = None) -> StreamingQuery:
+                    pf_decimals: int | None = None, bootstrap: str | None = None) -> StreamingQuery:
     """SNK-7: one aggregation and one state store feeding two sinks. Each micro-batch of
     closed windows is persisted once and written to the keyed topic and to the
     ``ward_id``/``date`` archive; both writes are keyed by batch id (the archive's
@@ -96,7 +97,8 @@ def ward_energy_job(meters: DataFrame, archive_path: str, out_root: str, checkpo
         batch = batch.persist()
         try:
             write_keyed(batch, "ward_id", topic_name("ward_energy_summary"), root=out_root,
-                        partitions=partitions, batch_id=batch_id)
+                        bootstrap=bootstrap, partitions=partitions, batch_id=batch_id, writer=checkpoint,
+                        order_col="window_start")
             (with_date(batch).withColumn("batch", F.lit(batch_id))
                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 .partitionBy("ward_id", "date", "batch").parquet(archive_path))
@@ -117,7 +119,7 @@ ADVISORY_SQL = """
           FROM (SELECT zone, aqi, window(event_time, '{width}', '{slide}') AS w
                 FROM {readings})
           GROUP BY zone, w
-          HAVING {avg} > {threshold}) a
+          {having}) a
     JOIN {profile} z ON a.zone = z.zone
 """
 
@@ -127,34 +129,38 @@ def health_advisory_stream(spark: SparkSession, air: DataFrame, profile: DataFra
                            slide: str = ADVISORY_SLIDE, threshold: float = UNHEALTHY_AQI,
                            readings_view: str = "air_quality_stream",
                            profile_view: str = "zone_profile",
-                           decimals: int | None = None) -> DataFrame:
+                           decimals: int | None = None, retract: bool = False) -> DataFrame:
     """The advisory as streaming SQL over temp views: the window is written once, the
     zone average is aggregated before the join (the static profile is small and joins
     the aggregated rows), ``HAVING`` keeps unhealthy windows. Update mode re-emits a
     window whenever its average changes; a window falling back below the threshold is
-    simply no longer emitted (no retraction)."""
+    simply no longer emitted. With ``retract`` it is, so that a consumer who keeps the latest
+    value of each window sees that it is not unhealthy any more."""
     a = air.withColumn("event_time", F.col("event_time").cast("timestamp")) \
            .withWatermark("event_time", delay)
     a.createOrReplaceTempView(readings_view)
-    profile.createOrReplaceTempView(profile_view)
+    profile.distinct().createOrReplaceTempView(profile_view)  # a repeated row must not repeat advisories
     avg = ("AVG(aqi)" if decimals is None else
            f"CAST(SUM(CAST(aqi AS DECIMAL(18,{decimals}))) AS DOUBLE) / COUNT(aqi)")
-    return spark.sql(ADVISORY_SQL.format(width=width, slide=slide, threshold=threshold,
+    having = "" if retract else f"HAVING {avg} > {threshold}"
+    return spark.sql(ADVISORY_SQL.format(width=width, slide=slide, having=having,
                                          readings=readings_view, profile=profile_view, avg=avg))
 
 
 def health_advisory_job(spark: SparkSession, air: DataFrame, profile: DataFrame, out_root: str,
                         checkpoint: str, trigger: dict | None = None, name: str | None = None,
-                        **params) -> StreamingQuery:
+                        bootstrap: str | None = None, **params) -> StreamingQuery:
     adv = health_advisory_stream(spark, air, profile, **params)
     return stream_keyed(adv, "zone", topic_name("health_advisories"), checkpoint,
-                        root=out_root, output_mode="update", trigger=trigger, query_name=name)
+                        root=out_root, bootstrap=bootstrap, output_mode="update", trigger=trigger,
+                        query_name=name, order_col="window_start")
 
 
 # ------------------------------------------------------------------ JOIN-1/2
 
 def enrichment_job(gps: DataFrame, routes: DataFrame, out_root: str, checkpoint: str,
-                   trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
+                   trigger: dict | None = None, name: str | None = None,
+                   bootstrap: str | None = None) -> StreamingQuery:
     """Stream-static inner join on the route key (message key, else payload route);
     joined / unmatched / missing-key counters ride along as an ``observe`` metric."""
     g = route_key(gps)
@@ -166,7 +172,8 @@ def enrichment_job(gps: DataFrame, routes: DataFrame, out_root: str, checkpoint:
         F.count_if(F.col("key").isNull()).alias("missing_key")).drop("_rk")
     out = enrich_eta(counted, routes, broadcast_checked=False)
     return stream_keyed(out, "route_id", topic_name("bus_eta_enriched"), checkpoint,
-                        root=out_root, trigger=trigger, query_name=name)
+                        root=out_root, bootstrap=bootstrap, trigger=trigger, query_name=name,
+                        order_col="gps_timestamp")
 
 
 # ------------------------------------------------------------------ STR-6
@@ -198,9 +205,11 @@ def incidents_stream(air: DataFrame | None = None, traffic: DataFrame | None = N
 
 
 def incidents_job(incidents: DataFrame, out_root: str, checkpoint: str,
-                  trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
+                  trigger: dict | None = None, name: str | None = None,
+                  bootstrap: str | None = None) -> StreamingQuery:
     return stream_keyed(incidents, None, topic_name("incidents"), checkpoint, root=out_root,
-                        trigger=trigger, query_name=name)
+                        bootstrap=bootstrap, trigger=trigger, query_name=name,
+                        order_col="detected_at_event_time")
 
 
 # ------------------------------------------------------------------ STR-5 / OPS-2

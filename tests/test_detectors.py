@@ -200,3 +200,21 @@ def test_bunching_crowded_terminal_matches_model(spark, max_fanout):
     assert len(want) > 100
     assert {(r.route_id, r.bus_id_1, r.bus_id_2, r.tie, r.continuous_proximity_sec)
             for r in got.collect()} == want
+
+
+def test_null_and_repeated_ties(spark):
+    """Alerts do not depend on offsets: none at all, or the same one twice."""
+    rows = [("s1", f"2025-01-01 00:0{i}:00", 200.0, tie) for i, tie in ((0, None), (0, None), (3, 7), (3, 7), (6, None))]
+    df = spark.createDataFrame(rows, "sensor_id string, event_time string, aqi double, offset long") \
+        .withColumn("event_time", F.to_timestamp("event_time"))
+    got = detect.cooldown_alerts(df, "sensor_id", "event_time", "aqi", "offset", threshold=150.0, cooldown_ms=120_000)
+    assert sorted(str(r.event_time)[14:16] for r in got.collect()) == ["00", "03", "06"]
+    forced = detect.cooldown_alerts(df, "sensor_id", "event_time", "aqi", "offset", threshold=150.0,
+                                    cooldown_ms=240_000, max_fold=1)
+    assert sorted(str(r.event_time)[14:16] for r in forced.collect()) == ["00", "06"]
+
+
+def test_rows_without_a_time_do_not_count(spark):
+    rows = [("j", "2025-01-01 00:00:00", 99.0, 1), ("j", None, 99.0, 2), ("j", None, 99.0, 3)]
+    df = spark.createDataFrame(rows, "j string, t string, w double, o long").withColumn("t", F.to_timestamp("t"))
+    assert detect.streak_alerts(df, "j", "t", "w", "o", threshold=50.0, cycles=3).count() == 0
