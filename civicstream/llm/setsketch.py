@@ -48,7 +48,7 @@ SLACK = 8.0
 BLOCK = 256
 
 #: Further registers, of one byte each, of the documents that share a bucket with others.
-FINE = 256
+FINE = 512
 
 _rng = np.random.Generator(np.random.PCG64(11))
 _XOR = _rng.integers(0, 2**63, REGISTERS, dtype=np.uint64)
@@ -332,10 +332,10 @@ def _compare(percent: int):
     """Two blocks of a bucket -> the pairs of different components that may be links. A pair comes
     from the first band that it shares, and once if both members are outside of the largest
     component."""
-    # registers that agree, by chance too, in a pair at the threshold, less than which about one
-    # in 10^5 such pairs has
+    # registers that agree, by chance too, in a pair at the threshold, less than which about three
+    # in 10^5 such pairs have
     share = percent / 100 + (1 - percent / 100) / 256
-    fewest = FINE * share - 4.2 * (FINE * share * (1 - share)) ** 0.5
+    fewest = FINE * share - 4.0 * (FINE * share * (1 - share)) ** 0.5
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
