@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup is broadcast only below this many rows (checked by counting the static
-# table, which is cheap for a reference table); above it the join shuffles.
+# A lookup is broadcast only below this many rows and bytes (checked by counting the static
+# table, which is cheap for a reference table); above them the join shuffles.
 BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 64 << 20
 
 
 def unique_lookup(lookup: DataFrame, key: str, order_col: str | None = None) -> DataFrame:
@@ -24,11 +25,14 @@ def unique_lookup(lookup: DataFrame, key: str, order_col: str | None = None) ->
                   .select(key, *[F.col(f"_r.{c}").alias(c) for c in rest]))
 
 
-def sized_broadcast(lookup: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast a static lookup only after checking its row count; otherwise return it
-    unchanged and let the planner (and AQE, from measured sizes) pick the join."""
-    n = lookup.limit(max_rows + 1).count()
-    return F.broadcast(lookup) if n <= max_rows else lookup
+def sized_broadcast(lookup: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                    max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast a static lookup only after checking its rows and bytes (the length of its
+    rows as JSON, so wide rows count as such); otherwise return it unchanged and let the
+    planner (and AQE, from measured sizes) pick the join."""
+    n, size = lookup.limit(max_rows + 1).agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))).first()
+    return F.broadcast(lookup) if n <= max_rows and size <= max_bytes else lookup
 
 
 def route_key(df: DataFrame, key_col: str = "key", payload_col: str = "route_id",

@@ -48,6 +48,8 @@ def test_sized_broadcast_only_under_bound(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" in p1
     assert "BroadcastHashJoin" not in p2
+    wide = small.withColumn("text", F.repeat(F.lit("x"), 1000))
+    assert sized_broadcast(wide, max_bytes=5000) is wide and sized_broadcast(wide, max_bytes=50_000) is not wide
 
 
 def test_as_of_lookups_match_brute_force(spark):
