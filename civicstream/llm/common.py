@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import uuid
 from collections.abc import Iterator
 
@@ -63,6 +65,23 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         end = min(n, max(end, start + 1))
         yield batch.slice(start, end - start)
         start = end
+    release()
+
+
+@functools.cache
+def _libc():
+    try:
+        return ctypes.CDLL("libc.so.6")
+    except OSError:
+        return None
+
+
+def release() -> None:
+    """Give memory that is free back to the system: workers wait for their next task with what
+    they hold, beside other workers and the JVM."""
+    pa.default_memory_pool().release_unused()
+    if _libc() is not None:
+        _libc().malloc_trim(0)
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -14,10 +14,10 @@ import pyarrow as pa
 from civicstream.llm import common, textscan
 
 #: Bytes of text whose new pieces are encoded together.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 
 #: A task forgets its pieces when it has this many; only speed depends on it.
-MAX_PIECES = 500_000
+MAX_PIECES = 300_000
 
 #: Pieces as bytes -> (ids of all pieces one after another, number of ids of each).
 Encode = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
@@ -80,6 +80,7 @@ def encode_batches(batches: Iterator[pa.RecordBatch], column: str, encode: Encod
         held.clear()
         if len(lexicon.row) > MAX_PIECES:
             lexicon.clear()
+        common.release()
 
     for batch in batches:
         for part in common.slices(batch, column):
@@ -91,3 +92,5 @@ def encode_batches(batches: Iterator[pa.RecordBatch], column: str, encode: Encod
                 yield from emit()
                 held_bytes = 0
     yield from emit()
+    lexicon.clear()
+    common.release()
