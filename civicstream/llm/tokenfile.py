@@ -1,7 +1,8 @@
 """Token-ID files with one zstandard dictionary for all documents (operator 8).
 
 ``write`` encodes whole texts with a tokenizers file, appends an end id, and writes shards in
-ascending document order. Every document is compressed on its own with a dictionary that was
+ascending document order. Texts are cut into pieces that the library encodes once each; a text
+that holds the content of one of the file's added tokens is encoded by the library as a whole. Every document is compressed on its own with a dictionary that was
 trained on serialized id arrays, so a short document can be read alone and still compresses
 well. The dictionary is stored beside the shards; shards name it by its SHA-256.
 
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -52,10 +54,32 @@ def _byte_alphabet() -> dict[int, str]:
 
 
 @functools.cache
-def _model(tokenizer_path: str):
+def _tokenizer(tokenizer_path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
-    return Tokenizer.from_file(tokenizer_path).model
+    tokenizer = Tokenizer.from_file(tokenizer_path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
+
+
+@functools.cache
+def _model(tokenizer_path: str):
+    return _tokenizer(tokenizer_path).model
+
+
+@functools.cache
+def _added(tokenizer_path: str) -> list[str]:
+    """Contents of the added tokens, which the library finds before it cuts a text."""
+    return [t.content for t in _tokenizer(tokenizer_path).get_added_tokens_decoder().values()]
+
+
+def with_added_tokens(texts: pa.Array, tokenizer_path: str) -> list[int]:
+    """Places of the texts that hold the content of an added token."""
+    found = np.zeros(len(texts), bool)
+    for content in _added(tokenizer_path):
+        found |= pc.match_substring(texts, content).fill_null(False).to_numpy(False)
+    return np.flatnonzero(found).tolist()
 
 
 @functools.cache
@@ -84,7 +108,12 @@ def _serialized(batches: Iterator[pa.RecordBatch], text_col: str, tokenizer_path
             batches, text_col, lambda pieces: encode_pieces(tokenizer_path, pieces)):
         data = memoryview(ids.astype(f"<u{width}")).cast("B")
         at = (offsets * width).tolist()
-        yield rows, [bytes(data[a:b]) + end for a, b in zip(at[:-1], at[1:])], np.diff(offsets) + 1
+        texts, count = [bytes(data[a:b]) + end for a, b in zip(at[:-1], at[1:])], np.diff(offsets) + 1
+        column = rows.column(text_col)
+        for i in with_added_tokens(column, tokenizer_path):
+            whole = _tokenizer(tokenizer_path).encode(column[i].as_py(), add_special_tokens=False).ids
+            texts[i], count[i] = np.array(whole, f"<u{width}").tobytes() + end, len(whole) + 1
+        yield rows, texts, count
 
 
 # --- dictionary -----------------------------------------------------------------------------

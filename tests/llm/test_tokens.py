@@ -120,3 +120,12 @@ def test_queries_match_the_libraries(spark, query, reference):
         assert [(r[0], r[1], r[2]) for r in got] == sorted(
             [(d, len(i), hashlib.sha256(np.array(i, "<u4").tobytes()).hexdigest())
              for d, t in data for i in [reference.encode_ordinary(t or "")]], key=repr)
+
+
+def test_op8_added_tokens(spark):
+    end = "<|endoftext|>"
+    texts = [f"hello {end} x", f"{end}start of it", f"the end{end}", f"{end}{end} twice {end}\n{end} more", end,
+             "no such token < |endoftext|>", f"<|endoftext{end}|>", None, f"\u0e01 \u00e9{end}\u0301", "plain after"]
+    data = [(i, t, "en", "s", 0, "c", 1, 2, 3) for i, t in enumerate(texts)]
+    assert Tokenizer.from_file(TOKENIZER).encode(texts[0], add_special_tokens=False).ids == [31373, 220, 50256, 2124]
+    assert edge_cases.result(tokenfile.digest(edge_cases.table(spark, data), TOKENIZER, 2)) == op8_expected(data)
