@@ -1,4 +1,4 @@
-"""Interpolated modified Kneser-Ney bigram model over words (operator 5).
+"""Interpolated modified Kneser-Ney models of orders 2 and 3 over words (operator 5).
 
 Counted in Spark, kept as sorted hash arrays in the shared folder (``hashstore``), and
 memory-mapped by the tasks that score texts, so neither the driver nor a task holds the model.
@@ -7,12 +7,21 @@ memory-mapped by the tasks that score texts, so neither the driver nor a task ho
   continuation.
 * Bigrams: mixed (context number, word number) -> count. Mixing is bijective, so bigrams never
   collide, and spreads the bigrams of one hot context over all shards.
+* Trigrams: mixed (place of the context bigram, word number) -> count, and the statistics of each
+  context bigram. The place and the number share 64 bits, so trigrams never collide either.
+* Continuations of bigrams: bigram -> number of distinct tokens before it (its count where it
+  begins a text), stored in the order of the bigrams without their keys, and the statistics and
+  total of each word as a context of them.
 
-The bigram level discounts by D1, D2, D3+ from the counts of counts and interpolates with the
+The model of order 2: its bigram level discounts by D1, D2, D3+ from the counts of counts and interpolates with the
 continuation level (number of distinct contexts of a word, discounted likewise), and that one
 with 1 / (V + 1) for V words and one unknown. An unknown or unseen context has no weight of its
-own: the lower level alone counts. Higher orders are not built: three words of this vocabulary
-hardly ever repeat, and their table would outgrow the disk budget.
+own: the lower level alone counts.
+
+The model of order 3: the trigram level discounts trigram counts and interpolates with the
+continuations of bigrams, discounted by their own counts of counts, and these with the same
+continuation level of words. The first token of a text has the begin alone before it and is
+scored by the bigrams.
 
 Tokens are lower-cased (A-Z) words between ASCII white space, then one end; the first is read
 after a begin that is not a token. Null text has the end alone. Repeated rows are learned and
@@ -29,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicstream.llm import common, hashstore, textscan
+from civicstream.llm import common, files, hashstore, textscan
 
 U64 = np.uint64
 #: Hash of the end token (a word has it by chance only).
@@ -38,6 +47,8 @@ END = U64(0xE05E05E05E05E05E)
 UNKNOWN, BEGIN, FIRST = U64(0), U64(1), U64(2)
 #: Statistics of a word: bigrams it begins that occur once, twice, oftener; bigrams it ends.
 ONCE, TWICE, OFTEN, CONTINUED = range(4)
+#: In the statistics of a context of continuations: their total.
+TOTAL = CONTINUED
 
 
 def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -77,6 +88,15 @@ def _pairs(number: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return before, textscan.mix(before << U64(32) | number)
 
 
+def _firsts(owner: np.ndarray) -> np.ndarray:
+    """Which tokens are the first of their text."""
+    return np.concatenate([[True], owner[1:] != owner[:-1]])[:len(owner)]
+
+
+def _kinds(counts: np.ndarray) -> np.ndarray:
+    return np.minimum(counts, 3).astype(U64) - U64(1)
+
+
 def _discounts(n: list[int]) -> np.ndarray:
     """D1, D2, D3+ from the numbers of types counted once to four times; plain 0.5, 1, 1.5 where
     too little data leaves them undefined."""
@@ -96,13 +116,63 @@ def _of_counts(counts: np.ndarray) -> list[int]:
     return [int((counts == i).sum()) for i in (1, 2, 3, 4)]
 
 
+class Triples:
+    """The stores of order 3. ``columns`` names the column of ``pairs`` with the continuations of
+    the bigrams, by shard."""
+
+    def __init__(self, pairs: hashstore.Store, base: np.ndarray, bits: int, counts: hashstore.Store,
+                 sides: hashstore.Store, columns: dict[int, str], middles: hashstore.Store,
+                 d3: np.ndarray, d2: np.ndarray):
+        self.pairs, self.base, self.bits, self.counts, self.sides = pairs, base, bits, counts, sides
+        self.columns, self.middles, self.d3, self.d2 = columns, middles, d3, d2
+
+    def continued(self, pairs: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Continuations of ascending bigrams at these places of their shards (0 where missing)."""
+        out = np.zeros(len(pairs), np.int64)
+        shard = hashstore.shard_of(pairs, self.pairs.bits)
+        for s in np.unique(shard[place >= 0]).tolist():
+            at = np.flatnonzero((shard == s) & (place >= 0))
+            out[at] = self.pairs.column(s, self.columns[s])[place[at]]
+        return out
+
+    def probabilities(self, number, before, first, contexts, context, pairs, pair_of, place, pair_count, low):
+        """Of each token. ``contexts`` are the distinct context numbers and ``context`` the place of
+        each token's among them; ``pairs`` are the distinct bigrams, ``pair_of`` likewise."""
+        ones, twos, more, total = (self.middles.look_up(textscan.mix(contexts << U64(2) | U64(k)))[0]
+                                   for k in (ONCE, TWICE, OFTEN, TOTAL))
+        back = (self.d2[1] * ones + self.d2[2] * twos + self.d2[3] * more) / np.maximum(total, 1)
+        a = self.continued(pairs, place)[pair_of]
+        middle = np.where((before > 0) & (total[context] > 0),
+                          np.maximum(a - self.d2[np.minimum(a, 3)], 0) / np.maximum(total[context], 1)
+                          + back[context] * low, low)
+        # contexts of trigrams: the distinct bigrams
+        numbers = _places(pairs, place, self.base, self.pairs.bits)
+        hit = np.flatnonzero(place >= 0)
+        back = np.zeros(len(pairs))
+        for k in (ONCE, TWICE, OFTEN):
+            back[hit] += self.d3[k + 1] * self.sides.look_up(textscan.mix(numbers[hit] << U64(2) | U64(k)))[0]
+        back /= np.maximum(pair_count, 1)
+        at = np.flatnonzero(~first)
+        of = pair_of[at - 1]
+        at, of = at[place[of] >= 0], of[place[of] >= 0]
+        n = self.counts.look_up(textscan.mix(numbers[of] << U64(self.bits) | number[at]))[0]
+        middle[at] = np.maximum(n - self.d3[np.minimum(n, 3)], 0) / pair_count[of] + back[of] * middle[at]
+        return middle
+
+
+def _places(keys: np.ndarray, place: np.ndarray, base: np.ndarray, bits: int) -> np.ndarray:
+    """Numbers of bigrams by their places in their shards (any number where missing)."""
+    return base[hashstore.shard_of(keys, bits)] + np.maximum(place, 0).astype(U64)
+
+
 class Model:
     """The stores of a fitted model and its totals."""
 
     def __init__(self, words: hashstore.Store, base: np.ndarray, pairs: hashstore.Store, sides: hashstore.Store,
-                 tokens: int, texts: int, d2: np.ndarray, d1: np.ndarray, cont_of_counts: list[int]):
+                 tokens: int, texts: int, d2: np.ndarray, d1: np.ndarray, cont_of_counts: list[int],
+                 triples: Triples):
         self.words, self.base, self.pairs, self.sides = words, base, pairs, sides
-        self.tokens, self.texts, self.d2, self.d1 = tokens, texts, d2, d1
+        self.tokens, self.texts, self.d2, self.d1, self.triples = tokens, texts, d2, d1, triples
         self.types = len(pairs)
         n1, n2 = cont_of_counts[:2]
         n3 = len(words) - n1 - n2
@@ -124,18 +194,22 @@ class Model:
         total = np.append(count, self.texts)
         back = (self.d2[1] * ones + self.d2[2] * twos + self.d2[3] * more) / np.maximum(total, 1)
         before, key = _pairs(number[inverse], owner)
-        first = np.concatenate([[True], owner[1:] != owner[:-1]])[:len(h)]
+        first = _firsts(owner)
         context = np.empty(len(h), np.int64)
         context[1:] = inverse[:-1]
         context[first] = len(number)
-        seen = self.pairs.look_up(key)[0]
+        pairs, pair_of = np.unique(key, return_inverse=True)
+        place, (pair_count,) = self.pairs.get(pairs)
+        seen = pair_count[pair_of]
         known = (before > 0) & (total[context] > 0)
         p = low[inverse]
         high = (np.maximum(seen - self.d2[np.minimum(seen, 3)], 0) / np.maximum(total[context], 1)
                 + back[context] * p)
         score = np.log10(np.where(known, high, p))
+        score_3 = np.log10(self.triples.probabilities(
+            number[inverse], before, first, np.append(number, BEGIN), context, pairs, pair_of, place, pair_count, p))
         return (np.bincount(owner, minlength=n), np.bincount(owner, (count > 0)[inverse], n).astype(np.int64),
-                np.bincount(owner, base, n), np.bincount(owner, score, n))
+                np.bincount(owner, base, n), np.bincount(owner, score, n), np.bincount(owner, score_3, n))
 
     def side(self, number: np.ndarray, kind: int) -> np.ndarray:
         return self.sides.look_up(textscan.mix(number << U64(2) | U64(kind)))[0]
@@ -212,14 +286,103 @@ def fit(docs: DataFrame, text_col: str = "text") -> Model:
     both, listed = store(by_shard.mapInArrow(sides, hashstore.PACKED), "sides", lambda s, k, counts: [
         *_of_counts(counts[(_unmix(k) & U64(3)) == CONTINUED]), 0])
     of_counts = figures(listed)[:4]
-    return Model(words, base, pairs, both, tokens, n_texts, d2, _discounts(of_counts), of_counts)
+    triples = _triples(words, base, pairs, bits, keys, store, figures, by_shard)
+    return Model(words, base, pairs, both, tokens, n_texts, d2, _discounts(of_counts), of_counts, triples)
+
+
+def _triples(words: hashstore.Store, base: np.ndarray, pairs: hashstore.Store, bits: int, keys, store, figures,
+             by_shard: DataFrame) -> Triples:
+    """The level of order 3, counted with the helpers of ``fit``."""
+    sizes = np.array([pairs.names.get(s, ("", 0))[1] for s in range(1 << bits)], U64)
+    pair_base = np.cumsum(sizes) - sizes
+    word_bits = (len(words) + int(FIRST)).bit_length()
+    # the statistics take two bits beside the place of a bigram
+    if len(pairs).bit_length() + max(word_bits, 2) > 64:
+        raise ValueError(f"{len(pairs)} bigrams of {len(words)} words do not fit in 64-bit trigram keys")
+
+    def triple_keys(h, owner):
+        distinct, inverse = np.unique(h, return_inverse=True)
+        number = numbered(words, base, distinct)[0][inverse]
+        key, pair_of = np.unique(_pairs(number, owner)[1], return_inverse=True)
+        numbers = _places(key, pairs.get(key)[0], pair_base, bits)[pair_of]
+        at = np.flatnonzero(~_firsts(owner))
+        return textscan.mix(numbers[at - 1] << U64(word_bits) | number[at])
+
+    triples, listed = store(keys(triple_keys), "triples", lambda s, k, counts: [*_of_counts(counts), 0])
+    d3 = _discounts(figures(listed)[:4])
+    triple_shards = listed.select("shard").repartitionById(1 << bits, "shard")
+
+    def blocks(batches: Iterator[pa.RecordBatch], of: hashstore.Store):
+        for batch in batches:
+            for shard in batch.column("shard").to_pylist():
+                for i in range(0, of.names.get(shard, ("", 0))[1], hashstore.FLUSH_KEYS):
+                    yield shard, slice(i, i + hashstore.FLUSH_KEYS)
+
+    def sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = hashstore.Counter(bits)
+        for shard, part in blocks(batches, triples):
+            triple = _unmix(np.array(triples.column(shard, "keys")[part]))
+            kind = _kinds(triples.column(shard, "counts")[part])
+            yield from counter.add(textscan.mix((triple >> U64(word_bits)) << U64(2) | kind))
+        yield from counter.flush()
+
+    sides_store, _ = store(triple_shards.mapInArrow(sides, hashstore.PACKED), "triple-sides", lambda *_: [0] * 5)
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The last two words of every distinct trigram, as a bigram."""
+        counter = hashstore.Counter(bits)
+        for shard, part in blocks(batches, triples):
+            triple = _unmix(np.array(triples.column(shard, "keys")[part]))
+            triple.sort()                                  # by place: bigrams are read in order
+            number = triple >> U64(word_bits)
+            owner = np.searchsorted(pair_base, number, side="right") - 1
+            middle = np.empty(len(triple), U64)
+            for s in np.unique(owner).tolist():
+                mine = slice(*np.searchsorted(owner, [s, s + 1]))
+                middle[mine] = pairs.column(s, "keys")[(number[mine] - pair_base[s]).astype(np.int64)]
+            middle = _unmix(middle) & U64(0xFFFFFFFF)
+            yield from counter.add(textscan.mix(middle << U64(32) | triple & U64((1 << word_bits) - 1)))
+        yield from counter.flush()
+
+    def begins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The bigrams that begin texts, with their counts."""
+        for shard, part in blocks(batches, pairs):
+            key = np.array(pairs.column(shard, "keys")[part])
+            mine = (_unmix(key) >> U64(32)) == BEGIN
+            yield from hashstore.packed(key[mine], pairs.column(shard, "counts")[part][mine].astype(np.int64), bits)
+
+    def save(shard, k, counts):
+        if not np.array_equal(k, pairs.column(shard, "keys")):
+            raise ValueError("continuations of other bigrams than were counted")
+        column = files.attempt_name("continued")
+        files.write(f"{pairs.folder}/{pairs.names[shard][0]}.{column}", hashstore._small(counts)[1:])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([shard], pa.int32()), pa.array([column]),
+             *(pa.array([x], pa.int64()) for x in [*_of_counts(counts), 0])],
+            ["shard", "column", *(f"f{i}" for i in range(5))])
+
+    both = by_shard.mapInArrow(begins, hashstore.PACKED).unionByName(triple_shards.mapInArrow(ends, hashstore.PACKED))
+    saved = common.stored(hashstore.shards(both, save, "shard int, column string" + "".join(
+        f", f{i} long" for i in range(5))), "continued")
+    columns = {r.shard: r.column for r in saved.select("shard", "column").collect()}
+    d2 = _discounts(figures(saved)[:4])
+
+    def middles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard, part in blocks(batches, pairs):
+            word = _unmix(np.array(pairs.column(shard, "keys")[part])) >> U64(32)
+            n = pairs.column(shard, columns[shard])[part].astype(np.int64)
+            k = textscan.mix(np.concatenate([word << U64(2) | _kinds(n), word << U64(2) | U64(TOTAL)]))
+            yield from hashstore.packed(*hashstore.counted(k, np.concatenate([np.ones(len(n), np.int64), n])), bits)
+
+    middles_store, _ = store(by_shard.mapInArrow(middles, hashstore.PACKED), "middles", lambda *_: [0] * 5)
+    return Triples(pairs, pair_base, word_bits, triples, sides_store, columns, middles_store, d3, d2)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` without ``text_col``, with n_tokens, n_known, base_score, score (log10 of the
-    probabilities under add-one unigrams and under the model)."""
+    """``docs`` without ``text_col``, with n_tokens, n_known, base_score, score, score_3 (log10 of
+    the probabilities under add-one unigrams and under the models of orders 2 and 3)."""
     common.require(docs, text_col)
-    made = ["n_tokens", "n_known", "base_score", "score"]
+    made = ["n_tokens", "n_known", "base_score", "score", "score_3"]
     keep = [c for c in docs.columns if c != text_col and c not in made]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,7 +394,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     source = docs.select(*keep, common.utf8_text(text_col).alias("_text"))
     return source.mapInArrow(run, common.schema_of(
-        source, keep, "n_tokens long, n_known long, base_score double, score double"))
+        source, keep, "n_tokens long, n_known long, base_score double, score double, score_3 double"))
 
 
 def held_out(id_col: str, mod: int, remainder: int) -> Column:
@@ -241,9 +404,10 @@ def held_out(id_col: str, mod: int, remainder: int) -> Column:
 
 def digest(docs: DataFrame) -> DataFrame:
     """Fit on the documents that are not held out, score all: doc_id, held_out, n_tokens,
-    n_known, train_tokens, base_score, score, perplexity."""
+    n_known, train_tokens, base_score, score, perplexity (order 2), score_3, perplexity_3 (order 3)."""
     out = held_out("doc_id", 7, 2)
     model = fit(docs.where(~out))
     scored = score(docs.select("doc_id", out.alias("held_out"), "text"), model)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
-                         "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))
+                         "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),
+                         "score_3", F.pow(F.lit(10.0), -F.col("score_3") / F.col("n_tokens")).alias("perplexity_3"))

@@ -101,3 +101,78 @@ def test_query_beats_the_base_on_held_out_texts(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     rows = [r for r in check(queries.QUERIES["op5_kneser_ney"](spark, folder), docs) if r[1]]
     assert sum(r[6] for r in rows) > sum(r[5] for r in rows)
+
+
+class Reference3(Reference):
+    """Order 3 by dictionaries: raw counts on top, continuation counts below."""
+
+    def __init__(self, texts):
+        super().__init__(texts)
+        self.triple = Counter()
+        for t in texts:
+            w = ["<s>", *tokens(t)]
+            self.triple.update(zip(w, w[1:], w[2:]))
+        self.context, self.kinds3 = Counter(), {}
+        for (t, u, _), n in self.triple.items():
+            self.context[t, u] += n
+            self.kinds3.setdefault((t, u), Counter())[min(n, 3)] += 1
+        self.before = Counter((u, w) for _, u, w in self.triple)
+        self.before.update({x: n for x, n in self.pair.items() if x[0] == "<s>"})
+        self.total2, self.kinds2 = Counter(), {}
+        for (u, _), n in self.before.items():
+            self.total2[u] += n
+            self.kinds2.setdefault(u, Counter())[min(n, 3)] += 1
+        self.d3, self.dc = self.discounts(self.triple.values()), self.discounts(self.before.values())
+
+    def middle(self, u, w):
+        if not self.total2[u]:
+            return self.low(w)
+        n = self.before[u, w]
+        back = sum(self.dc[k] * m for k, m in self.kinds2[u].items()) / self.total2[u]
+        return max(n - self.dc[min(n, 3)], 0) / self.total2[u] + back * self.low(w)
+
+    def p3(self, t, u, w):
+        if not self.context[t, u]:
+            return self.middle(u, w)
+        n = self.triple[t, u, w]
+        back = sum(self.d3[k] * m for k, m in self.kinds3[t, u].items()) / self.context[t, u]
+        return max(n - self.d3[min(n, 3)], 0) / self.context[t, u] + back * self.middle(u, w)
+
+    def score3(self, text):
+        w = ["<s>", *tokens(text)]
+        return math.log10(self.middle(*w[:2])) + sum(math.log10(self.p3(*x)) for x in zip(w, w[1:], w[2:]))
+
+
+def check3(got, docs):
+    model = Reference3([t for d, t in docs if not is_out(d)])
+    expected = sorted(((repr(d), len(tokens(t)), model.score3(t)) for d, t in docs))
+    rows = sorted((repr(r.doc_id), r.n_tokens, r.score_3, r.perplexity_3) for r in got.collect())
+    assert [r[:2] for r in rows] == [e[:2] for e in expected]
+    assert [r[2] for r in rows] == pytest.approx([e[2] for e in expected], rel=1e-9)
+    assert [r[3] for r in rows] == pytest.approx([10 ** (-e[2] / e[1]) for e in expected], rel=1e-9)
+
+
+def test_order_3_edge_cases(spark):
+    data = [r[:2] for r in edge_cases.rows()] + [(9000 + i, t) for i, t in enumerate(
+        ["a b c a b d", "a b c a b c", "never seen b c", "b c a b", "a", "a b", "c a b never", "B c A b d"] * 3)]
+    check3(knlm.digest(spark.createDataFrame(data, "doc_id long, text string")), data)
+    out = next(i for i in range(1000) if is_out(i))
+    alone = [(out, "some words"), (out, None)]
+    check3(knlm.digest(spark.createDataFrame(alone, "doc_id long, text string")), alone)
+
+
+def test_order_3_sums_to_one():
+    model = Reference3(["a b a c", "b b a", "c a b a b", None, "d"])
+    for u in ["<s>", "a", "b", "c", "d", "never"]:
+        assert sum(model.middle(u, w) for w in [*model.c, "<unknown>"]) == pytest.approx(1)
+        for t in ["<s>", "a", "b", "never"]:
+            assert sum(model.p3(t, u, w) for w in [*model.c, "<unknown>"]) == pytest.approx(1)
+
+
+def test_order_3_beats_order_2_on_held_out_texts(spark):
+    folder = "/root/testdata/sf0.01"
+    got = queries.QUERIES["op5_kneser_ney"](spark, folder)
+    check3(got, [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()])
+    two, three = got.where("held_out").selectExpr("sum(score)", "sum(score_3)").head()
+    print(f"held out, log10: order 2 {two:.0f}, order 3 {three:.0f}")
+    assert three > two
