@@ -10,10 +10,15 @@ runs. Of each name the first position stays, and the lines of all later ones are
 first by document id, then by a hash of the text.
 
 So a line goes if it lies in a run of ``min_lines`` lines that also begins at an earlier place, in
-the same document or another. Lines without a word are no part of runs and stay. Null text stays
-null; texts with fewer lines stay as they are. Null document ids come first. Repeated rows are
-copies of each other: all but one lose their runs (which one, is not to be told apart). Empty
-tables give no rows. All columns of the input are kept, with ``text_col`` replaced.
+the same document or another. With ``long_words``, a run of one or two lines (below ``min_lines``)
+is enough when it holds so many words: levels 1 and 2 carry the number of words, and the later
+copies of their long names go too. Without it a passage on fewer than ``min_lines`` lines stays
+however long it is; ``digest`` (the registered query) is that rule, as its oracle SQL is.
+
+Lines without a word are no part of runs and stay. Null text stays null; texts without a run
+stay as they are. Null document ids come first. Repeated rows are copies of each other: all but
+one lose their runs (which one, is not to be told apart). Empty tables give no rows. All columns
+of the input are kept, with ``text_col`` replaced.
 """
 
 from __future__ import annotations
@@ -24,6 +29,8 @@ from pyspark.sql import functions as F
 from civicstream.llm import common
 
 MIN_LINES = 3
+#: Words that make a repeated run of one or two lines long enough to be deleted.
+LONG_WORDS = 50
 
 _WHITE = "concat(' ', char(9), char(10), char(11), char(12), char(13))"
 
@@ -34,22 +41,30 @@ def _repeated(positions: DataFrame, name: str) -> DataFrame:
     return common.stored(positions.join(names, ["a", "b"]), name)
 
 
-def later_runs(texts: DataFrame, min_lines: int) -> DataFrame:
+def later_runs(texts: DataFrame, min_lines: int, long_words: int | None = None) -> DataFrame:
     """rid, lines: the line numbers (from 0) that each text (rid, doc, text) loses, if any."""
     lines = "split(text, '\\\\n', -1)"
+    words = f"size(split(btrim(l, {_WHITE}), '[ \\\\x09-\\\\x0D]+', -1))" if long_words else "0"
     spread = texts.select("rid", "doc", F.xxhash64("text").alias("hash"), F.posexplode(F.expr(
         f"filter(transform({lines}, (l, i) -> if(btrim(l, {_WHITE}) = '', null,"
-        " struct(array(i) as at, xxhash64(l) as a, xxhash64(l, 1) as b))), x -> x is not null)")).alias("j", "x"))
+        " struct(array(i) as at, xxhash64(l) as a, xxhash64(l, 1) as b,"
+        f" {words} as words))), x -> x is not null)")).alias("j", "x"))
     level = _repeated(spread.select("rid", "doc", "hash", "j", "x.*"), "lines")
     size = 1
+    runs = []
     while size < min_lines:
+        if long_words and size <= 2:
+            runs.append(level.where(F.col("words") >= long_words))
         step = min(size, min_lines - size)
         x, y = level.alias("x"), level.alias("y")
         joined = x.join(y, (F.col("x.rid") == F.col("y.rid")) & (F.col("x.j") + step == F.col("y.j")))
         level = _repeated(joined.select(
             "x.rid", "x.doc", "x.hash", "x.j", F.array_union("x.at", "y.at").alias("at"),
+            (F.col("x.words") + F.col("y.words")).alias("words"),    # read at levels 1 and 2 only
             F.xxhash64("x.a", "y.a").alias("a"), F.xxhash64("x.b", "y.b", F.lit(2)).alias("b")), "runs")
         size += step
+    for shorter in runs:
+        level = level.unionByName(shorter)
     place = F.struct("doc", "hash", "rid", "j")
     first = level.groupBy("a", "b").agg(F.min(place).alias("first"))
     later = level.join(first, ["a", "b"]).where(
@@ -59,7 +74,7 @@ def later_runs(texts: DataFrame, min_lines: int) -> DataFrame:
 
 
 def remove_repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, id_col: str = "doc_id",
-                         text_col: str = "text") -> DataFrame:
+                         text_col: str = "text", long_words: int | None = None) -> DataFrame:
     """``docs`` with the later copies of line runs deleted from ``text_col``, and with n_lines
     (lines with a word) before, n_removed, and emptied (no line with a word is left of some)."""
     common.prepare(docs.sparkSession)
@@ -67,7 +82,8 @@ def remove_repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, id_col: st
     numbered = common.stored(docs.select(F.struct(*docs.columns).alias("row")).withColumn(
         "rid", F.monotonically_increasing_id()), "documents")
     text = F.col(f"row.{text_col}").cast("string")
-    gone = later_runs(numbered.select("rid", F.col(f"row.{id_col}").alias("doc"), text.alias("text")), min_lines)
+    gone = later_runs(numbered.select("rid", F.col(f"row.{id_col}").alias("doc"), text.alias("text")), min_lines,
+                      long_words)
     n_lines = F.expr(f"size(filter(split(text, '\\\\n', -1), l -> btrim(l, {_WHITE}) != ''))")
     rest = F.expr("element_at(transform(array(split(text, '\\\\n', -1)), s -> array_join(transform(array_except("
                   "sequence(0, size(s) - 1), lines), i -> s[i]), '\\n')), 1)")

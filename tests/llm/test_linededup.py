@@ -73,3 +73,31 @@ def test_a_repeated_row_loses_its_runs_once(spark):
 def test_no_python_in_the_plan(spark):
     plan = linededup.digest(edge_cases.table(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def brute_long(docs, k=3, least=50):
+    seen, out = set(), []
+    for d, t in docs:
+        lines = t.split("\n")
+        own = [(p, x) for p, x in enumerate(lines) if WORD.search(x)]
+        gone = set()
+        for size in [*range(1, min(k, 3)), k]:
+            for j in range(len(own) - size + 1):
+                run = tuple(x for _, x in own[j:j + size])
+                if size == k or sum(len(re.findall("[^\x20\x09-\x0d]+", x)) for x in run) >= least:
+                    if run in seen:
+                        gone.update(p for p, _ in own[j:j + size])
+                    seen.add(run)
+        out.append((d, "\n".join(x for p, x in enumerate(lines) if p not in gone)))
+    return out
+
+
+@pytest.mark.parametrize("k", [2, 3, 4])
+def test_long_passages_on_one_or_two_lines(spark, k):
+    rng = random.Random(k)
+    pool = [" ".join(f"w{rng.randrange(99)}" for _ in range(n)) for n in (3, 20, 25, 25, 30, 49, 50, 70)]
+    pool += ["\t" + pool[6].replace(" ", " \x0b ") + " ", "", " ", "one"]
+    docs = [(i, "\n".join(rng.choice(pool) if rng.random() < 0.7 else f"own {i} {j}" for j in range(rng.randrange(7))))
+            for i in range(60)]
+    got = linededup.remove_repeated_runs(spark.createDataFrame(docs, "doc_id long, text string"), k, long_words=50)
+    assert sorted((r.doc_id, r.text) for r in got.collect()) == brute_long(docs, k)
