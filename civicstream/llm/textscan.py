@@ -8,6 +8,8 @@ import unicodedata
 
 import numpy as np
 
+from civicstream.llm import common
+
 U64 = np.uint64
 _BASE = U64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = U64(pow(int(_BASE), -1, 2**64))
@@ -70,6 +72,46 @@ def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     return mix(h)
 
 
+def _eights(buf: np.ndarray) -> np.ndarray:
+    """The eight bytes from every byte on (zeros behind the last) as one number."""
+    padded = np.zeros(len(buf) + 8, np.uint8)
+    padded[:len(buf)] = buf
+    return np.ndarray((len(buf) + 1,), "<u8", padded, strides=(1,))
+
+
+def names(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each byte span, equal exactly where the bytes are equal, and the index of the
+    first span of each number. Spans of up to seven bytes are their own key; longer ones are found
+    by their hash and compared byte by byte."""
+    if not len(start):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    size = end - start
+    at = _eights(buf)
+    keep = np.array([(1 << (8 * i)) - 1 for i in range(8)], U64)
+    key = at[start] & keep[np.minimum(size, 7)] | np.minimum(size, 7).astype(U64) << U64(56)
+    long = np.flatnonzero(size > 7)
+    key[long] = span_hash(prefix_sums(buf), start[long], end[long]) | U64(1 << 63)
+    _, first, number = np.unique(key, return_index=True, return_inverse=True)
+    like = first[number[long]]
+    wrong = size[long] != size[like]
+    at_long, at_like = start[long], start[like]
+    chunks = np.where(wrong, 0, (size[long] + 7) // 8)
+    step = np.minimum(8 * common.ragged(np.zeros_like(chunks), chunks), np.repeat(size[long], chunks) - 8)
+    which = np.repeat(np.arange(len(long)), chunks)
+    differ = at[at_long[which] + step] != at[at_like[which] + step]
+    wrong[which[differ]] = True
+    if wrong.any():
+        firsts, seen = first.tolist(), {}
+        for i in long[wrong].tolist():
+            text = buf[start[i]:end[i]].tobytes()
+            if text not in seen:
+                seen[text] = len(firsts)
+                firsts.append(i)
+            number[i] = seen[text]
+        first = np.array(firsts)
+    return number, first
+
+
 def spans(buf: np.ndarray, offsets: np.ndarray, inside: np.ndarray
           ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Maximal runs of bytes in the class ``inside``, cut at text borders: start, end, and the
