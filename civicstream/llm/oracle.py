@@ -101,3 +101,37 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_lines, CAST(coalesce(r, 0) AS
        NOT (coalesce(r, 0) > 0 AND r = n) AS kept, sha256(coalesce(t, '')) AS text_sha256
 FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN r USING (doc_id) LEFT JOIN rest USING (doc_id)
 """
+
+PHRASES = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+lists AS (SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM lists GROUP BY lang),
+grams AS (
+  SELECT lang, k, w[i:i + k - 1] AS p
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+        FROM lists, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k)),
+found AS (SELECT lang, k, p, count(*) AS f FROM grams GROUP BY lang, k, p HAVING count(*) >= 30),
+covered AS (
+  SELECT lang, p[i:i + size - 1] AS p, max(f) AS longer
+  FROM (SELECT lang, p, f, k, size, unnest(range(1, k - size + 2)) AS i
+        FROM found, (SELECT unnest([2, 3]) AS size) WHERE k > size)
+  GROUP BY 1, 2),
+free AS (
+  SELECT c.* FROM found c LEFT JOIN covered v ON c.lang = v.lang AND c.p = v.p
+  WHERE c.k > 1 AND (v.longer IS NULL OR 100 * v.longer::HUGEINT < 80 * c.f::HUGEINT)),
+cuts AS (
+  SELECT c.lang, c.p, c.f AS a, cut, x.f AS l, y.f AS r, ((2000000 * c.f::HUGEINT) // (x.f::HUGEINT + y.f))::BIGINT AS score
+  FROM (SELECT lang, p, f, k, unnest(range(1, k)) AS cut FROM free) c
+  JOIN found x ON x.lang = c.lang AND x.p = c.p[1:cut]
+  JOIN found y ON y.lang = c.lang AND y.p = c.p[cut + 1:k]),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1),
+ranked AS (
+  SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, score,
+         row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(array_to_string(p, ' '))) AS rank
+  FROM best)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
