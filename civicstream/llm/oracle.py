@@ -135,3 +135,21 @@ ranked AS (
   FROM best)
 SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """
+
+VECTOR_DEDUP = """
+WITH RECURSIVE numbered AS (SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+usual AS (SELECT len(e) AS size FROM numbered WHERE len(e) > 0 GROUP BY 1 ORDER BY count(*) DESC, size DESC LIMIT 1),
+proper AS (
+  SELECT r, vec_id, e FROM numbered, usual
+  WHERE len(e) = size AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, x -> x <> 0)) > 0),
+linked AS (SELECT a.r AS a, b.r AS b FROM proper a JOIN proper b ON a.r <> b.r AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reached(r, other) AS (
+  SELECT r, r FROM numbered
+  UNION
+  SELECT reached.r, linked.b FROM reached JOIN linked ON reached.other = linked.a),
+class AS (
+  SELECT reached.r, min(o.vec_id) AS component_id FROM reached JOIN numbered o ON o.r = reached.other GROUP BY 1),
+degree AS (SELECT a AS r, count(*) AS n_links FROM linked GROUP BY 1)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM numbered JOIN class USING (r) LEFT JOIN degree USING (r)
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from civicstream.llm import bpe, common, decontam, knlm, langid, linededup, oracle, periodic, phrases, quality, setsketch, suffix, tokenfile, toxicity
+from civicstream.llm import bpe, common, decontam, egojoin, knlm, langid, linededup, oracle, periodic, phrases, quality, setsketch, suffix, tokenfile, toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -61,6 +61,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digest(documents(spark, sf_dir))
 
 
+def op12_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return egojoin.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.digest(documents(spark, sf_dir))
 
@@ -69,7 +73,8 @@ QUERIES = {"op1_bpe": op1_bpe, "op2_quality": op2_quality, "op3_decontamination"
            "op5_kneser_ney": op5_kneser_ney, "op6_suffix_dedup": op6_suffix_dedup,
            "op7_language": op7_language, "op8_token_files": op8_token_files,
            "op9_line_dedup": op9_line_dedup, "op10_near_dedup": op10_near_dedup, "op11_periodic_runs": op11_periodic_runs,
-           "op13_phrases": op13_phrases}
+           "op12_vector_dedup": op12_vector_dedup, "op13_phrases": op13_phrases}
 
 ORACLE: dict[str, str] = {"op2_quality": oracle.QUALITY, "op9_line_dedup": oracle.LINE_DEDUP,
-                          "op3_decontamination": oracle.DECONTAMINATION, "op13_phrases": oracle.PHRASES}
+                          "op3_decontamination": oracle.DECONTAMINATION, "op12_vector_dedup": oracle.VECTOR_DEDUP,
+                          "op13_phrases": oracle.PHRASES}
