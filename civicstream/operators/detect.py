@@ -1,153 +1,160 @@
 """DET-1..3 in batch: the three keyed detectors as distributed DataFrame jobs.
 
-Order is (event time, tie-breaker, row number): the tie-breaker (an offset or record id) may be
-null or repeated; a null one comes first, and the row number, fixed by a checkpoint, decides
-between rows that are otherwise equal. Rows without an event time take no part. No key is
-gathered into one task: see ``scan``.
+Order is (event time, tie-breaker, hash of the row): the tie-breaker (an offset or record id) may be
+null or repeated; a null one comes first, and rows that are equal in everything are interchangeable.
+Rows without an event time take no part. No key is gathered into one task: its rows are cut into
+chunks of event time (``chunk_ms``, a day unless told otherwise; choose it so that a chunk of the
+busiest key fits a task), each chunk is reduced to what it does to the state that enters it, and
+only these reductions are put together per key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civicstream.functions.geo import haversine_m, pair_key, unit_sphere_cells
 from civicstream.functions.timecols import epoch_ms
-from civicstream.operators.scan import (balanced_chunks, first_at_or_after, last_before,
-                                        prefix_scan, reachable)
+from civicstream.operators.scan import last_before, prefix_scan
 from civicstream.schemas import (AQI_COOLDOWN_MS, AQI_HAZARDOUS, BUNCHING_DISTANCE_M,
                                  BUNCHING_DURATION_MS, BUNCHING_FRESH_MS, GRIDLOCK_CYCLES,
                                  GRIDLOCK_WAIT_SEC)
 
 DAY_MS = 86_400_000
 NO_TIE = -(2**63)  # a null tie-breaker comes before all others
-CHUNK_ROWS = 1_000_000  # rows per scan chunk: bounds every window task, hot keys included
+NONE_FIRED = -(2**62)  # time of the last firing before the first one
 
 
 def _ordered(df: DataFrame, time_col: str, tie_col: str, chunk_ms: int | None) -> DataFrame:
-    """Order columns ``_t`` (epoch ms), ``_tie``, ``_rid`` and a time chunk ``_chunk`` of the
-    rows that have an event time. ``_rid`` is fixed once the rows are checkpointed."""
+    """Order columns ``_t`` (epoch ms), ``_tie``, ``_row`` and a time chunk ``_chunk`` of the rows
+    that have an event time."""
     t = epoch_ms(time_col)
     tie = F.coalesce(F.col(tie_col).cast("long"), F.lit(NO_TIE))
     return df.where(t.isNotNull()).select(
-        "*", t.alias("_t"), tie.alias("_tie"), F.monotonically_increasing_id().alias("_rid"),
+        "*", t.alias("_t"), tie.alias("_tie"), F.xxhash64(*df.columns).alias("_row"),
         F.floor(t / (chunk_ms or DAY_MS)).cast("long").alias("_chunk"))
 
 
-def _bounded(df: DataFrame, keys: list[str], chunk_ms: int | None,
-             chunk_rows: int) -> DataFrame:
-    """Materialize ``df`` (read several times by the scans) and make sure no scan chunk
-    holds more than ``chunk_rows`` rows: the largest (key, day) is checked on the
-    materialized rows (one number to the driver); only if it is too big are the rows
-    re-cut into row-balanced chunks, so a dense key is spread over many tasks."""
-    df = df.checkpoint(eager=True)
-    if chunk_ms is not None:
-        return df
-    biggest = df.groupBy(*keys, "_chunk").count().agg(F.max("count")).first()[0]
-    if biggest is None or biggest <= chunk_rows:
-        return df
-    return balanced_chunks(df.drop("_chunk"), keys, "_t", chunk_rows).checkpoint(eager=True)
+def _order() -> list[Column]:
+    return [F.col("_t"), F.col("_tie"), F.col("_row")]
 
 
-def _order() -> list[Column]:
-    return [F.col("_t"), F.col("_tie"), F.col("_rid")]
+def _next_firing(t: np.ndarray, cooldown_ms: int) -> np.ndarray:
+    """For ascending times: the place of the first one a cooldown later (their number if none)."""
+    return np.maximum(np.searchsorted(t, t + cooldown_ms), np.arange(1, len(t) + 1))
 
 
 def cooldown_alerts(df: DataFrame, key: str, time_col: str, value_col: str, tie_col: str,
                     threshold: float = AQI_HAZARDOUS, cooldown_ms: int = AQI_COOLDOWN_MS,
-                    chunk_ms: int | None = None, max_fold: int = 4096,
-                    chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+                    chunk_ms: int | None = None) -> DataFrame:
     """DET-1: rows with ``value > threshold`` that raise an alert when the previous
     *emitted* alert of the key is absent or at least ``cooldown_ms`` older (a greedy
     chain: suppressed rows do not move the clock).
 
-    1. a candidate whose gap to the previous candidate is >= cooldown always fires and
-       starts a segment (chunked prefix scans give the gap and the segment number);
-       segments are independent of each other;
-    2. a segment of at most ``max_fold`` candidates is folded in order inside one
-       bounded array (``aggregate`` over the sorted candidates);
-    3. larger segments (a key alerting without pause) are never gathered: inside a
-       segment consecutive gaps are < cooldown, so the next firing after a firing at t
-       is the first candidate at or after t + cooldown and lies within one cooldown of
-       it (a bucketed as-of lookup); firings are the nodes reachable from the segment
-       start along those pointers (pointer doubling).
+    A chunk is a function from the last firing before it to the last firing in it. Which row
+    fires first in the chunk depends on the entering time only within one cooldown of the chunk's
+    start, so the function is a short list of steps: entering times up to ``upto`` lead to ``out``.
+    1. each (key, chunk) is reduced to its function;
+    2. the functions of a key are applied one after another, giving each chunk its entering time;
+    3. each (key, chunk) follows its chain from there.
     Returns the firing rows with ``detected_at_event_time`` (epoch ms).
     """
     cand = _ordered(df.where(F.col(value_col) > F.lit(threshold)), time_col, tie_col, chunk_ms)
-    cand = _bounded(cand, [key], chunk_ms, chunk_rows)
-    cand = prefix_scan(cand, [key], _order(), "_chunk",
-                       [("_prev_t", "max", F.col("_t"))], exclusive=True)
-    cand = cand.withColumn("_start", F.col("_prev_t").isNull()
-                           | (F.col("_t") - F.col("_prev_t") >= F.lit(cooldown_ms)))
-    cand = prefix_scan(cand, [key], _order(), "_chunk",
-                       [("_seg", "sum", F.col("_start").cast("long"))])
-    sizes = cand.groupBy(key, "_seg").agg(F.count(F.lit(1)).alias("_n"))
-    sized = cand.join(sizes.withColumnRenamed(key, "_sk").withColumnRenamed("_seg", "_ss"),
-                      cand[key].eqNullSafe(F.col("_sk")) & (cand["_seg"] == F.col("_ss")))
-    # materialized once: read by the existence check and by both paths below
-    sized = sized.drop("_sk", "_ss").checkpoint(eager=True)
-    cols = [c for c in cand.columns]
-    drop = ["_t", "_tie", "_rid", "_chunk", "_prev_t", "_start", "_seg"]
+    kind = df.schema[key].dataType.simpleString()
+    width = chunk_ms or DAY_MS
+
+    def as_function(group: pa.Table) -> pa.Table:
+        t = np.unique(group.column("_t").to_numpy())
+        nxt = _next_firing(t, cooldown_ms)
+        last = np.arange(len(t) + 1)                 # end of the chain that begins at each time
+        while True:
+            on = np.append(nxt, len(t))[last]
+            if (on >= len(t)).all():
+                break
+            last = np.where(on < len(t), on, last)
+        chunk = group.column("_chunk")[0].as_py()
+        n = min(len(t), int(np.searchsorted(t, chunk * width + cooldown_ms)) + 1)
+        upto, out = t[:n] - cooldown_ms, t[last[:n]]
+        step = np.append(out[1:] != out[:-1], True)  # steps that lead to the same firing are one
+        return pa.table({"_k": group.column(key).slice(0, 1), "_chunk": [chunk],
+                         "_upto": [upto[step].tolist()], "_out": [out[step].tolist()]})
 
-    # 2. bounded segments: one sorted array of at most max_fold rows per segment.
-    small = sized.where(F.col("_n") <= max_fold)
-    packed = small.groupBy(key, "_seg").agg(F.array_sort(F.collect_list(
-        F.struct(F.col("_t").alias("t"), F.col("_tie").alias("tie"), F.col("_rid").alias("rid")))).alias("_xs"))
-    none = F.filter(F.col("_xs"), lambda x: F.lit(False))
-    fired_ties = packed.select(key, F.explode(F.aggregate(
-        "_xs", F.struct(F.lit(None).cast("long").alias("last"), none.alias("out")),
-        lambda acc, x: F.when(acc["last"].isNull() | (x["t"] - acc["last"] >= cooldown_ms),
-                              F.struct(x["t"].alias("last"),
-                                       F.concat(acc["out"], F.array(x)).alias("out")))
-                        .otherwise(acc),
-        lambda acc: acc["out"])).alias("_f"))
-    fired_small = fired_ties.select(F.col("_f.rid").alias("_rid"))
-    out = small.join(fired_small, "_rid", "left_semi").select(*cols)
+    def entering(group: pa.Table) -> pa.Table:
+        rows = sorted(group.select(["_chunk", "_upto", "_out"]).to_pylist(), key=lambda r: r["_chunk"])
+        last, enters = NONE_FIRED, []
+        for r in rows:
+            enters.append(last)
+            step = int(np.searchsorted(r["_upto"], last))
+            if step < len(r["_upto"]):
+                last = r["_out"][step]
+        return pa.table({"_k": pa.array([group.column("_k")[0].as_py()] * len(rows), group.schema.field("_k").type),
+                         "_chunk": [r["_chunk"] for r in rows], "_enters": pa.array(enters, pa.int64())})
 
-    # 3. unbounded segments, only if there are any.
-    if not sized.where(F.col("_n") > max_fold).isEmpty():
-        big = sized.where(F.col("_n") > max_fold).select(*cols).withColumn(
-            "_node", F.struct(F.col(key).alias("k"), F.col("_t").alias("t"),
-                              F.col("_tie").alias("tie"), F.col("_rid").alias("rid")))
-        probes = big.select(key, "_seg", (F.col("_t") + cooldown_ms).alias("p_time"),
-                            F.col("_node").alias("p_id"))
-        targets = big.select(key, "_seg", F.col("_t").alias("t_time"),
-                             F.col("_tie").alias("t_tie"), F.col("_node").alias("t_id"))
-        nxt = first_at_or_after(probes, targets, [key, "_seg"], cooldown_ms)
-        edges = nxt.select(F.col("p_id").alias("id"), F.col("t_id").alias("nxt"))
-        fired = reachable(edges, big.where("_start").select(F.col("_node").alias("id")))
-        big_out = big.join(fired.withColumnRenamed("id", "_node"), "_node", "left_semi")
-        out = out.unionByName(big_out.select(*cols))
-    return out.withColumn("detected_at_event_time", F.col("_t")).drop(*drop)
+    def firing(rows: pa.Table, enters: pa.Table) -> pa.Table:
+        if not rows.num_rows:
+            return rows
+        rows = rows.sort_by([("_t", "ascending"), ("_tie", "ascending"), ("_row", "ascending")])
+        t = rows.column("_t").to_numpy()
+        nxt = _next_firing(t, cooldown_ms)
+        at = int(np.searchsorted(t, enters.column("_enters")[0].as_py() + cooldown_ms))
+        fired = []
+        while at < len(t):
+            fired.append(at)
+            at = int(nxt[at])
+        return rows.take(pa.array(fired, pa.int64()))
+
+    functions = (cand.select(key, "_chunk", "_t").groupBy(key, "_chunk")
+                 .applyInArrow(as_function, f"_k {kind}, _chunk long, _upto array<long>, _out array<long>"))
+    enters = functions.groupBy("_k").applyInArrow(entering, f"_k {kind}, _chunk long, _enters long")
+    out = (cand.groupBy(key, "_chunk").cogroup(enters.groupBy("_k", "_chunk"))
+           .applyInArrow(firing, cand.schema))
+    return out.withColumn("detected_at_event_time", F.col("_t")).drop("_t", "_tie", "_row", "_chunk")
 
 
 def streak_alerts(df: DataFrame, key: str, time_col: str, value_col: str, tie_col: str,
                   threshold: float = GRIDLOCK_WAIT_SEC, cycles: int = GRIDLOCK_CYCLES,
-                  chunk_ms: int | None = None, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+                  chunk_ms: int | None = None) -> DataFrame:
     """DET-2: alert on exactly the ``cycles``-th consecutive row with
     ``value > threshold`` per key; a row at or below resets, a null value is skipped, and so
     is a row without an event time.
 
-    Position of each row (running count) and position of the last reset (running max)
-    come from two chunked prefix scans; the alert row has ``pos - reset == cycles``.
+    The feed is shuffled once, by (key, chunk). A window there gives each row its run of breaches
+    since the last reset of its chunk. Rows behind such a reset are decided by that alone. The
+    others have the breaches that end the chunks before to be added; they can alert only as one of
+    the first ``cycles`` rows of their chunk, so these and the last row of each chunk (which tells how the chunk
+    ends) are all that is put in order per key.
     """
     r = _ordered(df.where(F.col(value_col).isNotNull()), time_col, tie_col, chunk_ms)
-    r = _bounded(r, [key], chunk_ms, chunk_rows)  # read by both scans
-    breach = F.col(value_col) > F.lit(threshold)
-    r = prefix_scan(r, [key], _order(), "_chunk", [("_pos", "sum", F.lit(1).cast("long"))])
-    r = prefix_scan(r, [key], _order(), "_chunk",
-                    [("_reset", "max", F.when(~breach, F.col("_pos")))])
-    out = r.where(breach & (F.col("_pos") - F.coalesce(F.col("_reset"), F.lit(0)) == cycles))
+    r = r.withColumn("_high", F.col(value_col) > F.lit(threshold))
+    local = Window.partitionBy(key, "_chunk").orderBy(*_order())
+    so_far = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    r = r.withColumn("_pos", F.row_number().over(local)).withColumn("_ends", F.lead("_t").over(local).isNull())
+    r = r.withColumn("_reset", F.max(F.when(~F.col("_high"), F.col("_pos"))).over(so_far))
+    r = r.withColumn("_run", F.col("_pos") - F.coalesce("_reset", F.lit(0)))
+    decided = r.where(F.col("_reset").isNotNull() & F.col("_high") & (F.col("_run") == cycles))
+
+    edge = r.where((F.col("_reset").isNull() & F.col("_high") & (F.col("_run") <= cycles)) | F.col("_ends"))
+    before = (Window.partitionBy(key).orderBy("_chunk", *_order())
+              .rowsBetween(Window.unboundedPreceding, -1))
+    tail = F.when(F.col("_ends"), F.col("_run")).otherwise(0)
+    edge = edge.withColumn("_tails", F.coalesce(F.sum(tail).over(before), F.lit(0)))
+    # what the chunks up to the last one with a reset add before its tail does not count
+    stop = F.last(F.when(F.col("_ends") & F.col("_reset").isNotNull(), F.col("_tails")), ignorenulls=True)
+    edge = edge.withColumn("_carried", F.col("_tails") - F.coalesce(stop.over(before), F.lit(0)))
+    open_alerts = edge.where(F.col("_reset").isNull() & F.col("_high")
+                             & (F.col("_run") + F.col("_carried") == cycles))
+    out = decided.unionByName(open_alerts.drop("_tails", "_carried"))
     return (out.withColumn("consecutive_cycles_over_threshold", F.lit(cycles))
                .withColumn("detected_at_event_time", F.col("_t"))
-               .drop("_t", "_tie", "_rid", "_chunk", "_pos", "_reset"))
+               .drop("_t", "_tie", "_row", "_chunk", "_high", "_pos", "_ends", "_reset", "_run"))
 
 
 def proximity_alerts(df: DataFrame, route: str, bus: str, time_col: str, lat: str, lon: str,
                      tie_col: str, distance_m: float = BUNCHING_DISTANCE_M,
                      duration_ms: int = BUNCHING_DURATION_MS,
-                     fresh_ms: int = BUNCHING_FRESH_MS, chunk_ms: int | None = None,
-                     chunk_rows: int = CHUNK_ROWS, max_fanout: int = 64) -> DataFrame:
+                     fresh_ms: int = BUNCHING_FRESH_MS, chunk_ms: int | None = None) -> DataFrame:
     """DET-3 (+ JOIN-4): two vehicles of one route staying within ``distance_m``.
 
     Each fix of bus b is compared with the latest earlier fix of every other bus o of
@@ -163,7 +170,9 @@ def proximity_alerts(df: DataFrame, route: str, bus: str, time_col: str, lat: st
     """
     fx = _ordered(df.where(F.col(bus).isNotNull() & F.col(lat).isNotNull()
                            & F.col(lon).isNotNull()), time_col, tie_col, None)
-    fx = fx.select(F.col(route).alias("_route"), F.col(bus).alias("_bus"), "_t", "_tie", "_rid",
+    # equal rows are told apart here, so that each is an observation of its own
+    fx = fx.withColumn("_row", F.monotonically_increasing_id())
+    fx = fx.select(F.col(route).alias("_route"), F.col(bus).alias("_bus"), "_t", "_tie", "_row",
                    F.col(lat).alias("_lat"), F.col(lon).alias("_lon"),
                    F.col(time_col).alias("_ts_src"))
     fx = fx.checkpoint(eager=True)  # narrow fixes, read by four branches below
@@ -214,47 +223,27 @@ def proximity_alerts(df: DataFrame, route: str, bus: str, time_col: str, lat: st
                      "_from", "_to"))
     rep = fx.join(both, ["_route", "_bus"]).where(
         F.col("_t").between(F.col("_from"), F.col("_to")))
-    # Strategy from data: if no bus has more than ``max_fanout`` fixes in a freshness
-    # bucket, an equi-join on (partner, bucket) fans each fix out to at most
-    # 2 x max_fanout partner fixes and is cheapest; denser feeds (GPS every few seconds)
-    # use the sorted as-of lookup, which is linear.
-    peak = fx.groupBy("_route", "_bus", F.floor(F.col("_t") / fresh_ms)).count() \
-             .agg(F.max("count")).first()[0] or 0
-    if peak <= max_fanout:
-        tb = F.floor(F.col("_t") / fresh_ms).cast("long")
-        rep_b = rep.withColumn("_obs_tb", F.explode(F.array(tb, tb - 1)))
-        partner_fix = fx.select("_route", F.col("_bus").alias("_partner"),
-                                tb.alias("_obs_tb"), F.col("_t").alias("_pt"),
-                                F.struct("_tie", "_rid").alias("_ptie"), F.col("_lat").alias("_plat"),
-                                F.col("_lon").alias("_plon"))
-        seen = rep_b.join(partner_fix, ["_route", "_partner", "_obs_tb"]).where(
-            ((F.col("_pt") < F.col("_t"))
-             | ((F.col("_pt") == F.col("_t")) & (F.col("_ptie") < F.struct("_tie", "_rid"))))
-            & (F.col("_t") - F.col("_pt") <= fresh_ms))
-        obs = seen.groupBy("_route", "_bus", "_partner", "_t", "_tie", "_rid", "_lat", "_lon",
-                           "_ts_src").agg(
-            F.max_by(F.struct("_plat", "_plon"), F.struct("_pt", "_ptie")).alias("_p"))
-    else:
-        probes = rep.select("_route", "_bus", "_partner", F.col("_t").alias("p_time"),
-                            F.struct("_tie", "_rid").alias("p_tie"), "_lat", "_lon", "_ts_src")
-        partner_fix = fx.select("_route", F.col("_bus").alias("_partner"), "_t", "_tie", "_rid",
-                                "_lat", "_lon").join(
-            both.select("_route", "_bus", "_partner", "_from", "_to"), ["_route", "_partner"]) \
-            .where(F.col("_t").between(F.col("_from") - fresh_ms, F.col("_to")))
-        targets = partner_fix.select("_route", "_bus", "_partner", F.col("_t").alias("t_time"),
-                                     F.struct("_tie", "_rid").alias("t_tie"),
-                                     F.struct(F.col("_lat").alias("_plat"),
-                                              F.col("_lon").alias("_plon")).alias("t_val"))
-        seen = last_before(probes, targets, ["_route", "_bus", "_partner"], fresh_ms)
-        obs = seen.select("_route", "_bus", "_partner", F.col("p_time").alias("_t"),
-                          F.col("p_tie._tie").alias("_tie"), F.col("p_tie._rid").alias("_rid"), "_lat", "_lon",
-                          "_ts_src",
-                          F.col("t_val").alias("_p"))
+    # The as-of lookup is a sorted pass, linear in the fixes, however dense they are.
+    probes = rep.select("_route", "_bus", "_partner", F.col("_t").alias("p_time"),
+                        F.struct("_tie", "_row").alias("p_tie"), "_lat", "_lon", "_ts_src")
+    partner_fix = fx.select("_route", F.col("_bus").alias("_partner"), "_t", "_tie", "_row",
+                            "_lat", "_lon").join(
+        both.select("_route", "_bus", "_partner", "_from", "_to"), ["_route", "_partner"]) \
+        .where(F.col("_t").between(F.col("_from") - fresh_ms, F.col("_to")))
+    targets = partner_fix.select("_route", "_bus", "_partner", F.col("_t").alias("t_time"),
+                                 F.struct("_tie", "_row").alias("t_tie"),
+                                 F.struct(F.col("_lat").alias("_plat"),
+                                          F.col("_lon").alias("_plon")).alias("t_val"))
+    seen = last_before(probes, targets, ["_route", "_bus", "_partner"], fresh_ms)
+    obs = seen.select("_route", "_bus", "_partner", F.col("p_time").alias("_t"),
+                      F.col("p_tie._tie").alias("_tie"), F.col("p_tie._row").alias("_row"), "_lat", "_lon",
+                      "_ts_src",
+                      F.col("t_val").alias("_p"))
     dist = haversine_m("_lat", "_lon", "_p._plat", "_p._plon")
     obs = obs.select("*", dist.alias("_dist"), pair_key("_bus", "_partner").alias("_pair"),
                      (dist <= distance_m).alias("_close"))
     obs = obs.withColumn("_chunk", F.floor(F.col("_t") / (chunk_ms or DAY_MS)).cast("long"))
-    obs = _bounded(obs, ["_route", "_pair"], chunk_ms, chunk_rows)  # read four times below
+    obs = obs.checkpoint(eager=True)  # read four times below
 
     # 3. streaks of close observations per pair: a far observation starts a new one.
     pk = ["_route", "_pair"]
@@ -265,7 +254,7 @@ def proximity_alerts(df: DataFrame, route: str, bus: str, time_col: str, lat: st
         F.col("_t") - F.col("_first") >= duration_ms)
     alert = cand.groupBy(*pk, "_streak").agg(F.min_by(
         F.struct("_bus", "_partner", "_dist", "_t", "_tie", "_first", "_ts_src"),
-        F.struct("_t", "_tie", "_rid")).alias("a"))
+        F.struct("_t", "_tie", "_row")).alias("a"))
     return alert.select(
         F.col("_route").alias("route_id"),
         F.col("a._bus").alias("bus_id_1"),

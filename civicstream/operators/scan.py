@@ -7,15 +7,8 @@ here puts a whole key into one task or one array:
   by (key, chunk); each chunk is scanned locally by a window function, the chunk
   totals (one row per key and chunk) are scanned per key, and the carried-in value is
   joined back on (key, chunk). Work per task is bounded by the chunk, not the key.
-* ``balanced_chunks`` cuts each key's timeline into chunks of about N rows, so a hot
-  key is spread over many tasks however dense it is.
-* ``first_at_or_after`` is an as-of lookup "first target at or after probe time" when the
-  answer is known to lie within ``horizon`` of the probe; it equi-joins on time buckets.
 * ``last_before`` is the backward as-of lookup (latest target before each probe within a
   horizon), by a sorted window per time bucket instead of a fan-out join.
-* ``reachable`` marks every node reachable from start nodes along ``next`` pointers by
-  pointer doubling: O(log L) joins on unique node ids (no skew), lineage cut by
-  ``checkpoint()`` in the shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -28,29 +21,6 @@ from pyspark.sql import functions as F
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
-def balanced_chunks(df: DataFrame, keys: list[str], time_ms: str, target_rows: int,
-                    fine_ms: int = 60_000) -> DataFrame:
-    """Add ``_chunk``: a key's fine time buckets (``fine_ms``) grouped in time order
-    into chunks of about ``target_rows`` rows (a bucket is never split).
-
-    Rows are counted per (key, bucket) with a partial aggregate; the running count per
-    key runs over that small table (one row per key and bucket, bounded by the time
-    span, not by the data); chunk = rows before the bucket // target_rows. The result is
-    joined back on (key, bucket), a fine-grained key that does not skew. Chunk numbers
-    never decrease in time, as ``prefix_scan`` needs.
-    """
-    d = df.withColumn("_fine", F.floor(F.col(time_ms) / fine_ms).cast("long"))
-    counts = d.groupBy(*keys, "_fine").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*keys).orderBy("_fine").rowsBetween(Window.unboundedPreceding, -1)
-    chunks = counts.select(*[F.col(k).alias(f"_bk_{k}") for k in keys],
-                           F.col("_fine").alias("_bk_fine"),
-                           F.floor(F.coalesce(F.sum("_c").over(w), F.lit(0)) / target_rows)
-                           .cast("long").alias("_chunk"))
-    cond = reduce(lambda a, b: a & b, [d[k].eqNullSafe(chunks[f"_bk_{k}"]) for k in keys]
-                  + [d["_fine"] == chunks["_bk_fine"]])
-    return d.join(chunks, cond).drop("_fine", "_bk_fine", *[f"_bk_{k}" for k in keys])
-
-
 def prefix_scan(df: DataFrame, keys: list[str], order: list[Column], chunk: str,
                 specs: list[tuple[str, str, Column]], exclusive: bool = False) -> DataFrame:
     """Add running aggregates per key in ``order``.
@@ -89,36 +59,6 @@ def prefix_scan(df: DataFrame, keys: list[str], order: list[Column], chunk: str,
     return joined.select(*df.columns, *outs)
 
 
-def first_at_or_after(probes: DataFrame, targets: DataFrame, keys: list[str],
-                      horizon: int) -> DataFrame:
-    """For each probe (keys, ``p_time``, ``p_id``) find the target (keys, ``t_time``,
-    ``t_tie``, ``t_id``) with the smallest (t_time, t_tie) such that t_time >= p_time,
-    provided it lies in [p_time, p_time + horizon). Returns probes with ``t_id``
-    (null when no target lies in that span).
-
-    Targets are copied into their own time bucket (width ``horizon``) and the previous
-    one, so each probe finds its answer inside its own bucket; a window over
-    (keys, bucket) then picks it. Each task holds one key's rows of one bucket.
-    """
-    b = F.floor(F.col("t_time") / horizon).cast("long")
-    tid_type, pid_type = targets.schema["t_id"].dataType, probes.schema["p_id"].dataType
-    tgt = targets.select(*keys, F.col("t_time").alias("_time"), F.col("t_tie").alias("_tie"),
-                         F.col("t_id").alias("_tid"), F.lit(None).cast(pid_type).alias("_pid"),
-                         F.lit(0).alias("_is_probe"),
-                         F.explode(F.array(b, b - 1)).alias("_bucket"))
-    prb = probes.select(*keys, F.col("p_time").alias("_time"), F.lit(None).cast("long").alias("_tie"),
-                        F.lit(None).cast(tid_type).alias("_tid"), F.col("p_id").alias("_pid"),
-                        F.lit(1).alias("_is_probe"),
-                        F.floor(F.col("p_time") / horizon).cast("long").alias("_bucket"))
-    w = Window.partitionBy(*keys, "_bucket").orderBy(
-        F.col("_time").desc(), F.col("_is_probe").asc(), F.col("_tie").desc()
-    ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    u = tgt.unionByName(prb).withColumn("_ans", F.last("_tid", ignorenulls=True).over(w))
-    ans = u.where(F.col("_is_probe") == 1).select(F.col("_pid").alias("p_id"),
-                                                   F.col("_ans").alias("t_id"))
-    return probes.join(ans, "p_id", "left")
-
-
 def last_before(probes: DataFrame, targets: DataFrame, keys: list[str],
                 horizon: int) -> DataFrame:
     """As-of lookup backwards: for each probe (keys, ``p_time``, ``p_tie``, other
@@ -150,30 +90,3 @@ def last_before(probes: DataFrame, targets: DataFrame, keys: list[str],
     return hit.select(*keys, F.col("_time").alias("p_time"), F.col("_tie").alias("p_tie"),
                       *extra, F.col("_last.v").cast(val_type).alias("t_val"),
                       F.col("_last.t").alias("t_time"))
-
-
-def _checkpointed(df: DataFrame) -> DataFrame:
-    return df.checkpoint(eager=True)
-
-
-def reachable(edges: DataFrame, starts: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """Ids reachable from ``starts`` (column ``id``) following ``edges`` (``id``,
-    ``nxt``; at most one edge per id, pointers never cycle). Includes the starts.
-
-    Pointer doubling: J0 = edges, J(k+1)(v) = Jk(Jk(v)) until empty; then
-    M := M ∪ Jk(M) for k from high to low covers every distance 0 .. 2^(K+1)-1.
-    """
-    jumps = []
-    cur = _checkpointed(edges.where(F.col("nxt").isNotNull()).select("id", "nxt"))
-    while not cur.isEmpty():
-        jumps.append(cur)
-        if len(jumps) >= max_rounds:
-            raise RuntimeError("pointer chains longer than 2^max_rounds")
-        a, b = cur.alias("a"), cur.alias("b")
-        cur = _checkpointed(a.join(b, F.col("a.nxt") == F.col("b.id"))
-                            .select(F.col("a.id").alias("id"), F.col("b.nxt").alias("nxt")))
-    marked = starts.select("id")
-    for j in reversed(jumps):
-        step = marked.join(j, "id").select(F.col("nxt").alias("id"))
-        marked = _checkpointed(marked.unionByName(step))
-    return marked

@@ -250,14 +250,12 @@ ORACLE = {
 }
 
 
-def _incidents_no_src() -> str:
-    cols = ("incident_type, severity, detected_at_event_time, sensor_id, zone, aqi, "
-            "junction_id, consecutive_cycles_over_threshold, avg_wait_sec, route_id, "
-            "bus_id_1, bus_id_2, distance_m, continuous_proximity_sec")
-    wm = " , ".join(f"(SELECT max(epoch_us(event_time) // 1000) FROM {valid(f)})"
-                    for f in ("air_quality", "traffic_signals", "bus_gps"))
-    return (f"SELECT {cols} FROM ({_incidents_sql()}) "
-            f"WHERE detected_at_event_time <= least({wm}) - 30000")
+def _stream_incidents() -> str:
+    """Incidents up to the final watermark; those of pairs up to the freshness limit before it."""
+    newest = " , ".join(f"(SELECT max(epoch_us(event_time) // 1000) FROM {valid(f)})"
+                        for f in ("air_quality", "traffic_signals", "bus_gps"))
+    return (f"SELECT * FROM ({_incidents_sql()}) WHERE detected_at_event_time <= least({newest}) - 30000 "
+            f"- CASE WHEN incident_type = 'BUS_BUNCHING' THEN {BUNCH_FRESH_MS} ELSE 0 END")
 
 
 _TRAFFIC_ENV = f"""(SELECT * FROM {envelopes()} WHERE topic = 'city.traffic_signals')"""
@@ -283,5 +281,5 @@ ORACLE.update({
         WHERE window_end <= (SELECT max(event_time) FROM {valid('smart_meters')}) - INTERVAL 45 MINUTE""",
     "stream_health_advisories": ORACLE["health_advisories"],
     "stream_dedup": ORACLE["dedup"],
-    "stream_incidents": _incidents_no_src(),
+    "stream_incidents": _stream_incidents(),
 })

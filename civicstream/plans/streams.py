@@ -19,7 +19,7 @@ from civicstream.plans import queries as Q
 from civicstream.schemas import ENVELOPE, RAW_SCHEMAS, topic_name
 from civicstream.session import unique_scratch_path
 from civicstream.sources.topics import read_topic
-from civicstream.streaming import jobs
+from civicstream.streaming import jobs, stateful
 
 ISO_S = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 ONCE = {"availableNow": True}
@@ -129,9 +129,10 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """DET-1..4 streaming: three stateful detectors over three message streams, one
-    incident sink. Rows newer than the final watermark are still buffered when the
-    stream stops, so the result is the batch incidents up to that watermark."""
+    """DET-1..4 streaming: three stateful detectors over three message streams into the incident
+    topic (SNK-5), read back from its JSON values. Rows newer than the final watermark are still
+    waiting when the stream stops, so the result is the batch incidents up to that watermark, and
+    for pairs of buses up to the freshness limit before it."""
     names = ("air_quality", "traffic_signals", "bus_gps")
     feed = _Delivery(spark, {n: _messages(spark, sf_dir, n) for n in names})
     air, tr, gps = (_stream_valid(spark, feed.root, n) for n in names)
@@ -142,9 +143,9 @@ def stream_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     inc = jobs.incidents_stream(air, tr, gps, tie_col="offset",
                                 params=params)
     out = unique_scratch_path(spark, "incidents-out")
-    feed.run(lambda: inc.writeStream.format("parquet").option("path", f"{out}/rows")
-             .option("checkpointLocation", f"{out}/ckpt").trigger(availableNow=True).start())
-    return spark.read.parquet(f"{out}/rows").drop("source_timestamp")
+    feed.run(lambda: jobs.incidents_job(inc, f"{out}/topics", f"{out}/ckpt", trigger=ONCE))
+    log = spark.read.parquet(f"{out}/topics/{topic_name('incidents')}")
+    return log.select(F.from_json("value", stateful.INCIDENT_DDL).alias("r")).select("r.*")
 
 
 STREAM_QUERIES = {

@@ -1,233 +1,232 @@
-"""DET-1..3 as streaming stateful processors (``transformWithState``, event-time mode).
-
-Rows of a key are buffered in list state and an event-time timer is registered per
-row. When the watermark passes, the buffered rows at or below it are replayed in
-(event time, tie) order through the detector's state machine, so a stream gives the
-same alerts as the batch detector on the same rows. Rows behind the watermark are
-dropped by Spark before they reach the processor (the source system kept them).
+"""DET-1..3 on streams (``transformWithState``, event-time mode).
+
+A key's rows wait in list state, with a timer at the earliest of those that came together. When the
+watermark passes it, all rows that are ready are taken out at once, ordered by (event time, tie),
+and handled by array code together with what is carried over from earlier rows: the last firing of
+a sensor, the number of breaches in a row of a junction, the running clock of a pair of buses. So a
+stream gives the same alerts as the batch detectors, in however many micro-batches the rows arrive.
+Rows behind the watermark are dropped by Spark before they get here.
+
+Buses are never kept by route. Observations of a pair (a fix, and a fix of another bus of the route
+that is fresh) come from a watermarked stream-stream join on (route, time bucket); far ones count,
+because they stop the clock, so the place is no join key. State is per pair of buses, and only
+while its clock runs.
 """
 
 from __future__ import annotations
 
-import math
 from typing import Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from civicstream.functions.geo import haversine_m
 from civicstream.functions.timecols import epoch_ms
 from civicstream.session import ensure_rocksdb_state
 from civicstream.schemas import (AQI_COOLDOWN_MS, AQI_HAZARDOUS, AQI_INCIDENT,
                                  BUNCHING_DISTANCE_M, BUNCHING_DURATION_MS, BUNCHING_FRESH_MS,
-                                 BUNCHING_INCIDENT, DETECTOR_WATERMARK, EARTH_RADIUS_M,
-                                 GRIDLOCK_CYCLES, GRIDLOCK_INCIDENT, GRIDLOCK_WAIT_SEC,
-                                 INCIDENT_COLUMNS)
+                                 BUNCHING_INCIDENT, DETECTOR_WATERMARK, GRIDLOCK_CYCLES,
+                                 GRIDLOCK_INCIDENT, GRIDLOCK_WAIT_SEC, INCIDENT_COLUMNS)
 
 INCIDENT_DDL = ", ".join(f"{n} {t.simpleString()}" for n, t in INCIDENT_COLUMNS)
-_NAMES = [n for n, _ in INCIDENT_COLUMNS]
-
-
-def _incident(**kw) -> Row:
-    return Row(**{n: kw.get(n) for n in _NAMES})
 
 
-def _haversine(lat1, lon1, lat2, lon2, r=EARTH_RADIUS_M) -> float:
-    p1, p2 = math.radians(lat1), math.radians(lat2)
-    a = (math.sin(math.radians(lat2 - lat1) / 2) ** 2
-         + math.cos(p1) * math.cos(p2) * math.sin(math.radians(lon2 - lon1) / 2) ** 2)
-    return 2 * r * math.asin(math.sqrt(min(1.0, a)))
+def _incident(kind: tuple[str, str], **values) -> Row:
+    values |= {"incident_type": kind[0], "severity": kind[1]}
+    return Row(**{name: values.get(name) for name, _ in INCIDENT_COLUMNS})
 
 
-class _Replay(StatefulProcessor):
-    """Buffer rows; on timer expiry replay the rows at or below the watermark in order."""
+class _InOrder(StatefulProcessor):
+    """Hands the rows that the watermark has passed to ``alerts``, in order."""
 
-    buffer_ddl = ""
+    #: DDL of a waiting row (t and tie first) and of what is carried over.
+    row = "t long, tie long"
+    carry = "t long"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getListState("pending", self.buffer_ddl)
-        self.init_state(handle)
-
-    def init_state(self, handle: StatefulProcessorHandle) -> None:  # pragma: no cover
-        raise NotImplementedError
+        self.waiting = handle.getListState("waiting", self.row)
+        self.carried = handle.getValueState("carried", self.carry)
 
-    def to_tuple(self, row: Row) -> tuple:  # (t_ms, tie, ...)
-        raise NotImplementedError
-
-    def step(self, key, rec: tuple) -> list[Row]:
+    def alerts(self, rows: list[tuple], carried: tuple | None) -> tuple[list[Row], tuple | None]:
+        """Alerts of ordered rows, and what to carry over (None: nothing)."""
         raise NotImplementedError
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        buf = []
-        for r in rows:
-            rec = self.to_tuple(r)
-            if rec[0] is None:
-                continue
-            buf.append(rec)
-            self.handle.registerTimer(rec[0])
-        if buf:
-            self.pending.appendList(buf)
+        names = [f.split()[0] for f in self.row.split(", ")]
+        arrived = [tuple(r[n] for n in names) for r in rows if r["t"] is not None]
+        if arrived:
+            self.waiting.appendList(arrived)
+            self.handle.registerTimer(min(r[0] for r in arrived))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        wm = timerValues.getCurrentWatermarkInMs()
-        if not self.pending.exists():
-            return iter([])
-        rows = list(self.pending.get())
-        ready = sorted((r for r in rows if r[0] <= wm), key=lambda r: (r[0], r[1]))
-        if not ready:
+        passed = timerValues.getCurrentWatermarkInMs()
+        ready, later = [], []
+        for r in self.waiting.get():
+            (ready if r[0] <= passed else later).append(tuple(r))
+        if not ready:                                      # taken out by an earlier timer
             return iter([])
-        rest = [r for r in rows if r[0] > wm]
-        if rest:
-            self.pending.put(rest)
+        if later:
+            self.waiting.put(later)
+            self.handle.registerTimer(min(r[0] for r in later))
         else:
-            self.pending.clear()
-        out: list[Row] = []
-        for rec in ready:
-            out.extend(self.step(key, rec))
+            self.waiting.clear()
+        ready.sort(key=lambda r: (r[0], r[1] is not None, r[1] or 0))
+        before = self.carried.get()
+        before = None if before is None else tuple(before)
+        out, after = self.alerts(ready, before)
+        if after is None and before is not None:
+            self.carried.clear()
+        elif after != before:
+            self.carried.update(after)
         return iter(out)
 
     def close(self) -> None:
         pass
 
 
-class AqiCooldownProcessor(_Replay):
-    """DET-1: alert when aqi > threshold and no emitted alert within the cooldown."""
+class Cooldown(_InOrder):
+    """DET-1: carried over is the time of the last firing. The next one is found by a search for the
+    first hazardous reading a cooldown later."""
 
-    buffer_ddl = "t long, tie long, aqi double, sensor_id string, zone string, ts string"
+    row = "t long, tie long, aqi double, sensor_id string, zone string, ts string"
 
     def __init__(self, threshold=AQI_HAZARDOUS, cooldown_ms=AQI_COOLDOWN_MS):
         self.threshold, self.cooldown_ms = threshold, cooldown_ms
 
-    def init_state(self, handle):
-        self.last = handle.getValueState("last_alert", "t long")
-
-    def to_tuple(self, r):
-        return (r["_t"], r["_tie"], r["aqi"], r["sensor_id"], r["zone"], r["_src_ts"])
-
-    def step(self, key, rec):
-        t, _, aqi, sensor, zone, ts = rec
-        if aqi is None or aqi <= self.threshold:
-            return []
-        last = self.last.get()[0] if self.last.exists() else None
-        if last is not None and t - last < self.cooldown_ms:
-            return []
-        self.last.update((t,))
-        return [_incident(incident_type=AQI_INCIDENT[0], severity=AQI_INCIDENT[1],
-                          source_timestamp=ts, detected_at_event_time=t,
-                          sensor_id=sensor, zone=zone, aqi=aqi)]
+    def alerts(self, rows, carried):
+        high = [r for r in rows if r[2] is not None and r[2] > self.threshold]
+        times = np.array([r[0] for r in high], np.int64)
+        at = 0 if carried is None else int(np.searchsorted(times, carried[0] + self.cooldown_ms))
+        out = []
+        while at < len(high):
+            t, _, aqi, sensor, zone, ts = high[at]
+            carried = (t,)
+            out.append(_incident(AQI_INCIDENT, source_timestamp=ts, detected_at_event_time=t,
+                                 sensor_id=sensor, zone=zone, aqi=aqi))
+            at = max(at + 1, int(np.searchsorted(times, t + self.cooldown_ms)))
+        return out, carried
 
 
-class GridlockProcessor(_Replay):
-    """DET-2: alert on exactly the n-th consecutive wait above the threshold."""
+class Streak(_InOrder):
+    """DET-2: carried over is the number of breaches at the end, up to the number that alerts. The
+    length of the run at each row is its distance from the last row that was no breach."""
 
-    buffer_ddl = "t long, tie long, wait double, junction_id string, zone string, ts string"
+    row = "t long, tie long, wait double, junction_id string, zone string, ts string"
+    carry = "breaches long"
 
     def __init__(self, threshold=GRIDLOCK_WAIT_SEC, cycles=GRIDLOCK_CYCLES):
         self.threshold, self.cycles = threshold, cycles
 
-    def init_state(self, handle):
-        self.streak = handle.getValueState("streak", "n int, alerted boolean")
-
-    def to_tuple(self, r):
-        return (r["_t"], r["_tie"], r["avg_wait_sec"], r["junction_id"], r["zone"], r["_src_ts"])
-
-    def step(self, key, rec):
-        t, _, wait, junction, zone, ts = rec
-        if wait is None:
-            return []
-        n, alerted = self.streak.get() if self.streak.exists() else (0, False)
-        if wait > self.threshold:
-            n += 1
-            out = []
-            if n >= self.cycles and not alerted:
-                alerted = True
-                out.append(_incident(
-                    incident_type=GRIDLOCK_INCIDENT[0], severity=GRIDLOCK_INCIDENT[1],
-                    source_timestamp=ts, detected_at_event_time=t, junction_id=junction,
-                    zone=zone, consecutive_cycles_over_threshold=n, avg_wait_sec=wait))
-            self.streak.update((n, alerted))
-            return out
-        self.streak.update((0, False))
-        return []
-
-
-class BunchingProcessor(_Replay):
-    """DET-3 per route: latest position per bus (map state) and a proximity clock per
-    bus pair (map state). Positions older than the freshness limit are evicted (they
-    can never be compared again in event order); pair clocks are kept."""
-
-    buffer_ddl = "t long, tie long, bus_id string, lat double, lon double, ts string"
-
-    def __init__(self, distance_m=BUNCHING_DISTANCE_M, duration_ms=BUNCHING_DURATION_MS,
-                 fresh_ms=BUNCHING_FRESH_MS):
-        self.distance_m, self.duration_ms, self.fresh_ms = distance_m, duration_ms, fresh_ms
-
-    def init_state(self, handle):
-        self.positions = handle.getMapState("positions", "bus string",
-                                            "lat double, lon double, t long")
-        self.pairs = handle.getMapState("pairs", "pair string", "first long, alerted boolean")
-
-    def to_tuple(self, r):
-        return (r["_t"], r["_tie"], r["bus_id"], r["lat"], r["lon"], r["_src_ts"])
-
-    def step(self, key, rec):
-        t, _, bus, lat, lon, ts = rec
-        if bus is None or lat is None or lon is None:
-            return []
-        route = key[0] if isinstance(key, tuple) else key
+    def alerts(self, rows, carried):
+        rows = [r for r in rows if r[2] is not None]
+        if not rows:
+            return [], carried
+        before = carried[0] if carried else 0
+        breach = np.array([r[2] for r in rows]) > self.threshold
+        at = np.arange(len(rows))
+        run = at - np.maximum.accumulate(np.where(breach, -1 - before, at))
+        out = []
+        for i in np.flatnonzero(breach & (run == self.cycles)).tolist():
+            t, _, wait, junction, zone, ts = rows[i]
+            out.append(_incident(GRIDLOCK_INCIDENT, source_timestamp=ts, detected_at_event_time=t,
+                                 junction_id=junction, zone=zone, avg_wait_sec=wait,
+                                 consecutive_cycles_over_threshold=self.cycles))
+        # one breach beyond the alert is told apart from the one that alerts
+        left = min(int(run[-1]), self.cycles + 1)
+        return out, (left,) if left else None
+
+
+class PairClock(_InOrder):
+    """DET-3 of one pair of buses. Rows are a fix and an earlier fresh fix of the other bus; of
+    several for one fix the latest counts. Carried over are the start of the running clock and the
+    last close observation."""
+
+    row = ("t long, tie long, route_id string, bus string, other string, u long, utie long, distance double, "
+           "ts string")
+    carry = "first long, last long"
+
+    def __init__(self, distance_m=BUNCHING_DISTANCE_M, duration_ms=BUNCHING_DURATION_MS):
+        self.distance_m, self.duration_ms = distance_m, duration_ms
+
+    def alerts(self, rows, carried):
+        latest: dict[tuple, tuple] = {}
+        for r in rows:
+            one = (r[0], r[1], r[3])
+            if one not in latest or latest[one][5:7] < r[5:7]:
+                latest[one] = r
+        seen = list(latest.values())
+        t = np.array([r[0] for r in seen], np.int64)
+        far = np.array([r[7] for r in seen]) > self.distance_m
+        stretch = np.cumsum(far)                           # a far observation begins a new stretch
         out = []
-        for (other,), (olat, olon, ot) in list(self.positions.iterator()):
-            if other == bus:
-                continue
-            if t - ot > self.fresh_ms:
-                self.positions.removeKey((other,))
-                continue
-            dist = _haversine(lat, lon, olat, olon)
-            pk = "|".join(sorted([bus, other]))
-            if dist <= self.distance_m:
-                cur = self.pairs.getValue((pk,))
-                if cur is None:
-                    self.pairs.updateValue((pk,), (t, False))
-                else:
-                    first, alerted = cur
-                    if t - first >= self.duration_ms and not alerted:
-                        self.pairs.updateValue((pk,), (first, True))
-                        out.append(_incident(
-                            incident_type=BUNCHING_INCIDENT[0], severity=BUNCHING_INCIDENT[1],
-                            source_timestamp=ts, detected_at_event_time=t, route_id=route,
-                            bus_id_1=bus, bus_id_2=other, distance_m=round(dist, 1),
-                            continuous_proximity_sec=(t - first) // 1000))
-            elif self.pairs.containsKey((pk,)):
-                self.pairs.removeKey((pk,))
-        self.positions.updateValue((bus,), (lat, lon, t))
-        return out
+        for s in np.unique(stretch[~far]).tolist():
+            at = np.flatnonzero((stretch == s) & ~far)
+            first, done = int(t[at[0]]), False
+            if s == 0 and carried is not None:
+                first, done = carried[0], carried[1] - carried[0] >= self.duration_ms
+            long = at[t[at] - first >= self.duration_ms]
+            if len(long) and not done:
+                at_t, _, route, bus, other, _, _, distance, ts = seen[long[0]]
+                out.append(_incident(BUNCHING_INCIDENT, source_timestamp=ts, detected_at_event_time=at_t,
+                                     route_id=route, bus_id_1=bus, bus_id_2=other,
+                                     distance_m=round(distance, 1),
+                                     continuous_proximity_sec=(at_t - first) // 1000))
+            left = (first, int(t[at[-1]]))
+        return out, None if far[-1] else left
 
 
 def _prepare(df: DataFrame, time_col: str, tie_col: str, delay: str) -> DataFrame:
+    """t, tie, ts (the source's timestamp text) and the watermarked time of every row."""
     ensure_rocksdb_state(df.sparkSession)
-    ts = F.col(time_col).cast("timestamp")
-    return (df.withColumn("_wm_time", ts).withWatermark("_wm_time", delay)
-              .withColumn("_t", epoch_ms(ts)).withColumn("_tie", F.col(tie_col).cast("long"))
-              .withColumn("_src_ts", F.col("timestamp").cast("string") if "timestamp" in df.columns
-                          and dict(df.dtypes)["timestamp"] == "string"
-                          else F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")))
+    time = F.col(time_col).cast("timestamp")
+    text = (F.col("timestamp") if dict(df.dtypes).get("timestamp") == "string"
+            else F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    return (df.withColumn("_at", time).withWatermark("_at", delay)
+              .withColumn("t", epoch_ms(time)).withColumn("tie", F.col(tie_col).cast("long"))
+              .withColumn("ts", text))
 
 
 def stream_aqi(df: DataFrame, time_col="event_time", tie_col="offset",
                delay=DETECTOR_WATERMARK, **params) -> DataFrame:
     return _prepare(df, time_col, tie_col, delay).groupBy("sensor_id").transformWithState(
-        AqiCooldownProcessor(**params), INCIDENT_DDL, "Append", "EventTime")
+        Cooldown(**params), INCIDENT_DDL, "Append", "EventTime")
 
 
 def stream_gridlock(df: DataFrame, time_col="event_time", tie_col="offset",
                     delay=DETECTOR_WATERMARK, **params) -> DataFrame:
-    return _prepare(df, time_col, tie_col, delay).groupBy("junction_id").transformWithState(
-        GridlockProcessor(**params), INCIDENT_DDL, "Append", "EventTime")
-
-
-def stream_bunching(df: DataFrame, time_col="event_time", tie_col="offset",
-                    delay=DETECTOR_WATERMARK, **params) -> DataFrame:
-    return _prepare(df, time_col, tie_col, delay).groupBy("route_id").transformWithState(
-        BunchingProcessor(**params), INCIDENT_DDL, "Append", "EventTime")
+    rows = _prepare(df, time_col, tie_col, delay).withColumn("wait", F.col("avg_wait_sec"))
+    return rows.groupBy("junction_id").transformWithState(
+        Streak(**params), INCIDENT_DDL, "Append", "EventTime")
+
+
+def pair_observations(df: DataFrame, time_col="event_time", tie_col="offset",
+                      delay=DETECTOR_WATERMARK, fresh_ms: int = BUNCHING_FRESH_MS) -> DataFrame:
+    """JOIN-4 on a stream: every fix with the earlier fixes of other buses of its route that are at
+    most ``fresh_ms`` old. Both sides forget rows once the watermark has left them behind by that."""
+    fixes = _prepare(df, time_col, tie_col, delay).where("bus_id IS NOT NULL AND lat IS NOT NULL AND lon IS NOT NULL")
+    bucket = F.floor(F.col("t") / fresh_ms).cast("long")
+    here = fixes.select("route_id", F.col("bus_id").alias("bus"), "lat", "lon", "t", "tie", "ts", "_at",
+                        bucket.alias("bucket"))
+    past = fixes.select(F.col("route_id").alias("p_route"), F.col("bus_id").alias("other"),
+                        F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"), F.col("t").alias("u"),
+                        F.col("tie").alias("utie"), F.col("_at").alias("p_at"),
+                        F.explode(F.array(bucket, bucket + 1)).alias("p_bucket"))
+    near_in_time = F.expr(f"p_at <= _at + INTERVAL 1 MILLISECOND AND _at <= p_at + INTERVAL {fresh_ms + 1} MILLISECOND")
+    seen = here.join(past, (F.col("route_id") == F.col("p_route")) & (F.col("bucket") == F.col("p_bucket"))
+                     & (F.col("bus") != F.col("other")) & near_in_time & (F.col("t") - F.col("u") <= fresh_ms)
+                     & ((F.col("u") < F.col("t")) | ((F.col("u") == F.col("t")) & (F.col("utie") < F.col("tie")))))
+    return seen.select("route_id", F.least("bus", "other").alias("bus_a"), F.greatest("bus", "other").alias("bus_b"),
+                       "bus", "other", "t", "tie", "u", "utie", "ts", "_at",
+                       haversine_m("lat", "lon", "p_lat", "p_lon").alias("distance"))
+
+
+def stream_bunching(df: DataFrame, time_col="event_time", tie_col="offset", delay=DETECTOR_WATERMARK,
+                    fresh_ms: int = BUNCHING_FRESH_MS, **params) -> DataFrame:
+    """Alerts follow the watermark at a distance of ``fresh_ms``, which the join holds back."""
+    seen = pair_observations(df, time_col, tie_col, delay, fresh_ms)
+    return seen.groupBy("route_id", "bus_a", "bus_b").transformWithState(
+        PairClock(**params), INCIDENT_DDL, "Append", "EventTime")

@@ -1,5 +1,5 @@
-"""DET-1..3 batch detectors: hand-made cases and equivalence with a sequential model
-on random data (small time chunks force the cross-chunk carry paths)."""
+"""DET-1..3 batch detectors: hand-made cases and the alerts' definition on
+random data (small time chunks force the cross-chunk carry paths)."""
 
 import random
 
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from civicstream.operators import detect
 from civicstream.operators.incidents import (aqi_incidents, gridlock_incidents,
                                              union_incidents)
-from helpers import model_bunching, model_cooldown, model_streak
+from helpers import expected_bunching, expected_cooldown, expected_streaks
 
 T0 = 1_782_885_600_000  # 2026-07-01T06:00:00Z in ms
 
@@ -115,10 +115,10 @@ def test_bunching_needs_same_route(spark):
     assert bunch(spark, fixes).count() == 0
 
 
-@pytest.mark.parametrize("seed,chunk_ms,max_fold,chunk_rows", [
-    (1, 86_400_000, 4096, None), (2, 420_000, 4096, None), (3, 61_000, 3, None),
-    (9, 420_000, 1, None), (10, None, 4096, 7), (11, None, 2, 5)])
-def test_cooldown_matches_model(spark, seed, chunk_ms, max_fold, chunk_rows):
+@pytest.mark.parametrize("seed,chunk_ms,cooldown", [
+    (1, 86_400_000, 120_000), (2, 420_000, 120_000), (3, 61_000, 120_000), (9, 1_000, 120_000),
+    (10, 300_000, 1), (11, 300_000, 900_000), (12, None, 120_000)])
+def test_cooldown_matches_definition(spark, seed, chunk_ms, cooldown):
     rnd = random.Random(seed)
     rows = []
     for i in range(1500):
@@ -128,13 +128,13 @@ def test_cooldown_matches_model(spark, seed, chunk_ms, max_fold, chunk_rows):
         rows.append((k, t, i, v))
     df = frame(spark, rows, "sensor_id string, t long, tie long, aqi double")
     got = detect.cooldown_alerts(df, "sensor_id", "event_time", "aqi", "tie", chunk_ms=chunk_ms,
-                                 max_fold=max_fold, chunk_rows=chunk_rows or 1_000_000)
-    assert {(r.sensor_id, r.tie) for r in got.collect()} == model_cooldown(rows, 300.0, 120_000)
+                                 cooldown_ms=cooldown)
+    assert {(r.sensor_id, r.tie) for r in got.collect()} == expected_cooldown(rows, 300.0, cooldown)
 
 
-@pytest.mark.parametrize("seed,chunk_ms,chunk_rows", [(4, 86_400_000, None), (5, 300_000, None),
-                                                (6, 45_000, None), (12, None, 9)])
-def test_streak_matches_model(spark, seed, chunk_ms, chunk_rows):
+@pytest.mark.parametrize("seed,chunk_ms,cycles", [(4, 86_400_000, 3), (5, 300_000, 3), (6, 45_000, 3), (12, 1_000, 3),
+                                            (13, 20_000, 1), (14, 20_000, 6), (15, None, 3)])
+def test_streak_matches_definition(spark, seed, chunk_ms, cycles):
     rnd = random.Random(seed)
     rows = []
     for i in range(2000):
@@ -144,13 +144,12 @@ def test_streak_matches_model(spark, seed, chunk_ms, chunk_rows):
         rows.append((k, t, i, v))
     df = frame(spark, rows, "junction_id string, t long, tie long, avg_wait_sec double")
     got = detect.streak_alerts(df, "junction_id", "event_time", "avg_wait_sec", "tie",
-                               chunk_ms=chunk_ms, chunk_rows=chunk_rows or 1_000_000)
-    assert {(r.junction_id, r.tie) for r in got.collect()} == model_streak(rows, 180.0, 3)
+                               chunk_ms=chunk_ms, cycles=cycles)
+    assert {(r.junction_id, r.tie) for r in got.collect()} == expected_streaks(rows, 180.0, cycles)
 
 
-@pytest.mark.parametrize("seed,chunk_ms,chunk_rows,max_fanout", [
-    (7, 86_400_000, None, 64), (8, 600_000, None, 64), (13, None, 6, 64), (14, None, None, 1)])
-def test_bunching_matches_model(spark, seed, chunk_ms, chunk_rows, max_fanout):
+@pytest.mark.parametrize("seed,chunk_ms", [(7, 86_400_000), (8, 600_000), (13, 30_000), (14, None)])
+def test_bunching_matches_definition(spark, seed, chunk_ms):
     rnd = random.Random(seed)
     rows = []
     for i in range(1200):
@@ -162,9 +161,8 @@ def test_bunching_matches_model(spark, seed, chunk_ms, chunk_rows, max_fanout):
         rows.append((route, bus, t, i, lat, lon))
     df = frame(spark, rows, "route_id string, bus_id string, t long, tie long, lat double, lon double")
     got = detect.proximity_alerts(df, "route_id", "bus_id", "event_time", "lat", "lon", "tie",
-                                  chunk_ms=chunk_ms, chunk_rows=chunk_rows or 1_000_000,
-                                  max_fanout=max_fanout)
-    want = model_bunching(rows, 200.0, 300_000, 180_000)
+                                  chunk_ms=chunk_ms)
+    want = expected_bunching(rows, 200.0, 300_000, 180_000)
     assert {(r.route_id, r.bus_id_1, r.bus_id_2, r.tie, r.continuous_proximity_sec)
             for r in got.collect()} == want
     assert len(want) > 0
@@ -183,8 +181,7 @@ def test_incident_union_shape(spark):
     assert len(u.columns) == 15
 
 
-@pytest.mark.parametrize("max_fanout", [64, 1])
-def test_bunching_crowded_terminal_matches_model(spark, max_fanout):
+def test_bunching_crowded_terminal_matches_definition(spark):
     """A hot cell: 30 buses of one route idle at a terminal, reporting every 3 s."""
     rnd = random.Random(21)
     rows, i = [], 0
@@ -194,9 +191,8 @@ def test_bunching_crowded_terminal_matches_model(spark, max_fanout):
                          LAT + 0.0002 * (b % 5), LON + 0.0002 * (b // 10)))
             i += 1
     df = frame(spark, rows, "route_id string, bus_id string, t long, tie long, lat double, lon double")
-    got = detect.proximity_alerts(df, "route_id", "bus_id", "event_time", "lat", "lon", "tie",
-                                  max_fanout=max_fanout)
-    want = model_bunching(rows, 200.0, 300_000, 180_000)
+    got = detect.proximity_alerts(df, "route_id", "bus_id", "event_time", "lat", "lon", "tie")
+    want = expected_bunching(rows, 200.0, 300_000, 180_000)
     assert len(want) > 100
     assert {(r.route_id, r.bus_id_1, r.bus_id_2, r.tie, r.continuous_proximity_sec)
             for r in got.collect()} == want
@@ -210,7 +206,7 @@ def test_null_and_repeated_ties(spark):
     got = detect.cooldown_alerts(df, "sensor_id", "event_time", "aqi", "offset", threshold=150.0, cooldown_ms=120_000)
     assert sorted(str(r.event_time)[14:16] for r in got.collect()) == ["00", "03", "06"]
     forced = detect.cooldown_alerts(df, "sensor_id", "event_time", "aqi", "offset", threshold=150.0,
-                                    cooldown_ms=240_000, max_fold=1)
+                                    cooldown_ms=240_000, chunk_ms=60_000)
     assert sorted(str(r.event_time)[14:16] for r in forced.collect()) == ["00", "06"]
 
 
@@ -218,3 +214,20 @@ def test_rows_without_a_time_do_not_count(spark):
     rows = [("j", "2025-01-01 00:00:00", 99.0, 1), ("j", None, 99.0, 2), ("j", None, 99.0, 3)]
     df = spark.createDataFrame(rows, "j string, t string, w double, o long").withColumn("t", F.to_timestamp("t"))
     assert detect.streak_alerts(df, "j", "t", "w", "o", threshold=50.0, cycles=3).count() == 0
+
+
+def test_a_null_key_is_a_key(spark):
+    rows = [(k, T0 + i * 1000, i, 400.0) for i, k in enumerate([None, "a", None, "a"] * 30)]
+    df = frame(spark, rows, "sensor_id string, t long, tie long, aqi double")
+    got = detect.cooldown_alerts(df, "sensor_id", "event_time", "aqi", "tie", cooldown_ms=10_000, chunk_ms=7_000)
+    assert {(r.sensor_id, r.tie) for r in got.collect()} == expected_cooldown(rows, 300.0, 10_000)
+
+
+def test_gridlock_shuffles_the_feed_once(spark, tmp_dir):
+    """One exchange of the feed, read by both branches, and one of the edges of the chunks."""
+    wait_rows(spark, [200.0] * 5).write.parquet(tmp_dir + "/w")
+    got = detect.streak_alerts(spark.read.parquet(tmp_dir + "/w"), "junction_id", "event_time", "avg_wait_sec", "tie")
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning(junction_id#") - plan.count("ReusedExchange") <= 2
+    assert "ReusedExchange" in plan and "checkpoint" not in plan.lower()

@@ -22,7 +22,7 @@ def test_lookup_is_broadcast_after_check(spark):
 
 
 def test_detectors_no_cartesian_or_collect(spark):
-    for fn in (Q.gridlock_alerts, Q.bunching_alerts):
+    for fn in (Q.aqi_alerts, Q.gridlock_alerts, Q.bunching_alerts):
         p = plan(fn(spark, SF))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
         assert "collect_list" not in p and "collect_set" not in p

@@ -1,26 +1,10 @@
-"""Scan building blocks: row-balanced chunks, prefix scans, size-checked broadcast."""
+"""Scan building blocks: prefix scans, as-of lookup, size-checked broadcast."""
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from civicstream.operators.enrich import sized_broadcast
-from civicstream.operators.scan import balanced_chunks, prefix_scan
-
-
-def test_balanced_chunks_bound_rows_and_keep_time_order(spark):
-    # one hot key (80 % of rows) and a light one; a minute holds at most 30 rows
-    rows = [("hot", m * 60_000 + s * 2_000) for m in range(100) for s in range(24)]
-    rows += [("cold", m * 60_000) for m in range(100)]
-    df = spark.createDataFrame(rows, "k string, t long")
-    out = balanced_chunks(df, ["k"], "t", target_rows=200)
-    sizes = out.groupBy("k", "_chunk").count()
-    assert sizes.agg(F.max("count")).collect()[0][0] <= 200 + 24
-    assert sizes.where("k = 'hot'").count() >= 10
-    # chunk numbers never decrease in time within a key
-    w = Window.partitionBy("k").orderBy("t")
-    bad = out.withColumn("prev", F.lag("_chunk").over(w)).where("_chunk < prev")
-    assert bad.count() == 0
-    assert out.count() == len(rows)
+from civicstream.operators.scan import prefix_scan
 
 
 def test_prefix_scan_matches_window(spark):
@@ -52,31 +36,18 @@ def test_sized_broadcast_only_under_bound(spark):
     assert sized_broadcast(wide, max_bytes=5000) is wide and sized_broadcast(wide, max_bytes=50_000) is not wide
 
 
-def test_as_of_lookups_match_brute_force(spark):
+def test_as_of_lookup_matches_brute_force(spark):
     import random
-    from civicstream.operators.scan import first_at_or_after, last_before
+    from civicstream.operators.scan import last_before
     rnd = random.Random(3)
     tg = sorted({(rnd.choice("ab"), rnd.randrange(0, 5000), i) for i in range(300)})
     pr = [(rnd.choice("ab"), rnd.randrange(0, 5000), 10_000 + j) for j in range(200)]
     h = 400
     targets = spark.createDataFrame(tg, "k string, t_time long, t_tie long").withColumn(
-        "t_id", F.col("t_tie")).withColumn("t_val", F.col("t_tie"))
+        "t_val", F.col("t_tie"))
     probes = spark.createDataFrame(pr, "k string, p_time long, p_id long")
-    fwd = {r.p_id: r.t_id for r in first_at_or_after(probes, targets, ["k"], h).collect()}
-    for k, p, pid in pr:
-        cands = [(t, tie) for kk, t, tie in tg if kk == k and p <= t < p + h]
-        assert fwd[pid] == (min(cands)[1] if cands else None)
     back_in = probes.withColumn("p_tie", F.col("p_id"))
     back = {r.p_id: r.t_val for r in last_before(back_in, targets, ["k"], h).collect()}
     for k, p, pid in pr:
         cands = [(t, tie) for kk, t, tie in tg if kk == k and (t, tie) < (p, pid) and t >= p - h]
         assert back.get(pid) == (max(cands)[1] if cands else None)
-
-
-def test_reachable_marks_chain_from_starts(spark):
-    from civicstream.operators.scan import reachable
-    nxt = {i: i + 3 for i in range(0, 60)}  # chains 0->3->6.., 1->4->.., 2->5->..
-    edges = spark.createDataFrame([(a, b) for a, b in nxt.items()], "id long, nxt long")
-    starts = spark.createDataFrame([(0,), (4,)], "id long")
-    got = {r.id for r in reachable(edges, starts).collect()}
-    assert got == set(range(0, 63, 3)) | set(range(4, 63, 3))
