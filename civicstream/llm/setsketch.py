@@ -13,8 +13,9 @@ by maximum and agree in two sets about as often as the sets are similar.
 4. Members of a bucket outside of its largest component so far are compared with all members of
    other components, block by block: first by how many shingles each shares with anyone at all
    (an exact bound that clears most copies with many changes of their own), then on a finer
-   sketch; the plausible pairs are verified too.
-   Only pairs that are connected already, directly or through others, are never compared.
+   sketch; the plausible pairs are verified in the same task on the full sets of both blocks, the
+   likeliest first. A pair that is connected already, directly or through others, is not compared,
+   so a task returns a link for each two components that it joins, and never all pairs.
 
 A pair of similarity 0.8 misses all 21 bands of 3 registers with a probability of 3e-7.
 
@@ -44,8 +45,9 @@ B, RATE, TOP = 1.001, 20.0, 2**16 - 1
 #: Log-likelihood that a pair may fall short of the best similarity and still be verified; a true
 #: link falls short by more with a probability of about 3e-5.
 SLACK = 8.0
-#: Members of a bucket whose registers are compared with those of another block at once.
-BLOCK = 256
+#: Members of a bucket that are compared with those of another block at once, and bytes of their
+#: sets (a larger set is alone).
+BLOCK, BLOCK_BYTES = 256, 1 << 23
 
 #: Further registers, of one byte each, of the documents that share a bucket with others.
 FINE = 512
@@ -175,10 +177,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sa, sb = ([np.frombuffer(x, np.uint64) for x in batch.column(c).to_pylist()] for c in ("sa", "sb"))
-            linked = []
-            for x, y in zip(sa, sb):
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(100 * both >= percent * (len(x) + len(y) - both))
+            linked = [_linked(x, y, percent) for x, y in zip(sa, sb)]
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     return (pairs.join(sets.toDF("b", "sb"), "b").join(sets.toDF("a", "sa"), "a").select("a", "b", "sa", "sb")
@@ -238,11 +237,11 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def _links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     width = 2 * ROWS
-    bands = classes.select("cid", F.posexplode(F.expr(
+    bands = classes.select("cid", "n", F.posexplode(F.expr(
         f"transform(sequence(0, {BANDS - 1}), i -> xxhash64(i, substring(_regs, i * {width} + 1, {width})))"
     )).alias("band", "bucket"))
-    shared = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = common.stored(bands.join(shared, "bucket"), "members")
+    shared = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("volume")).where("size > 1")
+    members = common.stored(bands.drop("n").join(shared, "bucket"), "members")
     score = members.groupBy("cid").agg(F.sum("size").alias("score"))
     wanted = hashstore.build(classes.join(score, "cid", "left_semi"), "_k", "wanted")
     sets = common.stored(
@@ -264,20 +263,21 @@ def _links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> Data
     # members of a bucket outside of its largest component against all that are not in their own
     roots = components(links)
     apart = common.stored(members.join(roots, members.cid == roots.node, "left").select(
-        "bucket", "band", "size", "cid", F.coalesce("root", "cid").alias("root")), "apart")
+        "bucket", "band", "size", "volume", "cid", F.coalesce("root", "cid").alias("root")), "apart")
     largest = (apart.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("k"))
                .groupBy("bucket").agg(F.max(F.struct("k", "root")).alias("m"), F.count(F.lit(1)).alias("roots"))
                .where("roots > 1").select("bucket", F.col("m.root").alias("main")))
-    mixed = (apart.join(largest, "bucket").join(sketch, "cid").join(_finer(sets), "cid")
-             .withColumn("block", F.expr(f"pmod(xxhash64(cid), cast(ceil(size / {BLOCK}) as long))")))
+    parts = f"cast(greatest(ceil(size / {BLOCK}), ceil(8 * volume / {BLOCK_BYTES})) as long)"
+    mixed = (apart.join(largest, "bucket").join(sketch, "cid").join(_finer(sets), "cid").join(sets, "cid")
+             .withColumn("block", F.expr(f"pmod(xxhash64(cid), {parts})")))
+    member = "struct(cid, root, n, shared, _regs, fine, _set)"
     blocks = common.stored(mixed.groupBy("bucket", "band", "main", "block").agg(
-        F.collect_list(F.struct("cid", "root", "n", "shared", "_regs", "fine")).alias("all"),
-        F.expr("collect_list(struct(cid, root, n, shared, _regs, fine)) filter (where root != main)").alias("odd")),
-        "blocks")
+        F.expr(f"collect_list({member})").alias("all"),
+        F.expr(f"collect_list({member}) filter (where root != main)").alias("odd")), "blocks")
     compared = (blocks.where("size(odd) > 0").select("bucket", "band", "main", "odd")
                 .join(blocks.select("bucket", "all"), "bucket")
                 .select("band", "main", "odd", "all").mapInArrow(_compare(percent), "a long, b long"))
-    return links.union(_verified(compared.distinct(), sets, percent))
+    return links.union(compared)
 
 
 def _finer(sets: DataFrame) -> DataFrame:
@@ -328,39 +328,56 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(common.text_buffer(column)[0].tobytes(), np.uint16).reshape(len(column), REGISTERS)
 
 
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sets (ascending hashes) are similar enough."""
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _compare(percent: int):
-    """Two blocks of a bucket -> the pairs of different components that may be links. A pair comes
-    from the first band that it shares, and once if both members are outside of the largest
-    component."""
+    """Two blocks of a bucket -> links that join different components. A pair is compared in the
+    first band that it shares, and once if both members are outside of the largest component."""
     # registers that agree, by chance too, in a pair at the threshold, less than which about three
     # in 10^5 such pairs have
     share = percent / 100 + (1 - percent / 100) / 256
     fewest = FINE * share - 4.0 * (FINE * share * (1 - share)) ** 0.5
 
+    def blocks(odd: pa.StructArray, other: pa.StructArray, band: int, main: int) -> Iterator[tuple[int, int]]:
+        ids, roots, sizes, shared = ([x.field(c).to_numpy() for x in (odd, other)]
+                                     for c in ("cid", "root", "n", "shared"))
+        regs = [_matrix(x.field("_regs")).reshape(-1, BANDS, ROWS) for x in (odd, other)]
+        fine = [common.text_buffer(x.field("fine"))[0].reshape(-1, FINE) for x in (odd, other)]
+        sets = [[np.frombuffer(v.as_buffer(), np.uint64) for v in x.field("_set")] for x in (odd, other)]
+        joined: dict[int, int] = {}                      # components that the links of this task join
+
+        def top(root: int) -> int:
+            while root in joined:
+                root = joined[root]
+            return root
+
+        for k in range(len(ids[0])):
+            # both sets cannot have more in common than what either shares with anyone
+            most = np.minimum(shared[1], shared[0][k])
+            pick = np.flatnonzero((roots[1] != roots[0][k])
+                                  & (100 * most >= percent * (sizes[1] + sizes[0][k] - most))
+                                  & ((roots[1] == main) | (ids[1] > ids[0][k])))
+            if not len(pick):
+                continue
+            agree = (fine[1][pick] == fine[0][k]).sum(1)
+            pick = pick[np.argsort(-agree, kind="stable")[:int((agree >= fewest).sum())]]
+            pick = pick[(regs[1][pick] == regs[0][k]).all(2).argmax(1) == band]
+            for j in pick.tolist():
+                a, b = top(int(roots[0][k])), top(int(roots[1][j]))
+                if a != b and _linked(sets[0][k], sets[1][j], percent):
+                    joined[a] = b
+                    yield int(ids[0][k]), int(ids[1][j])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                band, main = batch.column("band")[i].as_py(), batch.column("main")[i].as_py()
-                odd, other = batch.column("odd")[i].values, batch.column("all")[i].values
-                ids, roots, sizes, shared = ([x.field(c).to_numpy() for x in (odd, other)]
-                                             for c in ("cid", "root", "n", "shared"))
-                regs = [_matrix(x.field("_regs")).reshape(-1, BANDS, ROWS) for x in (odd, other)]
-                fine = [common.text_buffer(x.field("fine"))[0].reshape(-1, FINE) for x in (odd, other)]
-                a, b = [], []
-                for k in range(len(ids[0])):
-                    # both sets cannot have more in common than what either shares with anyone
-                    most = np.minimum(shared[1], shared[0][k])
-                    pick = np.flatnonzero((roots[1] != roots[0][k])
-                                          & (100 * most >= percent * (sizes[1] + sizes[0][k] - most))
-                                          & ((roots[1] == main) | (ids[1] > ids[0][k])))
-                    if len(pick):
-                        pick = pick[(fine[1][pick] == fine[0][k]).sum(1) >= fewest]
-                    if len(pick):
-                        pick = pick[(regs[1][pick] == regs[0][k]).all(2).argmax(1) == band]
-                        a.append(np.full(len(pick), ids[0][k]))
-                        b.append(ids[1][pick])
-                if a:
-                    a, b = np.concatenate(a), np.concatenate(b)
+                found = list(blocks(batch.column("odd")[i].values, batch.column("all")[i].values,
+                                    batch.column("band")[i].as_py(), batch.column("main")[i].as_py()))
+                if found:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+                        [pa.array([min(p) for p in found]), pa.array([max(p) for p in found])], ["a", "b"])
     return run
