@@ -6,6 +6,7 @@ import hashlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 from urllib.parse import unquote, urlparse
 
 import numpy as np
@@ -26,12 +27,14 @@ def attempt_name(stem: str) -> str:
     return f"{stem}-{uuid.uuid4().hex}"
 
 
-def write(uri: str, *parts: bytes | memoryview) -> None:
+def write(uri: str, *parts: bytes | memoryview | Iterator[bytes]) -> None:
+    """Write the parts one after another; an iterator's are made while writing."""
     system, path = resolve(uri)
     system.create_dir(os.path.dirname(path), recursive=True)
     with system.open_output_stream(path) as out:
         for p in parts:
-            out.write(p)
+            for piece in [p] if isinstance(p, (bytes, memoryview)) else p:
+                out.write(piece)
 
 
 def read(uri: str) -> bytes:

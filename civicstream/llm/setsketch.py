@@ -13,9 +13,10 @@ by maximum and agree in two sets about as often as the sets are similar.
 4. Members of a bucket outside of its largest component so far are compared with all members of
    other components, block by block: first by how many shingles each shares with anyone at all
    (an exact bound that clears most copies with many changes of their own), then on a finer
-   sketch; the plausible pairs are verified in the same task on the full sets of both blocks, the
-   likeliest first. A pair that is connected already, directly or through others, is not compared,
-   so a task returns a link for each two components that it joins, and never all pairs.
+   sketch; the plausible pairs are verified in the same task on their full sets, the likeliest
+   first. Sets are memory-mapped files in the shared folder, so they are not shipped with every
+   bucket. A pair that is connected already, directly or through others, is not compared, and a
+   task returns a link for each two components that it joins, never all pairs.
 
 A pair of similarity 0.8 misses all 21 bands of 3 registers with a probability of 3e-7.
 
@@ -31,10 +32,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicstream.llm import common, hashstore, textscan
+from civicstream.llm import common, files, hashstore, textscan
 from civicstream.llm.components import components
 
 SHINGLE = 4
@@ -45,9 +47,8 @@ B, RATE, TOP = 1.001, 20.0, 2**16 - 1
 #: Log-likelihood that a pair may fall short of the best similarity and still be verified; a true
 #: link falls short by more with a probability of about 3e-5.
 SLACK = 8.0
-#: Members of a bucket that are compared with those of another block at once, and bytes of their
-#: sets (a larger set is alone).
-BLOCK, BLOCK_BYTES = 256, 1 << 23
+#: Members of a bucket whose registers are compared with those of another block at once.
+BLOCK = 256
 
 #: Further registers, of one byte each, of the documents that share a bucket with others.
 FINE = 512
@@ -237,11 +238,11 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def _links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     width = 2 * ROWS
-    bands = classes.select("cid", "n", F.posexplode(F.expr(
+    bands = classes.select("cid", F.posexplode(F.expr(
         f"transform(sequence(0, {BANDS - 1}), i -> xxhash64(i, substring(_regs, i * {width} + 1, {width})))"
     )).alias("band", "bucket"))
-    shared = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("volume")).where("size > 1")
-    members = common.stored(bands.drop("n").join(shared, "bucket"), "members")
+    shared = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    members = common.stored(bands.join(shared, "bucket"), "members")
     score = members.groupBy("cid").agg(F.sum("size").alias("score"))
     wanted = hashstore.build(classes.join(score, "cid", "left_semi"), "_k", "wanted")
     sets = common.stored(
@@ -263,23 +264,54 @@ def _links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> Data
     # members of a bucket outside of its largest component against all that are not in their own
     roots = components(links)
     apart = common.stored(members.join(roots, members.cid == roots.node, "left").select(
-        "bucket", "band", "size", "volume", "cid", F.coalesce("root", "cid").alias("root")), "apart")
+        "bucket", "band", "size", "cid", F.coalesce("root", "cid").alias("root")), "apart")
     largest = (apart.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("k"))
                .groupBy("bucket").agg(F.max(F.struct("k", "root")).alias("m"), F.count(F.lit(1)).alias("roots"))
                .where("roots > 1").select("bucket", F.col("m.root").alias("main")))
-    parts = f"cast(greatest(ceil(size / {BLOCK}), ceil(8 * volume / {BLOCK_BYTES})) as long)"
-    mixed = (apart.join(largest, "bucket").join(sketch, "cid").join(_finer(sets), "cid").join(sets, "cid")
-             .withColumn("block", F.expr(f"pmod(xxhash64(cid), {parts})")))
-    member = "struct(cid, root, n, shared, _regs, fine, _set)"
+    place, where = _filed(sets)
+    mixed = (apart.join(largest, "bucket").join(sketch, "cid").join(_finer(sets), "cid").join(place, "cid")
+             .withColumn("block", F.expr(f"pmod(xxhash64(cid), cast(ceil(size / {BLOCK}) as long))")))
+    member = "struct(cid, root, n, shared, _regs, fine, part, at, length)"
     blocks = common.stored(mixed.groupBy("bucket", "band", "main", "block").agg(
         F.expr(f"collect_list({member})").alias("all"),
         F.expr(f"collect_list({member}) filter (where root != main)").alias("odd")), "blocks")
     compared = (blocks.where("size(odd) > 0").select("bucket", "band", "main", "odd")
                 .join(blocks.select("bucket", "all"), "bucket")
-                .select("band", "main", "odd", "all").mapInArrow(_compare(percent), "a long, b long"))
+                .select("band", "main", "odd", "all").mapInArrow(_compare(percent, where), "a long, b long"))
     return links.union(compared)
 
 
+def _filed(sets: DataFrame) -> tuple[DataFrame, dict[int, tuple[str, int]]]:
+    """Sets as files: cid, part, at, length of each set, and the file and its number of hashes of
+    each part (one per task)."""
+    spark = sets.sparkSession
+    folder = common.shared_folder(spark, "set-files")
+
+    def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        name, at, rows = f"{folder}/{files.attempt_name(f'{part:06d}')}", 0, []
+
+        def parts():
+            nonlocal at
+            for batch in batches:
+                buf, offsets = common.text_buffer(batch.column("_set"))
+                rows.append((batch.column("cid"), at + offsets[:-1] // 8, np.diff(offsets) // 8))
+                at += len(buf) // 8
+                yield buf.tobytes()
+
+        files.write(name, parts())
+        for cid, start, length in rows:
+            n = len(cid)
+            yield pa.RecordBatch.from_arrays(
+                [cid, pa.array(np.full(n, part, np.int32)), pa.array(start), pa.array(length),
+                 pa.array([name] * n)], ["cid", "part", "at", "length", "name"])
+
+    placed = common.stored(sets.select("cid", "_set").mapInArrow(
+        save, "cid long, part int, at long, length long, name string"), "set-places")
+    named = placed.groupBy("part", "name").agg(F.max(F.col("at") + F.col("length")).alias("n")).collect()
+    return placed.drop("name"), {r.part: (r.name, r.n) for r in named}
+
+
 def _finer(sets: DataFrame) -> DataFrame:
     """cid, shared (how many shingles of a set occur in another of the sets), fine (one byte of
     each of FINE further registers)."""
@@ -334,7 +366,7 @@ def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(x) + len(y) - both)
 
 
-def _compare(percent: int):
+def _compare(percent: int, where: dict[int, tuple[str, int]]):
     """Two blocks of a bucket -> links that join different components. A pair is compared in the
     first band that it shares, and once if both members are outside of the largest component."""
     # registers that agree, by chance too, in a pair at the threshold, less than which about three
@@ -342,14 +374,21 @@ def _compare(percent: int):
     share = percent / 100 + (1 - percent / 100) / 256
     fewest = FINE * share - 4.0 * (FINE * share * (1 - share)) ** 0.5
 
-    def blocks(odd: pa.StructArray, other: pa.StructArray, band: int, main: int) -> Iterator[tuple[int, int]]:
+    def blocks(odd: pa.StructArray, other: pa.StructArray, band: int, main: int, maps: dict[int, np.ndarray]
+               ) -> Iterator[tuple[int, int]]:
         ids, roots, sizes, shared = ([x.field(c).to_numpy() for x in (odd, other)]
                                      for c in ("cid", "root", "n", "shared"))
         regs = [_matrix(x.field("_regs")).reshape(-1, BANDS, ROWS) for x in (odd, other)]
         fine = [common.text_buffer(x.field("fine"))[0].reshape(-1, FINE) for x in (odd, other)]
-        sets = [[np.frombuffer(v.as_buffer(), np.uint64) for v in x.field("_set")] for x in (odd, other)]
+        places = [list(zip(*(x.field(c).to_pylist() for c in ("part", "at", "length")))) for x in (odd, other)]
         joined: dict[int, int] = {}                      # components that the links of this task join
 
+        def full(place: tuple[int, int, int]) -> np.ndarray:
+            part, at, length = place
+            if part not in maps:
+                maps[part] = files.mapped(*where[part])
+            return maps[part][at:at + length]
+
         def top(root: int) -> int:
             while root in joined:
                 root = joined[root]
@@ -368,15 +407,16 @@ def _compare(percent: int):
             pick = pick[(regs[1][pick] == regs[0][k]).all(2).argmax(1) == band]
             for j in pick.tolist():
                 a, b = top(int(roots[0][k])), top(int(roots[1][j]))
-                if a != b and _linked(sets[0][k], sets[1][j], percent):
+                if a != b and _linked(full(places[0][k]), full(places[1][j]), percent):
                     joined[a] = b
                     yield int(ids[0][k]), int(ids[1][j])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        maps: dict[int, np.ndarray] = {}
         for batch in batches:
             for i in range(batch.num_rows):
                 found = list(blocks(batch.column("odd")[i].values, batch.column("all")[i].values,
-                                    batch.column("band")[i].as_py(), batch.column("main")[i].as_py()))
+                                    batch.column("band")[i].as_py(), batch.column("main")[i].as_py(), maps))
                 if found:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([min(p) for p in found]), pa.array([max(p) for p in found])], ["a", "b"])
