@@ -1,27 +1,26 @@
-"""Interpolated modified Kneser-Ney models of orders 2 and 3 over words (operator 5).
+"""Interpolated modified Kneser-Ney model of order 3 over words (operator 5).
 
 Counted in Spark, kept as sorted hash arrays in the shared folder (``hashstore``), and
 memory-mapped by the tasks that score texts, so neither the driver nor a task holds the model.
 
-* Vocabulary: word hash -> number, count, and the statistics of the word as a context and as a
-  continuation.
+* Vocabulary: word hash -> number and count.
 * Bigrams: mixed (context number, word number) -> count. Mixing is bijective, so bigrams never
   collide, and spreads the bigrams of one hot context over all shards.
-* Trigrams: mixed (place of the context bigram, word number) -> count, and the statistics of each
-  context bigram. The place and the number share 64 bits, so trigrams never collide either.
-* Continuations of bigrams: bigram -> number of distinct tokens before it (its count where it
-  begins a text), stored in the order of the bigrams without their keys, and the statistics and
-  total of each word as a context of them.
-
-The model of order 2: its bigram level discounts by D1, D2, D3+ from the counts of counts and interpolates with the
-continuation level (number of distinct contexts of a word, discounted likewise), and that one
-with 1 / (V + 1) for V words and one unknown. An unknown or unseen context has no weight of its
-own: the lower level alone counts.
-
-The model of order 3: the trigram level discounts trigram counts and interpolates with the
-continuations of bigrams, discounted by their own counts of counts, and these with the same
-continuation level of words. The first token of a text has the begin alone before it and is
-scored by the bigrams.
+* Trigrams: mixed (place of the context bigram, word number) -> count. The place and the number
+  share 64 bits, so trigrams never collide either.
+* Statistics are columns in the order of the words and of the bigrams (``Aligned``), found by the
+  place of a key that is looked up anyway: of a bigram, its continuations (distinct tokens before
+  it, its count where it begins a text) and the trigrams that it begins; of a word, the bigrams
+  that it ends and, as a context of continuations, their kinds and total.
+
+The trigram level discounts by D1, D2, D3+ from the counts of counts and interpolates with the
+continuations of bigrams, discounted by their own counts of counts, these with the continuations of
+words (number of distinct words before), and those with 1 / (V + 1) for V words and one unknown. An
+unknown or unseen context has no weight of its own: the lower level alone counts. The first token
+of a text has the begin alone before it and is scored by the bigrams.
+
+Numbers of words take 32 bits of a bigram's key, and places of bigrams and numbers of words
+together 64 bits of a trigram's; ``fit`` raises beyond that.
 
 Tokens are lower-cased (A-Z) words between ASCII white space, then one end; the first is read
 after a begin that is not a token. Null text has the end alone. Repeated rows are learned and
@@ -45,10 +44,8 @@ U64 = np.uint64
 END = U64(0xE05E05E05E05E05E)
 #: Numbers of words that are not in the vocabulary, of the begin, and of the first word.
 UNKNOWN, BEGIN, FIRST = U64(0), U64(1), U64(2)
-#: Statistics of a word: bigrams it begins that occur once, twice, oftener; bigrams it ends.
-ONCE, TWICE, OFTEN, CONTINUED = range(4)
-#: In the statistics of a context of continuations: their total.
-TOTAL = CONTINUED
+#: Bits of the kind of a statistic in its key.
+KIND_BITS = 3
 
 
 def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -116,48 +113,68 @@ def _of_counts(counts: np.ndarray) -> list[int]:
     return [int((counts == i).sum()) for i in (1, 2, 3, 4)]
 
 
-class Triples:
-    """The stores of order 3. ``columns`` names the column of ``pairs`` with the continuations of
-    the bigrams, by shard."""
-
-    def __init__(self, pairs: hashstore.Store, base: np.ndarray, bits: int, counts: hashstore.Store,
-                 sides: hashstore.Store, columns: dict[int, str], middles: hashstore.Store,
-                 d3: np.ndarray, d2: np.ndarray):
-        self.pairs, self.base, self.bits, self.counts, self.sides = pairs, base, bits, counts, sides
-        self.columns, self.middles, self.d3, self.d2 = columns, middles, d3, d2
-
-    def continued(self, pairs: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """Continuations of ascending bigrams at these places of their shards (0 where missing)."""
-        out = np.zeros(len(pairs), np.int64)
-        shard = hashstore.shard_of(pairs, self.pairs.bits)
-        for s in np.unique(shard[place >= 0]).tolist():
-            at = np.flatnonzero((shard == s) & (place >= 0))
-            out[at] = self.pairs.column(s, self.columns[s])[place[at]]
+class Aligned:
+    """Columns in the order of a store's keys, without keys of their own: by shard, the tag of its
+    files and the number of their entries. A missing shard has zeros."""
+
+    def __init__(self, store: hashstore.Store, tags: dict[int, tuple[str, int]]):
+        self.store, self.tags = store, tags
+        self.maps: dict[tuple[int, str], np.ndarray] = {}
+
+    def __reduce__(self):
+        return Aligned, (self.store, self.tags)
+
+    def column(self, shard: int, name: str) -> np.ndarray:
+        if (shard, name) not in self.maps:
+            tag, n = self.tags[shard]
+            self.maps[shard, name] = files.mapped(f"{self.store.folder}/{tag}.{name}", n)
+        return self.maps[shard, name]
+
+    def get(self, keys: np.ndarray, place: np.ndarray, names: tuple[str, ...]) -> list[np.ndarray]:
+        """Values at the places of ascending keys of the store (0 where missing)."""
+        out = [np.zeros(len(keys), np.int64) for _ in names]
+        edges = np.searchsorted(hashstore.shard_of(keys, self.store.bits), np.arange((1 << self.store.bits) + 1))
+        for s in np.flatnonzero(np.diff(edges)).tolist():
+            if s not in self.tags:
+                continue
+            at = edges[s] + np.flatnonzero(place[edges[s]:edges[s + 1]] >= 0)
+            for to, name in zip(out, names):
+                to[at] = self.column(s, name)[place[at]]
         return out
 
-    def probabilities(self, number, before, first, contexts, context, pairs, pair_of, place, pair_count, low):
-        """Of each token. ``contexts`` are the distinct context numbers and ``context`` the place of
-        each token's among them; ``pairs`` are the distinct bigrams, ``pair_of`` likewise."""
-        ones, twos, more, total = (self.middles.look_up(textscan.mix(contexts << U64(2) | U64(k)))[0]
-                                   for k in (ONCE, TWICE, OFTEN, TOTAL))
-        back = (self.d2[1] * ones + self.d2[2] * twos + self.d2[3] * more) / np.maximum(total, 1)
-        a = self.continued(pairs, place)[pair_of]
-        middle = np.where((before > 0) & (total[context] > 0),
-                          np.maximum(a - self.d2[np.minimum(a, 3)], 0) / np.maximum(total[context], 1)
-                          + back[context] * low, low)
-        # contexts of trigrams: the distinct bigrams
-        numbers = _places(pairs, place, self.base, self.pairs.bits)
-        hit = np.flatnonzero(place >= 0)
-        back = np.zeros(len(pairs))
-        for k in (ONCE, TWICE, OFTEN):
-            back[hit] += self.d3[k + 1] * self.sides.look_up(textscan.mix(numbers[hit] << U64(2) | U64(k)))[0]
-        back /= np.maximum(pair_count, 1)
-        at = np.flatnonzero(~first)
-        of = pair_of[at - 1]
-        at, of = at[place[of] >= 0], of[place[of] >= 0]
-        n = self.counts.look_up(textscan.mix(numbers[of] << U64(self.bits) | number[at]))[0]
-        middle[at] = np.maximum(n - self.d3[np.minimum(n, 3)], 0) / pair_count[of] + back[of] * middle[at]
-        return middle
+
+def _address(number: np.ndarray, base: np.ndarray, bits: int, kind: np.ndarray | int) -> np.ndarray:
+    """Key of a statistic of the entry with this number: its shard, place and kind."""
+    shard = np.searchsorted(base, number, side="right") - 1
+    place = number - base[shard]
+    return shard.astype(U64) << U64(64 - bits) | place << U64(KIND_BITS) | np.asarray(kind, U64)
+
+
+def _aligned(rows: DataFrame, store: hashstore.Store, kinds: tuple[str, ...], extra: int, name: str, tell
+             ) -> tuple[Aligned, DataFrame]:
+    """Columns of a store from counted addresses. Shard 0 has ``extra`` entries more than keys.
+    ``tell`` gives figures of a shard from its columns, as the columns f0.. f3."""
+    bits = store.bits
+
+    def save(shard, keys, counts):
+        n = store.names.get(shard, ("", 0))[1] + (extra if shard == 0 else 0)
+        at = keys & U64((1 << (64 - bits)) - 1)
+        place, kind = (at >> U64(KIND_BITS)).astype(np.int64), at & U64((1 << KIND_BITS) - 1)
+        tag = files.attempt_name(f"{shard:06d}-{name}")
+        columns = []
+        for k, column in enumerate(kinds):
+            values = np.zeros(n, np.int64)
+            mine = kind == k
+            values[place[mine]] = counts[mine]
+            files.write(f"{store.folder}/{tag}.{column}", hashstore._small(values)[1:])
+            columns.append(values)
+        row = [pa.array([shard], pa.int32()), pa.array([tag]), pa.array([n], pa.int64())]
+        yield pa.RecordBatch.from_arrays([*row, *(pa.array([int(x)], pa.int64()) for x in tell(columns))],
+                                         ["shard", "tag", "n", "f0", "f1", "f2", "f3"])
+
+    listed = common.stored(hashstore.shards(
+        rows, save, "shard int, tag string, n long, f0 long, f1 long, f2 long, f3 long"), name)
+    return Aligned(store, {r.shard: (r.tag, r.n) for r in listed.select("shard", "tag", "n").collect()}), listed
 
 
 def _places(keys: np.ndarray, place: np.ndarray, base: np.ndarray, bits: int) -> np.ndarray:
@@ -168,58 +185,68 @@ def _places(keys: np.ndarray, place: np.ndarray, base: np.ndarray, bits: int) ->
 class Model:
     """The stores of a fitted model and its totals."""
 
-    def __init__(self, words: hashstore.Store, base: np.ndarray, pairs: hashstore.Store, sides: hashstore.Store,
-                 tokens: int, texts: int, d2: np.ndarray, d1: np.ndarray, cont_of_counts: list[int],
-                 triples: Triples):
-        self.words, self.base, self.pairs, self.sides = words, base, pairs, sides
-        self.tokens, self.texts, self.d2, self.d1, self.triples = tokens, texts, d2, d1, triples
+    def __init__(self, words: hashstore.Store, base: np.ndarray, of_words: Aligned, pairs: hashstore.Store,
+                 pair_base: np.ndarray, of_pairs: Aligned, continued: Aligned, triples: hashstore.Store,
+                 word_bits: int, tokens: int, d3: np.ndarray, d2: np.ndarray, d1: np.ndarray, of_counts: list[int]):
+        self.words, self.base, self.of_words, self.pairs, self.pair_base = words, base, of_words, pairs, pair_base
+        self.of_pairs, self.continued, self.triples, self.word_bits = of_pairs, continued, triples, word_bits
+        self.tokens, self.d3, self.d2, self.d1 = tokens, d3, d2, d1
         self.types = len(pairs)
-        n1, n2 = cont_of_counts[:2]
+        n1, n2 = of_counts[:2]
         n3 = len(words) - n1 - n2
         self.rest = (d1[1] * n1 + d1[2] * n2 + d1[3] * n3) / self.types if self.types else 1.0
 
+    def begin(self) -> list[int]:
+        """Statistics of the begin as a context; they follow the words of the first shard."""
+        if 0 not in self.of_words.tags:
+            return [0, 0, 0, 0]
+        return [int(self.of_words.column(0, k)[-1]) for k in ("once", "twice", "often", "total")]
+
     def score(self, column: pa.Array) -> tuple[np.ndarray, ...]:
         """Numbers of tokens and of known ones, log10 of the base and of the model's probability
         of each text."""
         h, owner = _tokens(column)
         n, uniform = len(column), 1.0 / (len(self.words) + 1)
         distinct, inverse = np.unique(h, return_inverse=True)
-        number, count = numbered(self.words, self.base, distinct)
+        place, (count,) = self.words.get(distinct)
+        number = _numbers(self.words, self.base, distinct, place)
         base = np.log10((count + 1) / (self.tokens + len(self.words) + 1))[inverse]
-        continued = self.side(number, CONTINUED)
+        continued, *stats = self.of_words.get(distinct, place, ("continued", "once", "twice", "often", "total"))
         low = (np.maximum(continued - self.d1[np.minimum(continued, 3)], 0) / max(self.types, 1)
-               + self.rest * uniform)
-        # contexts: the distinct words and the begin
-        ones, twos, more = (self.side(np.append(number, BEGIN), k) for k in (ONCE, TWICE, OFTEN))
-        total = np.append(count, self.texts)
+               + self.rest * uniform)[inverse]
+
+        # one word before: the distinct words and the begin are the contexts
+        ones, twos, more, total = (np.append(a, b) for a, b in zip(stats, self.begin()))
         back = (self.d2[1] * ones + self.d2[2] * twos + self.d2[3] * more) / np.maximum(total, 1)
-        before, key = _pairs(number[inverse], owner)
+        number = number[inverse]
+        before, key = _pairs(number, owner)
         first = _firsts(owner)
         context = np.empty(len(h), np.int64)
         context[1:] = inverse[:-1]
-        context[first] = len(number)
+        context[first] = len(distinct)
         pairs, pair_of = np.unique(key, return_inverse=True)
         place, (pair_count,) = self.pairs.get(pairs)
-        seen = pair_count[pair_of]
-        known = (before > 0) & (total[context] > 0)
-        p = low[inverse]
-        high = (np.maximum(seen - self.d2[np.minimum(seen, 3)], 0) / np.maximum(total[context], 1)
-                + back[context] * p)
-        score = np.log10(np.where(known, high, p))
-        score_3 = np.log10(self.triples.probabilities(
-            number[inverse], before, first, np.append(number, BEGIN), context, pairs, pair_of, place, pair_count, p))
+        a = self.continued.get(pairs, place, ("continued",))[0][pair_of]
+        of = total[context]
+        p = np.where((before > 0) & (of > 0),
+                     np.maximum(a - self.d2[np.minimum(a, 3)], 0) / np.maximum(of, 1) + back[context] * low, low)
+
+        # two words before: the distinct bigrams are the contexts
+        ones, twos, more = self.of_pairs.get(pairs, place, ("once", "twice", "often"))
+        back = (self.d3[1] * ones + self.d3[2] * twos + self.d3[3] * more) / np.maximum(pair_count, 1)
+        at = np.flatnonzero(~first)
+        of = pair_of[at - 1]
+        at, of = at[place[of] >= 0], of[place[of] >= 0]
+        numbers = _places(pairs, place, self.pair_base, self.pairs.bits)
+        seen = self.triples.look_up(textscan.mix(numbers[of] << U64(self.word_bits) | number[at]))[0]
+        p[at] = np.maximum(seen - self.d3[np.minimum(seen, 3)], 0) / pair_count[of] + back[of] * p[at]
         return (np.bincount(owner, minlength=n), np.bincount(owner, (count > 0)[inverse], n).astype(np.int64),
-                np.bincount(owner, base, n), np.bincount(owner, score, n), np.bincount(owner, score_3, n))
+                np.bincount(owner, base, n), np.bincount(owner, np.log10(p), n))
 
-    def side(self, number: np.ndarray, kind: int) -> np.ndarray:
-        return self.sides.look_up(textscan.mix(number << U64(2) | U64(kind)))[0]
 
-
-def numbered(words: hashstore.Store, base: np.ndarray, distinct: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers (UNKNOWN where missing) and counts of ascending distinct word hashes."""
-    place, (count,) = words.get(distinct)
-    number = base[hashstore.shard_of(distinct, words.bits)] + place.astype(U64)
-    return np.where(place >= 0, number, UNKNOWN), count
+def _numbers(words: hashstore.Store, base: np.ndarray, distinct: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Numbers (UNKNOWN where missing) of ascending distinct word hashes."""
+    return np.where(place >= 0, base[hashstore.shard_of(distinct, words.bits)] + place.astype(U64), UNKNOWN)
 
 
 def fit(docs: DataFrame, text_col: str = "text") -> Model:
@@ -238,95 +265,72 @@ def fit(docs: DataFrame, text_col: str = "text") -> Model:
         return texts.mapInArrow(run, hashstore.PACKED)
 
     def store(packed_rows: DataFrame, name: str, tell) -> tuple[hashstore.Store, DataFrame]:
-        """Store with counts; ``tell`` gives further figures of a shard, as the columns f0.. f4."""
+        """Store with counts; ``tell`` gives further figures of a shard, as the columns f0.. f3."""
         folder = common.shared_folder(spark, name)
 
         def save(shard, k, counts):
             row = hashstore.save(folder, shard, k, counts=counts)
-            for i, f in enumerate(tell(shard, k, counts)):
+            for i, f in enumerate(tell(counts)):
                 row = row.append_column(f"f{i}", pa.array([int(f)], pa.int64()))
             yield row
 
         listed = common.stored(hashstore.shards(
-            packed_rows, save, hashstore.LISTED + "".join(f", f{i} long" for i in range(5))), name)
+            packed_rows, save, hashstore.LISTED + "".join(f", f{i} long" for i in range(4))), name)
         return hashstore.opened(spark, folder, listed, ("counts",)), listed
 
     def figures(listed: DataFrame) -> list[int]:
-        return [x or 0 for x in listed.agg(*(F.sum(f"f{i}") for i in range(5))).head()]
-
-    def tell_words(shard, k, counts):
-        end = counts[k == END]
-        return [counts.sum(), end.sum(), 0, 0, 0]
+        return [x or 0 for x in listed.agg(*(F.sum(f"f{i}") for i in range(4))).head()]
 
-    words, listed = store(keys(lambda h, _: h), "words", tell_words)
-    tokens, n_texts = figures(listed)[:2]
-    sizes = np.array([words.names.get(s, ("", 0))[1] for s in range(1 << bits)], U64)
-    base = FIRST + np.cumsum(sizes) - sizes
+    def starts(of: hashstore.Store) -> np.ndarray:
+        sizes = np.array([of.names.get(s, ("", 0))[1] for s in range(1 << bits)], U64)
+        return np.cumsum(sizes) - sizes
 
-    def pair_keys(h, owner):
-        distinct, inverse = np.unique(h, return_inverse=True)
-        return _pairs(numbered(words, base, distinct)[0][inverse], owner)[1]
-
-    pairs, listed = store(keys(pair_keys), "pairs", lambda s, k, counts: [*_of_counts(counts), 0])
-    d2 = _discounts(figures(listed)[:4])
-
-    def sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = hashstore.Counter(bits)
+    def blocks(batches: Iterator[pa.RecordBatch], of: hashstore.Store):
+        """Shards of a store in parts that a task reads at once."""
         for batch in batches:
             for shard in batch.column("shard").to_pylist():
-                k, counts = pairs.column(shard, "keys"), pairs.column(shard, "counts")
-                for i in range(0, len(k), hashstore.FLUSH_KEYS):
-                    pair, c = _unmix(np.array(k[i:i + hashstore.FLUSH_KEYS])), counts[i:i + hashstore.FLUSH_KEYS]
-                    kind = np.minimum(c, 3).astype(U64) - U64(1)
-                    yield from counter.add(textscan.mix((pair >> U64(32)) << U64(2) | kind))
-                    yield from counter.add(textscan.mix((pair & U64(0xFFFFFFFF)) << U64(2) | U64(CONTINUED)))
-        yield from counter.flush()
+                for i in range(0, of.names.get(shard, ("", 0))[1], hashstore.FLUSH_KEYS):
+                    yield shard, slice(i, i + hashstore.FLUSH_KEYS)
 
-    by_shard = listed.select("shard").repartitionById(1 << bits, "shard")
-    both, listed = store(by_shard.mapInArrow(sides, hashstore.PACKED), "sides", lambda s, k, counts: [
-        *_of_counts(counts[(_unmix(k) & U64(3)) == CONTINUED]), 0])
-    of_counts = figures(listed)[:4]
-    triples = _triples(words, base, pairs, bits, keys, store, figures, by_shard)
-    return Model(words, base, pairs, both, tokens, n_texts, d2, _discounts(of_counts), of_counts, triples)
+    words, listed = store(keys(lambda h, _: h), "words", lambda counts: [counts.sum(), 0, 0, 0])
+    tokens = figures(listed)[0]
+    base = FIRST + starts(words)
+    word_bits = (len(words) + int(FIRST)).bit_length()
+    if word_bits > 32:
+        raise ValueError(f"numbers of {len(words)} words do not fit in the 32 bits of a bigram key")
 
+    def word_numbers(h):
+        distinct, inverse = np.unique(h, return_inverse=True)
+        return _numbers(words, base, distinct, words.get(distinct)[0])[inverse]
 
-def _triples(words: hashstore.Store, base: np.ndarray, pairs: hashstore.Store, bits: int, keys, store, figures,
-             by_shard: DataFrame) -> Triples:
-    """The level of order 3, counted with the helpers of ``fit``."""
-    sizes = np.array([pairs.names.get(s, ("", 0))[1] for s in range(1 << bits)], U64)
-    pair_base = np.cumsum(sizes) - sizes
-    word_bits = (len(words) + int(FIRST)).bit_length()
-    # the statistics take two bits beside the place of a bigram
-    if len(pairs).bit_length() + max(word_bits, 2) > 64:
+    pairs, listed = store(keys(lambda h, owner: _pairs(word_numbers(h), owner)[1]), "pairs", lambda counts: [0] * 4)
+    pair_shards = listed.select("shard").repartitionById(1 << bits, "shard")
+    pair_base = starts(pairs)
+    if len(pairs).bit_length() + word_bits > 64:
         raise ValueError(f"{len(pairs)} bigrams of {len(words)} words do not fit in 64-bit trigram keys")
 
     def triple_keys(h, owner):
-        distinct, inverse = np.unique(h, return_inverse=True)
-        number = numbered(words, base, distinct)[0][inverse]
+        number = word_numbers(h)
         key, pair_of = np.unique(_pairs(number, owner)[1], return_inverse=True)
         numbers = _places(key, pairs.get(key)[0], pair_base, bits)[pair_of]
         at = np.flatnonzero(~_firsts(owner))
         return textscan.mix(numbers[at - 1] << U64(word_bits) | number[at])
 
-    triples, listed = store(keys(triple_keys), "triples", lambda s, k, counts: [*_of_counts(counts), 0])
-    d3 = _discounts(figures(listed)[:4])
+    triples, listed = store(keys(triple_keys), "triples", _of_counts)
+    d3 = _discounts(figures(listed))
     triple_shards = listed.select("shard").repartitionById(1 << bits, "shard")
 
-    def blocks(batches: Iterator[pa.RecordBatch], of: hashstore.Store):
-        for batch in batches:
-            for shard in batch.column("shard").to_pylist():
-                for i in range(0, of.names.get(shard, ("", 0))[1], hashstore.FLUSH_KEYS):
-                    yield shard, slice(i, i + hashstore.FLUSH_KEYS)
-
-    def sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Kinds of the trigrams that each bigram begins."""
         counter = hashstore.Counter(bits)
         for shard, part in blocks(batches, triples):
             triple = _unmix(np.array(triples.column(shard, "keys")[part]))
-            kind = _kinds(triples.column(shard, "counts")[part])
-            yield from counter.add(textscan.mix((triple >> U64(word_bits)) << U64(2) | kind))
+            yield from counter.add(_address(triple >> U64(word_bits), pair_base, bits,
+                                            _kinds(triples.column(shard, "counts")[part])))
         yield from counter.flush()
 
-    sides_store, _ = store(triple_shards.mapInArrow(sides, hashstore.PACKED), "triple-sides", lambda *_: [0] * 5)
+    of_pairs, _ = _aligned(triple_shards.mapInArrow(contexts, hashstore.PACKED), pairs,
+                           ("once", "twice", "often"), 0, "contexts", lambda _: [0] * 4)
 
     def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The last two words of every distinct trigram, as a bigram."""
@@ -354,35 +358,48 @@ def _triples(words: hashstore.Store, base: np.ndarray, pairs: hashstore.Store, b
     def save(shard, k, counts):
         if not np.array_equal(k, pairs.column(shard, "keys")):
             raise ValueError("continuations of other bigrams than were counted")
-        column = files.attempt_name("continued")
-        files.write(f"{pairs.folder}/{pairs.names[shard][0]}.{column}", hashstore._small(counts)[1:])
+        tag = files.attempt_name(f"{shard:06d}-continued")
+        files.write(f"{pairs.folder}/{tag}.continued", hashstore._small(counts)[1:])
         yield pa.RecordBatch.from_arrays(
-            [pa.array([shard], pa.int32()), pa.array([column]),
-             *(pa.array([x], pa.int64()) for x in [*_of_counts(counts), 0])],
-            ["shard", "column", *(f"f{i}" for i in range(5))])
-
-    both = by_shard.mapInArrow(begins, hashstore.PACKED).unionByName(triple_shards.mapInArrow(ends, hashstore.PACKED))
-    saved = common.stored(hashstore.shards(both, save, "shard int, column string" + "".join(
-        f", f{i} long" for i in range(5))), "continued")
-    columns = {r.shard: r.column for r in saved.select("shard", "column").collect()}
-    d2 = _discounts(figures(saved)[:4])
-
-    def middles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            [pa.array([shard], pa.int32()), pa.array([tag]), pa.array([len(k)], pa.int64()),
+             *(pa.array([x], pa.int64()) for x in _of_counts(counts))],
+            ["shard", "tag", "n", *(f"f{i}" for i in range(4))])
+
+    both = pair_shards.mapInArrow(begins, hashstore.PACKED).unionByName(
+        triple_shards.mapInArrow(ends, hashstore.PACKED))
+    listed = common.stored(hashstore.shards(both, save, "shard int, tag string, n long" + "".join(
+        f", f{i} long" for i in range(4))), "continued")
+    continued = Aligned(pairs, {r.shard: (r.tag, r.n) for r in listed.select("shard", "tag", "n").collect()})
+    d2 = _discounts(figures(listed))
+
+    def of_word(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Statistics of the two words of every distinct bigram."""
+        # the begin follows the words of the first shard
+        begin = U64(words.names.get(0, ("", 0))[1]) << U64(KIND_BITS)
         for shard, part in blocks(batches, pairs):
-            word = _unmix(np.array(pairs.column(shard, "keys")[part])) >> U64(32)
-            n = pairs.column(shard, columns[shard])[part].astype(np.int64)
-            k = textscan.mix(np.concatenate([word << U64(2) | _kinds(n), word << U64(2) | U64(TOTAL)]))
-            yield from hashstore.packed(*hashstore.counted(k, np.concatenate([np.ones(len(n), np.int64), n])), bits)
-
-    middles_store, _ = store(by_shard.mapInArrow(middles, hashstore.PACKED), "middles", lambda *_: [0] * 5)
-    return Triples(pairs, pair_base, word_bits, triples, sides_store, columns, middles_store, d3, d2)
+            pair = _unmix(np.array(pairs.column(shard, "keys")[part]))
+            n = continued.column(shard, "continued")[part].astype(np.int64)
+            word, one = pair >> U64(32), np.ones(len(pair), np.int64)
+            kinds = _kinds(n) + U64(1)
+            started = word == BEGIN
+            at = _address(np.where(started, base[0], word), base, bits, 0)
+            at[started] = begin
+            key = np.concatenate([_address(pair & U64(0xFFFFFFFF), base, bits, 0), at | kinds, at | U64(4)])
+            yield from hashstore.packed(*hashstore.counted(key, np.concatenate([one, one, n])), bits)
+
+    of_words, listed = _aligned(pair_shards.mapInArrow(of_word, hashstore.PACKED), words,
+                                ("continued", "once", "twice", "often", "total"), 1, "of-words",
+                                lambda columns: _of_counts(columns[0]))
+    of_counts = figures(listed)
+    return Model(words, base, of_words, pairs, pair_base, of_pairs, continued, triples, word_bits, tokens, d3, d2,
+                 _discounts(of_counts), of_counts)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` without ``text_col``, with n_tokens, n_known, base_score, score, score_3 (log10 of
-    the probabilities under add-one unigrams and under the models of orders 2 and 3)."""
+    """``docs`` without ``text_col``, with n_tokens, n_known, base_score, score (log10 of the
+    probabilities under add-one unigrams and under the model)."""
     common.require(docs, text_col)
-    made = ["n_tokens", "n_known", "base_score", "score", "score_3"]
+    made = ["n_tokens", "n_known", "base_score", "score"]
     keep = [c for c in docs.columns if c != text_col and c not in made]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -394,7 +411,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     source = docs.select(*keep, common.utf8_text(text_col).alias("_text"))
     return source.mapInArrow(run, common.schema_of(
-        source, keep, "n_tokens long, n_known long, base_score double, score double, score_3 double"))
+        source, keep, "n_tokens long, n_known long, base_score double, score double"))
 
 
 def held_out(id_col: str, mod: int, remainder: int) -> Column:
@@ -404,10 +421,9 @@ def held_out(id_col: str, mod: int, remainder: int) -> Column:
 
 def digest(docs: DataFrame) -> DataFrame:
     """Fit on the documents that are not held out, score all: doc_id, held_out, n_tokens,
-    n_known, train_tokens, base_score, score, perplexity (order 2), score_3, perplexity_3 (order 3)."""
+    n_known, train_tokens, base_score, score, perplexity."""
     out = held_out("doc_id", 7, 2)
     model = fit(docs.where(~out))
     scored = score(docs.select("doc_id", out.alias("held_out"), "text"), model)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
-                         "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),
-                         "score_3", F.pow(F.lit(10.0), -F.col("score_3") / F.col("n_tokens")).alias("perplexity_3"))
+                         "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))

@@ -65,44 +65,6 @@ def is_out(doc):
     return doc is not None and zlib.crc32(str(doc).encode()) % 7 == 2
 
 
-def check(got, docs):
-    model = Reference([t for d, t in docs if not is_out(d)])
-    expected = sorted((model.row(d, is_out(d), t) for d, t in docs), key=lambda r: (repr(r[0]), r[2], r[5]))
-    got = sorted(([*r][:7] for r in got.collect()), key=lambda r: (repr(r[0]), r[2], r[5]))
-    assert len(got) == len(expected)
-    for g, e in zip(got, expected):
-        assert tuple(g[:5]) == e[:5] and g[5:] == pytest.approx(e[5:], rel=1e-9)
-    return expected
-
-
-def test_edge_cases(spark):
-    check(knlm.digest(edge_cases.table(spark)), [r[:2] for r in edge_cases.rows()])
-    assert knlm.digest(edge_cases.table(spark, [])).count() == 0
-
-
-def test_without_training_rows(spark):
-    out = next(i for i in range(1000) if is_out(i))
-    check(knlm.digest(spark.createDataFrame([(out, "some words")], "doc_id long, text string")), [(out, "some words")])
-
-
-def test_probabilities_sum_to_one():
-    model = Reference(["a b a c", "b b a", "c a b a b", None, "d"])
-    for u in ["<s>", "a", "b", "c", "d", "never"]:
-        assert sum(model.p(u, w) for w in [*model.c, "<unknown>"]) == pytest.approx(1)
-
-
-def test_mix_is_undone():
-    x = np.random.Generator(np.random.PCG64(1)).integers(0, 2**64, 1000, dtype=np.uint64)
-    assert (knlm._unmix(textscan.mix(x)) == x).all()
-
-
-def test_query_beats_the_base_on_held_out_texts(spark):
-    folder = "/root/testdata/sf0.01"
-    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
-    rows = [r for r in check(queries.QUERIES["op5_kneser_ney"](spark, folder), docs) if r[1]]
-    assert sum(r[6] for r in rows) > sum(r[5] for r in rows)
-
-
 class Reference3(Reference):
     """Order 3 by dictionaries: raw counts on top, continuation counts below."""
 
@@ -142,23 +104,58 @@ class Reference3(Reference):
         w = ["<s>", *tokens(text)]
         return math.log10(self.middle(*w[:2])) + sum(math.log10(self.p3(*x)) for x in zip(w, w[1:], w[2:]))
 
+    def row(self, doc, out, text):
+        return (*super().row(doc, out, text)[:6], self.score3(text))
+
 
-def check3(got, docs):
+def check(got, docs):
     model = Reference3([t for d, t in docs if not is_out(d)])
-    expected = sorted(((repr(d), len(tokens(t)), model.score3(t)) for d, t in docs))
-    rows = sorted((repr(r.doc_id), r.n_tokens, r.score_3, r.perplexity_3) for r in got.collect())
-    assert [r[:2] for r in rows] == [e[:2] for e in expected]
-    assert [r[2] for r in rows] == pytest.approx([e[2] for e in expected], rel=1e-9)
-    assert [r[3] for r in rows] == pytest.approx([10 ** (-e[2] / e[1]) for e in expected], rel=1e-9)
+    expected = sorted((model.row(d, is_out(d), t) for d, t in docs), key=lambda r: (repr(r[0]), r[2], r[5]))
+    got = sorted((tuple(r) for r in got.collect()), key=lambda r: (repr(r[0]), r[2], r[5]))
+    assert len(got) == len(expected)
+    for g, e in zip(got, expected):
+        assert g[:5] == e[:5] and g[5:7] == pytest.approx(e[5:], rel=1e-9)
+        assert g[7] == pytest.approx(10 ** (-e[6] / e[2]), rel=1e-9)
+    return model, expected
+
+
+def test_edge_cases(spark):
+    check(knlm.digest(edge_cases.table(spark)), [r[:2] for r in edge_cases.rows()])
+    assert knlm.digest(edge_cases.table(spark, [])).count() == 0
+
+
+def test_without_training_rows(spark):
+    out = next(i for i in range(1000) if is_out(i))
+    check(knlm.digest(spark.createDataFrame([(out, "some words")], "doc_id long, text string")), [(out, "some words")])
+
+
+def test_probabilities_sum_to_one():
+    model = Reference(["a b a c", "b b a", "c a b a b", None, "d"])
+    for u in ["<s>", "a", "b", "c", "d", "never"]:
+        assert sum(model.p(u, w) for w in [*model.c, "<unknown>"]) == pytest.approx(1)
+
+
+def test_mix_is_undone():
+    x = np.random.Generator(np.random.PCG64(1)).integers(0, 2**64, 1000, dtype=np.uint64)
+    assert (knlm._unmix(textscan.mix(x)) == x).all()
+
+
+def test_query_beats_order_2_and_the_base_on_held_out_texts(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    model, rows = check(queries.QUERIES["op5_kneser_ney"](spark, folder), docs)
+    base, three = (sum(r[k] for r in rows if r[1]) for k in (5, 6))
+    two = sum(Reference.row(model, d, True, t)[6] for d, t in docs if is_out(d))
+    assert three > two > base
 
 
 def test_order_3_edge_cases(spark):
     data = [r[:2] for r in edge_cases.rows()] + [(9000 + i, t) for i, t in enumerate(
         ["a b c a b d", "a b c a b c", "never seen b c", "b c a b", "a", "a b", "c a b never", "B c A b d"] * 3)]
-    check3(knlm.digest(spark.createDataFrame(data, "doc_id long, text string")), data)
+    check(knlm.digest(spark.createDataFrame(data, "doc_id long, text string")), data)
     out = next(i for i in range(1000) if is_out(i))
     alone = [(out, "some words"), (out, None)]
-    check3(knlm.digest(spark.createDataFrame(alone, "doc_id long, text string")), alone)
+    check(knlm.digest(spark.createDataFrame(alone, "doc_id long, text string")), alone)
 
 
 def test_order_3_sums_to_one():
@@ -167,12 +164,3 @@ def test_order_3_sums_to_one():
         assert sum(model.middle(u, w) for w in [*model.c, "<unknown>"]) == pytest.approx(1)
         for t in ["<s>", "a", "b", "never"]:
             assert sum(model.p3(t, u, w) for w in [*model.c, "<unknown>"]) == pytest.approx(1)
-
-
-def test_order_3_beats_order_2_on_held_out_texts(spark):
-    folder = "/root/testdata/sf0.01"
-    got = queries.QUERIES["op5_kneser_ney"](spark, folder)
-    check3(got, [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()])
-    two, three = got.where("held_out").selectExpr("sum(score)", "sum(score_3)").head()
-    print(f"held out, log10: order 2 {two:.0f}, order 3 {three:.0f}")
-    assert three > two
