@@ -41,9 +41,3 @@ def bunching_incidents(alerts: DataFrame) -> DataFrame:
 def union_incidents(*parts: DataFrame) -> DataFrame:
     """One typed table; works on streams too (``unionByName`` with missing columns)."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-
-
-def incident_values(incidents: DataFrame) -> DataFrame:
-    """SNK-5 payload: unkeyed JSON value per incident (nulls dropped by ``to_json``)."""
-    return incidents.select(F.lit(None).cast("string").alias("key"),
-                            F.to_json(F.struct(*incidents.columns)).alias("value"))

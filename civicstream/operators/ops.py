@@ -36,31 +36,18 @@ def topic_catalog(spark: SparkSession) -> DataFrame:
 
 def within_retention(env: DataFrame, catalog: DataFrame, topic: str = "topic",
                      time_col: str = "timestamp") -> DataFrame:
-    """OPS-4: records still inside their topic's retention, measured back from the
-    newest record of the topic. The per-topic bound is one row per catalog topic."""
+    """OPS-4: records still inside their topic's retention, measured back from the newest record
+    of the topic. The bounds (one per catalog topic) are found first, from the topic and time
+    columns alone, and become literals, so they are pushed into the scan of each topic's records:
+    row groups that are older are not read."""
     newest = env.groupBy(topic).agg(F.max(time_col).alias("_newest"))
-    bounds = newest.join(F.broadcast(catalog.select(topic, "retention_ms")), topic)
-    bounds = bounds.withColumn("_from", F.col("_newest") - F.make_dt_interval(
-        secs=(F.col("retention_ms") / F.lit(1000)).cast("decimal(18,6)")))
-    return env.join(F.broadcast(bounds.select(topic, "_from")), topic) \
-              .where(F.col(time_col) >= F.col("_from")).drop("_from")
-
-
-def consumer_lag(committed: DataFrame, end_offsets: DataFrame) -> DataFrame:
-    """OPS-2: per consumer group, sum over partitions of (end - committed).
-
-    ``committed``: group, topic, partition, committed (next offset to read).
-    ``end_offsets``: topic, partition, end (next offset to be written). A group whose
-    committed table has no rows has lag null (as the CLI shows nothing for it).
-    """
-    j = committed.join(end_offsets, ["topic", "partition"], "left")
-    return j.groupBy("group").agg(
-        F.sum(F.greatest(F.col("end") - F.col("committed"), F.lit(0))).alias("lag"))
-
-
-def end_offsets(env: DataFrame) -> DataFrame:
-    """End offset per (topic, partition) = highest offset + 1 (a partial aggregate)."""
-    return env.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("end"))
+    kept = catalog.select(topic, "retention_ms")
+    bounds = newest.join(kept, topic).select(topic, (F.col("_newest") - F.make_dt_interval(
+        secs=(F.col("retention_ms") / F.lit(1000)).cast("decimal(18,6)"))).alias("_from")).collect()
+    inside = F.lit(False)
+    for b in bounds:
+        inside = inside | ((F.col(topic) == b[0]) & (F.col(time_col) >= F.lit(b[1]).cast(env.schema[time_col].dataType)))
+    return env.where(inside)
 
 
 def committed_through(read: DataFrame, group: str) -> DataFrame:

@@ -21,6 +21,20 @@ def with_error_reason(df: DataFrame, feed: str, reason_col: str = "error_reason"
     return df.withColumn(reason_col, reason)
 
 
+def with_reason_by_feed(df: DataFrame, feed_col: str = "feed") -> DataFrame:
+    """``error_reason`` and ``source_topic`` of records of several feeds: each by the rules of the
+    feed that it names."""
+    reason, topic, key = F, F, F
+    for i, feed in enumerate(KEY_FIELD):
+        if feed == "dlq":
+            continue
+        mine = F.col(feed_col) == feed
+        reason = reason.when(mine, feed_error_reason(feed))
+        topic = topic.when(mine, F.lit(topic_name(feed)))
+        key = key.when(mine, default_key(KEY_FIELD[feed]))
+    return df.select("*", reason.alias("error_reason"), topic.alias("source_topic"), key.alias("key"))
+
+
 def rows_where(df: DataFrame, cond: Column) -> DataFrame:
     """Keep the rows where ``cond`` holds, evaluating the columns once per row.
 
@@ -49,7 +63,7 @@ def valid_rows(tagged: DataFrame, feed: str, keep: list[str] | None = None) -> D
 
 
 def dlq_records(tagged: DataFrame, feed: str, raw_col: str | None = "value",
-                record_cols: list[str] | None = None) -> DataFrame:
+                record_cols: list[str] | None = None, extra: tuple[str, ...] = ()) -> DataFrame:
     """VAL-5: rejects as ``key, source_topic, original_record, error_reason``.
 
     ``original_record`` is the raw JSON text when available (``raw_col``), else the
@@ -65,7 +79,7 @@ def dlq_records(tagged: DataFrame, feed: str, raw_col: str | None = "value",
                                if c not in ("error_reason", "_malformed", "event_time")]
         original = F.to_json(F.struct(*[F.col(c) for c in cols]))
     key = default_key(key_field) if key_field in bad.columns else F.lit("unknown")
-    extra = [c for c in ("event_time", "record_id") if c in bad.columns]
+    extra = [c for c in ("event_time", "record_id", *extra) if c in bad.columns]
     return bad.select(
         key.alias("key"),
         F.lit(topic_name(feed)).alias("source_topic"),
@@ -84,6 +98,13 @@ def routed(tagged: DataFrame, feed: str) -> DataFrame:
          .otherwise(F.lit(topic_name("dlq"))))
 
 
+def split_counts_by_feed(tagged: DataFrame) -> DataFrame:
+    """VAL-7 of several feeds in one aggregate."""
+    return tagged.groupBy("source_topic").agg(
+        F.count_if(F.col("error_reason").isNull()).alias("sent"),
+        F.count_if(F.col("error_reason").isNotNull()).alias("routed_to_dlq"))
+
+
 def split_counts(tagged: DataFrame, feed: str) -> DataFrame:
     """VAL-7: ``sent`` and ``routed_to_dlq`` per feed, one partial aggregate."""
     return tagged.agg(

@@ -99,6 +99,18 @@ def feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return FEEDS[name](table(spark, sf_dir, "events"))
 
 
+def all_feeds(e: DataFrame) -> DataFrame:
+    """The records of all four feeds from one scan: ``feed``, and the columns of every feed (null
+    where a feed has none of that name)."""
+    fields = {n: dict(reversed(x.rsplit(" AS ", 1)) for x in maps) for n, maps in SPARK_FEEDS.items()}
+    kinds = {n: dict(feed(e).dtypes) for n, feed in FEEDS.items()}
+    names = list(dict.fromkeys(c for maps in fields.values() for c in maps))
+    kind = {c: next(k[c] for k in kinds.values() if c in k) for c in names}
+    rows = ", ".join("named_struct('feed', '{}', {})".format(n, ", ".join(
+        f"'{c}', CAST({maps.get(c, 'NULL')} AS {kind[c]})" for c in names)) for n, maps in fields.items())
+    return e.selectExpr("*", f"{K} AS _k").selectExpr(*COMMON, f"inline(array({rows}))")
+
+
 def route_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Route lookup: one route per nation, terminal = its region."""
     n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")

@@ -258,6 +258,27 @@ def _stream_incidents() -> str:
             f"- CASE WHEN incident_type = 'BUS_BUNCHING' THEN {BUNCH_FRESH_MS} ELSE 0 END")
 
 
+def _jsonl_ingest() -> str:
+    """Lines are numbered by record id. A cut line has lost its fields, the zone's end included."""
+    number = lambda c: f"coalesce(CAST(CAST({c} AS DECIMAL(18,3)) AS VARCHAR), 'null')"
+    line = ("'{\"sensor_id\":\"' || sensor_id || '\",\"zone\":\"' || zone || '\",\"pm25\":' || " + number("pm25")
+            + " || ',\"pm10\":' || " + number("pm10") + " || ',\"no2\":' || " + number("no2")
+            + " || ',\"aqi\":' || " + number("aqi")
+            + f" || ',\"timestamp\":\"' || strftime(event_time, {ISO}) || '\"}}'")
+    body, _ = _aqi_sql().replace("WITH RECURSIVE", "", 1).rsplit("SELECT n.sensor_id", 1)
+    body = body.replace("WHERE aqi >", "WHERE record_id % 61 <> 7 AND aqi >", 1)
+    return f"""
+    WITH RECURSIVE {body.strip().rstrip(',')},
+    fired AS (SELECT n.record_id FROM nx n JOIN chain USING (sensor_id, rn)),
+    lines AS (SELECT *, {line} AS line, row_number() OVER (ORDER BY record_id) - 1 AS "offset",
+                     record_id % 61 = 7 AS cut FROM {tagged('air_quality')})
+    SELECT "offset", CASE WHEN cut THEN 'unknown' ELSE sensor_id END AS key,
+           CASE WHEN cut THEN 'MALFORMED_JSON' ELSE error_reason END AS error_reason,
+           CASE WHEN cut THEN substr(line, 1, 25) WHEN error_reason IS NOT NULL THEN line END AS original_record,
+           record_id IN (SELECT record_id FROM fired) AS alerted
+    FROM lines"""
+
+
 _TRAFFIC_ENV = f"""(SELECT * FROM {envelopes()} WHERE topic = 'city.traffic_signals')"""
 
 ORACLE.update({
@@ -277,9 +298,12 @@ ORACLE.update({
         UNION ALL
         SELECT 'standard_priority-' || CAST(CAST(partition // 2 AS INTEGER) + 1 AS VARCHAR), count(*)
         FROM env, cut WHERE timestamp <= c GROUP BY 1""",
-    "stream_ward_energy": f"""SELECT * FROM ({ORACLE['ward_energy']})
+    "stream_ward_energy": f"""SELECT *, strftime(window_start, '%Y-%m-%d') AS date,
+               total_kwh_consumed AS topic_total_kwh_consumed, avg_power_factor AS topic_avg_power_factor,
+               peak_voltage AS topic_peak_voltage FROM ({ORACLE['ward_energy']})
         WHERE window_end <= (SELECT max(event_time) FROM {valid('smart_meters')}) - INTERVAL 45 MINUTE""",
     "stream_health_advisories": ORACLE["health_advisories"],
     "stream_dedup": ORACLE["dedup"],
+    "jsonl_ingest": _jsonl_ingest(),
     "stream_incidents": _stream_incidents(),
 })

@@ -43,19 +43,22 @@ def _validate_q(name):
     return q
 
 
-def _all_dlq(spark, sf_dir) -> DataFrame:
-    parts = [validate.dlq_records(_tagged(spark, sf_dir, n), n, raw_col=None)
-             for n in feeds.FEEDS]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+def _all_tagged(spark, sf_dir) -> DataFrame:
+    """Records of all feeds with their reasons, from one scan of ``events``."""
+    return validate.with_reason_by_feed(feeds.all_feeds(feeds.table(spark, sf_dir, "events")))
+
+
+def _all_dlq(spark, sf_dir, *keep: str) -> DataFrame:
+    kept = _all_tagged(spark, sf_dir).select(*keep, "source_topic", "error_reason")
+    return validate.rows_where(kept, F.col("error_reason").isNotNull())
 
 
 def split_counts(spark, sf_dir):
-    return reduce(lambda a, b: a.unionByName(b),
-                  [validate.split_counts(_tagged(spark, sf_dir, n), n) for n in feeds.FEEDS])
+    return validate.split_counts_by_feed(_all_tagged(spark, sf_dir))
 
 
 def dlq_messages(spark, sf_dir):
-    return _all_dlq(spark, sf_dir).select("key", "source_topic", "error_reason", "record_id")
+    return _all_dlq(spark, sf_dir, "key", "record_id").select("key", "source_topic", "error_reason", "record_id")
 
 
 def dlq_by_reason(spark, sf_dir):
@@ -67,7 +70,7 @@ def dlq_by_topic(spark, sf_dir):
 
 
 def dlq_windows(spark, sf_dir):
-    return dlq.by_window(_all_dlq(spark, sf_dir), time_col="event_time")
+    return dlq.by_window(_all_dlq(spark, sf_dir, "event_time"), time_col="event_time")
 
 
 def rule_hits(spark, sf_dir):

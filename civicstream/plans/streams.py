@@ -18,12 +18,15 @@ from civicstream.plans import feeds
 from civicstream.plans import queries as Q
 from civicstream.schemas import ENVELOPE, RAW_SCHEMAS, topic_name
 from civicstream.session import unique_scratch_path
+from civicstream.sources import jsonl
 from civicstream.sources.topics import read_topic
 from civicstream.streaming import jobs, stateful
 
 ISO_S = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 ONCE = {"availableNow": True}
 SLICES = 3
+MEASURES = ["total_kwh_consumed", "avg_power_factor", "peak_voltage"]
+SUMMARY = "ward_id string, window_start timestamp, window_end timestamp, " + ", ".join(f"{c} double" for c in MEASURES)
 
 
 def _messages(spark: SparkSession, sf_dir: str, feed: str, copies: int = 1) -> DataFrame:
@@ -75,17 +78,53 @@ def _stream_valid(spark, root: str, feed: str) -> DataFrame:
 
 
 def stream_ward_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AGG-1 append + SNK-6/7: closed 15-minute windows, read back from the archive."""
+    """AGG-1 append + SNK-2/6/7: closed 15-minute windows, read back from the archive (with its
+    ``date``) and from the topic."""
     feed = _Delivery(spark, {"smart_meters": _messages(spark, sf_dir, "smart_meters")})
     meters = _stream_valid(spark, feed.root, "smart_meters")
     out = unique_scratch_path(spark, "ward-out")
     feed.run(lambda: jobs.ward_energy_job(meters, f"{out}/archive", f"{out}/topics", f"{out}/ckpt",
                                           trigger=ONCE, decimals=2, pf_decimals=6))
-    arc = spark.read.parquet(f"{out}/archive")
-    return arc.select("ward_id",
-                      F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-                      F.col("window_end").cast("timestamp_ntz").alias("window_end"),
-                      "total_kwh_consumed", "avg_power_factor", "peak_voltage")
+    arc = spark.read.parquet(f"{out}/archive").drop("batch")
+    log = spark.read.parquet(f"{out}/topics/{topic_name('ward_energy_summary')}")
+    sent = log.select("key", F.from_json("value", SUMMARY).alias("r")).select("key", "r.*")
+    both = arc.join(sent.select("key", "window_start", *(F.col(c).alias(f"topic_{c}") for c in MEASURES)),
+                    (arc["ward_id"] == sent["key"]) & (arc["window_start"] == sent["window_start"]), "full")
+    return both.select("ward_id", F.col("date").cast("string").alias("date"),
+                       arc["window_start"].cast("timestamp_ntz").alias("window_start"),
+                       F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+                       *MEASURES, *(f"topic_{c}" for c in MEASURES))
+
+
+def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-1 input: one JSON line of the air feed per event, in order of the record id; a few are cut
+    off. Numbers are written with three decimals."""
+    air = feeds.feed(spark, sf_dir, "air_quality").select("*", F.pmod("record_id", F.lit(61)).alias("_cut"))
+    number = lambda c: f"coalesce(CAST(CAST({c} AS DECIMAL(18,3)) AS STRING), 'null')"
+    line = ("concat('{\"sensor_id\":\"', sensor_id, '\",\"zone\":\"', zone, "
+            + ", ".join(f"'{q}\"{c}\":', {number(c)}" for q, c in
+                        (('",', "pm25"), (",", "pm10"), (",", "no2"), (",", "aqi")))
+            + f", ',\"timestamp\":\"', date_format(event_time, \"{ISO_S}\"), '\"}}')")
+    return air.orderBy("record_id").selectExpr(
+        f"CASE WHEN _cut = 7 THEN substring({line}, 1, 25) ELSE {line} END AS value")
+
+
+def jsonl_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-1 from end to end: text files -> a stream of lines with their numbers -> topic -> rules ->
+    dead letters with their raw text (VAL-5), valid rows -> detector. One row per line."""
+    base = unique_scratch_path(spark, "jsonl")
+    raw_lines(spark, sf_dir).write.text(f"{base}/in")
+    placed = jsonl.stream_jsonl(spark, f"{base}/in")
+    jsonl.ingest_job(placed, "air_quality", f"{base}/topics", f"{base}/ckpt", trigger=ONCE).awaitTermination()
+    env = read_topic(spark, topic_name("air_quality"), root=f"{base}/topics")
+    tagged = jobs.parsed_feed(env, "air_quality")
+    dead = Q.validate.dlq_records(tagged.select("*"), "air_quality", raw_col="value", extra=("offset",))
+    alerts = Q.detect.cooldown_alerts(
+        Q.validate.valid_rows(tagged, "air_quality"), "sensor_id", "event_time", "aqi", "offset",
+        threshold=Q.AQI_THRESHOLD, cooldown_ms=Q.AQI_COOLDOWN_MS).select("offset", F.lit(True).alias("alerted"))
+    return (tagged.select("key", "offset").join(dead.select("offset", "error_reason", "original_record"), "offset", "left")
+            .join(alerts, "offset", "left")
+            .select("offset", "key", "error_reason", "original_record", F.coalesce("alerted", F.lit(False)).alias("alerted")))
 
 
 def stream_health_advisories(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,6 +188,7 @@ def stream_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 STREAM_QUERIES = {
+    "jsonl_ingest": jsonl_ingest,
     "stream_ward_energy": stream_ward_energy,
     "stream_health_advisories": stream_health_advisories,
     "stream_dedup": stream_dedup,

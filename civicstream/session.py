@@ -87,14 +87,6 @@ def unique_scratch_path(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def local_fs_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 def env_root(default: str) -> str:
     """Output root from ``CIVICSTREAM_OUTPUT_ROOT`` (SNK-9)."""
     return os.environ.get("CIVICSTREAM_OUTPUT_ROOT", default)

@@ -2,6 +2,7 @@
 independent readers of one topic), SNK-1 (keyed, per-key ordered files)."""
 
 import json
+import time
 
 from pyspark.sql import functions as F
 
@@ -32,6 +33,33 @@ def test_jsonl_scan_limit_and_envelope(spark, tmp_dir):
     assert s.isStreaming
 
 
+def test_lines_are_numbered_over_splits_and_files(spark, tmp_dir):
+    """Small splits, several files in one task, and a stream in several batches."""
+    lines = []
+    for k in range(5):
+        part = [f"file {k} line {i} " + "x" * (i % 50) for i in range(200 * (k % 3) + 1)]
+        lines += part
+        with open(f"{tmp_dir}/part-{k}.jsonl", "w") as f:
+            f.write("\n".join(part) + "\n")
+        time.sleep(0.05)                                  # a stream takes files by their time
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        got = jsonl.read_jsonl(spark, tmp_dir).collect()
+        few = jsonl.read_jsonl(spark, tmp_dir, limit=7).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r.value for r in sorted(got, key=lambda r: r.offset)] == lines
+    assert sorted(r.offset for r in got) == list(range(len(lines)))
+    assert sorted(r.value for r in few) == sorted(lines[:7])
+    for run in range(2):                                  # the second run finds nothing new
+        jsonl.ingest_job(jsonl.stream_jsonl(spark, f"{tmp_dir}/*.jsonl", 2), "bus_gps", f"{tmp_dir}/topics",
+                         f"{tmp_dir}/ckpt", trigger={"availableNow": True}).awaitTermination()
+    env = spark.read.parquet(f"{tmp_dir}/topics/{topic_name('bus_gps')}")
+    assert env.select("batch").distinct().count() == 3
+    assert [r.value for r in env.orderBy("offset").collect()] == lines
+    assert env.agg(F.max("offset"), F.count_distinct("offset")).head() == (len(lines) - 1, len(lines))
+
+
 def test_multi_topic_route_and_skip_undecodable(spark, tmp_dir):
     put_messages(spark, tmp_dir, "air_quality", [[{"sensor_id": "S1", "aqi": 1.0}, "oops"]],
                  "sensor_id")
