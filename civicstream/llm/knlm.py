@@ -44,6 +44,8 @@ U64 = np.uint64
 END = U64(0xE05E05E05E05E05E)
 #: Numbers of words that are not in the vocabulary, of the begin, and of the first word.
 UNKNOWN, BEGIN, FIRST = U64(0), U64(1), U64(2)
+#: Keys of texts gathered in a task before they are counted: the more, the fewer are shuffled.
+TEXT_KEYS = 2 * hashstore.FLUSH_KEYS
 #: Bits of the kind of a statistic in its key.
 KIND_BITS = 3
 
@@ -257,7 +259,7 @@ def fit(docs: DataFrame, text_col: str = "text") -> Model:
 
     def keys(make):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            counter = hashstore.Counter(bits)
+            counter = hashstore.Counter(bits, TEXT_KEYS)
             for batch in batches:
                 for rows in common.slices(batch, "_text"):
                     yield from counter.add(make(*_tokens(rows.column("_text"))))
