@@ -29,26 +29,24 @@ class Lexicon:
         self.clear()
 
     def clear(self) -> None:
-        self.row: dict[int, int] = {}
+        self.row: dict[bytes, int] = {}
         self.flat, self.start, self.count = (np.empty(0, np.uint32), np.empty(0, np.int64),
                                              np.empty(0, np.int64))
         self.pending: list[bytes] = []
 
     def rows(self, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Number of each piece; new ones wait for ``settle``."""
-        h = textscan.span_hash(textscan.prefix_sums(buf), start, end)
-        distinct, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-        keys = distinct.tolist()
-        out = np.empty(len(keys), np.int32)
-        row, pending = self.row, self.pending
-        for i, key in enumerate(keys):
-            r = row.get(key)
+        """Number of each piece, by its bytes; new ones wait for ``settle``."""
+        number, first = textscan.names(buf, start, end)
+        out = np.empty(len(first), np.int32)
+        row, pending, data = self.row, self.pending, buf.tobytes()
+        for i, (a, b) in enumerate(zip(start[first].tolist(), end[first].tolist())):
+            piece = data[a:b]
+            r = row.get(piece)
             if r is None:
-                r = row[key] = len(row)
-                f = first[i]
-                pending.append(buf[start[f]:end[f]].tobytes())
+                r = row[piece] = len(row)
+                pending.append(piece)
             out[i] = r
-        return out[inverse]
+        return out[number]
 
     def settle(self) -> None:
         if self.pending:

@@ -129,3 +129,21 @@ def test_op8_added_tokens(spark):
     data = [(i, t, "en", "s", 0, "c", 1, 2, 3) for i, t in enumerate(texts)]
     assert Tokenizer.from_file(TOKENIZER).encode(texts[0], add_special_tokens=False).ids == [31373, 220, 50256, 2124]
     assert edge_cases.result(tokenfile.digest(edge_cases.table(spark, data), TOKENIZER, 2)) == op8_expected(data)
+
+
+def test_words_that_a_polynomial_hash_confuses(spark, reference):
+    """Thue-Morse words and their swaps have equal polynomials modulo 2^64 for every odd base."""
+    a, b = "a", "b"
+    for _ in range(12):
+        a, b = a + b, b + a
+    data = [(1, a), (2, b), (3, f"{b} {a}")]
+    docs = spark.createDataFrame(data, "doc_id long, text string").coalesce(1)
+    library = Tokenizer.from_file(TOKENIZER)
+    expected, ids8 = [], {}
+    for doc, text in data:
+        ids = np.array(reference.encode_ordinary(text), "<u4")
+        expected.append((doc, len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()))
+        ids8[doc] = np.array([*library.encode(text, add_special_tokens=False).ids, 2], "<u4")
+    assert edge_cases.result(bpe.digest(docs, RANKS)) == expected
+    got = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in tokenfile.digest(docs, TOKENIZER, end_id=2).collect()}
+    assert got == {d: (len(ids), zlib.crc32(ids.tobytes())) for d, ids in ids8.items()}
