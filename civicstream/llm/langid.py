@@ -31,6 +31,8 @@ from civicstream.llm import common, textscan
 
 U64 = np.uint64
 SAMPLE, SEGMENT = 8000, 24
+#: A language's ids are first cut within parts by hash, four times as many as a part of the sample needs.
+PARTS = 64
 #: Rows of the feature table; features of a word: affix lengths and n-gram lengths in bytes.
 TABLE = 1 << 18
 PREFIXES, SUFFIXES, GRAMS = (1, 2, 3), (1, 2, 3, 4), (2, 3, 4)
@@ -98,9 +100,10 @@ class Field:
         out = np.add.reduceat(self.table[rows], np.cumsum(count) - count, axis=0)
         return out + np.where(lexicon[:, None] >= 0, self.lexicon_weight[lexicon], 0)
 
-    def marginals(self, scores: np.ndarray, begin: np.ndarray, size: np.ndarray
-                  ) -> tuple[np.ndarray, np.ndarray | None]:
-        """Label distribution of every word of chains that follow one another."""
+    def marginals(self, scores: np.ndarray, begin: np.ndarray, size: np.ndarray,
+                  pairs: np.ndarray | None = None) -> np.ndarray:
+        """Label distribution of every word of chains that follow one another. To ``pairs``, if
+        given, the expected number of neighbours with each two labels is added."""
         out = np.empty_like(scores)
         emit = np.exp(np.clip(scores - scores.max(1, keepdims=True), -50, 0))
         change = np.exp(self.change)
@@ -117,7 +120,12 @@ class Field:
         for t in range(len(active) - 2, -1, -1):
             n = active[t + 1]
             at = begin[:n] + t
-            b = (beta[:n] * emit[at + 1]) @ change.T
+            behind = beta[:n] * emit[at + 1]
+            if pairs is not None:
+                # alpha of this word, the transition, emission and beta of the next one, over their sum
+                both = out[at][:, :, None] * change[None] * behind[:, None, :]
+                pairs += (both / both.sum((1, 2), keepdims=True)).sum(0)
+            b = behind @ change.T
             b /= b.sum(1, keepdims=True)
             beta[:n] = b
             p = out[at] * b
@@ -175,18 +183,17 @@ def train(segments: list[str], labels: list[str]) -> Field | None:
             used, inv = np.unique(words.inverse[token], return_inverse=True)
             own_rows = rows[common.ragged(begin[used], count[used])]
             scores = field.unary(own_rows, count[used], lexicon[used])[inv]
-            p = field.marginals(scores, at, chain)
+            pairs = np.zeros((k, k))
+            p = field.marginals(scores, at, chain, pairs)
             y = np.zeros_like(p)
             y[np.arange(len(token)), word_label[token]] = 1
             error = (p - y) / len(chain)
-            # neighbours: the expected pair from both sides' marginals, against the true pair
+            # neighbours: expected pairs of labels against the true ones
             head = np.zeros(len(token), bool)
             head[at] = True
             second = np.flatnonzero(~head)
-            pair = p[second - 1][:, :, None] * np.exp(field.change)[None] * _ahead(field, scores, p, second)
-            pair /= pair.sum((1, 2), keepdims=True)
-            d_change = pair.sum(0) / len(chain)
-            np.add.at(d_change, (word_label[token[second - 1]], word_label[token[second]]), -1 / len(chain))
+            np.add.at(pairs, (word_label[token[second - 1]], word_label[token[second]]), -1)
+            d_change = pairs / len(chain)
             d_first = error[at].sum(0)
             by_word = np.stack([np.bincount(inv, error[:, j], len(used)) for j in range(k)], 1)
             d_lex = np.zeros((k, k))
@@ -203,12 +210,6 @@ def train(segments: list[str], labels: list[str]) -> Field | None:
     return field
 
 
-def _ahead(field: Field, scores: np.ndarray, p: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """Weight of each label at the second word of a pair, without what the first contributes."""
-    given = p[second - 1] @ np.exp(field.change)
-    return (p[second] / np.maximum(given, 1e-12))[:, None, :]
-
-
 def learnable(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang") -> DataFrame:
     return docs.where(F.col(id_col).isNotNull() & F.col(lang_col).isNotNull())
 
@@ -217,10 +218,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """Fit on a bounded sample of ``docs``; see ``SAMPLE``."""
     common.prepare(docs.sparkSession)
     key = F.xxhash64(F.col(id_col).cast("string"))
+    part = F.pmod("_key", F.lit(PARTS))
     turns = Window.partitionBy("_lang").orderBy("_key")
+    few = (learnable(docs, id_col, lang_col).select(key.alias("_key"), F.col(lang_col).cast("string").alias("_lang"))
+           .distinct().withColumn("_place", F.row_number().over(Window.partitionBy("_lang", part).orderBy("_key")))
+           .where(F.col("_place") <= 4 * SAMPLE // PARTS).select("_key", "_lang"))
     chosen = common.stored(
-        learnable(docs, id_col, lang_col).select(key.alias("_key"), F.col(lang_col).cast("string").alias("_lang"))
-        .distinct().withColumn("_turn", F.row_number().over(turns)).where(F.col("_turn") <= SAMPLE)
+        few.withColumn("_turn", F.row_number().over(turns)).where(F.col("_turn") <= SAMPLE)
         .orderBy("_turn", "_key", "_lang").limit(SAMPLE).select("_key", "_lang"), "sample")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

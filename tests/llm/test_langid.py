@@ -26,6 +26,31 @@ def test_marginals_equal_the_sum_over_all_paths():
         assert got[b:b + n] == pytest.approx(expected / expected.sum(1, keepdims=True))
 
 
+def _log_sum(change, first, scores, begin, sizes):
+    total = 0.0
+    for b, n in zip(begin, sizes):
+        paths = [first[p[0]] + sum(scores[b + t, y] for t, y in enumerate(p)) + sum(change[x, y] for x, y in zip(p, p[1:]))
+                 for p in itertools.product(range(len(first)), repeat=int(n))]
+        total += np.logaddexp.reduce(paths)
+    return total
+
+
+def test_pairs_of_labels_equal_the_gradient_by_transitions():
+    rng = np.random.Generator(np.random.PCG64(2))
+    for _ in range(20):
+        k, sizes = 3, np.array([4, 1, 5])
+        first, change, scores = rng.normal(size=k), rng.normal(size=(k, k)) * 2, rng.normal(size=(sizes.sum(), k)) * 3
+        begin = np.cumsum(sizes) - sizes
+        pairs = np.zeros((k, k))
+        langid.Field(list("abc"), None, np.empty(0), None, None, first, change).marginals(scores, begin, sizes, pairs)
+        for x, y in itertools.product(range(k), repeat=2):
+            step = np.zeros((k, k))
+            step[x, y] = 1e-4
+            slope = (_log_sum(change + step, first, scores, begin, sizes)
+                     - _log_sum(change - step, first, scores, begin, sizes)) / 2e-4
+            assert pairs[x, y] == pytest.approx(slope, abs=1e-6)
+
+
 def test_held_out_accuracy_and_code_switching(spark):
     folder = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
