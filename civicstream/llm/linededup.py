@@ -10,10 +10,9 @@ runs. Of each name the first position stays, and the lines of all later ones are
 first by document id, then by a hash of the text.
 
 So a line goes if it lies in a run of ``min_lines`` lines that also begins at an earlier place, in
-the same document or another. With ``long_words``, a run of one or two lines (below ``min_lines``)
-is enough when it holds so many words: levels 1 and 2 carry the number of words, and the later
-copies of their long names go too. Without it a passage on fewer than ``min_lines`` lines stays
-however long it is; ``digest`` (the registered query) is that rule, as its oracle SQL is.
+the same document or another. A run of one or two lines (below ``min_lines``) is enough when it
+holds ``long_words`` words: levels 1 and 2 carry the number of words, and the later copies of their
+long names go too. With ``long_words=None`` such a passage stays however long it is.
 
 Lines without a word are no part of runs and stay. Null text stays null; texts without a run
 stay as they are. Null document ids come first. Repeated rows are copies of each other: all but
@@ -41,7 +40,7 @@ def _repeated(positions: DataFrame, name: str) -> DataFrame:
     return common.stored(positions.join(names, ["a", "b"]), name)
 
 
-def later_runs(texts: DataFrame, min_lines: int, long_words: int | None = None) -> DataFrame:
+def later_runs(texts: DataFrame, min_lines: int, long_words: int | None) -> DataFrame:
     """rid, lines: the line numbers (from 0) that each text (rid, doc, text) loses, if any."""
     lines = "split(text, '\\\\n', -1)"
     words = f"size(split(btrim(l, {_WHITE}), '[ \\\\x09-\\\\x0D]+', -1))" if long_words else "0"
@@ -74,7 +73,7 @@ def later_runs(texts: DataFrame, min_lines: int, long_words: int | None = None)
 
 
 def remove_repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, id_col: str = "doc_id",
-                         text_col: str = "text", long_words: int | None = None) -> DataFrame:
+                         text_col: str = "text", long_words: int | None = LONG_WORDS) -> DataFrame:
     """``docs`` with the later copies of line runs deleted from ``text_col``, and with n_lines
     (lines with a word) before, n_removed, and emptied (no line with a word is left of some)."""
     common.prepare(docs.sparkSession)

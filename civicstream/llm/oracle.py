@@ -86,12 +86,19 @@ seq AS (
   SELECT doc_id, p, l, row_number() OVER (PARTITION BY doc_id ORDER BY p) AS j
   FROM line WHERE regexp_matches(l, '[^\x20\x09-\x0D]')),
 run AS (
-  SELECT doc_id, j, l, lead(l, 1) OVER w AS l2, lead(l, 2) OVER w AS l3
+  SELECT doc_id, j, l, lead(l, 1) OVER w AS l2, lead(l, 2) OVER w AS l3,
+         len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS w1,
+         lead(len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')), 1) OVER w AS w2
   FROM seq WINDOW w AS (PARTITION BY doc_id ORDER BY j)),
 ranked AS (
-  SELECT doc_id, j, row_number() OVER (PARTITION BY l, l2, l3 ORDER BY doc_id, j) AS k
-  FROM run WHERE l3 IS NOT NULL),
-gone AS (SELECT DISTINCT doc_id, unnest([j, j + 1, j + 2]) AS j FROM ranked WHERE k > 1),
+  SELECT doc_id, j, 3 AS size, row_number() OVER (PARTITION BY l, l2, l3 ORDER BY doc_id, j) AS k
+  FROM run WHERE l3 IS NOT NULL
+  UNION ALL
+  SELECT doc_id, j, 2, row_number() OVER (PARTITION BY l, l2 ORDER BY doc_id, j)
+  FROM run WHERE l2 IS NOT NULL AND w1 + w2 >= 50
+  UNION ALL
+  SELECT doc_id, j, 1, row_number() OVER (PARTITION BY l ORDER BY doc_id, j) FROM run WHERE w1 >= 50),
+gone AS (SELECT DISTINCT doc_id, unnest(range(j, j + size)) AS j FROM ranked WHERE k > 1),
 out AS (SELECT doc_id, p FROM gone JOIN seq USING (doc_id, j)),
 rest AS (
   SELECT doc_id, string_agg(l, chr(10) ORDER BY p) AS t FROM line ANTI JOIN out USING (doc_id, p) GROUP BY doc_id),

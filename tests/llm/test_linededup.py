@@ -12,21 +12,26 @@ from tests.llm import edge_cases
 WORD = re.compile("[^\x20\x09-\x0d]")
 
 
+def lost_lines(docs, k=3, least=50):
+    """Lines that each text of (order, text) loses, by its place in ``docs``."""
+    seen, lost = set(), [set() for _ in docs]
+    for i in sorted(range(len(docs)), key=lambda i: (docs[i][0] is not None, docs[i][0] or 0)):
+        own = [(p, x) for p, x in enumerate((docs[i][1] or "").split("\n")) if WORD.search(x)]
+        for size in [*range(1, min(k, 3)), k]:
+            for j in range(len(own) - size + 1):
+                run = tuple(x for _, x in own[j:j + size])
+                if size == k or (least and sum(len(re.findall("[^\x20\x09-\x0d]+", x)) for x in run) >= least):
+                    if run in seen:
+                        lost[i].update(p for p, _ in own[j:j + size])
+                    seen.add(run)
+    return lost
+
+
 def brute(docs, k=3):
-    order = sorted(range(len(docs)), key=lambda i: (docs[i][0] is not None, docs[i][0] or 0))
-    seen, lost = {}, {}
-    for i in order:
-        lines = (docs[i][1] or "").split("\n")
-        own = [(p, x) for p, x in enumerate(lines) if WORD.search(x)]
-        for j in range(len(own) - k + 1):
-            run = tuple(x for _, x in own[j:j + k])
-            if run in seen:
-                lost.setdefault(i, set()).update(p for p, _ in own[j:j + k])
-            seen[run] = True
     out = []
-    for i, (d, t) in enumerate(docs):
+    for (d, t), gone in zip(docs, lost_lines(docs, k)):
         lines = (t or "").split("\n")
-        n, gone = sum(bool(WORD.search(x)) for x in lines), lost.get(i, set())
+        n = sum(bool(WORD.search(x)) for x in lines)
         rest = "\n".join(x for p, x in enumerate(lines) if p not in gone)
         out.append((d, n, len(gone), not (gone and len(gone) == n), hashlib.sha256(rest.encode()).hexdigest()))
     return sorted(out, key=repr)
@@ -75,23 +80,6 @@ def test_no_python_in_the_plan(spark):
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 
-def brute_long(docs, k=3, least=50):
-    seen, out = set(), []
-    for d, t in docs:
-        lines = t.split("\n")
-        own = [(p, x) for p, x in enumerate(lines) if WORD.search(x)]
-        gone = set()
-        for size in [*range(1, min(k, 3)), k]:
-            for j in range(len(own) - size + 1):
-                run = tuple(x for _, x in own[j:j + size])
-                if size == k or sum(len(re.findall("[^\x20\x09-\x0d]+", x)) for x in run) >= least:
-                    if run in seen:
-                        gone.update(p for p, _ in own[j:j + size])
-                    seen.add(run)
-        out.append((d, "\n".join(x for p, x in enumerate(lines) if p not in gone)))
-    return out
-
-
 @pytest.mark.parametrize("k", [2, 3, 4])
 def test_long_passages_on_one_or_two_lines(spark, k):
     rng = random.Random(k)
@@ -99,5 +87,16 @@ def test_long_passages_on_one_or_two_lines(spark, k):
     pool += ["\t" + pool[6].replace(" ", " \x0b ") + " ", "", " ", "one"]
     docs = [(i, "\n".join(rng.choice(pool) if rng.random() < 0.7 else f"own {i} {j}" for j in range(rng.randrange(7))))
             for i in range(60)]
-    got = linededup.remove_repeated_runs(spark.createDataFrame(docs, "doc_id long, text string"), k, long_words=50)
-    assert sorted((r.doc_id, r.text) for r in got.collect()) == brute_long(docs, k)
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    for least in (50, None):
+        got = linededup.remove_repeated_runs(table, k, long_words=least)
+        assert sorted((r.doc_id, r.text) for r in got.collect()) == [
+            (d, "\n".join(x for p, x in enumerate(t.split("\n")) if p not in gone))
+            for (d, t), gone in zip(docs, lost_lines(docs, k, least))]
+
+
+def test_passage_of_fifty_words_on_one_line_in_the_query(spark):
+    long, short = " ".join(f"w{i}" for i in range(50)), " ".join(f"w{i}" for i in range(49))
+    docs = [(1, f"a\n{long}\nb"), (2, f"c\n{long}\nd"), (3, f"e\n{short}\nf"), (4, f"g\n{short}\nh")]
+    got = linededup.digest(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_removed) for r in got) == [(1, 0), (2, 1), (3, 0), (4, 0)]

@@ -10,24 +10,17 @@ import public_tokenizers
 from civicstream.llm import bpe, common, langid
 from tests.llm import edge_cases
 from tests.llm.test_decontam import brute as contaminated, ITEMS, items_for
-from tests.llm.test_linededup import WORD
+from tests.llm.test_linededup import WORD, lost_lines
 from tests.llm.test_setsketch import shingles
 
 FOLDER = "/root/testdata/sf0.001"
 
 
-def without_runs(docs, k=3):
-    seen, out = set(), []
-    for d, t in sorted(docs):
+def without_runs(docs):
+    docs, out = sorted(docs), []
+    for (d, t), gone in zip(docs, lost_lines(docs)):
         lines = t.split("\n")
-        own = [(p, x) for p, x in enumerate(lines) if WORD.search(x)]
-        gone = set()
-        for j in range(len(own) - k + 1):
-            run = tuple(x for _, x in own[j:j + k])
-            if run in seen:
-                gone.update(p for p, _ in own[j:j + k])
-            seen.add(run)
-        if not gone or len(gone) < len(own):
+        if not gone or len(gone) < sum(bool(WORD.search(x)) for x in lines):
             out.append((d, "\n".join(x for p, x in enumerate(lines) if p not in gone)))
     return out
 
