@@ -279,6 +279,31 @@ def _jsonl_ingest() -> str:
     FROM lines"""
 
 
+def _stream_validation() -> str:
+    """Per topic and key; the DLQ per source. Offsets are dense, a key has one partition."""
+    good = " UNION ALL ".join(
+        f"SELECT 'city.{f}' AS topic, 'city.{f}' AS source, CAST({KEYS[f]} AS VARCHAR) AS key, event_time FROM {valid(f)}"
+        for f in SQL_FEEDS)
+    return f"""SELECT topic, source, key, count(*) AS messages, CAST(1 AS BIGINT) AS partitions,
+               min(event_time) AS first_time, max(event_time) AS last_time,
+               CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS repeated
+        FROM ({good} UNION ALL SELECT 'city.dlq', source_topic, key, NULL FROM {all_dlq()}) GROUP BY topic, source, key"""
+
+
+def _stream_late() -> str:
+    """Arrival by thirds of the time span, late ones a third on; behind the latest of earlier thirds."""
+    return f"""WITH f AS ({SQL_FEEDS['air_quality']}),
+        span AS (SELECT epoch_us(min(event_time)) AS lo, epoch_us(max(event_time)) AS hi FROM f),
+        a AS (SELECT f.*, least(2, CAST(epoch_us(event_time) >= lo + round((hi - lo) / 3) AS INTEGER)
+                     + CAST(epoch_us(event_time) >= lo + round((hi - lo) * 2 / 3) AS INTEGER)
+                     + CAST(record_id % 37 = 5 AS INTEGER)) AS slice FROM f, span),
+        m AS (SELECT s.slice, (SELECT max(event_time) FROM a WHERE a.slice < s.slice) AS newest
+              FROM (SELECT DISTINCT slice FROM a) s)
+        SELECT sensor_id AS key, CASE WHEN event_time < newest - INTERVAL 45 MINUTE THEN 'LATE_EVENT' END AS error_reason,
+               zone, strftime(event_time, {ISO}) AS timestamp
+        FROM a JOIN m USING (slice)"""
+
+
 _TRAFFIC_ENV = f"""(SELECT * FROM {envelopes()} WHERE topic = 'city.traffic_signals')"""
 
 ORACLE.update({
@@ -305,5 +330,7 @@ ORACLE.update({
     "stream_health_advisories": ORACLE["health_advisories"],
     "stream_dedup": ORACLE["dedup"],
     "jsonl_ingest": _jsonl_ingest(),
+    "stream_validation": _stream_validation(),
+    "stream_late": _stream_late(),
     "stream_incidents": _stream_incidents(),
 })

@@ -18,6 +18,7 @@ from civicstream.plans import feeds
 from civicstream.plans import queries as Q
 from civicstream.schemas import ENVELOPE, RAW_SCHEMAS, topic_name
 from civicstream.session import unique_scratch_path
+from civicstream.sinks import commits
 from civicstream.sources import jsonl
 from civicstream.sources.topics import read_topic
 from civicstream.streaming import jobs, stateful
@@ -53,8 +54,9 @@ class _Delivery:
     over all that has arrived after each: several micro-batches, in event order as a topic would
     have it, with a restart from the checkpoint between them."""
 
-    def __init__(self, spark: SparkSession, messages: dict[str, DataFrame]):
-        self.messages = messages
+    def __init__(self, spark: SparkSession, messages: dict[str, DataFrame], delayed: str = "false"):
+        """Messages that meet the condition ``delayed`` arrive one slice after their own."""
+        self.messages, self.delayed = messages, delayed
         self.root = unique_scratch_path(spark, "topics")
         times = [m.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")) for m in messages.values()]
         lo, hi = reduce(DataFrame.unionByName, times).agg(F.min("lo"), F.max("hi")).first()
@@ -67,7 +69,8 @@ class _Delivery:
             for feed, m in self.messages.items():
                 slice_no = sum((F.coalesce(F.col("timestamp") >= F.lit(e), F.lit(False)).cast("int")
                                 for e in self.edges), F.lit(0))
-                m.where(slice_no == i).write.mode("append").parquet(f"{self.root}/{topic_name(feed)}")
+                arrival = F.least(slice_no + F.expr(self.delayed).cast("int"), F.lit(SLICES - 1))
+                m.where(arrival == i).write.mode("append").parquet(f"{self.root}/{topic_name(feed)}")
             start().awaitTermination()
 
 
@@ -85,8 +88,8 @@ def stream_ward_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = unique_scratch_path(spark, "ward-out")
     feed.run(lambda: jobs.ward_energy_job(meters, f"{out}/archive", f"{out}/topics", f"{out}/ckpt",
                                           trigger=ONCE, decimals=2, pf_decimals=6))
-    arc = spark.read.parquet(f"{out}/archive").drop("batch")
-    log = spark.read.parquet(f"{out}/topics/{topic_name('ward_energy_summary')}")
+    arc = commits.committed_archive(spark, f"{out}/topics", f"{out}/archive", "archive")
+    log = commits.read_committed(spark, f"{out}/topics", topic_name("ward_energy_summary"))
     sent = log.select("key", F.from_json("value", SUMMARY).alias("r")).select("key", "r.*")
     both = arc.join(sent.select("key", "window_start", *(F.col(c).alias(f"topic_{c}") for c in MEASURES)),
                     (arc["ward_id"] == sent["key"]) & (arc["window_start"] == sent["window_start"]), "full")
@@ -187,7 +190,64 @@ def stream_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.select(F.from_json("value", stateful.INCIDENT_DDL).alias("r")).select("r.*")
 
 
+def stream_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """VAL-6 + SNK-1: the four validation jobs write five topics, the DLQ together, in three batches
+    each. Per topic, source and key: its messages, partitions, and first and last event time by
+    offset; and for the topic's partitions the offsets that are missing, and those given twice."""
+    feed = _Delivery(spark, {n: _messages(spark, sf_dir, n) for n in feeds.FEEDS})
+    out = unique_scratch_path(spark, "validation-out")
+
+    def start():
+        jobs_ = [jobs.validation_job(read_topic(spark, topic_name(n), root=feed.root, streaming=True), n,
+                                     f"{out}/topics", f"{out}/ckpt-{n}", partitions=3, trigger=ONCE) for n in feeds.FEEDS]
+        return _All(jobs_)
+
+    feed.run(start)
+    parts = [commits.read_committed(spark, f"{out}/topics", topic_name(n)) for n in [*feeds.FEEDS, "dlq"]]
+    log = reduce(DataFrame.unionByName, parts)
+    when = lambda c: F.get_json_object(c, "$.timestamp").try_cast("timestamp").cast("timestamp_ntz")
+    log = log.withColumn("source", F.coalesce(F.get_json_object("value", "$.source_topic"), F.col("topic"))).withColumn(
+        "time", F.when(F.col("topic") != topic_name("dlq"), when("value")))
+    by_key = log.groupBy("topic", "source", "key").agg(
+        F.count(F.lit(1)).alias("messages"), F.count_distinct("partition").alias("partitions"),
+        F.min_by("time", "offset").alias("first_time"), F.max_by("time", "offset").alias("last_time"))
+    places = log.groupBy("topic", "partition").agg(
+        (F.max("offset") + 1 - F.count(F.lit(1))).alias("missing"),
+        (F.count(F.lit(1)) - F.count_distinct("offset")).alias("repeated"))
+    places = places.groupBy("topic").agg(F.sum("missing").alias("missing"), F.sum("repeated").alias("repeated"))
+    return by_key.join(places, "topic")
+
+
+class _All:
+    """Several running queries, awaited as one."""
+
+    def __init__(self, running: list):
+        self.running = running
+
+    def awaitTermination(self) -> None:
+        for q in self.running:
+            q.awaitTermination()
+
+
+def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-1: one message in 37 arrives a third of the time span late; every one ends in the topic or,
+    with its raw text, in the DLQ."""
+    feed = _Delivery(spark, {"air_quality": _messages(spark, sf_dir, "air_quality")}, delayed="offset % 37 = 5")
+    env = read_topic(spark, topic_name("air_quality"), root=feed.root, streaming=True)
+    out = unique_scratch_path(spark, "late-out")
+    feed.run(lambda: jobs.lateness_job(env, "air_quality", f"{out}/topics", f"{out}/ckpt", trigger=ONCE))
+    kept = commits.read_committed(spark, f"{out}/topics", topic_name("air_quality"))
+    dead = commits.read_committed(spark, f"{out}/topics", topic_name("dlq"))
+    rows = kept.select("key", "value", F.lit(None).cast("string").alias("error_reason")).unionByName(dead.select(
+        "key", F.get_json_object("value", "$.original_record").alias("value"),
+        F.get_json_object("value", "$.error_reason").alias("error_reason")))
+    return rows.select("key", "error_reason", F.get_json_object("value", "$.zone").alias("zone"),
+                       F.get_json_object("value", "$.timestamp").alias("timestamp"))
+
+
 STREAM_QUERIES = {
+    "stream_validation": stream_validation,
+    "stream_late": stream_late,
     "jsonl_ingest": jsonl_ingest,
     "stream_ward_energy": stream_ward_energy,
     "stream_health_advisories": stream_health_advisories,

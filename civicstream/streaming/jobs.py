@@ -16,7 +16,8 @@ from civicstream.schemas import (ADVISORY_SLIDE, ADVISORY_WATERMARK, ADVISORY_WI
                                  RAW_SCHEMAS, UNHEALTHY_AQI, WARD_WATERMARK, WARD_WINDOW,
                                  topic_name)
 from civicstream.sinks.archive import with_date
-from civicstream.sinks.keyed import stream_keyed, write_keyed
+from civicstream.sinks import commits
+from civicstream.sinks.keyed import stream_keyed, write_keyed, write_raw, writer_id
 from civicstream.streaming import stateful
 
 
@@ -36,8 +37,25 @@ def parsed_feed(env: DataFrame, feed: str, keep_raw: bool = True) -> DataFrame:
     return validate.with_error_reason(p, feed)
 
 
+# ------------------------------------------------------------------ SNK-1 / SNK-7
+
+def _is_committed(batch: DataFrame, root: str, bootstrap: str | None, checkpoint: str, batch_id: int) -> bool:
+    return not bootstrap and commits.is_committed(batch.sparkSession, root, writer_id(checkpoint), batch_id)
+
+
+def _commit(batch: DataFrame, root: str, bootstrap: str | None, checkpoint: str, batch_id: int,
+            parts: list) -> None:
+    """All outputs of the batch become visible together. Kafka keeps its own offsets."""
+    if not bootstrap:
+        commits.commit(batch.sparkSession, root, writer_id(checkpoint), batch_id, parts)
+
+
 # ------------------------------------------------------------------ VAL-6 / VAL-7
 
+DLQ_FIELDS = ["source_topic", "original_record", "error_reason"]
+LATE_EVENT = "LATE_EVENT"
+
+
 def validation_job(env: DataFrame, feed: str, out_root: str, checkpoint: str,
                    partitions: int | None = None, trigger: dict | None = None,
                    name: str | None = None, bootstrap: str | None = None) -> StreamingQuery:
@@ -53,23 +71,63 @@ def validation_job(env: DataFrame, feed: str, out_root: str, checkpoint: str,
     fields = RAW_SCHEMAS[feed].fieldNames()
 
     def each(batch: DataFrame, batch_id: int) -> None:
+        if _is_committed(batch, out_root, bootstrap, checkpoint, batch_id):
+            return
         batch = batch.persist()
         try:
             good = validate.valid_rows(batch, feed).select(*fields, "event_time")
-            write_keyed(good, key_field, topic_name(feed), root=out_root, bootstrap=bootstrap,
-                        partitions=partitions, cols=fields, batch_id=batch_id, writer=checkpoint,
-                        order_col="event_time")
+            to = dict(root=out_root, bootstrap=bootstrap, partitions=partitions, batch_id=batch_id,
+                      writer=checkpoint, commit=False)
+            parts = write_keyed(good, key_field, topic_name(feed), cols=fields, order_col="event_time", **to)
             bad = validate.dlq_records(batch, feed, raw_col="value")
-            write_keyed(bad.select("source_topic", "original_record", "error_reason", "key"),
-                        "key", topic_name("dlq"), root=out_root, bootstrap=bootstrap,
-                        partitions=partitions, cols=["source_topic", "original_record", "error_reason"],
-                        batch_id=batch_id, writer=checkpoint)
+            parts += write_keyed(bad.select("source_topic", "original_record", "error_reason", "key"),
+                                 "key", topic_name("dlq"), cols=DLQ_FIELDS, **to)
+            _commit(batch, out_root, bootstrap, checkpoint, batch_id, parts)
         finally:
             batch.unpersist()
 
     return _start(tagged.writeStream.foreachBatch(each), checkpoint, trigger, name)
 
 
+# ------------------------------------------------------------------ STR-1
+
+def lateness_job(env: DataFrame, feed: str, out_root: str, checkpoint: str, delay: str = WARD_WATERMARK,
+                 partitions: int | None = None, trigger: dict | None = None, name: str | None = None,
+                 bootstrap: str | None = None) -> StreamingQuery:
+    """Late rows as an output, where a watermark would drop them. A record goes to the DLQ as
+    ``LATE_EVENT``, with its raw text, if its event time is more than ``delay`` before the latest of
+    all earlier batches; every other one, also without an event time, goes to the feed's
+    topic as it is. The latest event time stands in the log's entries, so a batch that is run again is
+    split alike; it is kept with files only (``out_root`` holds the log also if messages go to Kafka)."""
+    times = parse_value(env, RAW_SCHEMAS[feed], keep_raw=True)
+    rows = times.select("key", "value", F.col("event_time").cast("timestamp").alias("event_time"))
+    writer = writer_id(checkpoint)
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if commits.is_committed(spark, out_root, writer, batch_id):
+            return
+        batch = batch.persist()
+        try:
+            before = commits.newest_before(spark, out_root, writer, batch_id)
+            late = F.lit(False) if before is None else F.coalesce(
+                F.col("event_time") < F.timestamp_micros(F.lit(before)) - F.expr(f"INTERVAL {delay}"), F.lit(False))
+            to = dict(root=out_root, bootstrap=bootstrap, partitions=partitions, batch_id=batch_id,
+                      writer=checkpoint, commit=False)
+            parts = write_raw(batch.where(~late), topic_name(feed), order_col="event_time", **to)
+            dead = batch.where(late).select(
+                F.coalesce("key", F.lit("unknown")).alias("key"), F.lit(topic_name(feed)).alias("source_topic"),
+                F.col("value").alias("original_record"), F.lit(LATE_EVENT).alias("error_reason"))
+            parts += write_keyed(dead, "key", topic_name("dlq"), cols=DLQ_FIELDS, **to)
+            newest = batch.agg(F.max(F.unix_micros("event_time"))).head()[0]
+            newest = max((t for t in (newest, before) if t is not None), default=None)
+            commits.commit(spark, out_root, writer, batch_id, parts, newest)
+        finally:
+            batch.unpersist()
+
+    return _start(rows.writeStream.foreachBatch(each), checkpoint, trigger, name)
+
+
 # ------------------------------------------------------------------ AGG-1 + SNK-6/7
 
 def ward_energy_stream(meters: DataFrame, delay: str = WARD_WATERMARK,
@@ -90,18 +148,23 @@ def ward_energy_job(meters: DataFrame, archive_path: str, out_root: str, checkpo
     closed windows is persisted once and written to the keyed topic and to the
     ``ward_id``/``date`` archive; both writes are keyed by batch id (the archive's
     lowest partition level, below ward and date, overwritten dynamically), so a
-    replayed batch overwrites its own output instead of duplicating it."""
+    replayed batch overwrites its own output instead of duplicating it. One entry of the log in
+    ``out_root`` then commits both halves (``commits.read_committed``, ``committed_archive``)."""
     summary = ward_energy_stream(meters, delay, width, decimals, pf_decimals)
 
     def each(batch: DataFrame, batch_id: int) -> None:
+        if _is_committed(batch, out_root, bootstrap, checkpoint, batch_id):
+            return
         batch = batch.persist()
         try:
-            write_keyed(batch, "ward_id", topic_name("ward_energy_summary"), root=out_root,
-                        bootstrap=bootstrap, partitions=partitions, batch_id=batch_id, writer=checkpoint,
-                        order_col="window_start")
+            parts = write_keyed(batch, "ward_id", topic_name("ward_energy_summary"), root=out_root,
+                                bootstrap=bootstrap, partitions=partitions, batch_id=batch_id,
+                                writer=checkpoint, order_col="window_start", commit=False)
             (with_date(batch).withColumn("batch", F.lit(batch_id))
                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 .partitionBy("ward_id", "date", "batch").parquet(archive_path))
+            archived = ("archive", None, sum(n for _, _, n in parts))
+            _commit(batch, out_root, bootstrap, checkpoint, batch_id, [*parts, archived])
         finally:
             batch.unpersist()
 
