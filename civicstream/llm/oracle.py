@@ -54,25 +54,26 @@ m AS (
 f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m),
 v AS (
   SELECT doc_id, lang, source, base_failed, unnest([
-    {'s': 1, 'least': 10, 'v': 1000 * n_symbols // greatest(word_chars, 1)},
-    {'s': 2, 'least': 60, 'v': 1000 * n_dup_lines // greatest(n_lines, 1)},
-    {'s': 3, 'least': 40, 'v': 1000 * n_repeat_words // greatest(n_words, 1)},
-    {'s': 4, 'least': 60, 'v': 100 * word_chars // greatest(n_words, 1)}], recursive := true) FROM f),
+    {'s': 1, 'least': 5, 'v': 1000 * n_symbols // greatest(word_chars, 1)},
+    {'s': 2, 'least': 30, 'v': 1000 * n_dup_lines // greatest(n_lines, 1)},
+    {'s': 3, 'least': 20, 'v': 1000 * n_repeat_words // greatest(n_words, 1)},
+    {'s': 4, 'least': 10, 'v': 100 * word_chars // greatest(n_words, 1)}], recursive := true) FROM f),
 b AS (
   SELECT lang, source, s, least, sh, v >> sh AS m, count(*) AS n
-  FROM (SELECT *, CAST(greatest(0, length(bin(v)) - 5) AS BIGINT) AS sh FROM v WHERE NOT base_failed)
+  FROM (SELECT *, CAST(greatest(0, length(bin(v)) - 7) AS BIGINT) AS sh FROM v WHERE NOT base_failed)
   GROUP BY ALL),
 c AS (
   SELECT lang, source, s, least, m << sh AS low,
          sum(n) OVER (PARTITION BY lang, source, s ORDER BY sh, m) AS upto,
          sum(n) OVER (PARTITION BY lang, source, s) AS total FROM b),
 q AS (
-  SELECT lang, source, s, any_value(least) AS least, min(low) FILTER (4 * upto >= total) AS q25,
-         min(low) FILTER (4 * upto >= 3 * total) AS q75 FROM c GROUP BY ALL),
+  SELECT lang, source, s, any_value(least) AS least, min(low) FILTER (10 * upto >= total) AS q10,
+         min(low) FILTER (2 * upto >= total) AS q50, min(low) FILTER (10 * upto >= 9 * total) AS q90
+  FROM c GROUP BY ALL),
 bad AS (
   SELECT DISTINCT doc_id FROM v JOIN q ON v.s = q.s AND v.lang IS NOT DISTINCT FROM q.lang
     AND v.source IS NOT DISTINCT FROM q.source
-  WHERE v.v NOT BETWEEN q25 - 6 * greatest(q75 - q25, q.least) AND q75 + 6 * greatest(q75 - q25, q.least))
+  WHERE v.v NOT BETWEEN q10 - 3 * greatest(q50 - q10, q.least) AND q90 + 3 * greatest(q90 - q50, q.least))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND bad.doc_id IS NULL AS kept
 FROM f LEFT JOIN bad USING (doc_id)

@@ -1,11 +1,13 @@
 """Quality rules with adaptive thresholds (operator 2); DataFrame expressions only.
 
 Signals of a document are counted within its row. Documents that pass the base rule feed
-quantile sketches per language and source: histograms with buckets of a relative width of 1/16,
+quantile sketches per language and source: histograms with buckets of a relative width of 1/64,
 so sketches of parts merge by adding counts, in any order, to the same result. A document is kept
-when each of its signals lies within the fences q25 - REACH * spread and q75 + REACH * spread of
-its language and source, where the spread is q75 - q25 but no less than the signal's least
-spread (groups whose documents are all alike would reject every small difference otherwise).
+when each of its signals lies within q10 - REACH * (q50 - q10) and q90 + REACH * (q90 - q50) of
+its language and source: the tails of the group set the fences, each side its own. A tail shorter
+than the signal's few units of ``SIGNALS`` counts as that long, which matters where nine tenths of
+a group are alike (``floor_decides`` counts such groups). Where more than a tenth of a group has
+a habit, the fence follows it.
 
 Null text has no words, and fails the base rule, as does every text below 20 words. Null
 languages and sources are groups of their own. Repeated rows count each. Empty tables give no
@@ -25,11 +27,13 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 #: Base rule: fewest words, and most percent of words in repeated windows.
 LEAST_WORDS, MOST_REPEATED = 20, 30
-#: Spreads that a document may lie outside of the quartiles.
-REACH = 6
-#: Signals (all in thousandths but the word length, in hundredths of a character) and their
-#: least spreads.
-SIGNALS = {"symbols_pm": 10, "dup_lines_pm": 60, "repeats_pm": 40, "word_length": 60}
+#: Lengths of a tail (from the median to its decile) that a document may lie beyond the decile.
+REACH = 3
+#: Signals (all in thousandths but the word length, in hundredths of a character) and the least
+#: lengths of their tails.
+SIGNALS = {"symbols_pm": 5, "dup_lines_pm": 30, "repeats_pm": 20, "word_length": 10}
+#: Buckets of a sketch from one power of two to the next, as a power of two.
+BITS = 6
 
 _WHITE = "concat(' ', char(9), char(10), char(11), char(12), char(13))"
 
@@ -89,9 +93,9 @@ def sketch(signals: DataFrame, groups: list[str]) -> DataFrame:
     n. Sketches of parts are merged by ``merge``."""
     each = F.explode(F.array(*(F.struct(F.lit(s).alias("signal"), F.expr(sql).alias("value"))
                                for s, sql in _SIGNAL_SQL.items()))).alias("x")
-    shift = "greatest(0, length(bin(value)) - 5)"
+    shift = f"greatest(0, length(bin(value)) - {BITS + 1})"
     return (signals.where(f"not ({BASE_FAILED})").select(*groups, each).select(*groups, "x.signal", "x.value")
-            .select(*groups, "signal", F.expr(f"{shift} * 16 + shiftright(value, {shift})").alias("bucket"))
+            .select(*groups, "signal", F.expr(f"{shift} * {1 << BITS} + shiftright(value, {shift})").alias("bucket"))
             .groupBy(*groups, "signal", "bucket").agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -102,25 +106,38 @@ def merge(*sketches: DataFrame) -> DataFrame:
     return first.groupBy(*[c for c in first.columns if c != "n"]).agg(F.sum("n").alias("n"))
 
 
-def thresholds(sketched: DataFrame, groups: list[str]) -> DataFrame:
-    """One row per group: the fences <signal>_lo and <signal>_hi. A quantile is the lower end of
-    its bucket."""
+def deciles(sketched: DataFrame, groups: list[str]) -> DataFrame:
+    """``groups``, signal, q10, q50, q90. A quantile is the lower end of its bucket."""
     up = Window.partitionBy(*groups, "signal").orderBy("bucket")
     every = Window.partitionBy(*groups, "signal")
-    # bucket = shift * 16 + m with 16 <= m < 32 where shift > 0, and the value itself below 32
-    shift = "greatest(0, bucket div 16 - 1)"
-    ranked = (sketched.withColumn("low", F.expr(f"shiftleft(bucket - 16 * ({shift}), cast({shift} as int))"))
+    # bucket = shift * 64 + m with 64 <= m < 128 where shift > 0, and the value itself below 128
+    shift = f"greatest(0, bucket div {1 << BITS} - 1)"
+    ranked = (sketched.withColumn("low", F.expr(f"shiftleft(bucket - {1 << BITS} * ({shift}), cast({shift} as int))"))
               .withColumn("upto", F.sum("n").over(up)).withColumn("total", F.sum("n").over(every)))
-    quartiles = ranked.groupBy(*groups, "signal").agg(
-        F.min(F.expr("case when 4 * upto >= total then low end")).alias("q25"),
-        F.min(F.expr("case when 4 * upto >= 3 * total then low end")).alias("q75"))
+    return ranked.groupBy(*groups, "signal").agg(*(
+        F.min(F.expr(f"case when 10 * upto >= {d} * total then low end")).alias(f"q{d}0") for d in (1, 5, 9)))
+
+
+def thresholds(sketched: DataFrame, groups: list[str]) -> DataFrame:
+    """One row per group: the fences <signal>_lo and <signal>_hi."""
     fences = []
     for s, least in SIGNALS.items():
-        spread = F.greatest(F.col("q75") - F.col("q25"), F.lit(least)) * REACH
+        below, above = (F.greatest(tail, F.lit(least)) * REACH
+                        for tail in (F.col("q50") - F.col("q10"), F.col("q90") - F.col("q50")))
         mine = F.col("signal") == s
-        fences += [F.max(F.when(mine, F.col("q25") - spread)).alias(f"{s}_lo"),
-                   F.max(F.when(mine, F.col("q75") + spread)).alias(f"{s}_hi")]
-    return quartiles.groupBy(*groups).agg(*fences)
+        fences += [F.max(F.when(mine, F.col("q10") - below)).alias(f"{s}_lo"),
+                   F.max(F.when(mine, F.col("q90") + above)).alias(f"{s}_hi")]
+    return deciles(sketched, groups).groupBy(*groups).agg(*fences)
+
+
+def floor_decides(sketched: DataFrame, groups: list[str]) -> DataFrame:
+    """Per signal: n_groups, in how many of them the least length of the tail sets the upper fence
+    (n_floor), and in how many of these the tail is empty (n_constant)."""
+    least = F.create_map(*(F.lit(x) for pair in SIGNALS.items() for x in pair))[F.col("signal")]
+    tail = F.col("q90") - F.col("q50")
+    return deciles(sketched, groups).groupBy("signal").agg(
+        F.count(F.lit(1)).alias("n_groups"), F.count_if(tail < least).alias("n_floor"),
+        F.count_if(tail == 0).alias("n_constant"))
 
 
 def verdicts(docs: DataFrame, id_cols: list[str], text_col: str = "text",

@@ -57,6 +57,33 @@ def test_outliers_of_a_group_go_and_common_habits_stay(spark):
     assert [d for d, kept in got.items() if not kept] == [99]
 
 
+def test_fences_follow_the_tails_of_the_group(spark):
+    """The verdict by sorted lists of all values; every bucket of values below 128 is one value."""
+    rows = [(i, " ".join(["word"] * 3 + [f"w{i}x{j}" for j in range(97)]).replace("word", "#" * (1 + i % 20) + "wor"),
+             "en", "wide" if i % 2 else "odd") for i in range(200)]
+    rows += [(900 + i, " ".join(f"w{i}x{j}" for j in range(90)) + " " + "#" * (20 * i), "en", "wide") for i in range(12)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    signal = {}
+    for d, text, _, source in rows:
+        n, chars, symbols, *_ = counts(text)
+        signal[d] = (source, 1000 * symbols // chars, 100 * chars // n)
+
+    def low(v):
+        return v >> max(0, v.bit_length() - 7) << max(0, v.bit_length() - 7)
+
+    def inside(d, which, least):
+        own = sorted(low(x[which]) for x in signal.values() if x[0] == signal[d][0])
+        q10, q50, q90 = (own[-(-k * len(own) // 10) - 1] for k in (1, 5, 9))
+        return q10 - 3 * max(q50 - q10, least) <= signal[d][which] <= q90 + 3 * max(q90 - q50, least)
+
+    expected = {d: inside(d, 1, 5) and inside(d, 2, 10) for d in signal}
+    assert {r.doc_id: r.kept for r in quality.digest(table).collect()} == expected
+    assert 0 < sum(not k for k in expected.values()) < 12
+    report = {r.signal: r[1:] for r in quality.floor_decides(quality.sketch(
+        quality.metrics(table), ["lang", "source"]), ["lang", "source"]).collect()}
+    assert report["symbols_pm"] == (2, 0, 0) and report["dup_lines_pm"] == (2, 2, 2)
+
+
 def test_no_python_in_the_plan(spark):
     plan = quality.digest(edge_cases.table(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
