@@ -12,8 +12,6 @@ from civicstream.llm import common
 
 U64 = np.uint64
 _BASE = U64(0x9E3779B97F4A7C15 | 1)
-_INVERSE = U64(pow(int(_BASE), -1, 2**64))
-_BYTE = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, 256, dtype=np.uint64) * U64(2) + U64(1)
 
 #: A-Z to a-z, other bytes unchanged.
 LOWER = np.arange(256, dtype=np.uint8)
@@ -38,38 +36,100 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: Span hashes are polynomials modulo this prime: modulo a power of two, whatever the base, texts
+#: like the Thue-Morse word and its swap would have the same hash.
+_PRIME = (1 << 61) - 1
+_P, _LOW31, _LOW30 = U64(_PRIME), U64((1 << 31) - 1), U64((1 << 30) - 1)
+_POINT = 0x9E3779B97F4A7C15 % _PRIME
+_STEP = 1 << 12
+#: Spans that are hashed at once: their intermediate arrays stay in the processor's cache.
+_SOME = 1 << 15
 _powers: list[np.ndarray] = []
 
 
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """A number congruent to x, below 2^61 + 8."""
+    return (x & _P) + (x >> U64(61))
+
+
+def _residue(x: np.ndarray) -> np.ndarray:
+    x = _reduced(x)
+    return np.where(x >= _P, x - _P, x)
+
+
+def _times(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """x * y modulo the prime, of numbers below it."""
+    x1, x0, y1, y0 = x >> U64(31), x & _LOW31, y >> U64(31), y & _LOW31
+    middle = x1 * y0 + x0 * y1
+    # 2^62 = 2, and middle * 2^31 = (middle >> 30) * 2^61 + (middle & low) * 2^31
+    return _residue(_reduced(x1 * y1 * U64(2) + (middle >> U64(30)) + ((middle & _LOW30) << U64(31))) + _reduced(x0 * y0))
+
+
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the point and of its inverse, at least n + 1 of them."""
     if not _powers or len(_powers[0]) < n + 1:
         size = max(1 << 16, 1 << int(n).bit_length())
         out = []
-        for base in (_BASE, _INVERSE):
-            p = np.full(size, base, U64)
-            p[0] = 1
-            out.append(np.cumprod(p, dtype=U64))
+        for base in (_POINT, pow(_POINT, -1, _PRIME)):
+            steps = np.ones(_STEP, U64)
+            for i in range(1, _STEP):
+                steps[i] = int(steps[i - 1]) * base % _PRIME
+            far, jump = [1], pow(base, _STEP, _PRIME)
+            while len(far) * _STEP < size:
+                far.append(far[-1] * jump % _PRIME)
+            table = np.empty((len(far), _STEP), U64)
+            for i, x in enumerate(far):
+                table[i] = _times(U64(x), steps)
+            out.append(table.ravel())
         _powers[:] = out
     return _powers[0], _powers[1]
 
 
-def prefix_sums(buf: np.ndarray) -> np.ndarray:
-    """Polynomial prefix sums; ``span_hash`` takes differences of them."""
+#: Prefix sums of a text: of the bytes times the lower 31 bits, and the upper 30, of the powers.
+Sums = tuple[np.ndarray, np.ndarray]
+
+
+def prefix_sums(buf: np.ndarray) -> Sums:
+    """Prefix sums modulo 2^64; ``span_hash`` takes differences of them, which are exact for
+    spans below 2^25 bytes."""
     up, _ = _power_tables(len(buf))
-    out = np.zeros(len(buf) + 1, U64)
-    term = _BYTE[buf]
-    term *= up[:len(buf)]
-    np.cumsum(term, out=out[1:])
-    return out
+    sums = []
+    for part in (up[:len(buf)] & _LOW31, up[:len(buf)] >> U64(31)):
+        out = np.zeros(len(buf) + 1, U64)
+        part *= buf
+        np.cumsum(part, out=out[1:])
+        sums.append(out)
+    return sums[0], sums[1]
 
 
-def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def span_hash(sums: Sums, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hash of the byte spans [start, end): equal bytes, equal hash, wherever they are."""
-    _, down = _power_tables(len(sums) - 1)
-    h = sums[end] - sums[start]
-    h *= down[start]
-    h += (end - start).astype(U64) * U64(0xD6E8FEB86659FD93)
-    return mix(h)
+    low, high = sums
+    _, down = _power_tables(len(low) - 1)
+    if len(start) and int((end - start).max()) >> 25:
+        return _long_hash(sums, start, end)
+    out = np.empty(len(start), U64)
+    for i in range(0, len(start), _SOME):
+        a, b = start[i:i + _SOME], end[i:i + _SOME]
+        h = _times(_residue(high[b] - high[a]), U64(1 << 31)) + _residue(low[b] - low[a])
+        h = _times(_residue(h), down[a])
+        out[i:i + _SOME] = mix(h + (b - a).astype(U64) * U64(0xD6E8FEB86659FD93))
+    return out
+
+
+def _long_hash(sums: Sums, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of spans of which some are too long for one difference: those are taken in parts."""
+    out = np.empty(len(start), U64)
+    long = (end - start) >> 25 > 0
+    out[~long] = span_hash(sums, start[~long], end[~long])
+    for i in np.flatnonzero(long).tolist():
+        cuts = np.arange(start[i], end[i], 1 << 24)
+        parts = span_hash(sums, cuts, np.append(cuts[1:], end[i]))
+        total = 0
+        for h in parts.tolist():
+            total = (total * _POINT + h) % _PRIME
+        out[i] = mix(np.array([total], U64))[0]
+    return out
 
 
 def _eights(buf: np.ndarray) -> np.ndarray:

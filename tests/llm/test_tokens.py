@@ -147,3 +147,25 @@ def test_words_that_a_polynomial_hash_confuses(spark, reference):
     assert edge_cases.result(bpe.digest(docs, RANKS)) == expected
     got = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in tokenfile.digest(docs, TOKENIZER, end_id=2).collect()}
     assert got == {d: (len(ids), zlib.crc32(ids.tobytes())) for d, ids in ids8.items()}
+
+
+def test_span_hash_is_the_polynomial_modulo_the_prime():
+    rng = np.random.default_rng(2)
+    buf = rng.integers(0, 256, 20_000, dtype=np.uint8)
+    start = rng.integers(0, 12_000, 200)
+    end = start + rng.integers(0, 8000, 200)
+    prime, point = 2**61 - 1, textscan._POINT
+    expected = []
+    for a, b in zip(start.tolist(), end.tolist()):
+        value = 0
+        for c in reversed(buf[a:b].tolist()):
+            value = (value * point + c) % prime
+        expected.append((value + (b - a) * 0xD6E8FEB86659FD93) % 2**64)
+    got = textscan.span_hash(textscan.prefix_sums(buf), start, end)
+    assert (got == textscan.mix(np.array(expected, np.uint64))).all()
+    word = [0]
+    for _ in range(12):
+        word += [1 - x for x in word]
+    both = np.array(word + [1 - x for x in word], np.uint8) + 97
+    one, other = textscan.span_hash(textscan.prefix_sums(both), np.array([0, 4096]), np.array([4096, 8192]))
+    assert one != other
