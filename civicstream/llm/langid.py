@@ -250,17 +250,21 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     return train([r.segment for r in rows], [r.lang for r in rows])
 
 
+#: Probability from which a word's language counts as known.
+SURE = 0.5
 RUNS = "runs array<struct<word:int,words:int,lang:string>>"
 _RUN = pa.list_(pa.struct([("word", pa.int32()), ("words", pa.int32()), ("lang", pa.string())]))
 
 
-def predict(docs: DataFrame, field: Field | None, text_col: str = "text", runs: bool = False) -> DataFrame:
+def predict(docs: DataFrame, field: Field | None, text_col: str = "text", runs: bool = False,
+            sure: bool = False) -> DataFrame:
     """``docs`` with lang_pred and score (the mean probability of that language), and if asked
-    for, the runs of words with one likeliest language: first word, number of words, language.
-    ``text_col`` is passed on."""
+    for, the runs of words with one likeliest language (first word, number of words, language), and
+    sure: the share of the words with a letter of which some language has a probability of
+    ``SURE`` or more, which one does not matter. ``text_col`` is passed on."""
     common.prepare(docs.sparkSession)
     common.require(docs, text_col)
-    made = ["lang_pred", "score", *(["runs"] if runs else [])]
+    made = ["lang_pred", "score", *(["runs"] if runs else []), *(["sure"] if sure else [])]
     keep = [c for c in docs.columns if c not in made]
     names = field.labels if field else []
 
@@ -268,12 +272,14 @@ def predict(docs: DataFrame, field: Field | None, text_col: str = "text", runs:
         for batch in batches:
             for rows in common.slices(batch, text_col):
                 n = rows.num_rows
-                lang, score, spans = [UNKNOWN] * n, np.zeros(n), [[] for _ in range(n)]
+                lang, score, share, spans = [UNKNOWN] * n, np.zeros(n), np.zeros(n), [[] for _ in range(n)]
                 if field:
                     words, p = field.label(rows.column(text_col))
                     own = words.owner[words.lettered]
                     sums = np.stack([np.bincount(own, p[words.lettered, j], n) for j in range(len(names))], 1)
-                    score = np.minimum(sums.max(1) / np.maximum(np.bincount(own, minlength=n), 1), 1.0)
+                    lettered = np.maximum(np.bincount(own, minlength=n), 1)
+                    score = np.minimum(sums.max(1) / lettered, 1.0)
+                    share = np.bincount(own, p[words.lettered].max(1) >= SURE, n) / lettered
                     best = sums.argmax(1)
                     lang = [names[b] if ok else UNKNOWN for b, ok in zip(best, words.has_letter)]
                     if runs:
@@ -288,11 +294,14 @@ def predict(docs: DataFrame, field: Field | None, text_col: str = "text", runs:
                 out = [pa.array(lang, pa.string()), pa.array(score)]
                 if runs:
                     out.append(pa.array(spans, _RUN))
+                if sure:
+                    out.append(pa.array(share))
                 yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in keep), *out], [*keep, *made])
 
     typed = docs.withColumn(text_col, common.utf8_text(text_col)).select(*keep)
     return typed.mapInArrow(run, common.schema_of(
-        typed, keep, "lang_pred string, score double" + (f", {RUNS}" if runs else "")))
+        typed, keep, "lang_pred string, score double" + (f", {RUNS}" if runs else "")
+        + (", sure double" if sure else "")))
 
 
 def held_out(id_col: str = "doc_id") -> F.Column:

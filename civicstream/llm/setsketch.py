@@ -223,15 +223,18 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = common.stored(_grouped(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")), size, percent)
                          .where("root is not null").select("_k", "_id", "root"), "grouped")
     first = rows.groupBy("root").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_k")).alias("m"))
-    judged = rows.join(first, "root").groupBy("_k").agg(
-        F.max(F.col("_k") == F.col("m._k")).alias("first"), F.count(F.lit(1)).alias("times"))
-    judged = common.stored(judged.where("not first or times > 1"), "judged")
-    keyed = docs.withColumn("_k", F.xxhash64(id_col, text_col))
-    kept = keyed.join(judged.where("not first").select("_k"), "_k", "left_anti")
-    repeated = judged.where("first").select("_k")
+    # a row is told by its id and a hash of id and text together
+    mine = (F.col("_k") == F.col("m._k")) & F.col("_id").eqNullSafe(F.col("m._id"))
+    judged = rows.join(first, "root").groupBy("_k", "_id").agg(
+        F.max(mine).alias("first"), F.count(F.lit(1)).alias("times"))
+    judged = common.stored(judged.where("not first or times > 1"), "judged").alias("j")
+    keyed = docs.withColumn("_k", F.xxhash64(id_col, text_col)).alias("d")
+    same = (F.col("d._k") == F.col("j._k")) & F.col(f"d.{id_col}").eqNullSafe(F.col("j._id"))
+    kept = keyed.join(judged.where("not first"), same, "left_anti")
+    repeated = judged.where("first")
     if not repeated.isEmpty():
-        kept = (kept.join(repeated, "_k", "left_anti")
-                .unionByName(kept.join(repeated, "_k", "left_semi").dropDuplicates(["_k"])))
+        kept = (kept.join(repeated, same, "left_anti").unionByName(
+            kept.join(repeated, same, "left_semi").dropDuplicates(["_k", id_col])))
     return kept.select(*docs.columns)
 
 
