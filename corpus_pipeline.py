@@ -6,6 +6,8 @@ reads it. All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,20 +16,32 @@ from civicstream.llm import bpe, common, decontam, langid, linededup, setsketch
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
-#: Least mean probability of a document's language; a text of several languages may stay.
-LEAST_SCORE = 0.4
+#: Least share of a document's words whose language is known, whichever languages they are.
+LEAST_SURE = 0.2
+
+
+def _apart(docs: DataFrame, stage: Callable[[DataFrame, str, str], DataFrame]) -> DataFrame:
+    """``stage`` on ``docs`` under column names that no operator makes, given those of doc_id and
+    text; the columns of ``docs`` come back under their own names."""
+    names = {c: f"_in{i}" for i, c in enumerate(docs.columns)}
+    out = stage(docs.toDF(*names.values()), names["doc_id"], names["text"])
+    return out.select(*(F.col(n).alias(c) for c, n in names.items()))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, and those of no language in particular, go."""
+    """Documents without a letter, and those in no known language, go; a text that switches
+    between languages stays. Without any labelled document all that have a letter stay."""
     field = langid.fit(docs.where(~langid.held_out()))
-    known = langid.predict(docs, field).where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return known.select(*docs.columns)
+    if field is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    return _apart(docs, lambda d, key, text: langid.predict(d, field, text, sure=True).where(
+        (F.col("lang_pred") != langid.UNKNOWN) & (F.col("sure") >= LEAST_SURE)))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of line runs are deleted; a document that consisted of them goes."""
-    out = linededup.remove_repeated_runs(docs).where("not emptied")
+    out = _apart(docs, lambda d, key, text: linededup.remove_repeated_runs(d, id_col=key, text_col=text)
+                 .where("not emptied"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast("long"))
     return out.select(*docs.columns)
@@ -35,12 +49,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays (five-word shingles, 0.8)."""
-    return setsketch.deduplicated(docs, size=5, percent=80)
+    return _apart(docs, lambda d, key, text: setsketch.deduplicated(d, key, text, size=5, percent=80))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
-    return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return _apart(docs, lambda d, key, text: decontam.clean(d, items.withColumnRenamed("text", text), key, text))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
