@@ -10,6 +10,9 @@ only these reductions are put together per key.
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -17,7 +20,7 @@ from pyspark.sql import functions as F
 
 from civicstream.functions.geo import haversine_m, pair_key, unit_sphere_cells
 from civicstream.functions.timecols import epoch_ms
-from civicstream.operators.scan import last_before, prefix_scan
+from civicstream.operators.scan import goes_on, group_starts, last_before, prefix_scan, whole_groups
 from civicstream.schemas import (AQI_COOLDOWN_MS, AQI_HAZARDOUS, BUNCHING_DISTANCE_M,
                                  BUNCHING_DURATION_MS, BUNCHING_FRESH_MS, GRIDLOCK_CYCLES,
                                  GRIDLOCK_WAIT_SEC)
@@ -41,9 +44,9 @@ def _order() -> list[Column]:
     return [F.col("_t"), F.col("_tie"), F.col("_row")]
 
 
-def _next_firing(t: np.ndarray, cooldown_ms: int) -> np.ndarray:
+def _next_firing(at: np.ndarray, cooldown_ms: int) -> np.ndarray:
     """For ascending times: the place of the first one a cooldown later (their number if none)."""
-    return np.maximum(np.searchsorted(t, t + cooldown_ms), np.arange(1, len(t) + 1))
+    return np.maximum(np.searchsorted(at, at + cooldown_ms), np.arange(1, len(at) + 1))
 
 
 def cooldown_alerts(df: DataFrame, key: str, time_col: str, value_col: str, tie_col: str,
@@ -59,57 +62,96 @@ def cooldown_alerts(df: DataFrame, key: str, time_col: str, value_col: str, tie_
     1. each (key, chunk) is reduced to its function;
     2. the functions of a key are applied one after another, giving each chunk its entering time;
     3. each (key, chunk) follows its chain from there.
+    Spark deals out and sorts the rows of each step, and array code handles all groups of a batch
+    together: their times are laid one group after another on one axis, more than a cooldown apart.
     Returns the firing rows with ``detected_at_event_time`` (epoch ms).
     """
     cand = _ordered(df.where(F.col(value_col) > F.lit(threshold)), time_col, tie_col, chunk_ms)
     kind = df.schema[key].dataType.simpleString()
     width = chunk_ms or DAY_MS
+    apart = width + cooldown_ms + 2              # a chunk has the places 1..width of its stretch
+
+    def spread(starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Number and end of the group of each of the rows."""
+        sizes = np.diff(np.append(starts, n))
+        return np.repeat(np.arange(len(starts)), sizes), np.repeat(starts + sizes, sizes)
+
+    def as_functions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, starts in whole_groups(batches, ["_k", "_chunk"]):
+            t = rows.column("_t").to_numpy()
+            base = rows.column("_chunk").to_numpy() * width
+            group, _ = spread(starts, len(t))
+            new = np.ones(len(t), bool)
+            new[1:] = (t[1:] != t[:-1]) | (group[1:] != group[:-1])
+            t, base, group = t[new], base[new], group[new]
+            first = np.searchsorted(group, np.arange(len(starts)))
+            _, end = spread(first, len(t))
+            nxt = _next_firing(group * apart + (t - base + 1), cooldown_ms)
+            last = np.where(nxt < end, nxt, np.arange(len(t)))   # end of the chain that begins at each time
+            while not np.array_equal(on := last[last], last):
+                last = on
+            # times within a cooldown of the chunk's start, and the first one after them
+            told = np.append(True, t[:-1] - base[:-1] < cooldown_ms)
+            told[first] = True
+            upto, out, group = t[told] - cooldown_ms, t[last[told]], group[told]
+            step = np.append((out[1:] != out[:-1]) | (group[1:] != group[:-1]), True)  # steps to the same firing are one
+            edges = pa.array(np.searchsorted(group[step], np.arange(len(starts) + 1)), pa.int32())
+            of = rows.take(pa.array(starts))
+            yield from pa.table({"_k": of.column("_k"), "_chunk": of.column("_chunk"),
+                                 "_upto": pa.ListArray.from_arrays(edges, pa.array(upto[step])),
+                                 "_out": pa.ListArray.from_arrays(edges, pa.array(out[step]))}).to_batches()
+
+    def entering(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, last = None, NONE_FIRED
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = set(group_starts(batch, ["_k"]).tolist())
+            if before is not None and goes_on(before, batch, ["_k"]):
+                new.discard(0)
+            upto, out = (batch.column(c).flatten().to_pylist() for c in ("_upto", "_out"))
+            ends = np.cumsum(batch.column("_upto").value_lengths().to_numpy()).tolist()
+            enters, start = [], 0
+            for i, end in enumerate(ends):
+                if i in new:
+                    last = NONE_FIRED
+                enters.append(last)
+                step = bisect_left(upto, last, start, end)
+                if step < end:
+                    last = out[step]
+                start = end
+            before = batch
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_k"), batch.column("_chunk"), pa.array(enters, pa.int64())], ["_k", "_chunk", "_enters"])
+
+    def firing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, starts in whole_groups(batches, [key, "_chunk"]):
+            # the first row of a group brings its entering time, at place 0 of its stretch
+            base = rows.column("_chunk").to_numpy() * width
+            group, ends = spread(starts, rows.num_rows)
+            place = group * apart + (rows.column("_t").to_numpy() - base + 1)
+            nxt, end = _next_firing(place, cooldown_ms), ends[starts]
+            enters = rows.column("_enters").take(pa.array(starts)).to_numpy()
+            opens = np.clip(enters + cooldown_ms - base[starts] + 1, 1, apart - 1)
+            at = np.searchsorted(place, np.arange(len(starts)) * apart + opens)
+            fired = []
+            while len(on := np.flatnonzero(at < end)):
+                at, end = at[on], end[on]
+                fired.append(at)
+                at = nxt[at]
+            if fired:
+                yield from rows.drop_columns("_enters").take(pa.array(np.sort(np.concatenate(fired)))).to_batches()
+
+    def sorted_groups(rows: DataFrame, dealt: list[str], *order: str) -> DataFrame:
+        return rows.repartition(*dealt).sortWithinPartitions(*dealt, *order)
 
-    def as_function(group: pa.Table) -> pa.Table:
-        t = np.unique(group.column("_t").to_numpy())
-        nxt = _next_firing(t, cooldown_ms)
-        last = np.arange(len(t) + 1)                 # end of the chain that begins at each time
-        while True:
-            on = np.append(nxt, len(t))[last]
-            if (on >= len(t)).all():
-                break
-            last = np.where(on < len(t), on, last)
-        chunk = group.column("_chunk")[0].as_py()
-        n = min(len(t), int(np.searchsorted(t, chunk * width + cooldown_ms)) + 1)
-        upto, out = t[:n] - cooldown_ms, t[last[:n]]
-        step = np.append(out[1:] != out[:-1], True)  # steps that lead to the same firing are one
-        return pa.table({"_k": group.column(key).slice(0, 1), "_chunk": [chunk],
-                         "_upto": [upto[step].tolist()], "_out": [out[step].tolist()]})
-
-    def entering(group: pa.Table) -> pa.Table:
-        rows = sorted(group.select(["_chunk", "_upto", "_out"]).to_pylist(), key=lambda r: r["_chunk"])
-        last, enters = NONE_FIRED, []
-        for r in rows:
-            enters.append(last)
-            step = int(np.searchsorted(r["_upto"], last))
-            if step < len(r["_upto"]):
-                last = r["_out"][step]
-        return pa.table({"_k": pa.array([group.column("_k")[0].as_py()] * len(rows), group.schema.field("_k").type),
-                         "_chunk": [r["_chunk"] for r in rows], "_enters": pa.array(enters, pa.int64())})
-
-    def firing(rows: pa.Table, enters: pa.Table) -> pa.Table:
-        if not rows.num_rows:
-            return rows
-        rows = rows.sort_by([("_t", "ascending"), ("_tie", "ascending"), ("_row", "ascending")])
-        t = rows.column("_t").to_numpy()
-        nxt = _next_firing(t, cooldown_ms)
-        at = int(np.searchsorted(t, enters.column("_enters")[0].as_py() + cooldown_ms))
-        fired = []
-        while at < len(t):
-            fired.append(at)
-            at = int(nxt[at])
-        return rows.take(pa.array(fired, pa.int64()))
-
-    functions = (cand.select(key, "_chunk", "_t").groupBy(key, "_chunk")
-                 .applyInArrow(as_function, f"_k {kind}, _chunk long, _upto array<long>, _out array<long>"))
-    enters = functions.groupBy("_k").applyInArrow(entering, f"_k {kind}, _chunk long, _enters long")
-    out = (cand.groupBy(key, "_chunk").cogroup(enters.groupBy("_k", "_chunk"))
-           .applyInArrow(firing, cand.schema))
+    functions = sorted_groups(cand.select(F.col(key).alias("_k"), "_chunk", "_t"), ["_k", "_chunk"], "_t").mapInArrow(
+        as_functions, f"_k {kind}, _chunk long, _upto array<long>, _out array<long>")
+    enters = sorted_groups(functions, ["_k"], "_chunk").mapInArrow(entering, f"_k {kind}, _chunk long, _enters long")
+    bring = {key: F.col("_k"), "_chunk": F.col("_chunk"), "_t": F.col("_chunk") * width - 1}
+    bring = enters.select(*(bring.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in cand.schema), "_enters")
+    both = cand.withColumn("_enters", F.lit(None).cast("long")).unionByName(bring)
+    out = sorted_groups(both, [key, "_chunk"], "_t", "_tie", "_row").mapInArrow(firing, cand.schema)
     return out.withColumn("detected_at_event_time", F.col("_t")).drop("_t", "_tie", "_row", "_chunk")
 
 

@@ -9,12 +9,17 @@ here puts a whole key into one task or one array:
   joined back on (key, chunk). Work per task is bounded by the chunk, not the key.
 * ``last_before`` is the backward as-of lookup (latest target before each probe within a
   horizon), by a sorted window per time bucket instead of a fan-out join.
+* ``whole_groups`` gives array code many small groups of a sorted partition at once, where a
+  call per group would cost more than the work in it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -90,3 +95,46 @@ def last_before(probes: DataFrame, targets: DataFrame, keys: list[str],
     return hit.select(*keys, F.col("_time").alias("p_time"), F.col("_tie").alias("p_tie"),
                       *extra, F.col("_last.v").cast(val_type).alias("t_val"),
                       F.col("_last.t").alias("t_time"))
+
+
+def group_starts(rows: pa.RecordBatch | pa.Table, keys: list[str]) -> np.ndarray:
+    """Places where the values of ``keys`` change (nulls are equal), the first row included."""
+    new = np.zeros(rows.num_rows, bool)
+    new[:1] = True
+    for k in keys:
+        column = rows.column(k)
+        column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+        codes = column.dictionary_encode(null_encoding="encode").indices.to_numpy()
+        new[1:] |= codes[1:] != codes[:-1]
+    return np.flatnonzero(new)
+
+
+def goes_on(before: pa.RecordBatch, batch: pa.RecordBatch, keys: list[str]) -> bool:
+    """Whether the first row of a batch belongs to the last group of the batch before."""
+    edge = pa.Table.from_batches([before.slice(before.num_rows - 1).select(keys), batch.slice(0, 1).select(keys)])
+    return len(group_starts(edge.combine_chunks(), keys)) == 1
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Whole groups from the batches of a partition sorted by ``keys``, with the places where they
+    begin. Only the last group of a batch waits for the next one."""
+    held: list[pa.RecordBatch] = []
+
+    def gathered() -> tuple[pa.Table, np.ndarray]:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        return rows, group_starts(rows, keys)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if held and not goes_on(held[-1], batch, keys):
+            yield gathered()
+            held = []
+        last = int(group_starts(batch, keys)[-1])
+        if last:
+            held.append(batch.slice(0, last))
+            yield gathered()
+            held = []
+        held.append(batch.slice(last))
+    if held:
+        yield gathered()

@@ -132,6 +132,25 @@ def test_cooldown_matches_definition(spark, seed, chunk_ms, cooldown):
     assert {(r.sensor_id, r.tie) for r in got.collect()} == expected_cooldown(rows, 300.0, cooldown)
 
 
+@pytest.mark.parametrize("batch", [1, 7])
+def test_cooldown_groups_over_many_batches(spark, batch):
+    """Chunks and keys that end within an Arrow batch, at its end, or several batches later."""
+    rnd = random.Random(batch)
+    rows = [(rnd.choice([None, "S1", "S2", "S3"]), T0 + rnd.randrange(0, 3600) * 1000, i, 301.0) for i in range(300)]
+    rows += [("S1", T0 + 5_000, 300 + i, 301.0) for i in range(30)]
+    df = frame(spark, rows, "sensor_id string, t long, tie long, aqi double")
+    conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, str(batch))
+    try:
+        for chunk_ms, cooldown in ((60_000, 120_000), (600_000, 45_000), (60_000, 0)):
+            got = detect.cooldown_alerts(df, "sensor_id", "event_time", "aqi", "tie", chunk_ms=chunk_ms, cooldown_ms=cooldown)
+            assert sorted((str(r.sensor_id), r.tie) for r in got.collect()) == sorted(
+                (str(k), i) for k, i in expected_cooldown(rows, 300.0, cooldown)), (chunk_ms, cooldown)
+    finally:
+        spark.conf.set(conf, before)
+
+
 @pytest.mark.parametrize("seed,chunk_ms,cycles", [(4, 86_400_000, 3), (5, 300_000, 3), (6, 45_000, 3), (12, 1_000, 3),
                                             (13, 20_000, 1), (14, 20_000, 6), (15, None, 3)])
 def test_streak_matches_definition(spark, seed, chunk_ms, cycles):

@@ -28,6 +28,12 @@ def test_detectors_no_cartesian_or_collect(spark):
         assert "collect_list" not in p and "collect_set" not in p
 
 
+def test_cooldown_makes_no_call_per_group(spark):
+    """Array code gets many (key, chunk) groups at once: a call for each cost milliseconds a group."""
+    p = plan(Q.aqi_alerts(spark, SF))
+    assert "MapInArrow" in p and "FlatMapGroupsInArrow" not in p and "FlatMapCoGroupsInArrow" not in p
+
+
 def test_latest_per_topic_limits_before_shuffle(spark):
     p = Q.latest_per_topic(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in p
