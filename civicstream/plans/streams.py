@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from civicstream.plans import feeds
 from civicstream.plans import queries as Q
 from civicstream.schemas import ENVELOPE, RAW_SCHEMAS, topic_name
-from civicstream.session import unique_scratch_path
+from civicstream.session import state_partitions, unique_scratch_path
 from civicstream.sinks import commits
 from civicstream.sources import jsonl
 from civicstream.sources.topics import read_topic
@@ -57,9 +57,10 @@ class _Delivery:
     def __init__(self, spark: SparkSession, messages: dict[str, DataFrame], delayed: str = "false"):
         """Messages that meet the condition ``delayed`` arrive one slice after their own."""
         self.messages, self.delayed = messages, delayed
-        self.root = unique_scratch_path(spark, "topics")
-        times = [m.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")) for m in messages.values()]
-        lo, hi = reduce(DataFrame.unionByName, times).agg(F.min("lo"), F.max("hi")).first()
+        self.spark, self.root = spark, unique_scratch_path(spark, "topics")
+        times = [m.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi"), F.count(F.lit(1)).alias("n"))
+                 for m in messages.values()]
+        lo, hi, self.rows = reduce(DataFrame.unionByName, times).agg(F.min("lo"), F.max("hi"), F.sum("n")).first()
         self.edges = [lo + (hi - lo) * i / SLICES for i in range(1, SLICES)] if lo is not None else []
         for feed, m in messages.items():  # an empty folder, so that the stream can be declared
             m.limit(0).write.parquet(f"{self.root}/{topic_name(feed)}")
@@ -71,7 +72,8 @@ class _Delivery:
                                 for e in self.edges), F.lit(0))
                 arrival = F.least(slice_no + F.expr(self.delayed).cast("int"), F.lit(SLICES - 1))
                 m.where(arrival == i).write.mode("append").parquet(f"{self.root}/{topic_name(feed)}")
-            start().awaitTermination()
+            with state_partitions(self.spark, self.rows):
+                start().awaitTermination()
 
 
 def _stream_valid(spark, root: str, feed: str) -> DataFrame:

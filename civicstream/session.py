@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -53,6 +55,29 @@ def ensure_rocksdb_state(spark: SparkSession) -> None:
     key = "spark.sql.streaming.stateStore.providerClass"
     if spark.conf.get(key, None) != ROCKSDB_PROVIDER:
         spark.conf.set(key, ROCKSDB_PROVIDER)
+    # a batch commits its changes instead of a snapshot of every store
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
+#: Rows delivered to a stream that one partition of its state is made for.
+STATE_ROWS = 1_000_000
+
+
+@contextmanager
+def state_partitions(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Queries first started inside keep their state in as many partitions as the cores can use and
+    ``rows`` need. Each partition of each stateful operator opens its stores, and each detector a
+    Python worker, in every micro-batch, however few rows it has, and nothing merges small ones later."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(max(spark.sparkContext.defaultParallelism, -(-rows // STATE_ROWS))))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

@@ -8,7 +8,9 @@ import time
 from pyspark.sql import functions as F
 
 from civicstream.operators import detect
+from civicstream.plans import streams
 from civicstream.schemas import ENVELOPE, topic_name
+from civicstream.session import STATE_ROWS, state_partitions
 from civicstream.sources.topics import read_topic
 from civicstream.streaming import jobs, stateful
 from helpers import iso
@@ -290,3 +292,23 @@ def test_incident_sink_unkeyed(spark, tmp_dir):
     assert sorted(json.loads(r.value)["source_timestamp"] for r in out) == [iso(0), iso(130)]
     assert all(r.key is None for r in out)
     assert all("junction_id" not in json.loads(r.value) for r in out)
+
+
+def test_state_is_sized_by_cores_and_rows(spark):
+    """Not by the session's setting, which a small stream would pay for in every micro-batch."""
+    class Started:
+        def awaitTermination(self):
+            seen.append(spark.conf.get(key))
+
+    key, seen = "spark.sql.shuffle.partitions", []
+    before = spark.conf.get(key)
+    spark.conf.set(key, "64")
+    try:
+        feed = streams._Delivery(spark, {"air_quality": streams._messages(spark, "/root/testdata/sf0.001", "air_quality")})
+        feed.run(Started)
+        assert seen == [str(spark.sparkContext.defaultParallelism)] * streams.SLICES
+        assert spark.conf.get(key) == "64"
+        with state_partitions(spark, 100 * STATE_ROWS + 1):
+            assert spark.conf.get(key) == "101"
+    finally:
+        spark.conf.set(key, before)
