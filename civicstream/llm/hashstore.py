@@ -50,20 +50,43 @@ def _small(counts: np.ndarray) -> bytes:
     return bytes([width]) + counts.astype(f"<u{width}").tobytes()
 
 
+#: Marks rows of steps whose upper byte is split off, and upper bytes that do not fit in four bits.
+SPLIT, ESCAPE = 0x80, 15
+
+
 def _steps(keys: np.ndarray) -> bytes:
-    """Ascending keys as the first one and the differences, these in as many bytes as they need."""
+    """Ascending keys as the first one and the differences, these in as many bytes as they need. The
+    upper byte of the differences of hashes is small but for a few: where it saves space it takes four
+    bits, and the larger ones follow whole."""
     steps = np.diff(keys).astype("<u8")
     width = max(1, (int(steps.max(initial=0)).bit_length() + 7) // 8)
-    low = steps.view(np.uint8).reshape(-1, 8)[:, :width]
-    return bytes([width]) + keys[:1].astype("<u8").tobytes() + low.tobytes()
+    each = steps.view(np.uint8).reshape(-1, 8)
+    first = keys[:1].astype("<u8").tobytes()
+    upper = each[:, width - 1]
+    large = upper >= ESCAPE
+    if width == 1 or 2 * int(large.sum()) >= len(steps):
+        return bytes([width]) + first + each[:, :width].tobytes()
+    half = np.zeros(len(steps) + len(steps) % 2, np.uint8)
+    half[:len(steps)] = np.minimum(upper, ESCAPE)
+    return (bytes([SPLIT | width]) + first + np.array([len(steps)], "<u4").tobytes()
+            + (half[::2] | half[1::2] << 4).tobytes() + each[:, :width - 1].tobytes() + upper[large].tobytes())
 
 
 def _keys(data: bytes) -> np.ndarray:
-    width = data[0]
-    low = np.frombuffer(data, np.uint8, offset=9).reshape(-1, width)
-    steps = np.zeros((len(low) + 1, 8), np.uint8)
+    width, split = data[0] & ~SPLIT, data[0] & SPLIT
+    n = int(np.frombuffer(data, "<u4", 1, 9)[0]) if split else (len(data) - 9) // width
+    steps = np.zeros((n + 1, 8), np.uint8)
     steps[0] = np.frombuffer(data, np.uint8, 8, 1)
-    steps[1:, :width] = low
+    if split:
+        half = np.frombuffer(data, np.uint8, (n + 1) // 2, 13)
+        upper = np.stack([half & ESCAPE, half >> 4], 1).ravel()[:n]
+        low = 13 + len(half)
+        steps[1:, :width - 1] = np.frombuffer(data, np.uint8, n * (width - 1), low).reshape(n, width - 1)
+        upper[upper == ESCAPE] = np.frombuffer(data, np.uint8, offset=low + n * (width - 1)) if len(
+            data) > low + n * (width - 1) else 0
+        steps[1:, width - 1] = upper
+    else:
+        steps[1:, :width] = np.frombuffer(data, np.uint8, offset=9).reshape(n, width) if n else 0
     return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64)
 
 

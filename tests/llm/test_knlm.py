@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from civicstream.llm import knlm, queries, textscan
+from civicstream.llm import hashstore, knlm, queries, textscan
 from tests.llm import edge_cases
 
 
@@ -164,3 +164,19 @@ def test_order_3_sums_to_one():
         assert sum(model.middle(u, w) for w in [*model.c, "<unknown>"]) == pytest.approx(1)
         for t in ["<s>", "a", "b", "never"]:
             assert sum(model.p3(t, u, w) for w in [*model.c, "<unknown>"]) == pytest.approx(1)
+
+
+@pytest.mark.parametrize("n,top", [(1, 64), (2, 64), (3, 8), (50, 6), (1000, 64), (1001, 40), (5000, 64), (20000, 58), (40000, 58)])
+def test_packed_keys_come_back(n, top):
+    rnd = np.random.default_rng(n)
+    keys = np.unique(rnd.integers(0, 2**top - 1, n, dtype=np.uint64))
+    assert np.array_equal(hashstore._keys(hashstore._steps(keys)), keys)
+    ends = np.unique(np.concatenate([keys, np.array([0, 2**64 - 1], np.uint64)]))
+    assert np.array_equal(hashstore._keys(hashstore._steps(ends)), ends)
+
+
+def test_packed_hashes_take_few_bytes():
+    """A few wide steps do not make all others wide: 49152 hashes of a range of 2^58 have steps of 43 bits on
+    average, the widest of 46."""
+    keys = np.unique(np.random.default_rng(1).integers(0, 2**58, 49152, dtype=np.uint64))
+    assert len(hashstore._steps(keys)) < 5.65 * len(keys)
