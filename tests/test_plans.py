@@ -2,6 +2,7 @@
 size check, detectors never plan a cartesian product or a per-key collect."""
 
 from civicstream.plans import queries as Q
+from civicstream.plans import streams
 
 SF = "/root/testdata/sf0.01"
 
@@ -34,6 +35,11 @@ def test_cooldown_makes_no_call_per_group(spark):
     assert "MapInArrow" in p and "FlatMapGroupsInArrow" not in p and "FlatMapCoGroupsInArrow" not in p
 
 
+def test_jsonl_ingest_makes_no_call_per_group(spark):
+    p = plan(streams.jsonl_ingest(spark, "/root/testdata/sf0.001"))
+    assert "MapInArrow" in p and "FlatMapGroupsInArrow" not in p and "FlatMapCoGroupsInArrow" not in p
+
+
 def test_latest_per_topic_limits_before_shuffle(spark):
     p = Q.latest_per_topic(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in p
