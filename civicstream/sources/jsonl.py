@@ -19,13 +19,13 @@ def placed_lines(lines: DataFrame) -> DataFrame:
 def numbered_lines(placed: DataFrame, first: int = 0) -> DataFrame:
     """``value``, ``file``, and ``offset``: the number of the line in the whole input, files in
     order of their path. A line is its place in its split, plus the lines of the splits before it:
-    a prefix sum over one row per split, so no line is moved to be numbered."""
+    a prefix sum over one row per split, which is broadcast, so no line is moved to be numbered."""
     placed = placed.withColumn("_id", F.monotonically_increasing_id())
     splits = placed.groupBy("file", "block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1))
     splits = splits.select(F.col("file").alias("_f"), F.col("block").alias("_b"), "_first",
                            (F.coalesce(before, F.lit(0)) + first).alias("_before"))
-    return placed.join(splits, (F.col("file") == F.col("_f")) & (F.col("block") == F.col("_b"))).select(
+    return placed.join(F.broadcast(splits), (F.col("file") == F.col("_f")) & (F.col("block") == F.col("_b"))).select(
         "value", "file", (F.col("_id") - F.col("_first") + F.col("_before")).alias("offset"))
 
 

@@ -109,3 +109,15 @@ def test_keyed_write_is_idempotent_per_batch(spark, tmp_dir):
     out = spark.read.parquet(f"{tmp_dir}/t")
     assert out.where("batch = 7").count() == 10
     assert out.count() == 13
+
+
+def test_lines_stay_where_they_are_read_when_numbered(spark, tmp_dir):
+    """Nothing is known of a stream's size, so the counts of splits are not broadcast unasked."""
+    with open(f"{tmp_dir}/a.jsonl", "w") as f:
+        f.write("{}\n" * 3)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = jsonl.read_jsonl(spark, tmp_dir)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
