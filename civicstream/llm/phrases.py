@@ -87,7 +87,7 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         if not hasattr(self, "_hashes"):
-            self._hashes = textscan.span_hash(textscan.prefix_sums(self.buf), self.start, self.end)
+            self._hashes = textscan.word_hash(self.buf, self.start, self.end)
         return self._hashes
 
     def places(self, size: int) -> np.ndarray:
@@ -201,7 +201,7 @@ def _occurrences(w: Words, candidates: list[hashstore.Store]) -> Iterator[pa.Rec
         if not len(at):
             return
         codes = (lang[at] if size == 1 else name[at]) * n + word[at + size - 1]
-        _, first, number, f = np.unique(codes, return_index=True, return_inverse=True, return_counts=True)
+        first, number, f = textscan.numbered(codes)
         name = np.full(len(w), -1)
         name[at] = number
         yield _rows(w, at[first], size, f)

@@ -169,3 +169,20 @@ def test_span_hash_is_the_polynomial_modulo_the_prime():
     both = np.array(word + [1 - x for x in word], np.uint8) + 97
     one, other = textscan.span_hash(textscan.prefix_sums(both), np.array([0, 4096]), np.array([4096, 8192]))
     assert one != other
+
+
+def test_word_hash_and_numbers_tell_words_apart():
+    rng = np.random.default_rng(5)
+    words = {bytes(rng.integers(0, 3, n, dtype=np.uint8)) for n in range(1, 200) for _ in range(40)}
+    words |= {b"abcdefg", b"abcdefg\x0f", b"abcdefgx", b"abcdefgy\0", b"x" * 64, b"x" * 65, b"\0" * 7, b"\0" * 8}
+    some = sorted(words) * 2
+    sizes = np.array([len(w) for w in some])
+    buf, end = np.frombuffer(b"".join(some), np.uint8), np.cumsum(sizes)
+    h = textscan.word_hash(buf, end - sizes, end)
+    assert len(np.unique(h)) == len(words) and np.array_equal(h[:len(words)], h[len(words):])
+    alone = np.frombuffer(b"-" + some[7], np.uint8)
+    assert textscan.word_hash(alone, np.array([1]), np.array([len(alone)]))[0] == h[7]
+    assert len(textscan.word_hash(buf, end[:0], end[:0])) == 0
+    for keys in (h, rng.integers(0, 50, 999), h[:0], np.array([2**63 + 5, 1, 2**63 + 5], np.uint64)):
+        _, *want = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
+        assert all(np.array_equal(x, y) for x, y in zip(textscan.numbered(keys), want))
