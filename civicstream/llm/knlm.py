@@ -55,7 +55,7 @@ def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     buf, offsets = common.text_buffer(column)
     buf = textscan.LOWER[buf]
     start, end, owner = textscan.spans(buf, offsets, textscan.NOT_SPACE)
-    h = textscan.span_hash(textscan.prefix_sums(buf), start, end)
+    h = textscan.word_hash(buf, start, end)
     sizes = textscan.counts_of(owner, len(column)) + 1
     out = np.empty(int(sizes.sum()), U64)
     ends = np.cumsum(sizes) - 1
