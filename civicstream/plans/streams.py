@@ -185,7 +185,7 @@ def stream_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
               "bunching": {"distance_m": Q.BUNCH_DISTANCE_M, "duration_ms": Q.BUNCH_DURATION_MS,
                            "fresh_ms": Q.BUNCH_FRESH_MS}}
     inc = jobs.incidents_stream(air, tr, gps, tie_col="offset",
-                                params=params)
+                                params=params, groups=stateful.state_groups(feed.rows))
     out = unique_scratch_path(spark, "incidents-out")
     feed.run(lambda: jobs.incidents_job(inc, f"{out}/topics", f"{out}/ckpt", trigger=ONCE))
     log = spark.read.parquet(f"{out}/topics/{topic_name('incidents')}")

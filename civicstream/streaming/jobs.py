@@ -252,17 +252,17 @@ def dedup_stream(df: DataFrame, keys: list[str], time_col: str = "event_time",
 
 def incidents_stream(air: DataFrame | None = None, traffic: DataFrame | None = None,
                      gps: DataFrame | None = None, tie_col: str = "offset",
-                     params: dict | None = None) -> DataFrame:
-    """Union of the three stateful detectors' alerts (any subset)."""
+                     params: dict | None = None, groups: int = stateful.GROUPS) -> DataFrame:
+    """Union of the three stateful detectors' alerts (any subset), with their state in ``groups``."""
     params = params or {}
     parts = []
     if air is not None:
-        parts.append(stateful.stream_aqi(air, tie_col=tie_col, **params.get("aqi", {})))
+        parts.append(stateful.stream_aqi(air, tie_col=tie_col, groups=groups, **params.get("aqi", {})))
     if traffic is not None:
-        parts.append(stateful.stream_gridlock(traffic, tie_col=tie_col,
+        parts.append(stateful.stream_gridlock(traffic, tie_col=tie_col, groups=groups,
                                               **params.get("gridlock", {})))
     if gps is not None:
-        parts.append(stateful.stream_bunching(gps, tie_col=tie_col,
+        parts.append(stateful.stream_bunching(gps, tie_col=tie_col, groups=groups,
                                               **params.get("bunching", {})))
     return union_incidents(*parts)
 
