@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from civicstream.plans import feeds
 from civicstream.plans import queries as Q
 from civicstream.schemas import ENVELOPE, RAW_SCHEMAS, topic_name
-from civicstream.session import state_partitions, unique_scratch_path
+from civicstream.session import PACKED_STATE_ROWS, STATE_ROWS, state_partitions, unique_scratch_path
 from civicstream.sinks import commits
 from civicstream.sources import jsonl
 from civicstream.sources.topics import read_topic
@@ -54,9 +54,11 @@ class _Delivery:
     over all that has arrived after each: several micro-batches, in event order as a topic would
     have it, with a restart from the checkpoint between them."""
 
-    def __init__(self, spark: SparkSession, messages: dict[str, DataFrame], delayed: str = "false"):
-        """Messages that meet the condition ``delayed`` arrive one slice after their own."""
-        self.messages, self.delayed = messages, delayed
+    def __init__(self, spark: SparkSession, messages: dict[str, DataFrame], delayed: str = "false",
+                 state_rows: int = STATE_ROWS):
+        """Messages that meet the condition ``delayed`` arrive one slice after their own. One partition
+        of the query's state is made for ``state_rows``."""
+        self.messages, self.delayed, self.state_rows = messages, delayed, state_rows
         self.spark, self.root = spark, unique_scratch_path(spark, "topics")
         times = [m.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi"), F.count(F.lit(1)).alias("n"))
                  for m in messages.values()]
@@ -72,7 +74,7 @@ class _Delivery:
                                 for e in self.edges), F.lit(0))
                 arrival = F.least(slice_no + F.expr(self.delayed).cast("int"), F.lit(SLICES - 1))
                 m.where(arrival == i).write.mode("append").parquet(f"{self.root}/{topic_name(feed)}")
-            with state_partitions(self.spark, self.rows):
+            with state_partitions(self.spark, self.rows, self.state_rows):
                 start().awaitTermination()
 
 
@@ -178,7 +180,7 @@ def stream_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     waiting when the stream stops, so the result is the batch incidents up to that watermark, and
     for pairs of buses up to the freshness limit before it."""
     names = ("air_quality", "traffic_signals", "bus_gps")
-    feed = _Delivery(spark, {n: _messages(spark, sf_dir, n) for n in names})
+    feed = _Delivery(spark, {n: _messages(spark, sf_dir, n) for n in names}, state_rows=PACKED_STATE_ROWS)
     air, tr, gps = (_stream_valid(spark, feed.root, n) for n in names)
     params = {"aqi": {"threshold": Q.AQI_THRESHOLD, "cooldown_ms": Q.AQI_COOLDOWN_MS},
               "gridlock": {"threshold": Q.WAIT_THRESHOLD, "cycles": Q.WAIT_CYCLES},

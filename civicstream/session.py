@@ -61,16 +61,19 @@ def ensure_rocksdb_state(spark: SparkSession) -> None:
 
 #: Rows delivered to a stream that one partition of its state is made for.
 STATE_ROWS = 1_000_000
+#: The same if rows are kept as Arrow batches, none of them as an object.
+PACKED_STATE_ROWS = 8_000_000
 
 
 @contextmanager
-def state_partitions(spark: SparkSession, rows: int) -> Iterator[None]:
+def state_partitions(spark: SparkSession, rows: int, each: int = STATE_ROWS) -> Iterator[None]:
     """Queries first started inside keep their state in as many partitions as the cores can use and
-    ``rows`` need. Each partition of each stateful operator opens its stores, and each detector a
-    Python worker, in every micro-batch, however few rows it has, and nothing merges small ones later."""
+    ``rows`` need at ``each`` a partition. Each partition of each stateful operator opens its stores, and
+    each detector a Python worker, in every micro-batch, however few rows it has, and nothing merges
+    small ones later."""
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key, None)
-    spark.conf.set(key, str(max(spark.sparkContext.defaultParallelism, -(-rows // STATE_ROWS))))
+    spark.conf.set(key, str(max(spark.sparkContext.defaultParallelism, -(-rows // each))))
     try:
         yield
     finally:

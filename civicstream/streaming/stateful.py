@@ -434,6 +434,7 @@ def _prepare(df: DataFrame, time_col: str, tie_col: str, delay: str) -> DataFram
 
 def stream_aqi(df: DataFrame, time_col="event_time", tie_col="offset", delay=DETECTOR_WATERMARK,
                groups: int = GROUPS, **params) -> DataFrame:
+    # all readings go in: Spark would move a filter below the watermark, which they move too
     rows = _prepare(df, time_col, tie_col, delay)
     return aqi_incidents(_by_group(rows, Cooldown(**params), groups))
 

@@ -5,8 +5,10 @@ import random
 
 import pyarrow as pa
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from civicstream.plans import streams
 from civicstream.schemas import ENVELOPE, topic_name
 from civicstream.sources.topics import read_topic
 from civicstream.streaming import jobs, stateful
@@ -125,6 +127,35 @@ def test_state_is_kept_by_group_of_keys(spark, tmp_dir):
     assert max(s["numRowsTotal"] for s in states) <= 3 * 4
 
 
+def test_partitions_of_packed_state(spark, monkeypatch):
+    """Each costs a start of stores and Python workers in every micro-batch, and packs need few."""
+    key, seen = "spark.sql.shuffle.partitions", []
+
+    class Started:
+        def awaitTermination(self):
+            seen.append(int(spark.conf.get(key)))
+
+    monkeypatch.setattr(jobs, "incidents_job", lambda *a, **k: Started())
+    monkeypatch.setattr(streams._Delivery, "__init__", _with_rows(streams._Delivery.__init__, 100_000_000))
+    with pytest.raises(AnalysisException):                 # nothing was written
+        streams.stream_incidents(spark, "/root/testdata/sf0.001")
+    assert seen == [13] * streams.SLICES
+
+
+def _with_rows(init, rows):
+    def there(self, *args, **kwargs):
+        init(self, *args, **kwargs)
+        self.rows = rows
+    return there
+
+
+def test_readings_below_the_threshold_move_the_watermark(spark, tmp_dir):
+    records = [dict(sensor_id="S1", zone="Z", pm25=1.0, pm10=1.0, no2=1.0, aqi=a, timestamp=iso(s))
+               for a, s in ((350.0, 0), (350.0, 500), (10.0, 1000))]
+    out, _ = _stream(spark, tmp_dir, "air_quality", records, stateful.stream_aqi)
+    assert [r.source_timestamp for r in out.orderBy("source_timestamp").collect()] == [iso(0), iso(500)]
+
+
 def test_observations_do_not_multiply_with_the_rate_of_fixes(spark, tmp_dir):
     """Two buses at one fix a second: every fix sees the other bus once, not each of its fresh fixes."""
     records = [dict(bus_id=f"B{i % 2}", route_id="R1", lat=19.0, lon=72.8, speed_kmh=9.0, occupancy_pct=5,
