@@ -328,7 +328,7 @@ class Sightings(_InOrder):
         seen = np.where(known, run_ends(code, t, known, tie), run_ends(code, t))
         by_bus = np.argsort(bus, kind="stable")
         offset = bus[by_bus] * (n + 1)
-        replaced = (np.minimum.accumulate((seen[by_bus] + offset)[::-1])[::-1])
+        replaced = np.minimum.accumulate((seen[by_bus] + offset)[::-1])[::-1]
         until = np.full(n, n)
         same = bus[by_bus][1:] == bus[by_bus][:-1]
         until[by_bus[:-1][same]] = (replaced - offset)[1:][same]
